@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from tideline.llm.byte_bpe import op5_byte_bpe
 from tideline.llm.media import op10_media_columns
+from tideline.llm.token_file import op4_token_file
 
 
 def queries():
-    return {f.__name__: f for f in (op10_media_columns,)}
+    return {f.__name__: f for f in (op4_token_file, op5_byte_bpe, op10_media_columns)}
 
 
 def oracle_sql():
