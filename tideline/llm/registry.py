@@ -5,11 +5,12 @@ from __future__ import annotations
 from tideline.llm.byte_bpe import op5_byte_bpe
 from tideline.llm.media import op10_media_columns
 from tideline.llm.token_file import op4_token_file
+from tideline.llm.url_filter import OP3_SQL, op3_url_filter
 
 
 def queries():
-    return {f.__name__: f for f in (op4_token_file, op5_byte_bpe, op10_media_columns)}
+    return {f.__name__: f for f in (op3_url_filter, op4_token_file, op5_byte_bpe, op10_media_columns)}
 
 
 def oracle_sql():
-    return {}
+    return {"op3_url_filter": OP3_SQL}
