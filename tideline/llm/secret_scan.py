@@ -128,8 +128,8 @@ def _sql_kind(rank: int, pattern: str, keep: str) -> str:
     """DuckDB: the spans of one kind, for every text."""
     p = pattern.replace("'", "''")
     return f"""
-  SELECT k, {rank} AS rank, at, at + length(hit) AS e FROM (
-    SELECT k, hit, value, sum(length(gap) + length(coalesce(before, ''))) OVER (PARTITION BY k ORDER BY i) AS at FROM (
+  SELECT k, {rank} AS rank, pos AS "at", pos + length(hit) AS e FROM (
+    SELECT k, hit, value, sum(length(gap) + length(coalesce(before, ''))) OVER (PARTITION BY k ORDER BY i) AS pos FROM (
       SELECT k, i, gap, hit, value, lag(hit) OVER (PARTITION BY k ORDER BY i) AS before FROM (
         SELECT k, generate_subscripts(h, 1) AS i, unnest(h) AS hit, unnest(v) AS value, unnest(g[:len(h)]) AS gap FROM (
           SELECT k, regexp_extract_all(t, '{p}', 0) AS h, {f"regexp_extract_all(t, '{p}', 2)" if "value" in keep else f"regexp_extract_all(t, '{p}', 0)"} AS v,
@@ -149,15 +149,15 @@ OP7_SQL = f"""
 WITH texts AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
 parts AS MATERIALIZED ({" UNION ALL ".join(_sql_kind(i, _either_case(p), keep) for i, (p, keep) in enumerate([(ASSIGN, "length(value) >= 6"), (ACCESS, "true"), (HEX, "true"), (KEY40, "length(hit) = 40"), (USER, "true"), (ENDPOINT, "true")]))}),
 near AS (
-  SELECT w.k, w.rank, w.at, w.e,
+  SELECT w.k, w.rank, w."at", w.e,
          bool_or(p.rank IN (1, 4)) AS i, bool_or(p.rank IN (0, 2, 3)) AS s
-  FROM parts w JOIN parts p ON w.k = p.k AND p.at <= w.e + {REACH} AND p.e >= w.at - {REACH} WHERE w.rank >= 3 GROUP BY ALL),
+  FROM parts w JOIN parts p ON w.k = p.k AND p."at" <= w.e + {REACH} AND p.e >= w."at" - {REACH} WHERE w.rank >= 3 GROUP BY ALL),
 spans AS (
-  SELECT k, rank, at, e FROM parts WHERE rank < 3
-  UNION ALL SELECT k, rank, at, e FROM near WHERE (rank = 3 AND i) OR (rank = 4 AND s) OR (rank = 5 AND i AND s)),
-named AS (SELECT *, ['{"', '".join(KINDS)}'][rank + 1] || ':' || at::BIGINT || ':' || e::BIGINT AS word FROM spans)
+  SELECT k, rank, "at", e FROM parts WHERE rank < 3
+  UNION ALL SELECT k, rank, "at", e FROM near WHERE (rank = 3 AND i) OR (rank = 4 AND s) OR (rank = 5 AND i AND s)),
+named AS (SELECT *, ['{"', '".join(KINDS)}'][rank + 1] || ':' || "at"::BIGINT || ':' || e::BIGINT AS word FROM spans)
 SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
-       sha256(coalesce(string_agg(word, ',' ORDER BY at, rank) FILTER (rank < 3), '')) AS base_sha256,
-       coalesce(string_agg(word, ',' ORDER BY at, rank, e), '') AS spans
+       sha256(coalesce(string_agg(word, ',' ORDER BY "at", rank) FILTER (rank < 3), '')) AS base_sha256,
+       coalesce(string_agg(word, ',' ORDER BY "at", rank, e), '') AS spans
 FROM texts LEFT JOIN named USING (k) GROUP BY texts.k, doc_id
 """
