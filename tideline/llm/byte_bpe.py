@@ -40,7 +40,8 @@ class ByteBpe:
             self.found.add_word(token.decode("latin-1"), (i, len(token)))
         self.found.make_automaton()
         self.beside: dict[tuple[int, int], bool] = {}
-        self.memo = Memo(lambda texts: [self._piece(t) for t in texts], size=150_000)
+        self.parts: dict[str, tuple[int, ...]] = {}
+        self.memo = Memo(lambda texts: [self._piece(t) for t in texts], size=350_000)
 
     def merged(self, data: bytes) -> list[int]:
         """What the merges make of data, lowest rank first, leftmost of equals first."""
@@ -88,11 +89,26 @@ class ByteBpe:
             left.append(len(at[here + size]) - 1 if here + size < len(data) else -1)
         return out
 
-    def _piece(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(self.match(m.encode("utf-8")) for m in self.split(text)))
+    def _piece(self, text: str) -> tuple[tuple[int, ...], str]:
+        """The ids of a piece, and the same in writing. Its matches are remembered too: many new pieces are known words beside known signs."""
+        if len(self.parts) > 300_000:
+            self.parts.clear()
+        ids: list[int] = []
+        for m in self.split(text):
+            if (found := self.parts.get(m)) is None:
+                found = tuple(self.match(m.encode("utf-8")))
+                if len(m) <= 64:
+                    self.parts[m] = found
+            ids += found
+        return tuple(ids), ",".join(map(str, ids))
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.memo.__getitem__, pieces(text))))
+        return list(chain.from_iterable([x[0] for x in map(self.memo.__getitem__, pieces(text))]))
+
+    def encoded(self, text: str) -> tuple[list[int], str]:
+        """The ids, and the same in writing."""
+        got = list(map(self.memo.__getitem__, pieces(text)))
+        return list(chain.from_iterable([x[0] for x in got])), ",".join([x[1] for x in got])
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -126,13 +142,12 @@ def digests(df: DataFrame, *, vocabulary: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary, pattern)
-        written = [str(i) for i in range(max(bpe.tokens) + 1)]
         for b in batches:
             sizes, ids_sha, bytes_sha = [], [], []
             for text in b.column(1).to_pylist():
-                ids = bpe.encode(text)
+                ids, written = bpe.encoded(text)
                 sizes.append(len(ids))
-                ids_sha.append(hashlib.sha256(",".join(map(written.__getitem__, ids)).encode()).hexdigest())
+                ids_sha.append(hashlib.sha256(written.encode()).hexdigest())
                 bytes_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(bytes_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
