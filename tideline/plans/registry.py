@@ -1,11 +1,442 @@
-"""Names of all queries with their DataFrame builders and oracle SQL."""
+"""Names of all queries with their DataFrame builders and oracle SQL.
+
+Doubles are rounded to six places on both sides: sums of doubles depend on their order in the last place.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tideline.functions import decode
+from tideline.operators import compare, dashboard, detectors, metrics
+from tideline.plans import adapter
+from tideline.plans.replay import Replay
+from tideline.sources import sinks
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+BOUNDS = (1.0, 5.0, 10.0, 25.0, 50.0, 100.0, 250.0)
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def _with(*parts: str) -> str:
+    return "WITH " + ",\n".join(p.strip() for p in parts) + "\n"
+
+
+BASE = _with(adapter.SQL)
+GAPS = _with(adapter.SQL, adapter.GAPS_SQL)
+FEATURES = _with(adapter.SQL, adapter.FEATURES_SQL)
+ZSCORES = _with(adapter.SQL, adapter.FEATURES_SQL, adapter.ZSCORE_SQL)
+SCORED = _with(adapter.SQL, adapter.FEATURES_SQL, adapter.ZSCORE_SQL, adapter.COMPARED_SQL)
+
+
+def _replay(spark: SparkSession, sf_dir: str) -> Replay:
+    return Replay(adapter.raw(spark, sf_dir), adapter.SETTINGS)
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    """Doubles to six places, timestamps without zone as in the tables."""
+    out = []
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        out.append((F.round(c, 6) if kind == "double" else c.cast("timestamp_ntz") if kind == "timestamp" else c).alias(name))
+    return df.select(*out)
+
+
+# ------------------------------------------------------------------ decode and scans
+
+
+@query("""SELECT event_id, 'x' || event_id AS payload FROM events WHERE event_id % 5 > 1 AND event_id IS NOT NULL""")
+def archive_line_decode(spark, sf_dir):
+    """Lines of which two in five are malformed: without a tab, or with an empty stamp."""
+    from tideline.sources.archive import decoded_lines
+
+    stamp = F.concat((F.unix_micros(F.col("ts").cast("timestamp")) * 1000).cast("string"), F.lit("\t"))
+    head = F.when(F.col("event_id") % 5 == 0, "no tab ").when(F.col("event_id") % 5 == 1, "\t").otherwise(stamp)
+    lines = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_id is not null").select("event_id", F.concat(head, F.lit("x"), F.col("event_id").cast("string")).alias("value"))
+    return decoded_lines(lines).select("event_id", "payload")
+
+
+@query(
+    BASE
+    + """SELECT status, count(*) AS n FROM (SELECT CASE WHEN event_type = 'purchase' AND value > 0 THEN 'trade' WHEN event_type IN ('view', 'click') AND value > 0 THEN 'quote'
+    WHEN event_type = 'signup' THEN 'depth' WHEN event_type = 'error' AND k < 50 THEN 'marker' WHEN event_type = 'error' AND k % 2 = 0 THEN 'other' ELSE 'error' END AS status FROM ev) GROUP BY status"""
+)
+def frame_decode_counts(spark, sf_dir):
+    return _replay(spark, sf_dir).frames.groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query(BASE + "SELECT time, symbol, trade_id, price, qty, true AS buyer_is_maker, received_at FROM trades")
+def trade_projection(spark, sf_dir):
+    return _rounded(_replay(spark, sf_dir).trades.select("time", "symbol", "trade_id", "price", "qty", "buyer_is_maker", "received_at"))
+
+
+@query(BASE + "SELECT symbol, update_id, bid, ask, received_at FROM quotes")
+def quote_projection(spark, sf_dir):
+    return _rounded(_replay(spark, sf_dir).quotes.select("symbol", "update_id", F.col("bid").cast("double").alias("bid"), F.col("ask").cast("double").alias("ask"), "received_at"))
+
+
+@query(BASE + "SELECT symbol, first_update_id, final_update_id, CAST(CAST(value AS DECIMAL(18,8)) AS VARCHAR) AS price, CAST(k AS VARCHAR) AS qty FROM depth")
+def depth_levels(spark, sf_dir):
+    """The bid levels of depth updates, kept as they came."""
+    d = _replay(spark, sf_dir).depth
+    return d.select("symbol", "first_update_id", "final_update_id", F.explode("bids").alias("level")).select("symbol", "first_update_id", "final_update_id", F.col("level")[0].alias("price"), F.col("level")[1].alias("qty"))
+
+
+@query(BASE + "SELECT count(*) AS frames, count(*) FILTER (event_type = 'signup') AS n_depth, count(*) FILTER (event_type = 'error' AND k < 50) AS n_marker FROM ev")
+def replay_summary(spark, sf_dir):
+    return _replay(spark, sf_dir).summary().select("frames", "n_depth", "n_marker")
+
+
+# ------------------------------------------------------------------ gaps
+
+
+@query(GAPS + "SELECT * FROM gaps")
+def gap_detect(spark, sf_dir):
+    return _rounded(_replay(spark, sf_dir).gaps.drop("seq"))
+
+
+@query(GAPS + "SELECT symbol, cause, count(*) AS n, CAST(sum(missing_update_ids) AS BIGINT) AS missing FROM gaps GROUP BY ALL")
+def gap_summary(spark, sf_dir):
+    return _replay(spark, sf_dir).gaps.groupBy("symbol", "cause").agg(F.count("*").alias("n"), F.sum("missing_update_ids").alias("missing"))
+
+
+@query(GAPS + "SELECT time, symbol, cause, missing_update_ids, prev_final_update_id, first_update_id FROM gaps ORDER BY time DESC, symbol, prev_final_update_id LIMIT 100")
+def recent_gaps(spark, sf_dir):
+    return _rounded(dashboard.recent_gaps(_replay(spark, sf_dir).gaps))
+
+
+@query(GAPS + "SELECT symbol, prev_final_update_id, first_update_id, missing_update_ids, cause FROM gaps ORDER BY symbol, prev_final_update_id")
+def gap_listing(spark, sf_dir):
+    return _replay(spark, sf_dir).gaps.select("symbol", "prev_final_update_id", "first_update_id", "missing_update_ids", "cause").orderBy("symbol", "prev_final_update_id")
+
+
+# ------------------------------------------------------------------ features
+
+
+def _feature_query(columns: str, where: str = "true"):
+    kinds = {"trade_count": "trade_count", "time": "time", "symbol": "symbol"}
+    names = [c.strip() for c in columns.split(",")]
+    return FEATURES + "SELECT " + ", ".join(n if n in kinds else f"round({n}, 6) AS {n}" for n in names) + f" FROM features WHERE {where}"
+
+
+@query(_feature_query("time, symbol, trade_count, volume, notional", "trade_count > 0"))
+def bucket_trades(spark, sf_dir):
+    return _rounded(_replay(spark, sf_dir).features.where("trade_count > 0").select("time", "symbol", "trade_count", "volume", "notional"))
+
+
+@query(_feature_query("time, symbol, trade_count"))
+def gap_filled_grid(spark, sf_dir):
+    return _rounded(_replay(spark, sf_dir).features.select("time", "symbol", "trade_count"))
+
+
+@query(_feature_query("time, symbol, spread_bps"))
+def time_weighted_spread(spark, sf_dir):
+    return _rounded(_replay(spark, sf_dir).features.select("time", "symbol", "spread_bps"))
+
+
+@query(_feature_query("time, symbol, mid"))
+def mid_asof(spark, sf_dir):
+    return _rounded(_replay(spark, sf_dir).features.select("time", "symbol", "mid"))
+
+
+@query(_feature_query("time, symbol, abs_return_bps", "abs_return_bps IS NOT NULL"))
+def abs_return(spark, sf_dir):
+    return _rounded(_replay(spark, sf_dir).features.where("abs_return_bps is not null").select("time", "symbol", "abs_return_bps"))
+
+
+@query(_feature_query("time, symbol, trade_count, volume, notional, spread_bps, mid, abs_return_bps"))
+def features(spark, sf_dir):
+    return _rounded(_replay(spark, sf_dir).features)
+
+
+# ------------------------------------------------------------------ detectors
+
+_X = ", ".join(f"round(x_{n}, 6) AS x_{n}" for n in detectors.NAMES)
+
+
+@query(ZSCORES + f"SELECT time, symbol, CAST(seen AS INTEGER) AS seen, {_X} FROM vec")
+def detector_vector(spark, sf_dir):
+    return _rounded(_replay(spark, sf_dir).vectors().select("time", "symbol", "seen", *(f"x_{n}" for n in detectors.NAMES)))
+
+
+@query(ZSCORES + "SELECT time, symbol, " + ", ".join(f"round(z_{n}, 6) AS z_{n}" for n in detectors.NAMES) + ", round(score, 6) AS score FROM zscores WHERE score IS NOT NULL")
+def zscore_scores(spark, sf_dir):
+    z = _replay(spark, sf_dir).zscores().where("score is not null")
+    return _rounded(z.select("time", "symbol", *(f"z_{n}" for n in detectors.NAMES), "score"))
+
+
+@query(ZSCORES + "SELECT time, symbol, 'zscore' AS detector, round(score, 6) AS score, CAST(4 AS DOUBLE) AS threshold, " + ", ".join(f"round({p}_{n}, 6) AS {p}_{n}" for n in detectors.NAMES for p in "xz") + " FROM zscores WHERE score > 4")
+def zscore_flags(spark, sf_dir):
+    """Flags, with the map of features as columns."""
+    f = detectors.flags(_replay(spark, sf_dir).zscores(), "zscore", z=True)
+    return _rounded(f.select("time", "symbol", "detector", "score", "threshold", *(F.col("features")[p + n].alias(f"{c}_{n}") for n in detectors.NAMES for c, p in (("x", ""), ("z", "z_")))))
+
+
+_DRIVER = "CASE " + " ".join(f"WHEN abs(z_{n}) = score THEN '{n}'" for n in detectors.PRIORITY) + " END"
+
+
+@query(ZSCORES + f"SELECT symbol, {_DRIVER} AS driver, count(*) AS n FROM zscores WHERE score > 4 GROUP BY ALL")
+def zscore_drivers(spark, sf_dir):
+    z = _replay(spark, sf_dir).zscores().where("score > threshold")
+    return z.groupBy("symbol", detectors.driver().alias("driver")).agg(F.count("*").alias("n"))
+
+
+@query(ZSCORES + "SELECT symbol, time, CAST(seen AS INTEGER) AS seen, CAST((seen - 410) // 200 AS INTEGER) AS fit_id FROM vec WHERE seen >= 410")
+def iforest_schedule(spark, sf_dir):
+    """Which fit scores which row."""
+    s = adapter.SETTINGS
+    fit = detectors.fit_id(s.train_window, s.refit_every, s.swap_after).cast("int")
+    return _rounded(_replay(spark, sf_dir).vectors().select("symbol", "time", "seen", fit.alias("fit_id")).where("fit_id is not null"))
+
+
+@query()
+def iforest_scores(spark, sf_dir):
+    return _rounded(_replay(spark, sf_dir).forest())
+
+
+@query()
+def iforest_flags(spark, sf_dir):
+    return _rounded(_replay(spark, sf_dir).forest().where("score > threshold"))
+
+
+# ------------------------------------------------------------------ dashboards
+
+
+@query("SELECT 'S' || (user_id % 4) AS symbol, max(ts) AS time, round(arg_max(value, (ts, event_id)), 6) AS price FROM events WHERE event_type = 'purchase' AND value > 0 GROUP BY ALL")
+def latest_per_symbol(spark, sf_dir):
+    """The latest trade of each symbol: a partial max_by, one row per symbol and task."""
+    rows = adapter.events(spark, sf_dir).where("event_type = 'purchase' and value > 0")
+    return _rounded(dashboard.latest(rows.select("symbol", F.col("ts").alias("time"), F.col("value").alias("price"), "event_id"), "symbol", ["time", "price"], ("time", "event_id")))
+
+
+@query("SELECT o_custkey, max(o_orderdate) AS o_orderdate, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY o_custkey")
+def latest_order_per_customer(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return dashboard.latest(orders, "o_custkey", ["o_orderdate", "o_orderkey"], ("o_orderdate", "o_orderkey"))
+
+
+@query(FEATURES + "SELECT make_timestamp(epoch_us(time) // 3600000000 * 3600000000) AS time, round(avg(mid), 6) AS mid FROM features WHERE symbol = 'S1' GROUP BY ALL")
+def mid_per_interval(spark, sf_dir):
+    return _rounded(dashboard.mid_per_interval(_replay(spark, sf_dir).features, "S1", 3600))
+
+
+@query(FEATURES + "SELECT make_timestamp(epoch_us(time) // 3600000000 * 3600000000) AS time, symbol, round(max(spread_bps), 6) AS spread_bps FROM features WHERE spread_bps IS NOT NULL GROUP BY ALL")
+def spread_per_interval(spark, sf_dir):
+    return _rounded(dashboard.spread_per_interval(_replay(spark, sf_dir).features, 3600))
+
+
+@query(ZSCORES + "SELECT time, symbol, 'zscore' AS detector, round(round(score, 6), 2) AS score, round(CAST(4 AS DOUBLE), 2) AS threshold FROM zscores WHERE score > 4 ORDER BY time DESC, symbol LIMIT 200")
+def recent_flags(spark, sf_dir):
+    f = detectors.flags(_replay(spark, sf_dir).zscores().withColumn("score", F.round("score", 6)), "zscore", z=True)
+    return _rounded(dashboard.recent_flags(f).drop("features"))
+
+
+@query(ZSCORES + "SELECT time, symbol || ' zscore score ' || printf('%.2f', round(round(score, 6), 2)) AS text FROM zscores WHERE score > 4")
+def flag_annotations(spark, sf_dir):
+    f = detectors.flags(_replay(spark, sf_dir).zscores().withColumn("score", F.round("score", 6)), "zscore")
+    return _rounded(dashboard.flag_annotations(f, "zscore"))
+
+
+# ------------------------------------------------------------------ sinks and table statistics
+
+
+def _arrivals(spark, sf_dir):
+    """Trades that arrive again under the keys of others: the key is the user and the price class."""
+    rows = adapter.events(spark, sf_dir).where("event_type = 'purchase' and value > 0")
+    return rows.select("symbol", (F.col("user_id") % 50).alias("trade_id"), F.to_date("ts").alias("day"), "event_id", "ts", F.struct("ts", "event_id").alias("seq"))
+
+
+_ARRIVALS = "a AS (SELECT 'S' || (user_id % 4) AS symbol, user_id % 50 AS trade_id, CAST(ts AS DATE) AS day, event_id, ts FROM events WHERE event_type = 'purchase' AND value > 0)"
+
+
+@query(f"WITH {_ARRIVALS} SELECT symbol, trade_id, day, arg_min(event_id, (ts, event_id)) AS event_id FROM a GROUP BY symbol, trade_id, day")
+def dedup_first_wins(spark, sf_dir):
+    return sinks.first_wins(_arrivals(spark, sf_dir), ["symbol", "trade_id", "day"]).select("symbol", "trade_id", "day", "event_id")
+
+
+@query(f"WITH {_ARRIVALS} SELECT symbol, trade_id, day, event_id FROM a WHERE event_id % 2 = 1 AND (symbol, trade_id, day) NOT IN (SELECT (symbol, trade_id, day) FROM a WHERE event_id % 2 = 0)")
+def merge_new_only(spark, sf_dir):
+    """Staged rows (odd ids) whose keys aren't stored (even ids)."""
+    rows = _arrivals(spark, sf_dir)
+    new = sinks.only_new(rows.where("event_id % 2 = 1"), rows.where("event_id % 2 = 0"), ["symbol", "trade_id", "day"])
+    return new.select("symbol", "trade_id", "day", "event_id")
+
+
+@query(BASE + "SELECT (SELECT count(*) FROM trades) + (SELECT count(*) FROM depth) AS total")
+def stored_total(spark, sf_dir):
+    r = _replay(spark, sf_dir)
+    return r.frames.agg(F.count_if(F.col("status").isin("trade", "depth")).alias("total"))
+
+
+@query(BASE + "SELECT least((SELECT min(received_at) FROM trades), (SELECT min(received_at) FROM depth)) AS earliest")
+def earliest_receive(spark, sf_dir):
+    r = _replay(spark, sf_dir)
+    return _rounded(r.frames.where("status in ('trade', 'depth')").groupBy("status").agg(F.min("received_at").alias("t")).agg(F.min("t").alias("earliest")))
+
+
+@query(FEATURES + "SELECT DISTINCT symbol FROM features")
+def distinct_symbols(spark, sf_dir):
+    return _replay(spark, sf_dir).features.select("symbol").distinct()
+
+
+@query()
+def content_hash(spark, sf_dir):
+    return sinks.content_hash(_replay(spark, sf_dir).features)
+
+
+# ------------------------------------------------------------------ detector comparison
+
+
+def _scored(spark, sf_dir):
+    """The z-score beside a cheap second scorer, the return alone; scores rounded so that ties are the same everywhere."""
+    z = _replay(spark, sf_dir).zscores().withColumn("score", F.round("score", 6))
+    b = z.where("score is not null").select("symbol", "time", F.round("x_log_abs_return_bps", 6).alias("score"), F.lit(9.5).alias("threshold"))
+    return compare.both_scored(z, b)
+
+
+@query(SCORED + "SELECT symbol, count(*) FILTER (a_flag) AS n_a, count(*) FILTER (b_flag) AS n_b, count(*) FILTER (a_flag AND b_flag) AS n_both, count(*) FILTER (a_flag AND NOT b_flag) AS a_only, count(*) FILTER (b_flag AND NOT a_flag) AS b_only, round(count(*) FILTER (a_flag AND b_flag) / nullif(count(*) FILTER (a_flag OR b_flag), 0), 6) AS jaccard FROM scored GROUP BY symbol")
+def flag_overlap(spark, sf_dir):
+    return _rounded(compare.flag_overlap(_scored(spark, sf_dir)))
+
+
+@query(SCORED + "SELECT symbol, count(*) AS n_rows, " + ", ".join(f"count(*) FILTER ({d}_flag) AS {d}_flags, round(count(*) FILTER ({d}_flag) * 12 / count(*), 6) AS {d}_per_hour, round(count(*) FILTER ({d}_flag) / count(*), 6) AS {d}_share" for d in "ab") + " FROM scored GROUP BY symbol")
+def alarm_rates(spark, sf_dir):
+    return _rounded(compare.alarm_rates(_scored(spark, sf_dir), per_hour=12))
+
+
+@query(SCORED + "SELECT symbol, time FROM scored s WHERE a_flag AND NOT b_flag AND EXISTS (SELECT 1 FROM scored u WHERE u.symbol = s.symbol AND u.b_flag AND abs(epoch_us(u.time) - epoch_us(s.time)) <= 1800000000)")
+def near_match(spark, sf_dir):
+    return _rounded(compare.near_flags(_scored(spark, sf_dir), reach_s=1800).select("symbol", "time"))
+
+
+def _top(rate: float) -> str:
+    return f"""SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY a_score DESC, time) <= k AS a_top, row_number() OVER (PARTITION BY symbol ORDER BY b_score DESC, time) <= k AS b_top
+    FROM (SELECT *, greatest(1, CAST(ceil({rate} * count(*) OVER (PARTITION BY symbol)) AS BIGINT)) AS k FROM scored)"""
+
+
+@query(SCORED + " UNION ALL ".join(f"SELECT symbol, CAST({r} AS DOUBLE) AS rate, max(k) AS k, count(*) AS n_rows, count(*) FILTER (a_top AND b_top) AS n_common, round(count(*) FILTER (a_top AND b_top) / max(k), 6) AS overlap, round(max(k) / count(*), 6) AS by_chance FROM ({_top(r)}) GROUP BY symbol" for r in compare.RATES))
+def topk_overlap(spark, sf_dir):
+    return _rounded(compare.topk_overlap(_scored(spark, sf_dir)))
+
+
+@query(SCORED + """SELECT symbol, round(corr(ra, rb), 6) AS rho, count(*) AS n_rows FROM (SELECT symbol, rank() OVER (PARTITION BY symbol ORDER BY a_score) + (count(*) OVER (PARTITION BY symbol, a_score) - 1) / 2 AS ra,
+    rank() OVER (PARTITION BY symbol ORDER BY b_score) + (count(*) OVER (PARTITION BY symbol, b_score) - 1) / 2 AS rb FROM scored) GROUP BY symbol""")
+def spearman(spark, sf_dir):
+    return _rounded(compare.spearman(_scored(spark, sf_dir)))
+
+
+_RANKS = ", ".join(f"(rank() OVER (PARTITION BY symbol ORDER BY round(x_{n}, 6)) - 1) / count(*) OVER (PARTITION BY symbol) * 100 AS r_{n}" for n in detectors.NAMES)
+
+
+@query(SCORED + f"""SELECT symbol, CASE WHEN a_top AND b_top THEN 'both' WHEN a_top THEN 'a_only' ELSE 'b_only' END AS picked, count(*) AS n_rows, {", ".join(f"round(quantile_cont(r_{n}, 0.5), 6) AS p_{n}" for n in detectors.NAMES)}
+    FROM (SELECT *, {_RANKS} FROM ({_top(0.01)})) WHERE a_top OR b_top GROUP BY ALL""")
+def percentile_ranks(spark, sf_dir):
+    rows = _scored(spark, sf_dir).withColumns({f"x_{n}": F.round(f"x_{n}", 6) for n in detectors.NAMES})
+    return _rounded(compare.percentile_ranks(rows))
+
+
+@query(SCORED + " UNION ALL ".join(f"SELECT symbol, '{t}' AS picked, CAST(place AS INTEGER) AS place, time, a_score, b_score FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY {by} DESC, time) AS place FROM ({_top(0.01)}) WHERE {c}) WHERE place <= 5" for t, c, by in (("a_only", "a_top AND NOT b_top", "a_score"), ("b_only", "b_top AND NOT a_top", "b_score"), ("both", "a_top AND b_top", "b_score"))))
+def top_examples(spark, sf_dir):
+    return _rounded(compare.top_examples(_scored(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ metrics
+
+
+def _samples(spark, sf_dir):
+    """Each user's events so far as a counter that starts again every 20 events, sampled at each event; one sample a second."""
+    rows = adapter.events(spark, sf_dir)
+    from pyspark.sql import Window
+
+    n = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    return rows.select("user_id", F.unix_seconds("ts").alias("ts"), ((n - 1) % 20 + 1).alias("value"), "event_id").groupBy("user_id", "ts").agg(F.max_by("value", "event_id").alias("value"))
+
+
+_SAMPLES = "sm AS (SELECT user_id, ts, arg_max(value, event_id) AS value FROM (SELECT user_id, event_id, epoch_us(ts) // 1000000 AS ts, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) % 20 + 1 AS value FROM events) GROUP BY ALL)"
+_STEPS = _SAMPLES + ", sp AS (SELECT *, CASE WHEN lag(value) OVER w IS NULL THEN 0 WHEN value < lag(value) OVER w THEN value ELSE value - lag(value) OVER w END AS step FROM sm WINDOW w AS (PARTITION BY user_id ORDER BY ts))"
+
+
+@query(f"WITH {_STEPS} SELECT user_id, ts, CAST(sum(step) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN 86399 PRECEDING AND CURRENT ROW) AS BIGINT) AS increase FROM sp")
+def counter_increase(spark, sf_dir):
+    return metrics.increase(_samples(spark, sf_dir), ["user_id"], 86400).select("user_id", "ts", "increase")
+
+
+@query(f"WITH {_STEPS} SELECT user_id, ts, round(sum(step) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN 3599 PRECEDING AND CURRENT ROW) / 3600, 6) AS rate FROM sp")
+def counter_rate(spark, sf_dir):
+    return _rounded(metrics.rate(_samples(spark, sf_dir), ["user_id"], 3600).select("user_id", "ts", "rate"))
+
+
+@query(f"WITH {_SAMPLES} SELECT user_id, ts, max(value) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN 3599 PRECEDING AND CURRENT ROW) AS max_over_time FROM sm")
+def gauge_max_over_time(spark, sf_dir):
+    return metrics.max_over_time(_samples(spark, sf_dir), ["user_id"], 3600).select("user_id", "ts", F.col("max_over_time").cast("bigint").alias("max_over_time"))
+
+
+@query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total, max(value) AS largest FROM events GROUP BY event_type")
+def counters_by_label(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"), F.max("value").alias("largest"))
+
+
+_LE = ", ".join(f"({b})" for b in BOUNDS)
+_HIST = f"b(le) AS (VALUES {_LE}, ('inf'::DOUBLE)), hist AS (SELECT t.event_type, CAST(b.le AS DOUBLE) AS le, count(*) FILTER (e.value <= b.le) AS n FROM (SELECT DISTINCT event_type FROM events) t CROSS JOIN b JOIN events e ON e.event_type = t.event_type GROUP BY ALL)"
+
+
+@query(f"WITH {_HIST} SELECT * FROM hist")
+def histogram_buckets(spark, sf_dir):
+    return metrics.histogram(spark.read.parquet(f"{sf_dir}/events.parquet"), list(BOUNDS), ["event_type"])
+
+
+@query(
+    f"""WITH {_HIST}, l AS (SELECT *, coalesce(lag(n) OVER w, 0) AS below, coalesce(lag(le) OVER w, 0) AS low, 0.95 * max(n) OVER (PARTITION BY event_type) AS r FROM hist WINDOW w AS (PARTITION BY event_type ORDER BY le)),
+    f AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY le) AS i FROM l WHERE n >= r)
+    SELECT event_type, round(CASE WHEN le = 'inf'::DOUBLE THEN low ELSE low + (le - low) * coalesce((r - below) / nullif(n - below, 0), 0) END, 6) AS quantile FROM f WHERE i = 1"""
+)
+def histogram_quantile(spark, sf_dir):
+    h = metrics.histogram(spark.read.parquet(f"{sf_dir}/events.parquet"), list(BOUNDS), ["event_type"])
+    return _rounded(metrics.histogram_quantile(h, 0.95, ["event_type"]))
+
+
+@query("SELECT user_id, round(epoch_us(TIMESTAMP '2024-01-31') / 1e6 - epoch_us(max(ts)) / 1e6, 3) AS age_s, CASE WHEN epoch_us(TIMESTAMP '2024-01-31') / 1e6 - epoch_us(max(ts)) / 1e6 <= 172800 THEN 'healthy' ELSE 'unhealthy' END AS health FROM events GROUP BY user_id")
+def staleness_health(spark, sf_dir):
+    out = metrics.staleness(adapter.events(spark, sf_dir), F.lit("2024-01-31").cast("timestamp"), ["user_id"], "ts", 172800)
+    return out.withColumn("age_s", F.round("age_s", 3))
+
+
+@query("SELECT user_id, CASE WHEN count(*) FILTER (event_type = 'error') >= 20 THEN 'red' WHEN count(*) FILTER (event_type = 'error') >= 10 THEN 'orange' ELSE 'green' END AS level FROM events GROUP BY user_id")
+def threshold_status(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("user_id").agg(F.count_if(F.col("event_type") == "error").alias("n"))
+    return rows.select("user_id", metrics.level(F.col("n"), [(10, "orange"), (20, "red")]).alias("level"))
+
 
-def queries():
-    return {}
+@query("SELECT a.user_id, round(coalesce(a.n * b.m, 0), 6) AS product FROM (SELECT user_id, CAST(count(*) AS DOUBLE) AS n FROM events GROUP BY user_id) a LEFT JOIN (SELECT user_id, max(value) AS m FROM events WHERE event_type = 'purchase' GROUP BY user_id) b USING (user_id)")
+def vector_product(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    left = rows.groupBy("user_id").agg(F.count("*").cast("double").alias("n"))
+    right = rows.where("event_type = 'purchase'").groupBy("user_id").agg(F.max("value").alias("m"))
+    return _rounded(metrics.product(left, right, ["user_id"], "n", "m", "product").select("user_id", "product"))
 
 
-def oracle_sql():
-    return {}
+@query("SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99, round(max(value), 6) AS max, round(avg(value), 6) AS mean FROM events GROUP BY event_type")
+def latency_percentiles(spark, sf_dir):
+    return _rounded(metrics.latency_percentiles(spark.read.parquet(f"{sf_dir}/events.parquet"), ["event_type"], "value"))
