@@ -1,13 +1,88 @@
-"""The corpus pipeline: stages that each call one corpus operator."""
+"""The corpus pipeline: stages that each call one corpus operator on all that the stage before kept.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of docs. A stage
+decides by doc_id and text only; other columns pass through, and repeated rows count as copies. Empty input gives empty
+output with the same columns.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tideline.llm import byte_bpe, decontaminate, ngram_join, secret_scan, toxicity
+from tideline.llm.common import settled, table, text_or_empty
+
+
+#: Up to so many short rows a table of decisions is broadcast to the documents, else both are shuffled.
+BROADCAST_ROWS = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model doesn't call toxic. It learns from the labelled rows outside the held-out fold."""
+    model = toxicity.learned(spark, docs, sf_dir)
+    score = "__score" if "score" in docs.columns else "score"
+    return toxicity.scored(docs, model).where(F.col(score) < 0.5).drop(score)
+
+
+def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies: the one with the least doc_id. Of rows with that id one stays.
+
+    Documents without words have no copies, and those whose id is null are of no class; all of them stay.
+    """
+    classes = settled(ngram_join.joined(docs), "stage-classes")
+    gone = settled(classes.where("doc_id is not null and class_id is not null and doc_id <> class_id").select("doc_id").distinct(), "stage-gone")
+    kept = docs.join(small(gone), "doc_id", "left_anti")
+    again = settled(classes.where("doc_id is not null and n_links > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "stage-again")
+    if again.isEmpty():
+        return kept.select(*docs.columns)
+    first = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text"))
+    once = kept.join(again, "doc_id", "left_semi").withColumn("__n", first).where("__n = 1").drop("__n")
+    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't contaminated by benchmark items."""
+    names = docs.columns
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=names)
+    hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, x: n + x["e"] - x["s"])
+    return found.where((hit == 0) | (20 * hit < F.col("n_words"))).select(*names)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each span of a secret in their texts replaced by [kind]."""
+    own, names = docs.withColumn("__digest", F.sha2(text_or_empty(), 256)), docs.columns
+    found = settled(secret_scan.scanned(own, doc_id="__digest").where("size(spans) > 0").dropDuplicates(["doc_id"]), "stage-spans")
+    marked = own.join(small(found).select(F.col("doc_id").alias("__digest"), F.col("spans").alias("__spans")), "__digest", "left")
+    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(secret_scan.masked(F.col("text"), F.col("__spans")))
+    return marked.withColumn("text", text).select(*names)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, number of tokens and digests of the ids and of the bytes decoded from them."""
+    import public_tokenizers
+
+    return byte_bpe.digests(docs, vocabulary=public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern=public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("near copies", near_copies_stage),
+    ("decontamination", decontamination_stage),
+    ("secrets", secrets_stage),
+    ("encoding", encoding_stage),
+]
+
+#: The toxicity model and the encoder can't be put in SQL; a brute-force version is in the tests.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = settled(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -124,6 +124,20 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def masked(text: Column, spans: Column) -> Column:
+    """text with each span (sorted; overlapping ones together) replaced by the kind it begins with, as [hex]."""
+    names = F.array(*(F.lit(k) for k in KINDS))
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def step(done: Column, s: Column) -> Column:
+        gap = F.substr(text, (done["at"] + 1).cast("int"), (s["at"] - done["at"]).cast("int"))
+        fresh = F.concat(done["out"], gap, F.lit("["), F.element_at(names, s["rank"] + 1), F.lit("]"))
+        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), F.when(s["at"] >= done["at"], fresh).otherwise(done["out"]).alias("out"))
+
+    done = F.aggregate(spans, start, step)
+    return F.concat(done["out"], F.substr(text, (done["at"] + 1).cast("int"), F.length(text)))
+
+
 def _sql_kind(rank: int, pattern: str, keep: str) -> str:
     """DuckDB: the spans of one kind, for every text."""
     p = pattern.replace("'", "''")
