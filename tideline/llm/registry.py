@@ -7,6 +7,7 @@ from tideline.llm.decontaminate import OP9_SQL, op9_decontaminate
 from tideline.llm.media import op10_media_columns
 from tideline.llm.ngram_join import op2_ngram_join
 from tideline.llm.pii import op8_pii_surrogates
+from tideline.llm.pitman_yor import op1_pitman_yor
 from tideline.llm.secret_scan import OP7_SQL, op7_secret_scan
 from tideline.llm.token_file import op4_token_file
 from tideline.llm.toxicity import op6_toxicity
@@ -14,7 +15,7 @@ from tideline.llm.url_filter import OP3_SQL, op3_url_filter
 
 
 def queries():
-    return {f.__name__: f for f in (op2_ngram_join, op3_url_filter, op4_token_file, op5_byte_bpe, op6_toxicity, op7_secret_scan, op8_pii_surrogates, op9_decontaminate, op10_media_columns)}
+    return {f.__name__: f for f in (op1_pitman_yor, op2_ngram_join, op3_url_filter, op4_token_file, op5_byte_bpe, op6_toxicity, op7_secret_scan, op8_pii_surrogates, op9_decontaminate, op10_media_columns)}
 
 
 def oracle_sql():
