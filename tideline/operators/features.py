@@ -8,6 +8,7 @@ bucket on, each emitted bucket has a row for it.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,8 +45,8 @@ def eras(events: DataFrame, width_us: int = SECOND_US, max_fill: int = MAX_FILL)
 
 
 def build_features(trades: DataFrame, quotes: DataFrame, *, width_us: int = SECOND_US, max_fill: int = MAX_FILL) -> DataFrame:
-    """The feature rows; time is the bucket's start."""
-    events = clocked(trades, quotes, width_us)
+    """The feature rows; time is the bucket's start. The clocked events are read five times, so they are persisted (on disk where memory is short)."""
+    events = clocked(trades, quotes, width_us).persist(StorageLevel.MEMORY_AND_DISK)
     clock = eras(events, width_us, max_fill)
     step = F.lit(width_us).cast("bigint")
     # a row per clock value is small beside the events, and so are eras; both are joined by hash

@@ -88,7 +88,7 @@ er AS (SELECT b, nb, max(CASE WHEN pb IS NULL OR b - pb > 6 * {_W} THEN b END) O
 bk AS (SELECT era, unnest(generate_series(b, upto, {_W})) AS k FROM er WHERE upto IS NOT NULL),
 sy AS (SELECT symbol, min(b) AS first FROM xb GROUP BY symbol),
 gr AS (SELECT symbol, era, k FROM bk JOIN sy ON k >= first),
-tc AS (SELECT symbol, b AS k, CAST(count(*) AS INTEGER) AS trade_count, CAST(sum(qty) AS DOUBLE) AS volume, CAST(sum(CAST(price * qty AS DECIMAL(38,16))) AS DOUBLE) AS notional FROM xb WHERE mid IS NULL GROUP BY ALL),
+tc AS (SELECT symbol, b AS k, CAST(count(*) AS INTEGER) AS trade_count, CAST(sum(qty) AS DOUBLE) AS volume, sum(CAST(round(price * 100) AS BIGINT) * CAST(round(qty * 100) AS BIGINT)) / 10000 AS notional FROM xb WHERE mid IS NULL GROUP BY ALL),
 qe AS (SELECT xb.*, er.era FROM xb JOIN er USING (b) WHERE mid IS NOT NULL),
 qn AS (SELECT *, lead(b) OVER w AS next_b, lead(us) OVER w AS next_us FROM qe WINDOW w AS (PARTITION BY symbol, era ORDER BY received_at, event_id)),
 hd AS (SELECT g.symbol, g.k, q.spread, greatest(0, CASE WHEN q.next_b = g.k THEN q.next_us ELSE g.k + {_W} END - greatest(q.us, g.k)) AS held

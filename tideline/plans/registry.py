@@ -55,11 +55,11 @@ def _replay(spark: SparkSession, sf_dir: str) -> Replay:
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    """Doubles to six places, timestamps without zone as in the tables."""
+    """Doubles to six places (mids, which have seven, to eight), timestamps without zone as in the tables."""
     out = []
     for name, kind in df.dtypes:
         c = F.col(f"`{name}`")
-        out.append((F.round(c, 6) if kind == "double" else c.cast("timestamp_ntz") if kind == "timestamp" else c).alias(name))
+        out.append((F.round(c, 8 if name == "mid" else 6) if kind == "double" else c.cast("timestamp_ntz") if kind == "timestamp" else c).alias(name))
     return df.select(*out)
 
 
@@ -86,9 +86,9 @@ def frame_decode_counts(spark, sf_dir):
     return _replay(spark, sf_dir).frames.groupBy("status").agg(F.count("*").alias("n"))
 
 
-@query(BASE + "SELECT time, symbol, trade_id, price, qty, true AS buyer_is_maker, received_at FROM trades")
+@query(BASE + "SELECT time, symbol, trade_id, CAST(price AS DOUBLE) AS price, CAST(qty AS DOUBLE) AS qty, true AS buyer_is_maker, received_at FROM trades")
 def trade_projection(spark, sf_dir):
-    return _rounded(_replay(spark, sf_dir).trades.select("time", "symbol", "trade_id", "price", "qty", "buyer_is_maker", "received_at"))
+    return _rounded(_replay(spark, sf_dir).trades.select("time", "symbol", "trade_id", F.col("price").cast("double").alias("price"), F.col("qty").cast("double").alias("qty"), "buyer_is_maker", "received_at"))
 
 
 @query(BASE + "SELECT symbol, update_id, bid, ask, received_at FROM quotes")
@@ -137,7 +137,7 @@ def gap_listing(spark, sf_dir):
 def _feature_query(columns: str, where: str = "true"):
     kinds = {"trade_count": "trade_count", "time": "time", "symbol": "symbol"}
     names = [c.strip() for c in columns.split(",")]
-    return FEATURES + "SELECT " + ", ".join(n if n in kinds else f"round({n}, 6) AS {n}" for n in names) + f" FROM features WHERE {where}"
+    return FEATURES + "SELECT " + ", ".join(n if n in kinds else f"round({n}, {8 if n == 'mid' else 6}) AS {n}" for n in names) + f" FROM features WHERE {where}"
 
 
 @query(_feature_query("time, symbol, trade_count, volume, notional", "trade_count > 0"))
@@ -236,7 +236,7 @@ def latest_order_per_customer(spark, sf_dir):
     return dashboard.latest(orders, "o_custkey", ["o_orderdate", "o_orderkey"], ("o_orderdate", "o_orderkey"))
 
 
-@query(FEATURES + "SELECT make_timestamp(epoch_us(time) // 3600000000 * 3600000000) AS time, round(avg(mid), 6) AS mid FROM features WHERE symbol = 'S1' GROUP BY ALL")
+@query(FEATURES + "SELECT make_timestamp(epoch_us(time) // 3600000000 * 3600000000) AS time, round(avg(mid), 8) AS mid FROM features WHERE symbol = 'S1' GROUP BY ALL")
 def mid_per_interval(spark, sf_dir):
     return _rounded(dashboard.mid_per_interval(_replay(spark, sf_dir).features, "S1", 3600))
 
