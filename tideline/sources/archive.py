@@ -19,8 +19,7 @@ def decoded_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 
 def read_archive(spark: SparkSession, *paths: str) -> DataFrame:
     """seq, chunk, received_at and payload of all lines below paths (files or folders; each file counts once)."""
-    reader = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-    files = reader.option("pathGlobFilter", "*.tsv*").text(list(dict.fromkeys(paths)))
+    files = spark.read.text(list(dict.fromkeys(paths)), wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.tsv*")
     files = files.select("value", F.col("_metadata.file_path").alias("path")).dropDuplicates(["path"])
     lines = files.select("path", F.posexplode(F.split("value", "\n")).alias("line", "value")).where("value <> ''")
     rows = decoded_lines(lines)

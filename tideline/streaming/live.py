@@ -65,7 +65,7 @@ class LiveBuckets:
     def _row(self, at: int, symbol: str, own: dict) -> tuple:
         points = ([[at, *own["carried"]]] if own["carried"] else []) + own["quotes"]
         ends = [p[0] for p in points[1:]] + [at + self.width]
-        held = [max(0, end - max(p[0], at)) for p, end in zip(points, ends, strict=True)]
+        held = [max(0, end - max(p[0], at)) for p, end in zip(points, ends, strict=False)]
         spread = sum(h * p[2] for h, p in zip(held, points, strict=True)) / sum(held) if sum(held) else None
         mid = points[-1][1] if points else None
         moved = abs(math.log(mid / own["mid"])) * 1e4 if mid is not None and own["mid"] is not None else None
