@@ -59,7 +59,7 @@ def _rounded(df: DataFrame) -> DataFrame:
     out = []
     for name, kind in df.dtypes:
         c = F.col(f"`{name}`")
-        out.append((F.round(c, 8 if name == "mid" else 6) if kind == "double" else c.cast("timestamp_ntz") if kind == "timestamp" else c).alias(name))
+        out.append((F.round(c, 8 if name == "mid" else 6) + 0.0 if kind == "double" else c.cast("timestamp_ntz") if kind == "timestamp" else c).alias(name))
     return df.select(*out)
 
 
@@ -180,7 +180,7 @@ def detector_vector(spark, sf_dir):
     return _rounded(_replay(spark, sf_dir).vectors().select("time", "symbol", "seen", *(f"x_{n}" for n in detectors.NAMES)))
 
 
-@query(ZSCORES + "SELECT time, symbol, " + ", ".join(f"round(z_{n}, 6) AS z_{n}" for n in detectors.NAMES) + ", round(score, 6) AS score FROM zscores WHERE score IS NOT NULL")
+@query(ZSCORES + "SELECT time, symbol, " + ", ".join(f"round(z_{n}, 6) + 0.0 AS z_{n}" for n in detectors.NAMES) + ", round(score, 6) AS score FROM zscores WHERE score IS NOT NULL")
 def zscore_scores(spark, sf_dir):
     z = _replay(spark, sf_dir).zscores().where("score is not null")
     return _rounded(z.select("time", "symbol", *(f"z_{n}" for n in detectors.NAMES), "score"))
@@ -236,9 +236,10 @@ def latest_order_per_customer(spark, sf_dir):
     return dashboard.latest(orders, "o_custkey", ["o_orderdate", "o_orderkey"], ("o_orderdate", "o_orderkey"))
 
 
-@query(FEATURES + "SELECT make_timestamp(epoch_us(time) // 3600000000 * 3600000000) AS time, round(avg(mid), 8) AS mid FROM features WHERE symbol = 'S1' GROUP BY ALL")
+@query(FEATURES + "SELECT make_timestamp(epoch_us(time) // 3600000000 * 3600000000) AS time, round(avg(mid) + 3e-10, 8) AS mid FROM features WHERE symbol = 'S1' GROUP BY ALL")
 def mid_per_interval(spark, sf_dir):
-    return _rounded(dashboard.mid_per_interval(_replay(spark, sf_dir).features, "S1", 3600))
+    # means can lie halfway between two roundings; both sides move off by less than a rounding
+    return _rounded(dashboard.mid_per_interval(_replay(spark, sf_dir).features, "S1", 3600).withColumn("mid", F.col("mid") + 3e-10))
 
 
 @query(FEATURES + "SELECT make_timestamp(epoch_us(time) // 3600000000 * 3600000000) AS time, symbol, round(max(spread_bps), 6) AS spread_bps FROM features WHERE spread_bps IS NOT NULL GROUP BY ALL")
