@@ -169,15 +169,32 @@ class _Bucket:
     """The leaders of one bucket, as rows pass by."""
 
     def __init__(self, key):
-        self.key, self.nodes, self.rows = key, [], np.empty((0, HASHES), np.uint8)
+        self.key, self.nodes, self.rows, self.up = key, [], np.empty((0, HASHES), np.uint8), []
+
+    def top(self, i: int) -> int:
+        while self.up[i] != i:
+            i = self.up[i]
+        return i
+
+    def links(self, hit: list[int], node: bytes) -> Iterator[tuple[bytes, bytes]]:
+        """Links that join node and these leaders, but for those that are joined already: at most one a row, and one a leader in all."""
+        first = self.top(hit[0])
+        yield self.nodes[first], node
+        for k in hit[1:]:
+            k = self.top(k)
+            if k != first:
+                first, k = min(first, k), max(first, k)
+                self.up[k] = first
+                yield self.nodes[first], self.nodes[k]
 
     def lead(self, node: bytes, row: np.ndarray) -> None:
+        self.up.append(len(self.nodes))
         self.nodes.append(node)
         self.rows = np.concatenate([self.rows, row[None]])
 
 
 def _linked(near: float, far: float):
-    """Rows key, node, signature sorted by key: gives key, a, b of each link with a leader (a leader with itself too)."""
+    """Rows key, node, signature sorted by key: gives key, a, b of links (a leader's with itself too)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = _Bucket(None)
@@ -202,10 +219,12 @@ def _linked(near: float, far: float):
                     linked = may_reach(bucket.rows, rows[i], far)
                     hit = np.flatnonzero(linked)
                     close = bool(len(hit)) and bool(may_reach(bucket.rows[hit], rows[i], near).any())
-                for k in hit:
-                    out_key.append(key), out_a.append(bucket.nodes[k]), out_b.append(nodes[i])
+                for a, b in bucket.links(list(hit), nodes[i]) if len(hit) else ():
+                    out_key.append(key), out_a.append(a), out_b.append(b)
                 if not close:
                     bucket.lead(nodes[i], rows[i])
+                    if len(hit):
+                        bucket.up[-1] = bucket.top(hit[0])
                     out_key.append(key), out_a.append(nodes[i]), out_b.append(nodes[i])
             first = -2  # a bucket that goes on in the next batch is compared there in full
             yield pa.RecordBatch.from_arrays([*(pa.array([k[j] for k in out_key], batch.column(j).type) for j in range(batch.num_columns - 2)), pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], names=[*batch.schema.names[:-2], "a", "b"])
