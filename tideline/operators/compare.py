@@ -84,13 +84,11 @@ def percentile_ranks(scored: DataFrame, rate: float = 0.01) -> DataFrame:
 
 def top_examples(scored: DataFrame, rate: float = 0.01, n: int = 5) -> DataFrame:
     """The n strongest of a's own top rows, of b's own, and of those that both pick (by b_score)."""
-    rows = ranked(scored, rate)
-    out = None
-    for title, kept, by in (("a_only", "a_top and not b_top", "a_score"), ("b_only", "b_top and not a_top", "b_score"), ("both", "a_top and b_top", "b_score")):
-        place = F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc(by), "time"))
-        one = rows.where(kept).withColumn("place", place).where(F.col("place") <= n).select("symbol", F.lit(title).alias("picked"), "place", "time", "a_score", "b_score")
-        out = one if out is None else out.unionByName(one)
-    return out
+    a, b = F.col("a_top"), F.col("b_top")
+    rows = ranked(scored, rate).withColumn("picked", F.when(a & b, "both").when(a, "a_only").when(b, "b_only")).where("picked is not null")
+    by = F.when(F.col("picked") == "a_only", F.col("a_score")).otherwise(F.col("b_score"))
+    place = F.row_number().over(Window.partitionBy("symbol", "picked").orderBy(by.desc(), "time"))
+    return rows.withColumn("place", place).where(F.col("place") <= n).select("symbol", "picked", "place", "time", "a_score", "b_score")
 
 
 def reproduced(flags: DataFrame, stored: DataFrame) -> DataFrame:

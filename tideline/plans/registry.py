@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -265,10 +266,10 @@ def flag_annotations(spark, sf_dir):
 def _arrivals(spark, sf_dir):
     """Trades that arrive again under the keys of others: the key is the user and the price class."""
     rows = adapter.events(spark, sf_dir).where("event_type = 'purchase' and value > 0")
-    return rows.select("symbol", (F.col("user_id") % 50).alias("trade_id"), F.to_date("ts").alias("day"), "event_id", "ts", F.struct("ts", "event_id").alias("seq"))
+    return rows.select("symbol", (F.col("user_id") % 50).alias("trade_id"), F.to_date("ts").cast("string").alias("day"), "event_id", "ts", F.struct("ts", "event_id").alias("seq"))
 
 
-_ARRIVALS = "a AS (SELECT 'S' || (user_id % 4) AS symbol, user_id % 50 AS trade_id, CAST(ts AS DATE) AS day, event_id, ts FROM events WHERE event_type = 'purchase' AND value > 0)"
+_ARRIVALS = "a AS (SELECT 'S' || (user_id % 4) AS symbol, user_id % 50 AS trade_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_id, ts FROM events WHERE event_type = 'purchase' AND value > 0)"
 
 
 @query(f"WITH {_ARRIVALS} SELECT symbol, trade_id, day, arg_min(event_id, (ts, event_id)) AS event_id FROM a GROUP BY symbol, trade_id, day")
@@ -311,7 +312,7 @@ def content_hash(spark, sf_dir):
 
 def _scored(spark, sf_dir):
     """The z-score beside a cheap second scorer, the return alone; scores rounded so that ties are the same everywhere."""
-    z = _replay(spark, sf_dir).zscores().withColumn("score", F.round("score", 6))
+    z = _replay(spark, sf_dir).zscores().withColumn("score", F.round("score", 6)).persist(StorageLevel.MEMORY_AND_DISK)
     b = z.where("score is not null").select("symbol", "time", F.round("x_log_abs_return_bps", 6).alias("score"), F.lit(9.5).alias("threshold"))
     return compare.both_scored(z, b)
 
