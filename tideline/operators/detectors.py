@@ -37,10 +37,9 @@ def zscores(rows: DataFrame, *, window: int = 300, min_samples: int = 60, thresh
     ahead = F.when(F.col("seen") % chunk > chunk - window, F.array(at, at + 1)).when(F.col("seen") % chunk == 0, F.array(at, at + 1)).otherwise(F.array(at))
     cut = rows.withColumn("__own", at).withColumn("__cut", F.explode(ahead))
     w = Window.partitionBy("symbol", "__cut").orderBy("seen").rowsBetween(-window, -1)
-    out = cut.withColumn("__n", F.count("*").over(w)).withColumn("__median", F.percentile("x_spread_bps", 0.5).over(w))
-    for n in NAMES:
-        out = out.withColumn(f"__m_{n}", F.avg(f"x_{n}").over(w)).withColumn(f"__s_{n}", F.stddev_pop(f"x_{n}").over(w))
-    out = out.where("__cut = __own")
+    # all at once: one pass over the frames
+    means = {f"__m_{n}": F.avg(f"x_{n}").over(w) for n in NAMES} | {f"__s_{n}": F.stddev_pop(f"x_{n}").over(w) for n in NAMES}
+    out = cut.withColumns({"__n": F.count("*").over(w), "__median": F.percentile("x_spread_bps", 0.5).over(w)} | means).where("__cut = __own")
     for n in NAMES:
         mean, std = F.col(f"__m_{n}"), F.col(f"__s_{n}")
         std = F.when(std <= 1e-9 * F.greatest(F.lit(1.0), F.abs(mean)), 0.0).otherwise(std)
