@@ -30,7 +30,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import arrow_rows, settled, table, text_or_empty
@@ -247,7 +247,13 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
     first = settled(dealt.mapInArrow(_linked(1 - d, 1 - 2 * d), "key bigint, salt int, a binary, b binary").where("salt >= 0 or a <> b"), "op2-links")
     leaders = first.where("salt >= 0 and a = b").select("key", F.col("a").alias("node")).join(nodes.select("node", "signature"), "node").select("key", "node", "signature")
     again = leaders.repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(_linked(1 - d, 1 - 3 * d), "key bigint, a binary, b binary")
-    return first.select("a", "b").where("a <> b").unionAll(again.select("a", "b").where("a <> b")).distinct()
+    links = first.select("a", "b").where("a <> b").unionAll(again.select("a", "b").where("a <> b")).distinct()
+    # a leader comes before its rows: a < b, and a node has at most 2 * BANDS leaders. Each node keeps its least leader, and
+    # its other leaders are linked with that one; as links repeat from bucket to bucket, few are left, and all hangs together
+    least = links.select("a", "b", F.min("a").over(Window.partitionBy("b")).alias("least"))
+    least = settled(least, "op2-least")
+    own, other = least.select(F.col("least").alias("a"), "b"), least.select(F.col("least").alias("a"), F.col("a").alias("b"))
+    return own.unionAll(other).where("a <> b").distinct()
 
 
 class _Sets:
