@@ -47,6 +47,20 @@ def test_memo_gives_what_the_library_gives():
         assert np.frombuffer(b"".join(map(memo.__getitem__, p)), "<u4").tolist() == own.encode(t, add_special_tokens=False).ids
 
 
+def test_added_tokens_stay_whole_among_other_new_pieces():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own = Tokenizer.from_file(path)
+    mixed = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>", "<|endoftext|><|endoftext|>b", "x <| y", "some other new words", "  two  blanks "]
+    token_file._memo.cache_clear()
+    memo, parts = token_file._memo(path), [chunks.pieces(t) for t in mixed]
+    memo.prepare(parts)
+    for t, p in zip(mixed, parts, strict=True):
+        assert np.frombuffer(b"".join(map(memo.__getitem__, p)), "<u4").tolist() == own.encode(t, add_special_tokens=False).ids
+    assert np.frombuffer(memo[mixed[0]], "<u4").tolist() == [31373, 220, 50256, 995]
+
+
 def test_memo_stays_bounded():
     memo = chunks.Memo(lambda xs: [x.upper() for x in xs], size=10)
     for i in range(500):

@@ -113,7 +113,7 @@ def unpack_from(data: bytes, start: int, count: int) -> np.ndarray:
 
 @cache
 def _memo(tokenizer: str) -> Memo:
-    """Ids (bytes) by piece; one for all tasks of a worker. New pieces are cut as the byte-level pre-tokenizer cuts them, and what is new of those goes to the library in one call."""
+    """Ids (bytes) by piece; one for all tasks of a worker. New pieces are cut as the byte-level pre-tokenizer cuts them, unless they may hold an added token, and what is new of those goes to the library in one call."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import regex
     from tokenizers import Tokenizer
@@ -130,7 +130,7 @@ def _memo(tokenizer: str) -> Memo:
             return library(texts)
         if len(parts) > 250_000:
             parts.clear()
-        split = [cut(t) for t in texts]
+        split = [[t] if "<|" in t else cut(t) for t in texts]
         new = [p for p in {p for s in split for p in s} if p not in parts]
         parts.update(zip(new, library(new), strict=True))
         return [b"".join(map(parts.__getitem__, s)) for s in split]
