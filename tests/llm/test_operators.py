@@ -98,6 +98,14 @@ def test_probabilities_add_up(spark):
     assert 0 < a_then_end < 1 and sum(known) + a_then_end < 1
 
 
+def test_contexts_are_whole_words(spark):
+    """Words with the same last bytes are contexts apart, and a token seen after one isn't expected after the other."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["running left", "jumping right"] * 20)], "doc_id bigint, text string")
+    asked = spark.createDataFrame([(100, "running left"), (101, "running right"), (102, "jumping left"), (103, "jumping right")], "doc_id bigint, text string")
+    rows = {r.doc_id: r.score for r in pitman_yor.scored(docs.unionAll(asked), F.col("doc_id") >= 100).collect()}
+    assert rows[100] > rows[101] + 0.7 and rows[103] > rows[102] + 0.7
+
+
 def test_join_against_brute_force(spark, tables):
     docs = [(i, set(ngram_join.shingles((t or "").encode()).tolist())) for i, t, *_ in _rows()]
     n, up = [0] * len(docs), list(range(len(docs)))

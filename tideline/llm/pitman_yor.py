@@ -1,17 +1,19 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-A token's restaurant is that of its context: the last two bytes of the token before it. Restaurants whose contexts have the
-same last byte share one parent, these share the restaurant of all tokens, and its parent is uniform over the training
-types and one unknown type. The tables of a restaurant are the customers of its parent. Seating is sampled by Gibbs: it
-starts with as few tables as can be; in each round all dishes are seated in parallel, given the last round's totals of
-each restaurant and probabilities in its parent. A text's score is the sum of log10 of its tokens' predictive
-probabilities, averaged over the last rounds. Types never seen share the unknown type's probability.
+A token's restaurant is that of its context, the whole token before it (a text's first token stands after an end), known by
+64 bits of its hash. All of these share the restaurant of all tokens, and its parent is uniform over the training types and
+one unknown type. The tables of a restaurant are the customers of its parent. Seating is sampled by Gibbs: it starts with as
+few tables as can be; in each round all dishes are seated in parallel, given the last round's totals of each restaurant and
+probabilities in its parent. A text's score is the sum of log10 of its tokens' predictive probabilities, averaged over the
+last rounds. Types never seen share the unknown type's probability.
 
 Nothing is sampled, cut or capped: all tokens of all training texts are counted. A task turns its texts into chunks of
 about CHUNK tokens; a chunk's distinct words go to the partitions of their hash with their contexts and the texts that
 they are in, packed. A dish's customers in all restaurants are in one partition; it seats its dishes, and sends each chunk
-its texts' partial sums. What is held at once is a chunk, or a partition's words; the number of partitions is the session's
-shuffle partitions. The driver gets the totals of the restaurants, at most 65,536 + 256 + 1 whatever the corpus.
+its texts' partial sums. A restaurant's totals are added up in the partition that its hash owns: in each round, partitions
+send there what they have of the restaurants that they meet, and get the totals back. What is held at once is a chunk, or a
+partition's words and contexts; the number of partitions is the session's shuffle partitions. The driver gets the totals of
+the restaurant of all tokens.
 
 Tokens are maximal runs without ASCII white space after A-Z are lower-cased, then one end per text. Null texts are empty
 ones: the end alone. Every row gives a row, repeated rows too. With no training tokens all types are unknown. Empty
@@ -20,6 +22,7 @@ tables give none. Columns besides the two named are not read.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import arrow_rows, crc_mod5, settled, table, text_or_empty
+from tideline.llm.common import arrow_rows, crc_mod5, removed, settled, table, text_or_empty
 from tideline.llm.seating import tables
 
 CHUNK = 2_000_000
@@ -45,11 +48,22 @@ class _Numbers(dict):
 
 
 def _packed(x: np.ndarray) -> bytes:
-    return zlib.compress(x.tobytes(), 1)
+    """The numbers' first bytes, then their second ones and so on, compressed."""
+    return zlib.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes(), 1)
 
 
 def _array(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), kind)
+    raw = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(raw.T).view(kind).reshape(-1)
+
+
+def _rising(x: np.ndarray) -> bytes:
+    """Rising numbers of 64 bits, packed as their differences."""
+    return _packed(np.diff(x.astype("<u8"), prepend=np.uint64(0)))
+
+
+def _risen(data: bytes) -> np.ndarray:
+    return np.cumsum(_array(data, "<u8"), dtype=np.uint64)
 
 
 def _words(data: bytes) -> list[bytes]:
@@ -57,19 +71,14 @@ def _words(data: bytes) -> list[bytes]:
     return raw.split(b" ") if raw else [b""]
 
 
-#: Contexts of order 2 (two bytes), 1 (the last of them) and 0.
-CONTEXTS = (1 << 16, 1 << 8, 1)
-#: What stands before a text's first token; no token has this byte.
-START = (10 << 8) | 10
-
-#: p < 0: a chunk's texts (ids, whether held out, numbers of tokens). Else its words in a partition; for training, each
-#: word's number of contexts, those and how often; for all, each word's number of places, and their contexts, texts and times.
+#: p < 0: a chunk's texts (ids, whether held out, numbers of tokens). Else its words in a partition: each word's number of
+#: contexts, those (places in contexts, which are hashes), how often in training, in how many texts, and texts and times.
 CHUNKS = "p int, chunk bigint, words binary, pairs binary, pair_contexts binary, pair_counts binary, spread binary, contexts binary, texts binary, times binary, doc_ids array<bigint>"
 
 
-def code(word: bytes) -> int:
-    """The context that a word makes."""
-    return (word[-2] if len(word) > 1 else 10) << 8 | word[-1] if word else START
+def hashes(words: list[bytes]) -> np.ndarray:
+    """The contexts that words make."""
+    return np.frombuffer(b"".join([hashlib.blake2b(w, digest_size=8).digest() for w in words]), "<u8")
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -86,20 +95,19 @@ def chunked(docs: DataFrame, parts: int) -> DataFrame:
         sizes = np.array([len(x) for x in ids], np.int64)
         held = np.array([d[1] for d in docs], bool)
         yield (-1, number, _packed(held), _packed(sizes.astype("<i8")), *[b""] * 6, [d[0] for d in docs])
-        names, n = list(words), len(docs)
+        names, n, v = list(words), len(docs), len(words)
         flat, text = np.concatenate(ids).astype(np.int64), np.repeat(np.arange(n), sizes)
-        before = np.concatenate([[START], np.fromiter(map(code, names), np.int64, len(names))[flat[:-1]]])
-        before[np.cumsum(sizes)[:-1]] = START
-        key, times = np.unique((flat << 16 | before) * n + text, return_counts=True)
+        before = np.concatenate([flat[-1:], flat[:-1]])  # each text's last token is the end
+        key, times = np.unique((flat * v + before) * n + text, return_counts=True)
         pair, text = key // n, key % n
-        word, context = pair >> 16, pair & 0xFFFF
-        seen, at = np.unique(pair, return_inverse=True)
-        count = np.bincount(at, np.where(held[text], 0, times), len(seen)).astype(np.int64)
-        seen, count = seen[count > 0], count[count > 0]
-        part = np.fromiter((zlib.crc32(w) for w in names), np.int64, len(names)) % parts
+        begin = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        count, spread = np.add.reduceat(np.where(held[text], 0, times), begin), np.diff(begin, append=len(pair))
+        word, context = pair[begin] // v, hashes(names)[pair[begin] % v]
+        part = np.fromiter((zlib.crc32(w) for w in names), np.int64, v) % parts
         by_part = np.argsort(part, kind="stable")
         ends = np.searchsorted(part[by_part], np.arange(parts + 1))
-        places, pairs = np.searchsorted(word, np.arange(len(names) + 1)), np.searchsorted(seen >> 16, np.arange(len(names) + 1))
+        pairs = np.searchsorted(word, np.arange(v + 1))
+        places = np.append(begin, len(pair))[pairs]
 
         def cut(own: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """How many items each of these words has, and where they are."""
@@ -109,10 +117,11 @@ def chunked(docs: DataFrame, parts: int) -> DataFrame:
         for p in range(parts):
             own = by_part[ends[p] : ends[p + 1]]
             if len(own):
-                (many, at), (spread, where) = cut(own, pairs), cut(own, places)
+                (many, at), (_, where) = cut(own, pairs), cut(own, places)
                 named = zlib.compress(b" ".join([names[i] for i in own.tolist()]), 1)
-                learned = (_packed(many.astype("<u4")), _packed((seen[at] & 0xFFFF).astype("<u2")), _packed(count[at].astype("<u4")))
-                yield (p, number, named, *learned, _packed(spread.astype("<u4")), _packed(context[where].astype("<u2")), _packed(text[where].astype("<u4")), _packed(times[where].astype("<u4")), None)
+                contexts, place = np.unique(context[at], return_inverse=True)
+                learned = (_packed(many.astype("<u4")), _packed(place.astype("<u4")), _packed(count[at].astype("<u4")))
+                yield (p, number, named, *learned, _packed(spread[at].astype("<u4")), _rising(contexts), _packed(text[where].astype("<u4")), _packed(times[where].astype("<u4")), None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -122,13 +131,13 @@ def chunked(docs: DataFrame, parts: int) -> DataFrame:
             for doc, text, out in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 own = text.lower().split()
                 own.append(b"")  # the end
-                ids.append(np.fromiter(map(words.__getitem__, own), np.uint32, len(own)))
-                docs.append((doc, out))
-                held += len(own)
-                if held >= CHUNK:
+                if docs and held + len(own) > CHUNK:  # a chunk is one text or CHUNK tokens at most
                     for r in rows(number, docs, ids, words):
                         yield _batch([r], CHUNKS)
                     number, docs, ids, words, held = number + 1, [], [], _Numbers(), 0
+                ids.append(np.fromiter(map(words.__getitem__, own), np.uint32, len(own)))
+                docs.append((doc, out))
+                held += len(own)
         if docs:
             for r in rows(number, docs, ids, words):
                 yield _batch([r], CHUNKS)
@@ -136,198 +145,256 @@ def chunked(docs: DataFrame, parts: int) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text"), "held_out").mapInArrow(run, CHUNKS)
 
 
-VOCABULARY = "p int, words binary, keys binary, counts binary"
+#: A partition's words of the training texts; word number << 32 | place in contexts with its count, rising;
+#: the contexts of all its words, held out or not; and by round, tables by order, totals of the contexts.
+STATE = "p int, words binary, keys binary, counts binary, contexts binary, seated array<array<binary>>, totals array<array<binary>>"
+_KINDS = {"p": pa.int32(), **dict.fromkeys(("words", "keys", "counts", "contexts"), pa.binary()), **dict.fromkeys(("seated", "totals"), pa.list_(pa.list_(pa.binary())))}
+
+
+def _state(row: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([row[n]], k) for n, k in _KINDS.items()], names=list(_KINDS))
 
 
 def vocabulary(chunks: DataFrame, parts: int) -> DataFrame:
-    """A row per partition: its words of the training texts, and word number << 16 | context with its count, rising."""
+    """A row of STATE per partition, with one table per dish and restaurant."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, seen, keys, counts = None, _Numbers(), [], []
+        p, seen, numbers, met, counts, all_met = None, _Numbers(), [], [], [], []
 
         def done():
-            key, at = np.unique(np.concatenate(keys), return_inverse=True)
+            contexts = np.unique(np.concatenate(all_met))
+            key, at = np.unique(np.concatenate(numbers) << 32 | np.searchsorted(contexts, np.concatenate(met)), return_inverse=True)
             count = np.bincount(at, np.concatenate(counts), len(key)).astype("<i8")
-            return _batch([(p, zlib.compress(b" ".join(seen), 1), _packed(key.astype("<i8")), _packed(count))] if seen else [], VOCABULARY)
+            one = [_packed(np.ones(len(x), "<i4")) for x in (key, seen)]
+            return _state({"p": p, "words": zlib.compress(b" ".join(seen), 1), "keys": _rising(key), "counts": _packed(count), "contexts": _rising(contexts), "seated": [one], "totals": []})
 
         for b in batches:
-            for part, words, pairs, contexts, count in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for part, words, pairs, places, count, contexts in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if part != p:
-                    if keys:
+                    if all_met:
                         yield done()
-                    p, seen, keys, counts = part, _Numbers(), [], []
-                size = _array(pairs, "<u4")
-                own = [w for w, n in zip(_words(words), size.tolist(), strict=True) if n]
-                number = np.fromiter(map(seen.__getitem__, own), np.int64, len(own))
-                keys.append(np.repeat(number, size[size > 0]) << 16 | _array(contexts, "<u2"))
-                counts.append(_array(count, "<u4"))
-        if keys:
+                    p, seen, numbers, met, counts, all_met = part, _Numbers(), [], [], [], []
+                own, size, count, contexts = _words(words), _array(pairs, "<u4"), _array(count, "<u4"), _risen(contexts)
+                word = np.repeat(np.arange(len(own)), size)[count > 0]
+                learned = np.unique(word)
+                number = np.full(len(own), -1, np.int64)
+                number[learned] = [seen[own[i]] for i in learned.tolist()]
+                numbers.append(number[word])
+                met.append(contexts[_array(places, "<u4")][count > 0])
+                counts.append(count[count > 0])
+                all_met.append(contexts)
+        if all_met:
             yield done()
 
-    rows = chunks.where("p >= 0").select("p", "words", "pairs", "pair_contexts", "pair_counts")
-    return rows.repartition(parts, "p").sortWithinPartitions("p").mapInArrow(run, VOCABULARY)
+    rows = chunks.where("p >= 0").select("p", "words", "pairs", "pair_contexts", "pair_counts", "contexts")
+    return rows.repartition(parts, "p").sortWithinPartitions("p").mapInArrow(run, STATE)
+
 
+class Round:
+    """What a round shares: customers and tables of the restaurant of all tokens, the discounts by order, training tokens and types."""
 
-class Levels:
-    """The dishes of a partition in the restaurants of each order: keys (word << 16 | context), and where each is in the parent."""
+    def __init__(self, customers: int, tables: int, d: list[float], n: int, types: int):
+        self.customers, self.tables, self.d, self.n, self.types = customers, tables, d, n, types
+        self.root = 1 / (types + 1)
+        self.rest = (STRENGTH + d[1] * tables) / (STRENGTH + customers)
 
-    def __init__(self, keys: np.ndarray):
-        self.keys, self.up = [keys], []
-        for mask in (0xFF, 0):
-            own, at = np.unique(self.keys[-1] >> 16 << 16 | (self.keys[-1] & mask), return_inverse=True)
-            self.keys.append(own)
-            self.up.append(at)
-        self.contexts = [k & 0xFFFF for k in self.keys]
 
-    def customers(self, counts: np.ndarray, seated: list[np.ndarray]) -> list[np.ndarray]:
-        return [counts, *(np.bincount(up, t, len(k)).astype(np.int64) for up, t, k in zip(self.up, seated, self.keys[1:], strict=False))]
+class Part:
+    """A partition's dishes, and its contexts' totals once they have all come."""
 
+    def __init__(self, row: dict, parts: int):
+        self.row = row
+        self.keys, self.counts, self.contexts = _risen(row["keys"]).astype(np.int64), _array(row["counts"], "<i8"), _risen(row["contexts"])
+        self.words = _words(row["words"]) if len(self.keys) else []
+        self.word, self.context = self.keys >> 32, self.keys & 0xFFFFFFFF
+        self.seated = [[_array(x, "<i4") for x in s] for s in row["seated"]]
+        self.totals = [[_array(x, "<i8") for x in t] for t in row["totals"]]
+        owner = (self.contexts % np.uint64(parts)).astype(np.int64)
+        self.order = np.argsort(owner, kind="stable")
+        self.ends = np.searchsorted(owner[self.order], np.arange(parts + 1))
 
-class Totals:
-    """Customers and tables of every restaurant, by order; the discounts; and the share of one type in the root's parent."""
+    def owned(self, q: int) -> np.ndarray:
+        return self.order[self.ends[q] : self.ends[q + 1]]
 
-    def __init__(self, customers: list[np.ndarray], tables: list[np.ndarray], d: list[float], types: int):
-        self.customers, self.tables, self.d, self.root = customers, tables, d, 1 / (types + 1)
+    def start(self) -> None:
+        self.totals.append([np.zeros(len(self.contexts), "<i8") for _ in range(2)])
 
-    def rest(self, k: int) -> np.ndarray:
-        """What each restaurant leaves to its parent."""
-        return (STRENGTH + self.d[k] * self.tables[k]) / (STRENGTH + self.customers[k])
+    def answer(self, q: int, customers: bytes, tables: bytes) -> None:
+        for x, data in zip(self.totals[-1], (customers, tables), strict=True):
+            x[self.owned(q)] = _array(data, "<i8")
 
-    def probabilities(self, levels: Levels, customers: list[np.ndarray], seated: list[np.ndarray]) -> list[np.ndarray]:
-        """Of each dish in each of its restaurants."""
-        out, p = [], np.full(len(levels.keys[2]), self.root)
-        for k in (2, 1, 0):
-            at = levels.contexts[k]
-            p = np.maximum(customers[k] - self.d[k] * seated[k], 0) / (STRENGTH + self.customers[k][at]) + self.rest(k)[at] * p
-            out.append(p)
-            p = p[levels.up[k - 1]] if k else p
-        return out[::-1]
+    def above(self, seated: list[np.ndarray]) -> np.ndarray:
+        """The customers of each word in the restaurant of all tokens."""
+        return np.bincount(self.word, seated[0], len(self.words)).astype(np.int64)
 
+    def rest(self, r: Round, totals: list[np.ndarray]) -> np.ndarray:
+        """What each context leaves to the restaurant of all tokens."""
+        return (STRENGTH + r.d[0] * totals[1]) / (STRENGTH + totals[0])
 
-SEATED = "p int, words binary, keys binary, counts binary, seated array<array<binary>>"
-TOTALS = "k int, context int, customers bigint, tables bigint, once bigint, twice bigint"
+    def chances(self, r: Round, seated: list[np.ndarray], totals: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of each dish in its contexts, and of each word in the restaurant of all tokens."""
+        word = np.maximum(self.above(seated) - r.d[1] * seated[1], 0) / (STRENGTH + r.customers) + r.rest * r.root
+        own = np.maximum(self.counts - r.d[0] * seated[0], 0) / (STRENGTH + totals[0][self.context])
+        return own + self.rest(r, totals)[self.context] * word[self.word], word
 
 
-def _levels(keys: bytes) -> Levels:
-    return Levels(_array(keys, "<i8"))
+ASKED = "q int, p int, contexts binary, customers binary, tables binary"
+ANSWERS = "p int, q int, customers binary, tables binary"
 
 
-def seat(rows: DataFrame, totals: Totals | None, number: int) -> DataFrame:
-    """A round: seated (by round, by order) gets this round's tables. The first has one table per dish and restaurant."""
-    shared = rows.sparkSession.sparkContext.broadcast(totals)  # bounded by CONTEXTS
+def answers(state: DataFrame, parts: int) -> DataFrame:
+    """Customers and tables of the contexts that each partition p meets, from the partition q that owns them, in the order of Part.owned."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = list(_KINDS)
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                part = Part(dict(zip(names, row, strict=True)), parts)
+                own = [np.bincount(part.context, x, len(part.contexts)).astype("<i8") for x in (part.counts, part.seated[-1][0])]
+                for q in np.flatnonzero(np.diff(part.ends)).tolist():
+                    at = part.owned(q)
+                    yield _batch([(q, row[0], _rising(part.contexts[at]), *(_packed(x[at]) for x in own))], ASKED)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def done():
+            met = [_risen(h[2]) for h in held]
+            found, at = np.unique(np.concatenate(met), return_inverse=True)
+            sums = [np.bincount(at, np.concatenate([_array(h[k], "<i8") for h in held]), len(found)).astype("<i8")[at] for k in (3, 4)]
+            ends = np.cumsum([0, *map(len, met)]).tolist()
+            for h, s, e in zip(held, ends, ends[1:], strict=False):
+                yield _batch([(h[1], h[0], *(_packed(x[s:e]) for x in sums))], ANSWERS)
+
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if held and held[0][0] != row[0]:
+                    yield from done()
+                    held = []
+                held.append(row)
+        if held:
+            yield from done()
+
+    return state.select(*_KINDS).mapInArrow(ask, ASKED).repartition(parts, "q").sortWithinPartitions("q").mapInArrow(add, ANSWERS)
+
+
+def seated(state: DataFrame, last: Round, number: int, parts: int, kept: int) -> DataFrame:
+    """A round: every partition's dishes get this round's tables, given the totals of the round before. The last `kept` are kept."""
+    names = ("p", "q", *list(_KINDS)[1:], "customers", "tables")
+
+    def new(part: Part) -> pa.RecordBatch:
+        draw, (_, word) = np.random.default_rng([number, part.row["p"]]), part.chances(last, part.seated[-1], part.totals[-1])
+        weight = (STRENGTH + last.d[0] * part.totals[-1][1][part.context]) * word[part.word]
+        own = tables(part.counts, weight, last.d[0], draw)
+        above = part.above([own])
+        now = [own, tables(above, np.full(len(above), (STRENGTH + last.d[1] * last.tables) * last.root), last.d[1], draw)]
+        history = [*part.row["seated"], [_packed(x.astype("<i4")) for x in now]][-kept:]
+        totals = [[_packed(x) for x in t] for t in part.totals]
+        return _state(part.row | {"seated": history, "totals": totals[len(totals) - len(history) + 1 :]})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = None
         for b in batches:
-            for p, words, keys, counts, before in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                levels, count, t = _levels(keys), _array(counts, "<i8"), shared.value
-                if t is None:
-                    new = [np.ones(len(k), np.int64) for k in levels.keys]
+            for values in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                row = dict(zip(names, values, strict=True))
+                if row["q"] < 0:  # a partition's state comes before its answers
+                    if part:
+                        yield new(part)
+                    part = Part(row, parts)
+                    part.start()
                 else:
-                    last = [_array(x, "<i4") for x in before[-1]]
-                    chance = t.probabilities(levels, levels.customers(count, last), last)
-                    above = [chance[1][levels.up[0]], chance[2][levels.up[1]], np.full(len(levels.keys[2]), t.root)]
-                    draw, new, own = np.random.default_rng([number, p]), [], count
-                    for k in range(3):
-                        a = (STRENGTH + t.d[k] * t.tables[k][levels.contexts[k]]) * above[k]
-                        new.append(tables(own, a, t.d[k], draw))
-                        own = np.bincount(levels.up[k], new[k], len(levels.keys[k + 1])).astype(np.int64) if k < 2 else own
-                row = [p, words, keys, counts, [*before, [_packed(x.astype("<i4")) for x in new]]]
-                kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.list_(pa.binary()))]
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=[f.split(" ")[0] for f in SEATED.split(", ")])
+                    part.answer(row["q"], row["customers"], row["tables"])
+        if part:
+            yield new(part)
 
-    return settled(rows.select("p", "words", "keys", "counts", "seated").mapInArrow(run, SEATED), "op1-seated")
+    kinds = dict(state.dtypes) | {"customers": "binary", "tables": "binary"}
+    wide = lambda df: df.select(*(F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in names))
+    return wide(state.withColumn("q", F.lit(-1))).unionAll(wide(answers(state, parts))).repartition(parts, "p").sortWithinPartitions("p", "q").mapInArrow(run, STATE)
 
 
-def totals(rows: DataFrame, d: list[float] | None = None) -> Totals:
-    """The restaurants' totals, added up before they come to the driver. Discounts come from the first round's customers: n1 / (n1 + 2 n2)."""
+TOTALS = "customers bigint, tables bigint, n bigint, types bigint, once bigint, twice bigint, once_above bigint, twice_above bigint"
+
+
+def rounds_totals(state: DataFrame, first: Round | None) -> Round:
+    """The round's totals, added up before they come to the driver. Discounts come from the first round's customers: n1 / (n1 + 2 n2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for keys, counts, seated in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                levels, out = _levels(keys), []
-                last = [_array(x, "<i4") for x in seated[-1]]
-                for k, c in enumerate(levels.customers(_array(counts, "<i8"), last)):
-                    at = levels.contexts[k]
-                    by = [np.bincount(at, x, CONTEXTS[k]).astype(np.int64) for x in (c, last[k], c == 1, c == 2)]
-                    out += [(k, i, *(int(x[i]) for x in by)) for i in np.flatnonzero(by[0]).tolist()]
-                yield _batch(out, TOTALS)
-
-    got = rows.select("keys", "counts", "seated").mapInArrow(run, TOTALS).groupBy("k", "context").agg(*(F.sum(c).alias(c) for c in ("customers", "tables", "once", "twice"))).collect()
-    customers, seated = [np.zeros(n) for n in CONTEXTS], [np.zeros(n) for n in CONTEXTS]
-    once, twice = np.zeros(3), np.zeros(3)
-    for r in got:
-        customers[r.k][r.context], seated[r.k][r.context] = r.customers, r.tables
-        once[r.k] += r.once
-        twice[r.k] += r.twice
-    return Totals(customers, seated, d or [float(np.clip(a / max(1, a + 2 * b), 0.05, 0.95)) for a, b in zip(once, twice, strict=True)], 0)
+                word, c = _risen(keys).astype(np.int64) >> 32, _array(counts, "<i8")
+                own, top = (_array(x, "<i4") for x in seated[-1])
+                above = np.bincount(word, own, len(top)).astype(np.int64)
+                yield _batch([tuple(int(x) for x in (above.sum(), top.sum(), c.sum(), len(top), (c == 1).sum(), (c == 2).sum(), (above == 1).sum(), (above == 2).sum()))], TOTALS)
+
+    names = [f.split(" ")[0] for f in TOTALS.split(", ")]
+    r = state.select("keys", "counts", "seated").mapInArrow(run, TOTALS).agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names)).first()
+    d = first.d if first else [float(np.clip(a / max(1, a + 2 * b), 0.05, 0.95)) for a, b in ((r.once, r.twice), (r.once_above, r.twice_above))]
+    return Round(r.customers, r.tables, d, r.n, r.types)
 
 
 class Model:
-    """The totals of the averaged rounds, the number of training tokens n and of types v."""
+    """The averaged rounds, the number of training tokens n and of types v."""
 
-    def __init__(self, n: int, v: int, rounds: list[Totals]):
+    def __init__(self, n: int, v: int, rounds: list[Round]):
         self.n, self.v, self.rounds = n, v, rounds
-        # an unknown dish gets what its three restaurants leave
-        contexts = np.arange(CONTEXTS[0])
-        self.unknown = sum(t.rest(0) * t.rest(1)[contexts & 0xFF] * t.rest(2)[0] * t.root for t in rounds) / len(rounds)
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.n + 0.5 * (self.v + 1)))
 
 
 class _Known:
-    """A partition's words with what is needed to score them in any context."""
+    """A partition's words with what is needed to score them in any context that it meets."""
 
-    def __init__(self, model: Model, words: list[bytes], keys: np.ndarray, counts: np.ndarray, seated: list[list[np.ndarray]]):
-        self.model, self.number = model, {w: i for i, w in enumerate(words)}
-        self.levels = Levels(keys)
-        self.total = np.bincount(keys >> 16, counts, len(words))
-        self.chance = [t.probabilities(self.levels, self.levels.customers(counts, s), s) for t, s in zip(model.rounds, seated, strict=True)]
+    def __init__(self, model: Model, part: Part):
+        self.part, self.rounds, self.number = part, model.rounds, {w: i for i, w in enumerate(part.words)}
+        self.total = np.bincount(part.word, part.counts, len(part.words))
+        self.rests = [part.rest(r, t) for r, t in zip(model.rounds, part.totals, strict=True)]
+        self.chance = [part.chances(r, s, t) for r, s, t in zip(model.rounds, part.seated, part.totals, strict=True)]
+        # an unknown dish gets what its two restaurants leave
+        self.unknown = np.log10(sum(rest * r.rest * r.root for rest, r in zip(self.rests, model.rounds, strict=True)) / len(model.rounds))
 
     def score(self, word: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """log10 of the averaged probability of known words (numbers) in contexts, seen together or not."""
-        total = np.zeros(len(word))
-        found = []
-        for k, mask in enumerate((0xFFFF, 0xFF, 0)):
-            key = word << 16 | (context & mask)
-            at = np.minimum(np.searchsorted(self.levels.keys[k], key), len(self.levels.keys[k]) - 1)
-            found.append((at, self.levels.keys[k][at] == key))
-        for t, chance in zip(self.model.rounds, self.chance, strict=True):
-            p = chance[2][found[2][0]]
-            for k, mask in ((1, 0xFF), (0, 0xFFFF)):
-                at, has = found[k]
-                p = np.where(has, chance[k][at], t.rest(k)[context & mask] * p)
-            total += p
-        return np.log10(total / len(self.model.rounds))
+        """log10 of the averaged probability of known words (numbers) in contexts (places), seen together or not."""
+        total, key = np.zeros(len(word)), word << 32 | context
+        at = np.minimum(np.searchsorted(self.part.keys, key), len(self.part.keys) - 1)
+        has = self.part.keys[at] == key
+        for rest, (own, above) in zip(self.rests, self.chance, strict=True):
+            total += np.where(has, own[at], rest[context] * above[word])
+        return np.log10(total / len(self.rounds))
 
 
 SUMS = "chunk bigint, p int, texts binary, known binary, base binary, score binary"
 
 
-def _sums(model, names: tuple[str, ...]) -> object:
+def _sums(model, names: tuple[str, ...], parts: int) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        p, known = None, None
+        part, known = None, None
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 r = dict(zip(names, row, strict=True))
-                own = _words(r["words"])
-                if r["p"] != p:
-                    p, known = r["p"], None
-                if r["chunk"] < 0:  # the partition's vocabulary comes first
-                    known = _Known(m, own, _array(r["keys"], "<i8"), _array(r["counts"], "<i8"), [[_array(x, "<i4") for x in s] for s in r["seated"][-len(m.rounds) :]])
+                if r["chunk"] == -2:  # the partition's state comes first, then its answers
+                    part, known = Part(r, parts), None
+                    part.start()
                     continue
-                number = np.fromiter((known.number.get(w, -1) for w in own) if known else (-1 for _ in own), np.int64, len(own))
-                number = np.repeat(number, _array(r["spread"], "<u4"))
-                context, texts, times = _array(r["contexts"], "<u2").astype(np.int64), _array(r["texts"], "<u4"), _array(r["times"], "<u4")
+                if r["chunk"] == -1:
+                    part.answer(r["q"], r["customers"], r["tables"])
+                    continue
+                known = known or _Known(m, part)
+                own = _words(r["words"])
+                spread = _array(r["spread"], "<u4")
+                number = np.fromiter((known.number.get(w, -1) for w in own), np.int64, len(own))
+                number = np.repeat(np.repeat(number, _array(r["pairs"], "<u4")), spread)
+                context = np.searchsorted(part.contexts, _risen(r["contexts"]))[_array(r["pair_contexts"], "<u4")]
+                context, texts, times = np.repeat(context, spread), _array(r["texts"], "<u4"), _array(r["times"], "<u4")
                 has = number >= 0
-                base, score = np.full(len(number), m.base(np.zeros(1))[0]), np.log10(m.unknown[context])
+                base, score = np.full(len(number), m.base(np.zeros(1))[0]), known.unknown[context]
                 if has.any():
                     base[has] = m.base(known.total[number[has]])
                     score[has] = known.score(number[has], context[has])
                 place, at = np.unique(texts, return_inverse=True)
                 each = lambda x: np.bincount(at, x * times, len(place))  # noqa: B023, E731
-                yield _batch([(r["chunk"], p, _packed(place), _packed(each(has).astype("<u4")), each(base).astype("<f8").tobytes(), each(score).astype("<f8").tobytes())], SUMS)
+                yield _batch([(r["chunk"], r["p"], _packed(place), _packed(each(has).astype("<u4")), each(base).astype("<f8").tobytes(), each(score).astype("<f8").tobytes())], SUMS)
 
     return run
 
@@ -365,23 +432,23 @@ def scored(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id", text: s
     own = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"), held_out.alias("held_out"))
     chunks = settled(chunked(own, parts), "op1-chunks")
     arrow_rows(spark, 8)
-    state = vocabulary(chunks, parts).withColumn("seated", F.array().cast("array<array<binary>>"))
-    history: list[Totals] = []
-    types = 0
-    for number in range(rounds + 1):
-        state = seat(state, history[-1] if history else None, number)
-        now = totals(state, history[0].d if history else None)
-        types = types if history else int(now.tables[2][0])  # one table per type at first
-        now.root = 1 / (types + 1)
-        history.append(now)
-    n = int(history[0].customers[0].sum())
-    model = spark.sparkContext.broadcast(Model(n, types, history[-kept:]))
-    kinds = dict(chunks.dtypes) | dict(state.dtypes)
-    names = ("p", "chunk", "words", "keys", "counts", "seated", "spread", "contexts", "texts", "times")
-    wide = lambda df: df.select(*(F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in names))
-    dealt = wide(state.withColumn("chunk", F.lit(-1).cast("bigint"))).unionAll(wide(chunks.where("p >= 0").drop("keys"))).repartition(parts, "p").sortWithinPartitions("p", "chunk")
+    state = settled(vocabulary(chunks, parts), "op1-seated")
+    history = [rounds_totals(state, None)]
+    for number in range(1, rounds + 1):
+        old, state = state, settled(seated(state, history[-1], number, parts, kept), "op1-seated")
+        history.append(rounds_totals(state, history[0]))
+        for path in {f.rsplit("/", 1)[0] for f in old.inputFiles()}:
+            removed(spark, path)
+        del old
+        spark.sparkContext._jvm.System.gc()  # frees the disk of the round's shuffles
+    n = history[0].n
+    model = spark.sparkContext.broadcast(Model(n, history[0].types, history[-kept:]))
+    kinds = dict(chunks.dtypes) | dict(state.dtypes) | {"q": "int", "customers": "binary", "tables": "binary"}
+    names = ("p", "chunk", "q", "words", "keys", "counts", "contexts", "seated", "totals", "customers", "tables", "pairs", "pair_contexts", "spread", "texts", "times")
+    wide = lambda df, chunk=None: df.select(*(F.lit(chunk).cast("bigint").alias(c) if c == "chunk" and chunk else F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in names))
+    dealt = wide(state, -2).unionAll(wide(answers(state, parts), -1)).unionAll(wide(chunks.where("p >= 0"))).repartition(parts, "p").sortWithinPartitions("p", "chunk")
     none = F.lit(None).cast("binary")
-    partial = dealt.mapInArrow(_sums(model, names), SUMS).select("chunk", "p", F.col("texts").alias("a"), F.col("known").alias("b"), F.col("base").alias("c"), F.col("score").alias("d"), F.lit(None).cast("array<bigint>").alias("doc_ids"))
+    partial = dealt.mapInArrow(_sums(model, names, parts), SUMS).select("chunk", "p", F.col("texts").alias("a"), F.col("known").alias("b"), F.col("base").alias("c"), F.col("score").alias("d"), F.lit(None).cast("array<bigint>").alias("doc_ids"))
     heads = chunks.where("p < 0").select("chunk", "p", F.col("words").alias("a"), F.col("pairs").alias("b"), none.alias("c"), none.alias("d"), "doc_ids")
     merged = heads.unionAll(partial).repartition(parts, "chunk").sortWithinPartitions("chunk", "p")
     out = merged.mapInArrow(_texts, RESULT)
