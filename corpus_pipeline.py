@@ -30,19 +30,23 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: the one with the least doc_id. Of rows with that id one stays.
+    """One document of each class of near copies: of the rows with the least doc_id in it, the one with the least text.
 
-    Documents without words have no copies, and those whose id is null are of no class; all of them stay.
+    Where rows share a doc_id, each goes by its own text. Documents without words have no copies, and those whose id is
+    null are of no class; all of them stay.
     """
-    classes = settled(ngram_join.joined(docs), "stage-classes")
-    gone = settled(classes.where("doc_id is not null and class_id is not null and doc_id <> class_id").select("doc_id").distinct(), "stage-gone")
-    kept = docs.join(small(gone), "doc_id", "left_anti")
-    again = settled(classes.where("doc_id is not null and n_links > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "stage-again")
+    classes = settled(ngram_join.classed(docs).where("doc_id is not null"), "stage-classes")
+    again = settled(classes.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "stage-again")
+    gone = settled(classes.where("class_id is not null and doc_id <> class_id").select("doc_id").distinct(), "stage-gone")
     if again.isEmpty():
-        return kept.select(*docs.columns)
-    first = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text"))
-    once = kept.join(again, "doc_id", "left_semi").withColumn("__n", first).where("__n = 1").drop("__n")
-    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+        return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    once = docs.join(small(again.unionAll(gone).distinct()), "doc_id", "left_anti")
+    shared = ngram_join.noded(docs.join(small(again), "doc_id", "left_semi").select(*docs.columns))
+    own = classes.where("class_id = doc_id and node is not null").join(small(again), "doc_id", "left_semi").select("doc_id", F.col("node").alias("__node"), F.col("label").alias("__label")).distinct()
+    least = F.row_number().over(Window.partitionBy("doc_id", "__label").orderBy("text"))
+    first = shared.join(own, ["doc_id", "__node"]).withColumn("__n", least).where("__n = 1")
+    parts = (once, shared.where("__node is null"), first)
+    return parts[0].select(*docs.columns).unionByName(parts[1].select(*docs.columns)).unionByName(parts[2].select(*docs.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

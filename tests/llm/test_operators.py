@@ -232,6 +232,17 @@ def test_empty_tables(spark, tables, name):
     assert OPERATORS[name](empty, empty).count() == 0
 
 
+def test_near_copies_go_by_text_where_ids_are_shared(spark, tables):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (2, b), (2, a + " more"), (3, c), (3, c + " more"), (4, b + " more"), (5, ""), (5, a), (5, ""), (None, a), (6, c + " x")]
+    docs = spark.createDataFrame([(i, t, "n", "c", 1, 0) for i, t in rows], SCHEMA)
+    got = corpus_pipeline.near_copies_stage(spark, docs, tables)
+    assert got.columns == docs.columns
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(repr, [(1, a), (2, b), (3, c), (5, ""), (5, ""), (None, a)]))
+
+
 def test_pipeline(spark, tables, monkeypatch):
     import corpus_pipeline
 

@@ -372,8 +372,28 @@ def verified(docs: DataFrame, nodes: DataFrame, comps: DataFrame, *, doc_id: str
     return dealt.mapInArrow(_blocks, "node binary, links bigint, root binary")
 
 
+def noded(df: DataFrame, *, text: str = "text") -> DataFrame:
+    """df with __node, the digest of each text's set; null where that is empty."""
+    arrow_rows(df.sparkSession, 256)
+    source = df.withColumn("__text", text_or_empty(text).cast("binary"))
+    schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(t).tobytes() for t in b.column(b.num_columns - 1).to_pylist()]
+            nodes = [hashlib.blake2b(x, digest_size=16).digest() if x else None for x in sets]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(nodes, pa.binary())], names=[*b.schema.names[:-1], "__node"])
+
+    return source.mapInArrow(run, f"{schema}, `__node` binary")
+
+
 def joined(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, class_id (the least id that the text hangs together with through links) and n_links, a row per text."""
+    return classed(docs, doc_id=doc_id, text=text).select("doc_id", "class_id", "n_links")
+
+
+def classed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The columns of joined(), with node (of the text's set) and label (of its class), both null for a text without words."""
     rows = settled(signed(docs, doc_id=doc_id, text=text), "op2-rows")
     nodes = settled(rows.where("n > 0").groupBy("node").agg(F.count("*").alias("weight"), F.min("doc_id").alias("doc"), F.first("signature").alias("signature"), F.first("bands").alias("bands")), "op2-nodes")
     comps = components(candidate_links(nodes))
@@ -383,9 +403,10 @@ def joined(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
     own = nodes.select("node", "weight", "doc").join(links, "node", "left").join(classes, "node", "left").select("node", "doc", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("label", "node").alias("label"))
     own = settled(own, "op2-own")
     least = own.groupBy("label").agg(F.min("doc").alias("class_id"))
-    known = own.join(least, "label").select("node", "class_id", "n_links")
+    known = own.join(least, "label").select("node", "label", "class_id", "n_links")
     some, none = rows.where("n > 0").select("doc_id", "node"), rows.where("n = 0")
-    return some.join(known, "node").select("doc_id", "class_id", "n_links").unionAll(none.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links")))
+    wordless = none.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), *(F.lit(None).cast(dict(own.dtypes)[c]).alias(c) for c in ("node", "label")))
+    return some.join(known, "node").select("doc_id", "class_id", "n_links", "node", "label").unionAll(wordless)
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
