@@ -100,3 +100,9 @@ def test_comparison(spark):
     top = lambda x: set(np.argsort(-x, kind="stable")[:3].tolist())
     assert [r.n_common for r in compare.topk_overlap(df).orderBy("rate").collect()][1] == len(top(a) & top(b))
     assert "## Rank correlation" in compare.report(df)
+
+
+def test_registered_forests_have_all_their_trees():
+    from tideline.plans import adapter, replay
+
+    assert adapter.SETTINGS.trees == replay.Settings().trees == 100

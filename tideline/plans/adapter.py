@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tideline.plans.replay import Settings
 
 #: The events are sparse: five-minute buckets and shorter windows.
-SETTINGS = Settings(width_us=300_000_000, window=48, min_samples=12, train_window=400, refit_every=200, swap_after=10, quantile=0.99, trees=25)
+SETTINGS = Settings(width_us=300_000_000, window=48, min_samples=12, train_window=400, refit_every=200, swap_after=10, quantile=0.99)
 WIDTH_S = 300
 
 
