@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DECIMAL = "decimal(18,8)"
+from tideline.schemas import DECIMAL
+
 _FIELDS = ("e", "E", "s", "t", "p", "q", "T", "m", "U", "u", "b", "a", "B", "A")
 #: Names that don't rely on case.
 _NAMES = ("kind", "event_ms", "s", "trade", "p", "q", "trade_ms", "m", "first_id", "last_id", "bid", "ask", "bid_qty", "ask_qty")
@@ -52,27 +53,38 @@ def _all(*conditions: Column) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def trades(frames: DataFrame) -> DataFrame:
-    return frames.where("status = 'trade'").select(
-        "seq", "chunk", F.timestamp_millis(_long("trade_ms")).alias("time"), F.col("s").alias("symbol"), _long("trade").alias("trade_id"), F.col("p").try_cast(DECIMAL).alias("price"),
-        F.col("q").try_cast(DECIMAL).alias("qty"), F.col("m").try_cast("boolean").alias("buyer_is_maker"), F.timestamp_millis(_long("event_ms")).alias("event_time"), "received_at",
+def typed(frames: DataFrame) -> DataFrame:
+    """Trades, depth updates, quotes and markers with typed columns, in one narrow table; fields of other kinds are null."""
+    kind = lambda *ks: F.col("status").isin(*ks)
+    of = lambda c, *ks: F.when(kind(*ks), c)
+    money = lambda c, *ks: of(F.col(c).try_cast(DECIMAL), *ks)
+    return frames.where(kind("trade", "depth", "quote", "marker")).select(
+        "seq", "received_at", "status", of(F.col("s"), "trade", "depth", "quote").alias("symbol"),
+        F.timestamp_millis(F.when(kind("trade"), _long("trade_ms")).when(kind("depth"), _long("event_ms"))).alias("time"),
+        of(F.timestamp_millis(_long("event_ms")), "trade").alias("event_time"), of(_long("trade"), "trade").alias("trade_id"),
+        money("p", "trade").alias("price"), money("q", "trade").alias("qty"), of(F.col("m").try_cast("boolean"), "trade").alias("buyer_is_maker"),
+        of(_long("first_id"), "depth").alias("first_update_id"), of(_long("last_id"), "depth").alias("final_update_id"), of(_levels("bid"), "depth").alias("bids"), of(_levels("ask"), "depth").alias("asks"),
+        of(_long("last_id"), "quote").alias("update_id"), *(money(c, "quote").alias(c) for c in ("bid", "bid_qty", "ask", "ask_qty")),
     )
 
 
-def depth(frames: DataFrame) -> DataFrame:
-    return frames.where("status = 'depth'").select(
-        "seq", "chunk", F.timestamp_millis(_long("event_ms")).alias("time"), F.col("s").alias("symbol"), _long("first_id").alias("first_update_id"), _long("last_id").alias("final_update_id"),
-        _levels("bid").alias("bids"), _levels("ask").alias("asks"), "received_at",
-    )
+def _place(records: DataFrame) -> list[str]:
+    return [c for c in ("seq", "piece") if c in records.columns]
+
+
+def trades(records: DataFrame) -> DataFrame:
+    """The trades of typed() records."""
+    return records.where("status = 'trade'").select(*_place(records), "time", "symbol", "trade_id", "price", "qty", "buyer_is_maker", "event_time", "received_at")
 
 
-def quotes(frames: DataFrame) -> DataFrame:
+def depth(records: DataFrame) -> DataFrame:
+    return records.where("status = 'depth'").select(*_place(records), "time", "symbol", "first_update_id", "final_update_id", "bids", "asks", "received_at")
+
+
+def quotes(records: DataFrame) -> DataFrame:
     """Quotes; those without a positive mid price have no spread and no return, and go."""
-    out = frames.where("status = 'quote'").select(
-        "seq", "chunk", F.col("s").alias("symbol"), _long("last_id").alias("update_id"), *(F.col(c).try_cast(DECIMAL).alias(c) for c in ("bid", "bid_qty", "ask", "ask_qty")), "received_at",
-    )
-    return out.where("bid + ask > 0")
+    return records.where("status = 'quote' and bid + ask > 0").select(*_place(records), "symbol", "update_id", "bid", "bid_qty", "ask", "ask_qty", "received_at")
 
 
-def markers(frames: DataFrame) -> DataFrame:
-    return frames.where("status = 'marker'").select("seq", "chunk", "received_at")
+def markers(records: DataFrame) -> DataFrame:
+    return records.where("status = 'marker'").select(*_place(records), "received_at")

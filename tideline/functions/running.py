@@ -1,7 +1,9 @@
-"""Running values along a total order without a window over all rows.
+"""Running values along a total order without a window over all rows, a symbol or a day.
 
-chunk never falls along the order. Values run within each chunk; what the chunks before add comes from a table with one
-row per chunk.
+Rows are cut along the order into pieces of about PIECE rows (`piece`, an integer that never falls along the order), by
+range partitions whose bounds Spark samples. Running values are made within pieces; what the pieces before add comes from
+a table with a row per piece (and key), PIECE times smaller than the rows. It is joined on the columns that the rows are
+dealt by already, so the rows move once, and Spark broadcasts it only where it finds it small.
 """
 
 from __future__ import annotations
@@ -9,19 +11,81 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.sources.shared import settled
 
-def _running(df: DataFrame, value: Column, order: str, name: str, chunk: str, total, combine) -> DataFrame:
-    inside = Window.partitionBy(chunk).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+#: Rows of a piece, about.
+PIECE = 500_000
+
+
+def pieced(df: DataFrame, *order: str | Column, rows: int | None = None, count: int | None = None) -> DataFrame:
+    """df with piece. df is counted unless count says how many rows it has; more than one piece are written to the shared folder."""
+    n = -(-(df.count() if count is None else count) // (rows or PIECE))
+    if n <= 1:
+        return df.withColumn("piece", F.lit(0))
+    return settled(df.repartitionByRange(n, *order).withColumn("piece", F.spark_partition_id()), "pieces")
+
+
+def _before(rows: DataFrame, keys: list[str], last: Column) -> DataFrame:
+    """keys, piece and __b: of the pieces before a row's own (of its keys), the last value that isn't null."""
+    edges = rows.groupBy(*keys, "piece").agg(last.alias("__l"))
+    along = Window.partitionBy(*keys).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    return edges.select(*keys, "piece", F.last("__l", ignorenulls=True).over(along).alias("__b"))
+
+
+def _running(df: DataFrame, value: Column, order: str, name: str, total, combine) -> DataFrame:
+    inside = Window.partitionBy("piece").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     rows = df.withColumn("__v", value)
-    chunks = rows.groupBy(F.col(chunk).alias("__c")).agg(total("__v").alias("__t")).select("__c", total("__t").over(before).alias("__b"))
-    out = rows.withColumn("__r", total("__v").over(inside)).join(F.broadcast(chunks), F.col(chunk) == F.col("__c"))
-    return out.withColumn(name, combine(F.col("__r"), F.col("__b"))).drop("__v", "__r", "__b", "__c")
+    edges = rows.groupBy("piece").agg(total("__v").alias("__t")).select("piece", total("__t").over(before).alias("__b"))
+    out = rows.withColumn("__r", total("__v").over(inside)).join(edges, "piece")
+    return out.withColumn(name, combine(F.col("__r"), F.col("__b"))).drop("__v", "__r", "__b")
+
+
+def running_max(df: DataFrame, value: Column, order: str, name: str) -> DataFrame:
+    """df (with piece) and the greatest value up to each row."""
+    return _running(df, value, order, name, F.max, lambda a, b: F.greatest(a, b))
+
+
+def running_sum(df: DataFrame, value: Column, order: str, name: str) -> DataFrame:
+    """df (with piece) and the sum of values up to each row."""
+    return _running(df, value, order, name, F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+
+
+def neighbour(df: DataFrame, keys: list[str], order: str, value: Column, name: str, *, after: bool = False) -> DataFrame:
+    """df (with piece) and value (not null) of the row before (or after) each row of its keys; null where there is none."""
+    rows = df.withColumn("__v", value)
+    inside = Window.partitionBy(*keys, "piece").orderBy(order)
+    along = Window.partitionBy(*keys).orderBy("piece")
+    pick, shift = (F.min_by, F.lead) if after else (F.max_by, F.lag)
+    edges = rows.groupBy(*keys, "piece").agg(pick("__v", order).alias("__e")).select(*keys, "piece", shift("__e").over(along).alias("__b"))
+    out = rows.withColumn("__r", shift("__v").over(inside)).join(edges, [*keys, "piece"])
+    return out.withColumn(name, F.coalesce("__r", "__b")).drop("__v", "__r", "__b")
+
+
+def carried(df: DataFrame, keys: list[str], order: str, value: str, name: str, *, previous: str | None = None) -> DataFrame:
+    """df (with piece) and the last value up to each row of its keys that isn't null; previous names what this was a row before."""
+    inside = Window.partitionBy(*keys, "piece").orderBy(order)
+    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
+    out = df.withColumn("__r", F.last(value, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))).join(_before(df, keys, last), [*keys, "piece"])
+    out = out.withColumn(name, F.coalesce("__r", "__b"))
+    if previous:
+        out = out.withColumn(previous, F.coalesce(F.lag(name).over(inside), "__b"))
+    return out.drop("__r", "__b")
 
 
-def running_max(df: DataFrame, value: Column, order: str, name: str, chunk: str = "chunk") -> DataFrame:
-    return _running(df, value, order, name, chunk, F.max, lambda a, b: F.greatest(a, b))
+def numbered(df: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
+    """df (with piece) and the number from 1 of each row within its keys."""
+    inside = Window.partitionBy(*keys, "piece").orderBy(order)
+    before = Window.partitionBy(*keys).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    edges = df.groupBy(*keys, "piece").agg(F.count("*").alias("__n")).select(*keys, "piece", F.sum("__n").over(before).alias("__b"))
+    out = df.withColumn("__r", F.row_number().over(inside)).join(edges, [*keys, "piece"])
+    return out.withColumn(name, F.col("__r") + F.coalesce("__b", F.lit(0))).drop("__r", "__b")
 
 
-def running_sum(df: DataFrame, value: Column, order: str, name: str, chunk: str = "chunk") -> DataFrame:
-    return _running(df, value, order, name, chunk, F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+def summed_before(df: DataFrame, keys: list[str], order: str, value: str, name: str) -> DataFrame:
+    """df (with piece) and the sum of value over the rows of its keys before each row, 0 for the first."""
+    inside = Window.partitionBy(*keys, "piece").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    edges = df.groupBy(*keys, "piece").agg(F.sum(value).alias("__n")).select(*keys, "piece", F.sum("__n").over(before).alias("__b"))
+    out = df.withColumn("__r", F.sum(value).over(inside)).join(edges, [*keys, "piece"])
+    return out.withColumn(name, F.coalesce("__r", F.lit(0)) + F.coalesce("__b", F.lit(0))).drop("__r", "__b")

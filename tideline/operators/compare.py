@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.functions.running import numbered, pieced, summed_before
 from tideline.operators.detectors import NAMES
+from tideline.sources.shared import settled, small
 
 RATES = (0.001, 0.01)
 NEAR_S = 2
@@ -45,56 +47,83 @@ def near_flags(scored: DataFrame, reach_s: int = NEAR_S) -> DataFrame:
     return left.join(right, (F.col("symbol") == F.col("s")) & (F.col("cell") == F.col("c")) & close, "left_semi").drop("cell").dropDuplicates(["symbol", "time"])
 
 
-def ranked(scored: DataFrame, rate: float) -> DataFrame:
-    """Adds a_top and b_top: whether a row is in the top k = max(1, ceil(rate * n)) of its symbol; earlier of equals first."""
-    size = scored.groupBy("symbol").agg(F.greatest(F.lit(1), F.ceil(F.lit(rate) * F.count("*"))).alias("k"))
-    out = scored.join(F.broadcast(size), "symbol")
+def ranked(scored: DataFrame) -> DataFrame:
+    """Adds n_rows, and a_place and b_place: the places in the symbol by score, earlier of equals first."""
+    size = scored.groupBy("symbol").agg(F.count("*").alias("n_rows"))
+    out = scored.join(small(size), "symbol")
     for d in "ab":
-        out = out.withColumn(f"{d}_top", F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc(f"{d}_score"), "time")) <= F.col("k"))
+        out = out.withColumn("__o", F.struct(-F.col(f"{d}_score"), F.col("time")))
+        out = numbered(pieced(out, "symbol", "__o"), ["symbol"], "__o", f"{d}_place").drop("__o", "piece")
     return out
 
 
+def _tops(rate: float) -> tuple[Column, Column, Column]:
+    """k = max(1, ceil(rate * n)), and whether a row is in the top k of a and of b, for ranked() rows."""
+    k = F.greatest(F.lit(1), F.ceil(F.lit(rate) * F.col("n_rows")))
+    return k, F.col("a_place") <= k, F.col("b_place") <= k
+
+
 def topk_overlap(scored: DataFrame, rates: tuple[float, ...] = RATES) -> DataFrame:
-    out = None
+    """For each rate, how many of the top k rows of a and b are the same; the rows are ranked once for all rates."""
+    each = []
     for rate in rates:
-        one = ranked(scored, rate).groupBy("symbol").agg(F.lit(rate).alias("rate"), F.max("k").alias("k"), F.count("*").alias("n_rows"), F.count_if(F.col("a_top") & F.col("b_top")).alias("n_common"))
-        one = one.withColumn("overlap", F.col("n_common") / F.col("k")).withColumn("by_chance", F.col("k") / F.col("n_rows"))
-        out = one if out is None else out.unionByName(one)
-    return out
+        k, a, b = _tops(rate)
+        each.append(F.struct(F.lit(rate).alias("rate"), k.alias("k"), (a & b).alias("both")))
+    rows = ranked(scored).select("symbol", "n_rows", F.inline(F.array(*each)))
+    out = rows.groupBy("symbol", "rate").agg(F.max("k").alias("k"), F.max("n_rows").alias("n_rows"), F.count_if("both").alias("n_common"))
+    return out.withColumn("overlap", F.col("n_common") / F.col("k")).withColumn("by_chance", F.col("k") / F.col("n_rows"))
+
 
+def ranks(rows: DataFrame, column: str) -> DataFrame:
+    """symbol, column, n and below for each distinct value: how many rows have it, and how many a smaller one.
 
-def average_rank(column: str) -> Column:
-    """Ranks from 1, equal values sharing the mean of theirs."""
-    return F.rank().over(Window.partitionBy("symbol").orderBy(column)) + (F.count("*").over(Window.partitionBy("symbol", column)) - 1) / 2
+    Values are counted before they are ordered, so that equal ones are one row.
+    """
+    counts = settled(rows.groupBy("symbol", column).agg(F.count("*").alias("n")), "ranks")
+    return summed_before(pieced(counts, "symbol", column), ["symbol"], column, "n", "below").drop("piece")
 
 
 def spearman(scored: DataFrame) -> DataFrame:
-    rows = scored.withColumn("ra", average_rank("a_score")).withColumn("rb", average_rank("b_score"))
-    return rows.groupBy("symbol").agg(F.corr("ra", "rb").alias("rho"), F.count("*").alias("n_rows"))
+    """The correlation of the ranks, equal values sharing the mean of theirs; null where a rank is constant."""
+    pairs = scored.groupBy("symbol", "a_score", "b_score").agg(F.count("*").alias("w"))
+    for d in "ab":
+        own = ranks(scored, f"{d}_score").select("symbol", f"{d}_score", (F.col("below") + (F.col("n") + 1) / 2).alias(f"r{d}"))
+        pairs = pairs.join(own, ["symbol", f"{d}_score"])
+    n = scored.groupBy("symbol").agg(F.count("*").alias("n_rows"))
+    middle, w = (F.col("n_rows") + 1) / 2, F.col("w")
+    rows = pairs.join(small(n), "symbol").withColumns({"u": F.col("ra") - middle, "v": F.col("rb") - middle})
+    sums = rows.groupBy("symbol").agg(F.max("n_rows").alias("n_rows"), *(F.sum(w * x * y).alias(k) for k, x, y in (("uv", F.col("u"), F.col("v")), ("uu", F.col("u"), F.col("u")), ("vv", F.col("v"), F.col("v")))))
+    return sums.select("symbol", F.try_divide("uv", F.sqrt(F.col("uu") * F.col("vv"))).alias("rho"), "n_rows")
+
+
+def _picked(scored: DataFrame, rate: float) -> DataFrame:
+    """The rows in the top of a, of b or of both."""
+    _, a, b = _tops(rate)
+    return ranked(scored).withColumn("picked", F.when(a & b, "both").when(a, "a_only").when(b, "b_only")).where("picked is not null")
 
 
 def percentile_ranks(scored: DataFrame, rate: float = 0.01) -> DataFrame:
-    """By who picks a row into its top: the median of each feature's share of smaller rows, in percent."""
-    rows = ranked(scored, rate)
+    """By who picks a row into its top: the median of each feature's share of smaller rows, in percent. Only picked rows are joined with ranks."""
+    rows = _picked(scored, rate)
     for n in NAMES:
-        rows = rows.withColumn(f"r_{n}", (F.rank().over(Window.partitionBy("symbol").orderBy(f"x_{n}")) - 1) / F.count("*").over(Window.partitionBy("symbol")) * 100)
-    picked = F.when(F.col("a_top") & F.col("b_top"), "both").when(F.col("a_top"), "a_only").when(F.col("b_top"), "b_only")
-    return rows.withColumn("picked", picked).where("picked is not null").groupBy("symbol", "picked").agg(F.count("*").alias("n_rows"), *(F.percentile(f"r_{n}", 0.5).alias(f"p_{n}") for n in NAMES))
+        rows = rows.join(ranks(scored, f"x_{n}").select("symbol", f"x_{n}", F.col("below").alias(f"r_{n}")), ["symbol", f"x_{n}"])
+    return rows.groupBy("symbol", "picked").agg(F.count("*").alias("n_rows"), *(F.percentile(F.col(f"r_{n}") / F.col("n_rows") * 100, 0.5).alias(f"p_{n}") for n in NAMES))
 
 
 def top_examples(scored: DataFrame, rate: float = 0.01, n: int = 5) -> DataFrame:
     """The n strongest of a's own top rows, of b's own, and of those that both pick (by b_score)."""
-    a, b = F.col("a_top"), F.col("b_top")
-    rows = ranked(scored, rate).withColumn("picked", F.when(a & b, "both").when(a, "a_only").when(b, "b_only")).where("picked is not null")
-    by = F.when(F.col("picked") == "a_only", F.col("a_score")).otherwise(F.col("b_score"))
-    place = F.row_number().over(Window.partitionBy("symbol", "picked").orderBy(by.desc(), "time"))
-    return rows.withColumn("place", place).where(F.col("place") <= n).select("symbol", "picked", "place", "time", "a_score", "b_score")
+    by = F.when(F.col("picked") == "a_only", F.col("a_place")).otherwise(F.col("b_place"))
+    place = F.row_number().over(Window.partitionBy("symbol", "picked").orderBy(by))  # of a hundredth of the rows; Spark keeps n of a group in each task
+    return _picked(scored, rate).withColumn("place", place).where(F.col("place") <= n).select("symbol", "picked", "place", "time", "a_score", "b_score")
 
 
 def reproduced(flags: DataFrame, stored: DataFrame) -> DataFrame:
     """A row: how many flags are on one side only; the two agree if both are 0."""
     a, b = flags.select("symbol", "time"), stored.select("symbol", "time")
-    return a.exceptAll(b).agg(F.count("*").alias("n_new")).join(b.exceptAll(a).agg(F.count("*").alias("n_lost")))
+    sides = a.groupBy("symbol", "time").agg(F.count("*").alias("n")).withColumn("new", F.lit(True)).unionByName(b.groupBy("symbol", "time").agg(F.count("*").alias("n")).withColumn("new", F.lit(False)))
+    net = sides.groupBy("symbol", "time").agg(F.sum(F.when(F.col("new"), F.col("n")).otherwise(-F.col("n"))).alias("net"))
+    none = F.lit(0).cast("bigint")
+    return net.agg(F.coalesce(F.sum(F.greatest("net", none)), none).alias("n_new"), F.coalesce(F.sum(F.greatest(-F.col("net"), none)), none).alias("n_lost"))
 
 
 def report(scored: DataFrame, title: str = "Detector comparison") -> str:

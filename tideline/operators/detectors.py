@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.functions.running import numbered, pieced
+
 NAMES = ("log_trade_count", "log_notional", "spread_bps", "log_abs_return_bps")
 #: Of features with equal |z| the first in this order leads.
 PRIORITY = ("spread_bps", "log_notional", "log_trade_count", "log_abs_return_bps")
@@ -16,7 +18,7 @@ def vectors(features: DataFrame) -> DataFrame:
     """Feature rows that can be scored, with the four scored values x_<name> and seen, their number within the symbol."""
     rows = features.where("spread_bps is not null and abs_return_bps is not null")
     rows = rows.withColumns({"x_log_trade_count": F.log1p(F.col("trade_count").cast("double")), "x_log_notional": F.log1p("notional"), "x_spread_bps": F.col("spread_bps"), "x_log_abs_return_bps": F.log1p("abs_return_bps")})
-    return rows.withColumn("seen", F.row_number().over(Window.partitionBy("symbol").orderBy("time")))
+    return numbered(pieced(rows, "symbol", "time"), ["symbol"], "time", "seen").withColumn("seen", F.col("seen").cast("int")).drop("piece")
 
 
 def feature_map(*, z: bool = False) -> Column:
@@ -48,6 +50,15 @@ def zscores(rows: DataFrame, *, window: int = 300, min_samples: int = 60, thresh
     return out.withColumn("score", F.greatest(*(F.abs(f"z_{n}") for n in NAMES))).withColumn("threshold", F.lit(float(threshold))).drop("__own", "__cut", "__n", "__median", *(f"__{k}_{n}" for k in "ms" for n in NAMES))
 
 
+def zscore_of(before: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The z of one row's values, given the rows of its frame; as zscores() works them out."""
+    mean, std = before.mean(axis=0), before.std(axis=0)
+    std = np.where(std <= 1e-9 * np.maximum(1.0, np.abs(mean)), 0.0, std)
+    at = NAMES.index("spread_bps")
+    std[at] = max(std[at], 0.5 * np.median(before[:, at]))
+    return np.divide(x - mean, std, out=np.zeros(len(x)), where=std > 0)
+
+
 def flags(scored: DataFrame, detector: str, *, z: bool = False) -> DataFrame:
     return scored.where("score > threshold").select("time", "symbol", F.lit(detector).alias("detector"), "score", "threshold", feature_map(z=z).alias("features"))
 
@@ -69,48 +80,59 @@ def path_norm(n: np.ndarray | float) -> np.ndarray:
 
 
 class IsolationForest:
-    """Trees in arrays: feature (-1 at a leaf), cut, child (the right one is next) and the depth that a leaf stands for."""
+    """All trees of a forest, grown level by level at once.
+
+    A tree is a heap: the children of node i are 2 i + 1 and 2 i + 2. feature is -1 at leaves, cut the threshold and depth
+    what a leaf stands for. A node that has more than one distinct row below the height limit is split at a uniform point of
+    a feature that isn't constant in it, all such features being equally likely.
+    """
 
     def __init__(self, data: np.ndarray, *, trees: int = 100, subsample: int = 256, seed: int = 0):
         draw = np.random.default_rng(seed)
         self.psi = min(subsample, len(data))
-        limit = int(np.ceil(np.log2(max(self.psi, 2))))
-        self.trees = [self._grow(data[draw.permutation(len(data))[: self.psi]], limit, draw) for _ in range(trees)]
-
-    @staticmethod
-    def _grow(data: np.ndarray, limit: int, draw: np.random.Generator):
-        feature, cut, child, depth, todo = [], [], [], [], [(data, 0, -1)]
-        feature.append(-1), cut.append(0.0), child.append(0), depth.append(0.0)
-        todo = [(0, data, 0)]
-        while todo:
-            k, rows, level = todo.pop()
-            low, high = (rows.min(axis=0), rows.max(axis=0)) if len(rows) else (np.zeros(1), np.zeros(1))
-            can = np.flatnonzero(high > low)
-            if level >= limit or not len(can):
-                depth[k] = level + float(path_norm(len(rows)))
-                continue
-            f = int(draw.choice(can))
-            at = float(draw.uniform(low[f], high[f]))
-            left = rows[:, f] < at
-            feature[k], cut[k], child[k] = f, at, len(feature)
-            for part in (rows[left], rows[~left]):
-                feature.append(-1), cut.append(0.0), child.append(0), depth.append(0.0)
-                todo.append((len(feature) - 1, part, level + 1))
-        return np.array(feature), np.array(cut), np.array(child), np.array(depth)
+        self.limit = int(np.ceil(np.log2(max(self.psi, 2))))
+        size = (2 << self.limit) - 1
+        self.feature, self.cut, self.depth = np.full(trees * size, -1), np.zeros(trees * size), np.zeros(trees * size)
+        self.root = np.arange(trees) * size
+        picked = np.argsort(draw.random((trees, len(data))), axis=1)[:, : self.psi]
+        rows, node = data[picked.reshape(-1)], np.repeat(self.root, self.psi)
+        place = np.zeros(len(rows), np.int64)  # within its tree's heap
+        for level in range(self.limit + 1):
+            order = np.argsort(node, kind="stable")
+            rows, node, place = rows[order], node[order], place[order]
+            begin = np.flatnonzero(np.diff(node, prepend=-1))
+            if not len(begin):
+                break
+            count = np.diff(begin, append=len(node))
+            low, high = np.minimum.reduceat(rows, begin), np.maximum.reduceat(rows, begin)
+            can = high > low
+            split = can.any(axis=1) & (level < self.limit)
+            at = node[begin]
+            self.depth[at[~split]] = level + path_norm(count[~split])
+            if not split.any():
+                break
+            nth = np.floor(draw.random(len(begin)) * can.sum(axis=1)) + 1
+            f = (can.cumsum(axis=1) >= nth[:, None]).argmax(axis=1)
+            own = np.arange(len(begin))
+            cut = low[own, f] + draw.random(len(begin)) * (high[own, f] - low[own, f])
+            self.feature[at[split]], self.cut[at[split]] = f[split], cut[split]
+            group = np.repeat(own, count)
+            kept = split[group]
+            rows, node, place, group = rows[kept], node[kept], place[kept], group[kept]
+            right = rows[np.arange(len(rows)), f[group]] >= cut[group]
+            child = 2 * place + 1 + right
+            node, place = node - place + child, child
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """From near 0 (ordinary) to 1 (isolated at once)."""
-        total = np.zeros(len(x))
-        for feature, cut, child, depth in self.trees:
-            at = np.zeros(len(x), np.int64)
-            while True:
-                inner = np.flatnonzero(feature[at] >= 0)
-                if not len(inner):
-                    break
-                f = feature[at[inner]]
-                at[inner] = child[at[inner]] + (x[inner, f] >= cut[at[inner]])
-            total += depth[at]
-        return 2.0 ** (-total / len(self.trees) / max(float(path_norm(self.psi)), 1e-12))
+        total, n = np.zeros(len(x)), np.arange(len(x))[:, None]
+        place, at = np.zeros((len(x), len(self.root)), np.int64), np.broadcast_to(self.root, (len(x), len(self.root)))
+        for _ in range(self.limit):
+            f = self.feature[at + place]
+            right = x[n, np.maximum(f, 0)] >= self.cut[at + place]
+            place = np.where(f >= 0, 2 * place + 1 + right, place)
+        total = self.depth[at + place].sum(axis=1)
+        return 2.0 ** (-total / max(1, len(self.root)) / max(float(path_norm(self.psi)), 1e-12))
 
 
 def fit_id(train_window: int = 3600, refit_every: int = 600, swap_after: int = 30) -> Column:

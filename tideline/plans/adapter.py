@@ -22,7 +22,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """seq, chunk, received_at and payload, a frame for each event."""
+    """seq, received_at and payload, a frame for each event."""
     rows = events(spark, sf_dir)
     ms = (F.unix_micros("ts") / 1000).cast("bigint").cast("string")
     rn = F.row_number().over(Window.partitionBy("symbol", "event_type").orderBy("ts", "event_id"))
@@ -50,7 +50,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((F.col("event_type") == "error") & (k % 2 == 0), other)
         .otherwise("not json")
     )
-    return rows.select(F.struct("ts", "event_id").alias("seq"), F.to_date("ts").alias("chunk"), F.col("ts").alias("received_at"), payload.alias("payload"))
+    return rows.select(F.struct("ts", "event_id").alias("seq"), F.col("ts").alias("received_at"), payload.alias("payload"))
 
 
 #: The same records, straight from the events.

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +15,7 @@ from tideline.operators import compare, dashboard, detectors, metrics
 from tideline.plans import adapter
 from tideline.plans.replay import Replay
 from tideline.sources import sinks
+from tideline.sources.shared import settled
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -106,7 +106,7 @@ def depth_levels(spark, sf_dir):
 
 @query(BASE + "SELECT count(*) AS frames, count(*) FILTER (event_type = 'signup') AS n_depth, count(*) FILTER (event_type = 'error' AND k < 50) AS n_marker FROM ev")
 def replay_summary(spark, sf_dir):
-    return _replay(spark, sf_dir).summary().select("frames", "n_depth", "n_marker")
+    return _replay(spark, sf_dir).counts().select("frames", "n_depth", "n_marker")
 
 
 # ------------------------------------------------------------------ gaps
@@ -114,7 +114,7 @@ def replay_summary(spark, sf_dir):
 
 @query(GAPS + "SELECT * FROM gaps")
 def gap_detect(spark, sf_dir):
-    return _rounded(_replay(spark, sf_dir).gaps.drop("seq"))
+    return _rounded(_replay(spark, sf_dir).gaps.drop("seq", "piece"))
 
 
 @query(GAPS + "SELECT symbol, cause, count(*) AS n, CAST(sum(missing_update_ids) AS BIGINT) AS missing FROM gaps GROUP BY ALL")
@@ -312,9 +312,9 @@ def content_hash(spark, sf_dir):
 
 def _scored(spark, sf_dir):
     """The z-score beside a cheap second scorer, the return alone; scores rounded so that ties are the same everywhere."""
-    z = _replay(spark, sf_dir).zscores().withColumn("score", F.round("score", 6)).persist(StorageLevel.MEMORY_AND_DISK)
+    z = settled(_replay(spark, sf_dir).zscores().withColumn("score", F.round("score", 6)), "scored")
     b = z.where("score is not null").select("symbol", "time", F.round("x_log_abs_return_bps", 6).alias("score"), F.lit(9.5).alias("threshold"))
-    return compare.both_scored(z, b)
+    return settled(compare.both_scored(z, b), "both")
 
 
 @query(SCORED + "SELECT symbol, count(*) FILTER (a_flag) AS n_a, count(*) FILTER (b_flag) AS n_b, count(*) FILTER (a_flag AND b_flag) AS n_both, count(*) FILTER (a_flag AND NOT b_flag) AS a_only, count(*) FILTER (b_flag AND NOT a_flag) AS b_only, round(count(*) FILTER (a_flag AND b_flag) / nullif(count(*) FILTER (a_flag OR b_flag), 0), 6) AS jaccard FROM scored GROUP BY symbol")

@@ -1,15 +1,15 @@
-"""Schemas of the stored tables. Prices and quantities have 8 decimal places, which products keep exactly."""
+"""Schemas and keys of the stored tables. Prices and quantities have 8 decimal places, which products keep exactly."""
 
 from __future__ import annotations
 
-RAW = "received_at timestamp, payload string"
 DECIMAL = "decimal(18,8)"
-TRADES = f"time timestamp, symbol string, trade_id bigint, price {DECIMAL}, qty {DECIMAL}, buyer_is_maker boolean, event_time timestamp, received_at timestamp"
-DEPTH = "time timestamp, symbol string, first_update_id bigint, final_update_id bigint, bids array<array<string>>, asks array<array<string>>, received_at timestamp"
-QUOTES = f"symbol string, update_id bigint, bid {DECIMAL}, bid_qty {DECIMAL}, ask {DECIMAL}, ask_qty {DECIMAL}, received_at timestamp"
-GAPS = "time timestamp, symbol string, prev_final_update_id bigint, first_update_id bigint, missing_update_ids bigint, cause string, received_at timestamp"
-FEATURES = "time timestamp, symbol string, trade_count int, volume double, notional double, spread_bps double, mid double, abs_return_bps double"
-FLAGS = "time timestamp, symbol string, detector string, score double, threshold double, features map<string,double>"
+TABLES = {
+    "trades": f"time timestamp, symbol string, trade_id bigint, price {DECIMAL}, qty {DECIMAL}, buyer_is_maker boolean, event_time timestamp, received_at timestamp",
+    "depth_updates": "time timestamp, symbol string, first_update_id bigint, final_update_id bigint, bids array<array<string>>, asks array<array<string>>, received_at timestamp",
+    "depth_gaps": "time timestamp, symbol string, prev_final_update_id bigint, first_update_id bigint, missing_update_ids bigint, cause string, received_at timestamp",
+    "features": "time timestamp, symbol string, trade_count int, volume double, notional double, spread_bps double, mid double, abs_return_bps double",
+    "anomaly_flags": "time timestamp, symbol string, detector string, score double, threshold double, features map<string,double>",
+}
 
 #: Key of each table; the first row of a key by arrival stays.
 KEYS = {
@@ -19,3 +19,13 @@ KEYS = {
     "features": ["symbol", "time"],
     "anomaly_flags": ["symbol", "detector", "time"],
 }
+#: Tables that are partitioned by the day of their time.
+DAILY = ("trades", "depth_updates", "features", "anomaly_flags")
+
+
+def conformed(df, table: str):
+    """The columns of a table, in its types and order, and seq where there is one."""
+    from pyspark.sql import functions as F
+
+    fields = [f.strip().split(" ", 1) for f in TABLES[table].split(", ")]
+    return df.select(*(["seq"] if "seq" in df.columns else []), *(F.col(n).cast(t).alias(n) for n, t in fields))

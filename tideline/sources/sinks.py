@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tideline.schemas import KEYS
+from tideline.schemas import KEYS, TABLES, conformed
 
 
 def first_wins(df: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
@@ -28,18 +28,56 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def merge(df: DataFrame, path: str, table: str, *, order: str = "seq", partition: str | None = None) -> None:
-    """Append what isn't stored yet; running it again with the same rows changes nothing."""
+def merge(df: DataFrame, path: str, table: str, *, order: str = "seq", partition: str | None = None) -> int:
+    """Append what isn't stored yet, and say how many rows that was; running it again with the same rows changes nothing.
+
+    A table that is partitioned by the day of one of its keys is read only where the batch has days. An append shows as a
+    whole or not at all, and a batch that failed can be run again. A table has one writer at a time.
+    """
     keys = KEYS[table]
     fresh = first_wins(df, keys, order) if order in df.columns else df.dropDuplicates(keys)
-    fresh = fresh.drop("seq", "chunk")
-    stored = read_or_none(df.sparkSession, path)
-    if stored is not None:
-        fresh = only_new(fresh, stored, keys)
+    fresh = fresh.drop("seq", "piece")
     if partition:
         fresh = fresh.withColumn("date", F.to_date(partition))
-    writer = fresh.write.mode("append")
-    (writer.partitionBy("date") if partition else writer).parquet(path)
+    old = read_or_none(df.sparkSession, path)
+    if old is not None:
+        if partition in keys:
+            old = old.join(F.broadcast(fresh.select("date").distinct()), "date", "left_semi")  # a row a day
+        fresh = only_new(fresh, old, keys)
+    return append(fresh, path, by="date" if partition else None)
+
+
+def stored(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table that merge() made below root; empty if there is none yet."""
+    found = read_or_none(spark, f"{root}/{table}")
+    return spark.createDataFrame([], TABLES[table]) if found is None else conformed(found, table)
+
+
+def table_stats(spark: SparkSession, path: str) -> DataFrame:
+    """Of a stored table: rows, files, bytes, days (partitions), and the first and last time of its rows."""
+    df = spark.read.parquet(path)
+    file, size = F.col("_metadata.file_path"), F.col("_metadata.file_size")
+    day = F.col("date") if "date" in df.columns else F.lit(None).cast("date")
+    files = df.groupBy(file.alias("file")).agg(F.count("*").alias("n"), F.max(size).alias("bytes"), F.min("time").alias("first"), F.max("time").alias("last"), F.max(day).alias("day"))
+    return files.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("n_bytes"), F.count_distinct("day").alias("n_days"), F.min("first").alias("first_time"), F.max("last").alias("last_time"))
+
+
+def explained(df: DataFrame) -> tuple[str, float]:
+    """The physical plan, and the seconds that running it took (the rows go nowhere)."""
+    import time
+
+    began = time.perf_counter()
+    df.write.format("noop").mode("overwrite").save()
+    seconds = time.perf_counter() - began
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")), seconds
+
+
+def append(df: DataFrame, path: str, *, by: str | None = None) -> int:
+    """Append all rows, also those that are stored already; says how many they were."""
+    count = Observation()
+    writer = df.observe(count, F.count(F.lit(1)).alias("n")).write.mode("append")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    return count.get["n"]
 
 
 def content_hash(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
