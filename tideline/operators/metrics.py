@@ -18,10 +18,58 @@ def rate(samples: DataFrame, series: list[str], seconds: int, ts: str = "ts", va
     return increase(samples, series, seconds, ts, value, "rate").withColumn("rate", F.col("rate") / seconds)
 
 
+def increase_at(samples: DataFrame, series: list[str], at: list[int], seconds: int, ts: str = "ts", value: str = "value") -> DataFrame:
+    """series, at and increase: how much each counter rose in the seconds up to each of these times, for series with samples in them."""
+    w = Window.partitionBy(*series).orderBy(ts)
+    before = F.lag(value).over(w)
+    step = F.when(before.isNull(), 0).when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
+    times = F.filter(F.array(*map(F.lit, at)), lambda t: (t >= F.col(ts)) & (t - seconds < F.col(ts)))
+    return samples.withColumn("__step", step).withColumn("at", F.explode(times)).groupBy(*series, "at").agg(F.sum("__step").alias("increase"))
+
+
+def quantile_of_rates(buckets: DataFrame, q: float, by: list[str], series: list[str], at: list[int], seconds: int) -> DataFrame:
+    """histogram_quantile(q, sum by (le, by) (rate(buckets[seconds]))) at each of these times.
+
+    buckets are samples (ts, value) of cumulative counters with the bound le; series are the columns besides le that tell
+    their series apart (by is among them). Times at which nothing was observed have no quantile.
+    """
+    rates = increase_at(buckets, [*series, "le"], at, seconds).groupBy(*by, "at", "le").agg((F.sum("increase") / seconds).alias("n"))
+    return histogram_quantile(rates, q, [*by, "at"])
+
+
 def max_over_time(samples: DataFrame, series: list[str], seconds: int, ts: str = "ts", value: str = "value") -> DataFrame:
     return samples.withColumn("max_over_time", F.max(value).over(Window.partitionBy(*series).orderBy(ts).rangeBetween(-seconds + 1, 0)))
 
 
+#: Counters, gauges and histograms that the engine keeps of itself, with their labels; fixed values.
+COUNTERS = {"frames_total": ("stream",), "parse_errors_total": (), "rows_submitted_total": (), "disconnects_total": (), "reconnect_attempts_total": (), "depth_gaps_total": ("symbol", "cause"), "anomaly_flags_total": ("symbol", "detector")}
+GAUGES = ("queue_depth", "connected", "last_frame_timestamp_seconds")
+HISTOGRAMS = {
+    "flush_seconds": ((), (0.001, 0.0025, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5)),
+    "detector_seconds": (("detector",), (0.000025, 0.00005, 0.0001, 0.00025, 0.0005, 0.001, 0.0025, 0.005, 0.01, 0.025, 0.1)),
+}
+
+
+def of_replay(frames: DataFrame, gaps: DataFrame, flags: DataFrame) -> DataFrame:
+    """name, labels and value of the counters and gauges that a replay's frames, gaps and flags amount to."""
+    stream = F.when(F.col("status").isin("trade", "depth"), F.col("status")).when(F.col("status") == "quote", "bookticker").otherwise("other")
+    own = frames.where("status not in ('marker', 'comment')")
+    none = F.create_map().cast("map<string,string>")
+    row = lambda name, labels, value: (F.lit(name).alias("name"), labels.alias("labels"), value.cast("double").alias("value"))
+    parts = [
+        own.groupBy(stream.alias("s")).agg(F.count("*").alias("n")).select(*row("frames_total", F.create_map(F.lit("stream"), F.col("s")), F.col("n"))),
+        own.agg(F.count_if(F.col("status") == "error").alias("n")).select(*row("parse_errors_total", none, F.col("n"))),
+        own.agg(F.count_if(F.col("status").isin("trade", "depth")).alias("n")).select(*row("rows_submitted_total", none, F.col("n"))),
+        own.agg((F.unix_micros(F.max("received_at")) / 1e6).alias("n")).select(*row("last_frame_timestamp_seconds", none, F.col("n"))),
+        gaps.groupBy("symbol", "cause").agg(F.count("*").alias("n")).select(*row("depth_gaps_total", F.create_map(F.lit("symbol"), F.col("symbol"), F.lit("cause"), F.col("cause")), F.col("n"))),
+        flags.groupBy("symbol", "detector").agg(F.count("*").alias("n")).select(*row("anomaly_flags_total", F.create_map(F.lit("symbol"), F.col("symbol"), F.lit("detector"), F.col("detector")), F.col("n"))),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
+
+
 def summed(samples: DataFrame, by: list[str], value: str) -> DataFrame:
     return samples.groupBy(*by).agg(F.sum(value).alias(value))
 

@@ -1,32 +1,68 @@
-"""Raw archives: `<root>/YYYY-MM-DD/HH.tsv[.gz]` with lines `<nanoseconds>\\t<payload>`, and recordings of frames.
+"""Raw archives: `.../YYYY-MM-DD/HH.tsv[.gz]` with lines `<nanoseconds>\\t<payload>`, and recordings of frames.
 
-Raw frames have seq, their place in the total order: day, hour, the running maximum of nanoseconds within a file, path
-and line; and chunk (day and hour), which never falls along seq, so running values can be made chunk by chunk.
+Raw frames have seq, their place in the total order: day and hour, the running maximum of nanoseconds within a file, path and
+place in the file. Several folders can hold the same hour; their frames are merged by receive time. Files are read line by
+line, in splits where they can be split, so no file has to fit into a row or a window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: What is read below folders.
+FILES = "*.{tsv,tsv.gz}"
+
+
+def _stamp(line: Column) -> Column:
+    return F.regexp_extract(line, r"^([0-9]{1,19})\t", 1)
+
+
+def is_frame(line: Column) -> Column:
+    """Whether a line has digits, a tab and a payload."""
+    return F.coalesce(F.regexp_like(line, F.lit(r"^[0-9]{1,19}\t(?s:.)")) & _stamp(line).try_cast("bigint").isNotNull(), F.lit(False))
+
 
-def decoded_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Adds received_ns and payload; rows without a tab, with a stamp that isn't all digits or an empty payload go."""
-    parts = F.split(F.regexp_replace(F.col(value), r"\r?\n$", ""), "\t", 2)
-    out = lines.withColumn("received_ns", F.when(F.regexp_like(parts[0], F.lit("^[0-9]+$")), F.try_to_number(parts[0], F.lit("9" * 19)).cast("bigint"))).withColumn("payload", F.get(parts, F.lit(1)))
-    return out.where("received_ns is not null and payload is not null and payload <> ''")
+def decoded_lines(lines: DataFrame, value: str = "value", skipped: Observation | None = None) -> DataFrame:
+    """Adds received_ns and payload; rows without a tab, with a stamp that isn't all digits or an empty payload go, and are counted by skipped (n)."""
+    line = F.regexp_replace(F.col(value), r"\r?\n$", "")
+    if skipped is not None:
+        lines = lines.observe(skipped, F.count_if(~is_frame(line)).alias("n"))
+    return lines.where(is_frame(line)).withColumns({"received_ns": _stamp(line).try_cast("bigint"), "payload": F.substr(line, F.instr(line, "\t") + 1)})
 
 
-def read_archive(spark: SparkSession, *paths: str) -> DataFrame:
-    """seq, chunk, received_at and payload of all lines below paths (files or folders; each file counts once)."""
-    files = spark.read.text(list(dict.fromkeys(paths)), wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.tsv*")
-    files = files.select("value", F.col("_metadata.file_path").alias("path")).dropDuplicates(["path"])
-    lines = files.select("path", F.posexplode(F.split("value", "\n")).alias("line", "value")).where("value <> ''")
-    rows = decoded_lines(lines)
-    place = F.regexp_extract("path", r"([0-9]{4}-[0-9]{2}-[0-9]{2}/[0-9]{2})\.tsv", 1)
-    w = Window.partitionBy("path").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("chunk", place).withColumn("run_ns", F.max("received_ns").over(w))
-    return rows.select(F.struct("chunk", "run_ns", "path", "line").alias("seq"), "chunk", F.timestamp_micros(F.expr("received_ns div 1000")).alias("received_at"), "payload")
+def _files_and_folders(spark: SparkSession, paths: tuple[str, ...]) -> tuple[list[str], list[str]]:
+    """The paths that are files and those that are folders, each once; folders and files below another folder that is read go."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    files, folders = set(), set()
+    for p in paths:
+        path = hadoop(p)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        (folders if status.isDirectory() else files).add(status.getPath().toString())
+    above = [f for f in folders if not any(f != g and f.startswith(g.rstrip("/") + "/") for g in folders)]
+    read = lambda f: f.endswith((".tsv", ".tsv.gz")) and any(f.startswith(g.rstrip("/") + "/") for g in above)
+    return sorted(f for f in files if not read(f)), sorted(above)
+
+
+def read_archive(spark: SparkSession, *paths: str, skipped: Observation | None = None) -> DataFrame:
+    """seq, received_at, received_ns and payload of all lines below paths (files of any name, or folders; each file counts once)."""
+    files, folders = _files_and_folders(spark, paths)
+    parts = [spark.read.text(files)] if files else []
+    if folders:
+        parts.append(spark.read.text(folders, recursiveFileLookup=True, pathGlobFilter=FILES))
+    parts = [p.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")) for p in parts]
+    lines = parts[0].unionAll(parts[1]) if len(parts) == 2 else parts[0]
+    rows = decoded_lines(lines, skipped=skipped)
+    # a line comes when those before it in its file have come: its time is the greatest so far, split by split
+    inside = Window.partitionBy("path", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    edges = rows.groupBy("path", "block").agg(F.max("received_ns").alias("most")).select("path", "block", F.max("most").over(before).alias("before"))
+    rows = rows.withColumn("run_ns", F.max("received_ns").over(inside)).join(edges, ["path", "block"])
+    hour = F.regexp_extract("path", r"([^/]+/[^/.]+)[^/]*$", 1)
+    seq = F.struct(hour.alias("hour"), F.greatest("run_ns", "before").alias("run_ns"), "path", "block", "line")
+    return rows.select(seq.alias("seq"), F.timestamp_micros(F.expr("received_ns div 1000")).alias("received_at"), "received_ns", "payload")
 
 
 def read_recording(spark: SparkSession, path: str) -> DataFrame:
@@ -34,8 +70,35 @@ def read_recording(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where(F.trim("value") != "").select(F.col("value").alias("payload"))
 
 
-def write_archive(raw: DataFrame, root: str, *, compressed: bool = True) -> None:
-    """Append raw frames below root, a folder per UTC day and hour, with lines as read_archive() reads them."""
-    line = F.concat_ws("\t", (F.unix_micros("received_at") * 1000).cast("string"), "payload")
-    out = raw.select(line.alias("value"), F.date_format("received_at", "yyyy-MM-dd").alias("date"), F.date_format("received_at", "HH").alias("hour"))
-    out.write.mode("append").partitionBy("date", "hour").option("compression", "gzip" if compressed else "none").text(root)
+def write_archive(raw: DataFrame, root: str, *, compressed: bool = True) -> int:
+    """Add raw frames to the archive at root, and say how many files that made; read_archive() gives them back.
+
+    An hour of a batch is a file `<root>/<batch>/YYYY-MM-DD/HH.tsv[.gz]` in the order of seq. Files are written apart and then
+    moved into their place, so none is ever seen half-written; what a batch that failed left is never read.
+    """
+    spark = raw.sparkSession
+    ns = F.col("received_ns") if "received_ns" in raw.columns else F.unix_micros("received_at") * 1000
+    at = F.timestamp_micros(F.floor(ns / 1000).cast("bigint")) if "received_ns" in raw.columns else F.col("received_at")
+    rows = raw.select(F.date_format(at, "yyyy-MM-dd").alias("date"), F.date_format(at, "HH").alias("hour"), *(["seq"] if "seq" in raw.columns else []), F.concat_ws("\t", ns.cast("string"), F.col("payload").cast("string")).alias("value"))
+    order = ["date", "hour", *(["seq"] if "seq" in raw.columns else [])]
+    batch = uuid.uuid4().hex
+    staged = f"{root.rstrip('/')}/_staged-{batch}"
+    rows.repartition("date", "hour").sortWithinPartitions(*order).select("date", "hour", "value").write.partitionBy("date", "hour").option("compression", "gzip" if compressed else "none").text(staged)
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    files, n = hadoop(staged).getFileSystem(conf), 0
+    found = files.listFiles(hadoop(staged), True)
+    while found.hasNext():  # one a batch and hour
+        path = found.next().getPath()
+        if path.getName().startswith("part-"):
+            hour = path.getParent()
+            folder = hadoop(f"{root.rstrip('/')}/{batch}/{hour.getParent().getName().removeprefix('date=')}")
+            files.mkdirs(folder)
+            files.rename(path, hadoop(folder, hour.getName().removeprefix("hour=") + (".tsv.gz" if compressed else ".tsv")))
+            n += 1
+    files.delete(hadoop(staged), True)
+    return n
+
+
+def write_recording(raw: DataFrame, path: str) -> None:
+    """Frames as lines of text, as read_recording() reads them."""
+    raw.select("payload").write.mode("append").text(path)

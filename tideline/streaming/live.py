@@ -1,41 +1,52 @@
-"""The live side: features as a stateful stream, idempotent sinks per batch, progress.
+"""The live side: gaps, features and flags as a stateful stream, idempotent sinks per batch, windowed counts, progress.
 
 The clock of the feature buckets is shared by all symbols, so the stateful operator has one key: what it gets are decoded
-trades and quotes, a few hundred rows a second. Everything before and after it runs in parallel.
+frames, a few hundred rows a second. Everything before and after it runs in parallel. Its state is checkpointed, so a stream
+that starts again goes on where it was. The rows of a batch are taken in the order of seq, and batches must come in order
+(a folder of archive files does); a batch is held at once, so bound it by maxFilesPerTrigger or maxframes.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import math
+import pickle
+import time
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tideline.functions import decode
+from tideline.operators import detectors
 from tideline.operators.features import MAX_FILL, SECOND_US
-from tideline.sources import sinks
+from tideline.plans.replay import Settings
+from tideline.sources import archive, sinks
 
-COLUMNS = ("time_us", "symbol", "trade_count", "volume", "notional", "spread_bps", "mid", "abs_return_bps")
-OUTPUT = "time_us bigint, symbol string, trade_count int, volume double, notional double, spread_bps double, mid double, abs_return_bps double"
+log = logging.getLogger("tideline.stream")
+
+FEATURES = ("time_us", "symbol", "trade_count", "volume", "notional", "spread_bps", "mid", "abs_return_bps")
+OUTPUT = (
+    "kind string, time_us bigint, symbol string, trade_count int, volume double, notional double, spread_bps double, mid double, abs_return_bps double, prev_final_update_id bigint, "
+    "first_update_id bigint, missing_update_ids bigint, cause string, received_us bigint, detector string, score double, threshold double, features string"
+)
+_COLUMNS = tuple(c.split(" ")[0] for c in OUTPUT.split(", "))
 
 
 class LiveBuckets:
     """The open bucket: what each symbol traded in it, the quotes that came in it and the one that was carried into it.
 
-    A bucket is worked out when the clock passes its end. State is plain data, so that it can be kept as JSON.
+    A bucket is worked out when the clock passes its end.
     """
 
-    def __init__(self, width_us: int = SECOND_US, max_fill: int = MAX_FILL, state: str | None = None):
-        self.width, self.fill = width_us, max_fill
-        self.open, self.symbols = json.loads(state) if state else (None, {})
-
-    def state(self) -> str:
-        return json.dumps([self.open, self.symbols])
+    def __init__(self, width_us: int = SECOND_US, max_fill: int = MAX_FILL):
+        self.width, self.fill, self.open, self.symbols = width_us, max_fill, None, {}
 
     def feed(self, us: int, symbol: str, trade: tuple[float, float] | None, quote: tuple[float, float] | None) -> Iterator[tuple]:
         """trade: quantity and amount; quote: mid and spread. Gives the rows of the buckets that this row closes."""
@@ -74,58 +85,190 @@ class LiveBuckets:
         return row
 
 
-def feature_stream(raw: DataFrame, *, width_us: int = SECOND_US, max_fill: int = MAX_FILL, order: str = "seq") -> DataFrame:
-    """Streaming raw frames to streaming feature rows; rows of a batch are taken in the order of seq."""
-    frames = decode.decoded(raw if "chunk" in raw.columns else raw.withColumn("chunk", F.to_date("received_at")))
-    bid, ask = F.col("bid").try_cast("double"), F.col("ask").try_cast("double")
+class LiveGaps:
+    """Markers so far, and each symbol's last update with the markers that had come before it."""
+
+    def __init__(self):
+        self.markers, self.last = 0, {}
+
+    def marker(self) -> None:
+        self.markers += 1
+
+    def feed(self, symbol: str, first: int, final: int) -> tuple[int, int, str] | None:
+        """The previous update's id, the number of ids that are missing and the cause, if first doesn't follow on it."""
+        epoch, before = max(1, self.markers), self.last.get(symbol)
+        self.last[symbol] = (final, epoch)
+        if before is None or first == before[0] + 1:
+            return None
+        return before[0], first - before[0] - 1, "reconnect" if epoch > before[1] else "stream"
+
+
+class LiveScores:
+    """Each symbol's last rows that can be scored, and their number: what both detectors need."""
+
+    def __init__(self, settings: Settings):
+        self.settings, self.rows, self.seen = settings, {}, {}
+        self.forests: dict[str, tuple] = {}
+
+    def feed(self, symbol: str, x: np.ndarray) -> Iterator[tuple[str, float, float, dict]]:
+        """The detectors' flags of a row: detector, score, threshold and features."""
+        s, rows = self.settings, self.rows.setdefault(symbol, [])
+        named = dict(zip(detectors.NAMES, x.tolist(), strict=True))
+        if len(rows) >= s.min_samples:
+            z = detectors.zscore_of(np.array(rows[-s.window :]), x)
+            if (score := float(np.abs(z).max())) > s.threshold:
+                yield "zscore", score, float(s.threshold), named | {f"z_{n}": v for n, v in zip(detectors.NAMES, z.tolist(), strict=True)}
+        rows.append(x.tolist())
+        seen = self.seen[symbol] = self.seen.get(symbol, 0) + 1
+        swap = max(s.swap_after, 1)
+        step = max(s.refit_every, swap)
+        if seen >= s.train_window + swap:
+            fit = (seen - s.train_window - swap) // step
+            if self.forests.get(symbol, (None,))[0] != fit:
+                back = seen - (s.train_window + fit * step)  # rows after the fit's last one
+                train = np.array(rows[len(rows) - back - s.train_window : len(rows) - back])
+                forest = detectors.IsolationForest(train, trees=s.trees)
+                self.forests[symbol] = (fit, forest, float(np.quantile(forest.score(train), s.quantile)))
+            _, forest, threshold = self.forests[symbol]
+            if (score := float(forest.score(x[None])[0])) > threshold:
+                yield "iforest", score, threshold, named
+        del rows[: max(0, len(rows) - s.train_window - swap - step - 1)]
+
+
+class Live:
+    """All state of the stream. feed() takes decoded frames one after another and gives rows of OUTPUT as dicts, in the order in which they are known."""
+
+    def __init__(self, settings: Settings):
+        self.buckets, self.gaps, self.scores = LiveBuckets(settings.width_us, settings.max_fill), LiveGaps(), LiveScores(settings)
+
+    def feed(self, x) -> Iterator[dict]:
+        if x.status == "marker":
+            self.gaps.marker()
+        elif x.status == "depth":
+            if found := self.gaps.feed(x.symbol, int(x.first_update_id), int(x.final_update_id)):
+                yield {"kind": "gap", "time_us": x.time_us, "symbol": x.symbol, "prev_final_update_id": found[0], "first_update_id": int(x.first_update_id), "missing_update_ids": found[1], "cause": found[2], "received_us": x.us}
+        else:
+            trade = (x.qty, x.amount) if x.status == "trade" else None
+            for row in self.buckets.feed(x.us, x.symbol, trade, None if trade else (x.mid, x.spread)):
+                f = dict(zip(FEATURES, row, strict=True))
+                yield {"kind": "feature"} | f
+                if f["spread_bps"] is not None and f["abs_return_bps"] is not None:
+                    values = np.array([math.log1p(f["trade_count"]), math.log1p(f["notional"]), f["spread_bps"], math.log1p(f["abs_return_bps"])])
+                    for detector, score, threshold, named in self.scores.feed(f["symbol"], values):
+                        yield {"kind": "flag", "time_us": f["time_us"], "symbol": f["symbol"], "detector": detector, "score": score, "threshold": threshold, "features": json.dumps(named)}
+
+
+def live_rows(raw: DataFrame, settings: Settings = Settings(), *, order: str = "seq") -> DataFrame:  # noqa: B008
+    """Streaming raw frames (seq, received_at, payload) to streaming rows of OUTPUT: gaps, features and flags."""
+    frames = decode.decoded(raw.withColumnRenamed(order, "seq") if order != "seq" else raw)
+    records = decode.typed(frames)
+    bid, ask = F.col("bid").cast("double"), F.col("ask").cast("double")
     mid = (bid + ask) / 2
-    price, qty = F.col("p").try_cast(decode.DECIMAL), F.col("q").try_cast(decode.DECIMAL)
-    rows = frames.where("status in ('trade', 'quote')").select(
-        F.lit(0).alias("key"), F.col(order).alias("seq"), F.unix_micros("received_at").alias("us"), F.col("s").alias("symbol"), (F.col("status") == "trade").alias("is_trade"),
-        qty.cast("double").alias("qty"), (price * qty).cast("double").alias("amount"), mid.alias("mid"), ((ask - bid) / F.nullif(mid, F.lit(0.0)) * 1e4).alias("spread"),
-    )
-    rows = rows.where("is_trade or mid > 0")
+    rows = records.where("status <> 'quote' or bid + ask > 0").select(
+        F.lit(0).alias("key"), "seq", "status", "symbol", F.unix_micros("received_at").alias("us"), F.unix_micros("time").alias("time_us"), F.col("qty").cast("double").alias("qty"),
+        (F.col("price") * F.col("qty")).cast("double").alias("amount"), mid.alias("mid"), F.try_divide(ask - bid, mid).alias("spread"), "first_update_id", "final_update_id",
+    ).withColumn("spread", F.col("spread") * 1e4)
+
+    def step(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        live = pickle.loads(state.get[0]) if state.exists else Live(settings)
+        pdf = pd.concat(list(batches))
+        place = pdf["seq"].map(lambda s: tuple(s.values()) if isinstance(s, dict) else tuple(s) if isinstance(s, (list, tuple)) else (s,))
+        pdf = pdf.assign(seq=place).sort_values("seq", kind="stable")
+        out = [row for x in pdf.itertuples(index=False) for row in live.feed(x)]
+        state.update((pickle.dumps(live),))
+        yield pd.DataFrame({c: pd.Series([row.get(c) for row in out], dtype=object) for c in _COLUMNS})
+
+    return rows.groupBy("key").applyInPandasWithState(step, OUTPUT, "state binary", "append", GroupStateTimeout.NoTimeout)
+
 
-    def step(_key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        live = LiveBuckets(width_us, max_fill, state.get[0] if state.exists else None)
-        pdf = pd.concat(list(frames)).sort_values("seq", kind="stable")
-        out = [r for x in pdf.itertuples(index=False) for r in live.feed(x.us, x.symbol, (x.qty, x.amount) if x.is_trade else None, None if x.is_trade else (x.mid, x.spread))]
-        state.update((live.state(),))
-        yield pd.DataFrame(out, columns=COLUMNS)
+def features_of(rows: DataFrame) -> DataFrame:
+    """The feature rows of live_rows()."""
+    return rows.where("kind = 'feature'").select(F.timestamp_micros("time_us").alias("time"), *FEATURES[1:])
 
-    return rows.groupBy("key").applyInPandasWithState(step, OUTPUT, "state string", "append", GroupStateTimeout.NoTimeout)
 
+def gaps_of(rows: DataFrame) -> DataFrame:
+    return rows.where("kind = 'gap'").select(F.timestamp_micros("time_us").alias("time"), "symbol", "prev_final_update_id", "first_update_id", "missing_update_ids", "cause", F.timestamp_micros("received_us").alias("received_at"))
 
-def store_stream(raw: DataFrame, root: str, checkpoint: str, trigger: dict | None = None):
+
+def flags_of(rows: DataFrame) -> DataFrame:
+    return rows.where("kind = 'flag'").select(F.timestamp_micros("time_us").alias("time"), "symbol", "detector", "score", "threshold", F.from_json("features", "map<string,double>").alias("features"))
+
+
+def feature_stream(raw: DataFrame, *, width_us: int = SECOND_US, max_fill: int = MAX_FILL, order: str = "seq") -> DataFrame:
+    """Streaming raw frames to streaming feature rows."""
+    return features_of(live_rows(raw, Settings(width_us=width_us, max_fill=max_fill), order=order))
+
+
+def store_stream(raw: DataFrame, root: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Trades and depth updates of streaming raw frames (seq, received_at, payload), merged first-wins batch by batch."""
 
     def batch(df: DataFrame, _number: int) -> None:
-        frames = decode.decoded(df.withColumn("chunk", F.to_date("received_at"))).persist()
-        sinks.merge(decode.trades(frames), f"{root}/trades", "trades", partition="time")
-        sinks.merge(decode.depth(frames), f"{root}/depth_updates", "depth_updates", partition="time")
-        frames.unpersist()
+        records = decode.typed(decode.decoded(df)).persist()
+        sinks.merge(decode.trades(records), f"{root}/trades", "trades", partition="time")
+        sinks.merge(decode.depth(records), f"{root}/depth_updates", "depth_updates", partition="time")
+        records.unpersist()
 
     return raw.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def windowed_counts(raw: DataFrame, seconds: int = 1, late: str = "10 seconds") -> DataFrame:
-    """Frames by kind in tumbling windows of receive time, once the watermark has passed them."""
+def store_live(raw: DataFrame, root: str, checkpoint: str, settings: Settings = Settings(), trigger: dict | None = None) -> StreamingQuery:  # noqa: B008
+    """Gaps, features and flags of streaming raw frames, merged first-wins batch by batch."""
+
+    def batch(df: DataFrame, _number: int) -> None:
+        rows = df.persist()
+        sinks.merge(gaps_of(rows), f"{root}/depth_gaps", "depth_gaps")
+        sinks.merge(features_of(rows), f"{root}/features", "features", partition="time")
+        sinks.merge(flags_of(rows), f"{root}/anomaly_flags", "anomaly_flags", partition="time")
+        rows.unpersist()
+
+    return live_rows(raw, settings).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def windowed_counts(raw: DataFrame, seconds: int = 1, late: str = "10 seconds", slide: int | None = None) -> DataFrame:
+    """Frames by kind in windows of receive time, once the watermark has passed them; tumbling, or sliding by `slide` seconds."""
     frames = decode.decoded(raw)
-    return frames.withWatermark("received_at", late).groupBy(F.window("received_at", f"{seconds} seconds"), "status").agg(F.count("*").alias("n"))
+    window = F.window("received_at", f"{seconds} seconds", f"{slide or seconds} seconds")
+    return frames.withWatermark("received_at", late).groupBy(window, "status").agg(F.count("*").alias("n"))
+
+
+def first_in_window(records: DataFrame, keys: list[str], late: str = "10 seconds", time: str = "received_at") -> DataFrame:
+    """One row per key among rows that come within `late` of each other; the state of older keys goes."""
+    return records.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
+
+
+def archive_stream(spark: SparkSession, root: str, most_files: int = 100) -> DataFrame:
+    """seq, received_at and payload of an archive's files as they get their names; a batch has so many files at most, and is held in order."""
+    lines = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", archive.FILES).option("maxFilesPerTrigger", most_files).text(root)
+    rows = archive.decoded_lines(lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")))
+    return rows.select(F.struct("received_ns", "path", "block", "line").alias("seq"), F.timestamp_micros(F.expr("received_ns div 1000")).alias("received_at"), "payload")
+
+
+def drained(*queries: StreamingQuery) -> None:
+    """Stop queries once they have handled all that has come."""
+    for q in queries:
+        q.processAllAvailable()
+        q.stop()
 
 
 class Progress(StreamingQueryListener):
-    """Keeps the rows and batches seen so far, for the periodic log line."""
+    """Rows and batches in all, and a log line every `every` seconds with those since the last line."""
 
-    def __init__(self):
-        self.rows = self.batches = 0
+    def __init__(self, every: float = 10.0, clock=time.monotonic, write=log.info):
+        self.rows = self.batches = self.new_rows = self.new_batches = 0
+        self.every, self.clock, self.write, self.last = every, clock, write, clock()
+
+    def add(self, rows: int) -> None:
+        self.rows, self.batches, self.new_rows, self.new_batches = self.rows + rows, self.batches + 1, self.new_rows + rows, self.new_batches + 1
+        now = self.clock()
+        if now - self.last >= self.every:
+            self.write("%d rows in %d batches (%.1f rows/s); %d rows in all" % (self.new_rows, self.new_batches, self.new_rows / (now - self.last), self.rows))
+            self.new_rows, self.new_batches, self.last = 0, 0, now
 
     def onQueryStarted(self, event):  # noqa: N802
         pass
 
     def onQueryProgress(self, event):  # noqa: N802
-        self.rows += event.progress.numInputRows
-        self.batches += 1
+        self.add(event.progress.numInputRows)
 
     def onQueryTerminated(self, event):  # noqa: N802
         pass
