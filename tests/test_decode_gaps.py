@@ -1,14 +1,18 @@
 """Decoding of frames and archives, and gaps in the depth sequence."""
 
+import gzip
 import json
+import random
 from datetime import UTC, datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
-from tideline.functions import decode
+from tideline.functions import decode, running
 from tideline.operators.gaps import detect_gaps
-from tideline.sources.archive import decoded_lines, read_archive, write_archive
+from tideline.sources.archive import decoded_lines, read_archive, read_recording, write_archive, write_recording
 
 T0 = datetime(2026, 10, 2, 12, tzinfo=UTC)
 
@@ -26,7 +30,7 @@ def quote(bid="99", ask="101", s="BTCUSDT"):
 
 
 def raw(spark, payloads):
-    return spark.createDataFrame([(i, "d", T0 + timedelta(milliseconds=i), p) for i, p in enumerate(payloads)], "seq long, chunk string, received_at timestamp, payload string")
+    return spark.createDataFrame([(i, T0 + timedelta(milliseconds=i), p) for i, p in enumerate(payloads)], "seq long, received_at timestamp, payload string")
 
 
 def test_statuses(spark):
@@ -37,29 +41,59 @@ def test_statuses(spark):
 
 
 def test_fields(spark):
-    frames = decode.decoded(raw(spark, [trade(price="0.10000001"), depth(5, 9), quote("99", "101")]))
-    t, d, q = (f(frames).first() for f in (decode.trades, decode.depth, decode.quotes))
+    records = decode.typed(decode.decoded(raw(spark, [trade(price="0.10000001"), depth(5, 9), quote("99", "101"), quote("0", "0")])))
+    assert decode.quotes(records).count() == 1
+    t, d, q = (f(records).first() for f in (decode.trades, decode.depth, decode.quotes))
     assert t.price == Decimal("0.10000001") and t.trade_id == 1 and t.buyer_is_maker and t.time.microsecond == 120000
     assert (d.first_update_id, d.final_update_id, d.bids, d.asks) == (5, 9, [["1.5", "0"]], [])
     assert (q.update_id, q.bid, q.ask_qty) == (7, 99, 2)
 
 
-@pytest.mark.parametrize(
-    "rows,expected",
-    [
-        ([depth(100, 110), depth(111, 120)], []),
-        ([depth(100, 110), depth(121, 130)], [(10, "stream")]),
-        ([depth(100, 110), depth(100, 110)], [(-11, "stream")]),
-        ([depth(100, 110), "#connected", depth(121, 130)], [(10, "stream")]),
-        (["#connected", depth(1, 2), "#connected", depth(9, 10), depth(1, 2, "ETHUSDT"), depth(20, 21)], [(6, "reconnect"), (9, "stream")]),
-        (["#connected", depth(1, 2), "#connected", depth(3, 4), depth(9, 10)], [(4, "stream")]),
-        (["#connected", depth(1, 2), depth(1, 2, "ETHUSDT"), "#connected", depth(9, 10), depth(5, 6, "ETHUSDT"), depth(13, 14)], [(6, "reconnect"), (2, "reconnect"), (2, "stream")]),
-    ],
-)
-def test_gaps(spark, rows, expected):
-    frames = decode.decoded(raw(spark, rows))
-    got = detect_gaps(decode.depth(frames), decode.markers(frames)).orderBy("seq").collect()
-    assert [(r.missing_update_ids, r.cause) for r in got] == expected
+def account(payloads):
+    """Gaps by plain steps: what each symbol's last update was, and whether a connection has begun since then that wasn't the first."""
+    last, connected, again, out = {}, False, set(), []
+    for p in payloads:
+        if p == "#connected":
+            again = set(last) if connected else again
+            connected = True
+        elif '"depthUpdate"' in p:
+            d = json.loads(p)["data"]
+            if d["s"] in last and d["U"] != last[d["s"]] + 1:
+                out.append((d["s"], last[d["s"]], d["U"], d["U"] - last[d["s"]] - 1, "reconnect" if d["s"] in again else "stream"))
+            last[d["s"]] = d["u"]
+            again.discard(d["s"])
+    return out
+
+
+def streams(seed, n):
+    """Updates of three symbols that mostly follow on each other, with holes, repeats, overlaps and connections."""
+    draw, at, out = random.Random(seed), {}, []
+    for _ in range(n):
+        if draw.random() < 0.12:
+            out.append(draw.choice(["#connected", "#connected", "#note", quote()]))
+            continue
+        s = draw.choice(["AAA", "BBB", "CCC"])
+        first = at.get(s, draw.randint(1, 900)) + 1 + draw.choice([0] * 6 + [1, 7, 45, -1, -13])
+        at[s] = first + draw.randint(0, 30)
+        out.append(depth(first, at[s], s))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("rows", [None, 17])
+def test_gaps_against_plain_steps(spark, seed, rows, monkeypatch):
+    """Also where the rows are cut into pieces: what a piece needs of those before it is carried over."""
+    if rows:
+        monkeypatch.setattr(running, "PIECE", rows)
+    payloads = streams(seed, 90)
+    records = decode.typed(decode.decoded(raw(spark, payloads)))
+    got = detect_gaps(decode.depth(records), decode.markers(records)).orderBy("seq").collect()
+    assert [(r.symbol, r.prev_final_update_id, r.first_update_id, r.missing_update_ids, r.cause) for r in got] == account(payloads)
+
+
+def test_no_updates_no_gaps(spark):
+    records = decode.typed(decode.decoded(raw(spark, ["#connected", trade()])))
+    assert detect_gaps(decode.depth(records), decode.markers(records)).count() == 0
 
 
 def test_malformed_lines(spark):
@@ -68,20 +102,69 @@ def test_malformed_lines(spark):
     assert [(r.received_ns, r.payload) for r in got] == [(1790942400000000000, "ok"), (7, "a\tb")]
 
 
-def test_archive_order(spark, tmp_path):
-    ns = 1790942400000000000
-    for root, hour, rows in (("a", "12", [(5, "p"), (3, "q"), (9, "r")]), ("b", "12", [(4, "s"), (5, "t")]), ("a", "13", [(1, "u")])):
-        folder = tmp_path / root / "2026-10-02"
-        folder.mkdir(parents=True, exist_ok=True)
-        (folder / f"{hour}.tsv").write_text("".join(f"{ns + n * 1000}\t{p}\n" for n, p in rows))
-    got = read_archive(spark, str(tmp_path / "a"), str(tmp_path / "b"), str(tmp_path / "a")).orderBy("seq").collect()
-    assert [r.payload for r in got] == ["s", "p", "q", "t", "r", "u"]
-    assert got[0].received_at.microsecond == 4
+def test_skipped_lines_are_counted(spark, tmp_path):
+    path = tmp_path / "2026-10-02" / "12.tsv"
+    path.parent.mkdir()
+    path.write_text("5000\ta\nno tab\n\tx\n7000\tb\n99999999999999999999\tc\n")
+    skipped = Observation()
+    rows = read_archive(spark, str(tmp_path), skipped=skipped)
+    assert [r.payload for r in rows.orderBy("seq").collect()] == ["a", "b"]
+    assert skipped.get["n"] == 3
+
+
+def merged(files):
+    """The archive's order by plain steps: hour by hour, the file whose next line is the earliest gives it; ties go to the path."""
+    out = []
+    for hour in sorted({h for _, h, _ in files}):
+        heads = [(path, list(rows)) for path, h, rows in sorted(files) if h == hour]
+        while any(rows for _, rows in heads):
+            path, rows = min((x for x in heads if x[1]), key=lambda x: (x[1][0][0], x[0]))
+            out.append(rows.pop(0)[1])
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_archive_order(spark, tmp_path, seed):
+    """Several folders with the same hours, clocks that go back, plain and packed files."""
+    draw, files = random.Random(seed), []
+    for root in "ab":
+        for hour in ("2026-10-02/23", "2026-10-03/00"):
+            now, rows = 1_790_000_000_000_000_000, []
+            for k in range(draw.randint(0, 12)):
+                now += draw.choice([0, 1000, 5000, -3000])
+                rows.append((now, f"{root}{hour[-2:]}-{k}"))
+            path = tmp_path / root / f"{hour}.tsv"
+            path.parent.mkdir(parents=True, exist_ok=True)
+            text = "".join(f"{ns}\t{p}\n" for ns, p in rows)
+            if draw.random() < 0.5:
+                path = path.with_suffix(".tsv.gz")
+                path.write_bytes(gzip.compress(text.encode()))
+            else:
+                path.write_text(text)
+            files.append((str(path), hour, rows))
+    got = read_archive(spark, str(tmp_path / "a"), str(tmp_path / "b"), str(tmp_path / "a"), files[0][0], str(tmp_path)).orderBy("seq").collect()
+    # a file gives a line once those before it are given: merge by the running maximum
+    rising = [(p, h, [(max(x for x, _ in rows[: i + 1]), v) for i, (_, v) in enumerate(rows)]) for p, h, rows in files]
+    assert [r.payload for r in got] == merged(rising)
+
+
+def test_explicit_files_of_any_name(spark, tmp_path):
+    odd, other = tmp_path / "capture.log", tmp_path / "x" / "07.txt"
+    other.parent.mkdir()
+    odd.write_text("2000\tb\n"), other.write_text("1000\ta\n")
+    assert sorted(r.payload for r in read_archive(spark, str(odd), str(other), str(odd)).collect()) == ["a", "b"]
 
 
 def test_archive_round_trip(spark, tmp_path):
-    rows = raw(spark, ["a", "#connected", "b\tc"])
-    write_archive(rows, str(tmp_path / "out"))
-    back = spark.read.text(str(tmp_path / "out"), recursiveFileLookup=True)
-    got = decoded_lines(back).orderBy("received_ns").collect()
-    assert [r.payload for r in got] == ["a", "#connected", "b\tc"]
+    """What is written is read back: order, nanoseconds, hours, tabs in payloads; a second batch adds to it."""
+    ns = 1_790_942_399_123_456_789
+    rows = [(i, ns + 400_000_000 * i, p) for i, p in enumerate(["a", "#connected", "b\tc", "d", "e"])]
+    frames = spark.createDataFrame(rows, "seq long, received_ns long, payload string").withColumn("received_at", F.timestamp_micros(F.expr("received_ns div 1000")))
+    assert write_archive(frames, str(tmp_path / "out")) == 2
+    back = read_archive(spark, str(tmp_path / "out")).orderBy("seq").collect()
+    assert [(r.received_ns, r.payload) for r in back] == [(r[1], r[2]) for r in rows]
+    write_archive(raw(spark, ["later"]), str(tmp_path / "out"), compressed=False)
+    again = read_archive(spark, str(tmp_path / "out")).orderBy("seq").collect()
+    assert len(again) == 6 and {r.received_at for r in again} >= {T0.replace(tzinfo=None)}
+    write_recording(frames, str(tmp_path / "recording"))
+    assert sorted(r.payload for r in read_recording(spark, str(tmp_path / "recording")).collect()) == sorted(r[2] for r in rows)
