@@ -1,5 +1,6 @@
 """Parts of the corpus operators that need no session, against brute force or exact round trips."""
 
+import math
 import random
 import re
 
@@ -30,53 +31,79 @@ def test_blocks_round_trip(n, high):
         assert (token_file.unpack_from(data, s, c) == x[s : s + c]).all()
 
 
-def test_pieces_join_to_the_text():
-    for t in texts(500):
-        assert "".join(chunks.pieces(t)) == t
+#: Texts with added tokens, and with blanks and line ends in all places.
+ODD = ["a\0b, c", "hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>", "x <| y", " ", "a b\n", "a b\n\n", "\na", "a\n\nb", "a\n\n\nb", "\tfoo a", "a \nb", "a\n b", "x,\ny. z", "l'eau. d'une, it's, don't.", "ab,.", "日本.", "\u2028a\u2028b", "a\r\nb"]
 
 
-def test_memo_gives_what_the_library_gives():
+@pytest.mark.parametrize("size", [3, 100_000])
+def test_encoder_gives_what_the_library_gives(size):
+    """Also where little is remembered, and for texts beside others that are new."""
+    import pyarrow as pa
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    own, memo = Tokenizer.from_file(path), token_file._memo(path)
-    assert token_file.PATTERN == public_tokenizers.PATTERN
-    for t in texts(500):
-        p = chunks.pieces(t)
-        memo.prepare([p])
-        assert np.frombuffer(b"".join(map(memo.__getitem__, p)), "<u4").tolist() == own.encode(t, add_special_tokens=False).ids
+    own, encode, draw = Tokenizer.from_file(path), token_file.Library(path, size=size), random.Random(size)
+    lines = ["".join(draw.choice("ab,. \n") for _ in range(draw.randint(0, 40))) for _ in range(300)]
+    for some in (ODD, texts(500), lines, [""], ["word " * 20_000, "w" * 20_000]):
+        ids, sizes = encode(pa.array(some), b"\x02\0\0\0")
+        at = 0
+        for t, n in zip(some, sizes.tolist(), strict=True):
+            assert ids[at : at + n].tolist() == [*own.encode(t, add_special_tokens=False).ids, 2]
+            at += n
+        assert at == len(ids)
+    ids, _ = encode(pa.array(ODD[1:2]), b"\x02\0\0\0")
+    assert ids.tolist() == [31373, 220, 50256, 995, 2]
+
+
+class Upper(chunks.Parts):
+    line = b"\n\n\n\n"
+
+    def encode(self, texts):
+        self.asked += len(texts)
+        return [b"".join(c.encode("utf-32-le") for c in t.upper()) for t in texts]
+
+
+def test_parts_join_to_the_text_and_stay_bounded():
+    import pyarrow as pa
+
+    own = Upper(size=50)
+    own.asked = 0
+    for at in range(0, 2000, 40):
+        some = texts(2000)[at : at + 40] + ["alpha beta, gamma.\nalpha"]
+        ids, sizes = own(pa.array(some))
+        assert len(own.old) <= 50 + 4000 and sizes.sum() == len(ids)
+        ends = np.cumsum(sizes)
+        for t, s, e in zip(some, ends - sizes, ends, strict=True):
+            got = ids[s:e].tobytes().replace(b"\n\n\n\n", "\n".encode("utf-32-le"))
+            assert got.decode("utf-32-le") == t.upper()
+    known = own.asked
+    own(pa.array(["alpha beta, gamma.\nalpha"]))
+    assert own.asked == known
+
+
+def test_batches_are_put_together(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(chunks, "GATHER", 300)
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array(["x" * 100])], names=["i", "t"]) for i in range(7)]
+    got = [c[0].to_pylist() for c in chunks.together(iter(batches))]
+    assert [x for g in got for x in g] == list(range(7)) and 1 < len(got) < 7
+
+
+@pytest.mark.parametrize("size", [3, 100_000])
+def test_bpe_equals_the_library(size):
+    import pyarrow as pa
 
-
-def test_added_tokens_stay_whole_among_other_new_pieces():
-    from tokenizers import Tokenizer
-
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    own = Tokenizer.from_file(path)
-    mixed = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>", "<|endoftext|><|endoftext|>b", "x <| y", "some other new words", "  two  blanks "]
-    token_file._memo.cache_clear()
-    memo, parts = token_file._memo(path), [chunks.pieces(t) for t in mixed]
-    memo.prepare(parts)
-    for t, p in zip(mixed, parts, strict=True):
-        assert np.frombuffer(b"".join(map(memo.__getitem__, p)), "<u4").tolist() == own.encode(t, add_special_tokens=False).ids
-    assert np.frombuffer(memo[mixed[0]], "<u4").tolist() == [31373, 220, 50256, 995]
-
-
-def test_memo_stays_bounded():
-    memo = chunks.Memo(lambda xs: [x.upper() for x in xs], size=10)
-    for i in range(500):
-        assert memo[f"w{i % 37}"] == f"W{i % 37}"
-        assert len(memo) <= 10 and len(memo.old) <= 10
-
-
-def test_bpe_equals_the_library():
     tiktoken = pytest.importorskip("tiktoken")
-    bpe = byte_bpe.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    bpe = byte_bpe.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, size=size)
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
-    for t in texts(1500, seed=3):
-        ids = bpe.encode(t)
-        assert ids == own.encode_ordinary(t)
-        assert bpe.decode(ids) == t.encode()
-        assert bpe.encoded(t) == (ids, ",".join(map(str, ids)))
+    for some in (ODD, texts(1500, seed=3), [""], ["word " * 20_000 + "x"]):
+        ids, sizes = bpe(pa.array(some))
+        at = 0
+        for t, n in zip(some, sizes.tolist(), strict=True):
+            assert ids[at : at + n].tolist() == own.encode_ordinary(t) == bpe.ids(t)
+            assert bpe.decode(ids[at : at + n].tolist()) == t.encode()
+            at += n
 
 
 def test_wav_and_fingerprint():
@@ -141,20 +168,46 @@ def test_shingles():
 def test_seating():
     draw = np.random.default_rng(0)
     c = np.array([1, 2, 5, 1000, 100_000])
-    t = np.mean([seating.tables(c, np.full(5, 0.5), 0.5, draw) for _ in range(50)], axis=0)
+    t = np.mean([seating.tables(c, np.full(5, 0.5), 0.5, draw) for _ in range(200)], axis=0)
     assert t[0] == 1 and (t >= 1).all() and (t <= c).all() and (np.diff(t) >= 0).all()
-
-
-def test_seating_against_the_exact_distribution():
-    """P(t tables | c customers) is in proportion to a ** t times the generalised Stirling number."""
-    a, d, c = 1.3, 0.4, 6
-    s = {(0, 0): 1.0}
-    for n in range(c):
-        for t in range(n + 2):
-            s[n + 1, t] = s.get((n, t - 1), 0.0) + (n - d * t) * s.get((n, t), 0.0)
-    weight = np.array([a**t * s.get((c, t), 0.0) for t in range(1, c + 1)])
-    got = np.bincount(seating.tables(np.full(40_000, c), np.full(40_000, a), d, np.random.default_rng(1), steps=40), minlength=c + 1)[1:]
-    assert got / got.sum() == pytest.approx(weight / weight.sum(), abs=0.02)
+    assert len(seating.tables(np.empty(0, int), np.empty(0), 0.5, draw)) == 0
+
+
+def stirling(most, d):
+    """log S(c, t) for all c up to most: the numbers of seatings of c customers at t tables, by the next customer's choices."""
+    out = np.full((most + 1, most + 1), -np.inf)
+    out[1, 1] = 0.0
+    for c in range(1, most):
+        for t in range(1, c + 1):
+            out[c + 1, t] = np.logaddexp(out[c + 1, t], out[c, t] + math.log(c - d * t))
+            out[c + 1, t + 1] = np.logaddexp(out[c + 1, t + 1], out[c, t])
+    return out
+
+
+@pytest.mark.parametrize("c,a,d", [(6, 1.3, 0.4), (6, 0.01, 0.9), (50, 3.0, 0.4), (50, 40.0, 0.7), (400, 3.0, 0.4), (400, 0.2, 0.8), (400, 15.0, 0.3), (400, 60.0, 0.6), (400, 500.0, 0.5)])
+def test_seating_against_the_exact_distribution(c, a, d):
+    """P(t tables | c customers) is in proportion to a ** t S(c, t); as production draws it."""
+    t = np.arange(1, c + 1)
+    weight = t * math.log(a) + stirling(c, d)[c, 1:]
+    weight = np.exp(weight - weight.max())
+    weight /= weight.sum()
+    mean = (weight * t).sum()
+    deviation = math.sqrt((weight * t * t).sum() - mean**2)
+    got = seating.tables(np.full(40_000, c), np.full(40_000, a), d, np.random.default_rng(1))
+    assert got.mean() == pytest.approx(mean, abs=0.02 * deviation + 0.5 * (a > 20 and c > 256) + 0.02)
+    assert got.std() == pytest.approx(deviation, rel=0.05, abs=0.02)
+    if c <= 50:
+        assert np.bincount(got, minlength=c + 1)[1:] / len(got) == pytest.approx(weight, abs=0.012)
+
+
+def test_seating_where_tables_draw_tables():
+    """With a dish alone in its restaurant, opening grows with its own tables: a (a + step) ... S(c, t)."""
+    c, a, d = 30, 0.6, 0.5
+    t = np.arange(1, c + 1)
+    weight = np.cumsum(np.log(a + d * 0.3 * np.arange(c))) + stirling(c, d)[c, 1:]
+    weight = np.exp(weight - weight.max())
+    got = seating.tables(np.full(20_000, c), np.full(20_000, a), d, np.random.default_rng(2), step=d * 0.3)
+    assert got.mean() == pytest.approx((weight * t).sum() / weight.sum(), abs=0.05)
 
 
 def test_isotonic_rises():

@@ -7,31 +7,30 @@ one before it, and on reaching a place from which nothing fits it goes back and
 given up at most once. Whether two tokens fit is worked out once by merging their bytes, and remembered; tokens are of
 bounded length, so a piece takes time in proportion to its length.
 
-Null texts are empty: no ids, no bytes. Each row is handled alone: ties, repeated rows and further columns play no part
+Null texts are empty: no ids, no bytes. Very long texts are handled whole, match by match. Each row is handled alone: ties, repeated rows and further columns play no part
 and an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterator
-from functools import cache
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.chunks import Memo, pieces
-from tideline.llm.common import arrow_rows, table, text_or_empty
+from tideline.llm.chunks import Parts, together
+from tideline.llm.common import ARROW_ROWS, arrow_bounds, held, lean, table, text_or_empty
 
 
-class ByteBpe:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+class ByteBpe(Parts):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, **options):
         import ahocorasick
         import regex
 
+        super().__init__(**options)
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.split = regex.compile(pattern).findall
@@ -40,8 +39,7 @@ class ByteBpe:
             self.found.add_word(token.decode("latin-1"), (i, len(token)))
         self.found.make_automaton()
         self.beside: dict[tuple[int, int], bool] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
-        self.memo = Memo(lambda texts: [self._piece(t) for t in texts], size=350_000)
+        (self.line,) = self.encode(["\n"])
 
     def merged(self, data: bytes) -> list[int]:
         """What the merges make of data, lowest rank first, leftmost of equals first."""
@@ -89,69 +87,46 @@ class ByteBpe:
             left.append(len(at[here + size]) - 1 if here + size < len(data) else -1)
         return out
 
-    def _piece(self, text: str) -> tuple[tuple[int, ...], str]:
-        """The ids of a piece, and the same in writing. Its matches are remembered too: many new pieces are known words beside known signs."""
-        if len(self.parts) > 300_000:
-            self.parts.clear()
-        ids: list[int] = []
-        for m in self.split(text):
-            if (found := self.parts.get(m)) is None:
-                found = tuple(self.match(m.encode("utf-8")))
-                if len(m) <= 64:
-                    self.parts[m] = found
-            ids += found
-        return tuple(ids), ",".join(map(str, ids))
-
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable([x[0] for x in map(self.memo.__getitem__, pieces(text))]))
-
-    def encoded(self, text: str) -> tuple[list[int], str]:
-        """The ids, and the same in writing."""
-        got = list(map(self.memo.__getitem__, pieces(text)))
-        return list(chain.from_iterable([x[0] for x in got])), ",".join([x[1] for x in got])
+    def ids(self, text: str) -> list[int]:
+        return [i for m in self.split(text) for i in self.match(m.encode("utf-8"))]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(self.ids(t), "<u4").tobytes() for t in texts]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-@cache
-def load(path: str, pattern: str) -> ByteBpe:
-    """The vocabulary of a file of base64 tokens and ranks; once per worker."""
+def load(path: str, pattern: str, **options) -> ByteBpe:
+    """The vocabulary of a file of base64 tokens and ranks."""
     with open(path, "rb") as f:
-        return ByteBpe({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, pattern)
+        return ByteBpe({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, pattern, **options)
 
 
 def encoded(df: DataFrame, *, vocabulary: str, pattern: str, text: str = "text", keep: list[str]) -> DataFrame:
     """The columns in keep, ids (array) and decoded (bytes, from the ids)."""
-    arrow_rows(df.sparkSession, 256)
+    arrow_bounds(df.sparkSession)
     source = df.select(*keep, text_or_empty(text).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(vocabulary, pattern)
-        for b in batches:
-            ids = [bpe.encode(t) for t in b.column(b.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(ids, pa.list_(pa.int32())), pa.array(map(bpe.decode, ids), pa.binary())], names=[*keep, "ids", "decoded"])
+        bpe = held(("bpe", vocabulary, pattern), lambda: load(vocabulary, pattern))
+        for columns in together(batches):
+            ids, sizes = bpe(columns[-1])
+            ends = np.cumsum(sizes)
+            whole = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int32)))
+            decoded = [bpe.decode(ids[s:e].tolist()) for s, e in zip(ends - sizes, ends, strict=True)]
+            out = pa.RecordBatch.from_arrays([*columns[:-1], whole, pa.array(decoded, pa.binary())], names=[*keep, "ids", "decoded"])
+            for at in range(0, out.num_rows, ARROW_ROWS):
+                yield out.slice(at, ARROW_ROWS)
 
-    return source.mapInArrow(run, ", ".join([*(f"`{n}` {t}" for n, t in source.dtypes[:-1]), "ids array<int>", "decoded binary"]))
+    return source.mapInArrow(lean(run), ", ".join([*(f"`{n}` {t}" for n, t in source.dtypes[:-1]), "ids array<int>", "decoded binary"]))
 
 
 def digests(df: DataFrame, *, vocabulary: str, pattern: str) -> DataFrame:
-    """doc_id with the number and digests of encoded()'s ids and bytes, taken where they are made."""
-    arrow_rows(df.sparkSession, 256)
-    source = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(vocabulary, pattern)
-        for b in batches:
-            sizes, ids_sha, bytes_sha = [], [], []
-            for text in b.column(1).to_pylist():
-                ids, written = bpe.encoded(text)
-                sizes.append(len(ids))
-                ids_sha.append(hashlib.sha256(written.encode()).hexdigest())
-                bytes_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(bytes_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return source.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    """doc_id with the number and digests of encoded()'s ids and bytes."""
+    out = encoded(df.withColumn("doc_id", F.col("doc_id").cast("bigint")), vocabulary=vocabulary, pattern=pattern, keep=["doc_id"])
+    written = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(written.cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

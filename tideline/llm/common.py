@@ -2,38 +2,48 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows per Arrow batch. Texts can be long, so batches are kept small: memory is bounded by this many rows.
-ARROW_ROWS = 500
+#: Rows and bytes of an Arrow batch at most. Texts can be long, so what a Python worker holds at once is bounded by bytes.
+ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
+
+_made: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_rows(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the Arrow batches that go to Python workers."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def arrow_bounds(spark: SparkSession) -> None:
+    """Bound the Arrow batches that go to Python workers. The bounds are the same for all operators, as they are read when a plan runs."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that all machines share; a temporary one only where none is set (tests)."""
+    """A new folder below the one that all machines share. Only in local mode, where none is set, one is made."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tideline-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    # small row groups: a writer holds one in memory
+    df.write.option("parquet.block.size", 16 << 20).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -43,6 +53,19 @@ def removed(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that settled() made, once nothing reads them any more."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            removed(df.sparkSession, path)
+
+
+def cleaned(spark: SparkSession) -> None:
+    """Delete all that operators have left in the shared folder: for when the results have been read or written elsewhere."""
+    while _made:
+        removed(spark, _made.pop())
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -50,3 +73,39 @@ def text_or_empty(column: str = "text"):
 def crc_mod5(column: str = "doc_id"):
     """crc32 of the id as text, modulo 5; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % 5
+
+
+_slot: list = [None, None]
+
+
+def trimmed() -> None:
+    """Give memory that is free back to the system, so that a worker isn't as large as its largest task for ever."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def held(key: tuple, make: Callable):
+    """What make() gave for key, once per worker. A worker holds one such thing at a time: operators that follow don't add up."""
+    if _slot[0] != key:
+        _slot[:] = [None, None]
+        gc.collect()
+        trimmed()
+        _slot[:] = [key, make()]
+    return _slot[1]
+
+
+def lean(run: Callable) -> Callable:
+    """A function of batches that gives free memory back when it has ended."""
+
+    def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            trimmed()
+
+    return ended

@@ -11,7 +11,7 @@ document) and payload. A payload, all little-endian, is
 The width is the number of bits that the chosen percentile of a block's differences needs; what doesn't fit is an
 exception. Segments end at documents, at the first end at or after SEGMENT ids, so a block start leads to any id.
 
-A null text is an empty one (its document is the end id alone). Documents with equal ids are ordered by text and all
+A very long text is a segment of its own, encoded whole. A null text is an empty one (its document is the end id alone). Documents with equal ids are ordered by text and all
 kept; a null id comes first. An empty table gives no files' rows. Further columns are not read.
 """
 
@@ -19,21 +19,18 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.chunks import Memo, pieces
-from tideline.llm.common import arrow_rows, shared_dir, table, text_or_empty
+from tideline.llm.chunks import Parts, together
+from tideline.llm.common import arrow_bounds, held, lean, shared_dir, table, text_or_empty
 
 BLOCK = 256
 SEGMENT = 1 << 16
 PERCENTILE = 97
-#: How the byte-level pre-tokenizer of such vocabularies cuts a text (a fixed value).
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SEGMENTS = "part int, segment int, offset bigint, n_tokens bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 
 
@@ -111,31 +108,32 @@ def unpack_from(data: bytes, start: int, count: int) -> np.ndarray:
     return unpack(part)[start - first * BLOCK : min(start + count, int(n)) - first * BLOCK]
 
 
-@cache
-def _memo(tokenizer: str) -> Memo:
-    """Ids (bytes) by piece; one for all tasks of a worker. New pieces are cut as the byte-level pre-tokenizer cuts them, unless they may hold an added token, and what is new of those goes to the library in one call."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import regex
-    from tokenizers import Tokenizer
+class Library(Parts):
+    """Ids from the tokenizers library. New parts go to it together, with a line end (always an id of its own there) between them."""
 
-    own = Tokenizer.from_file(tokenizer)
-    cut = regex.compile(PATTERN).findall
-    parts: dict[str, bytes] = {}
+    def __init__(self, tokenizer: str, **options):
+        super().__init__(**options)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    def library(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in own.encode_batch(texts, add_special_tokens=False)]
+        self.own = Tokenizer.from_file(tokenizer)
+        (self.line,) = self.encode(["\n"])
 
-    def encode(texts: list[str]) -> list[bytes]:
-        if len(texts) == 1:
-            return library(texts)
-        if len(parts) > 250_000:
-            parts.clear()
-        split = [[t] if "<|" in t else cut(t) for t in texts]
-        new = [p for p in {p for s in split for p in s} if p not in parts]
-        parts.update(zip(new, library(new), strict=True))
-        return [b"".join(map(parts.__getitem__, s)) for s in split]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.own.encode_batch(texts, add_special_tokens=False)]
 
-    return Memo(encode, size=400_000)
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        out = []
+        for at in range(0, len(parts), 512):
+            some = parts[at : at + 512]
+            ids = np.array(self.own.encode("\n".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(ids == np.frombuffer(self.line, "<u4")[0])
+            if len(self.line) == 4 and len(ends) == len(some) - 1:
+                raw, cuts = ids.tobytes(), [-4, *(4 * ends).tolist(), 4 * len(ids)]
+                out += [raw[s + 4 : e] for s, e in zip(cuts, cuts[1:], strict=False)]
+            else:  # not such a vocabulary
+                out += self.encode(some)
+        return out
 
 
 def _writer(tokenizer: str, end_id: int, segment: int):
@@ -144,28 +142,31 @@ def _writer(tokenizer: str, end_id: int, segment: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, memo = TaskContext.get().partitionId(), _memo(tokenizer)
-        docs, lengths, ids, held, number, offset = [], [], [], 0, 0, 0
+        part, encode = TaskContext.get().partitionId(), held(("library", tokenizer), lambda: Library(tokenizer))
+        docs, lengths, ids, filled, number, offset = [], [], [], 0, 0, 0
 
         def segment_row():
-            payload = pack(np.frombuffer(b"".join(ids), "<u4"))
+            payload = pack(np.concatenate(ids))
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-            row = [part, number, offset, held, docs, lengths, payload]
+            row = [part, number, offset, filled, docs, lengths, payload]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=[c.split()[0] for c in SEGMENTS.split(", ")])
 
-        for b in batches:
-            texts = [pieces(t) for t in b.column(1).to_pylist()]
-            memo.prepare(texts)
-            for doc, text in zip(b.column(0).to_pylist(), texts, strict=True):
-                got = b"".join(map(memo.__getitem__, text)) + end
-                docs.append(doc)
-                lengths.append(len(got) // 4)
-                ids.append(got)
-                held += lengths[-1]
-                if held >= segment:
+        for (names, texts) in together(batches):
+            names = names.to_pylist()
+            own, size = encode(texts, end)
+            upto, at = np.cumsum(size), 0
+            while at < len(size):
+                begin = upto[at] - size[at]
+                # up to the first document that fills the segment
+                to = min(int(np.searchsorted(upto, begin + segment - filled)) + 1, len(size))
+                docs += names[at:to]
+                lengths += size[at:to].tolist()
+                ids.append(own[begin : upto[to - 1]])
+                filled, at = filled + int(upto[to - 1] - begin), to
+                if filled >= segment:
                     yield segment_row()
-                    number, offset = number + 1, offset + held
-                    docs, lengths, ids, held = [], [], [], 0
+                    number, offset = number + 1, offset + filled
+                    docs, lengths, ids, filled = [], [], [], 0
         if docs:
             yield segment_row()
 
@@ -178,11 +179,11 @@ def write_tokens(df: DataFrame, path: str, *, tokenizer: str, end_id: int, doc_i
     Range partitions keep the order between tasks, a sort keeps it within one; each task keeps one segment in memory.
     """
     spark = df.sparkSession
-    arrow_rows(spark, 256)
+    arrow_bounds(spark)
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_writer(tokenizer, end_id, segment), SEGMENTS).write.option("compression", "zstd").parquet(path)
+    ordered.mapInArrow(lean(_writer(tokenizer, end_id, segment)), SEGMENTS).write.option("compression", "zstd").parquet(path)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
@@ -207,9 +208,9 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids (u32, little-endian) of every document, from the files."""
-    arrow_rows(spark, 16)
+    arrow_bounds(spark)
     segments = read_segments(spark, path).select("doc_ids", "lengths", "payload", (F.col("base") + F.col("offset")).alias("first"))
-    return segments.mapInArrow(_documents, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return segments.mapInArrow(lean(_documents), "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
