@@ -1,18 +1,23 @@
 """Personal data: detected entities get keyed surrogates of the same type, gender, script and format.
 
-Detected are e-mail addresses, IBANs, social security numbers, IPv4 addresses, phone and card numbers, and names after a
-title. A surrogate comes from a keyed hash of the entity as it is normalised (case and separators don't count), so one
-entity has one surrogate in all texts: coreference holds. Letters become letters of the same case, digits digits, and
-separators stay; parts of an IP address keep their number of digits and stay below 256; a card keeps its first digit and
-its Luhn remainder; a name keeps its title, its number of words and its script, and the title's gender.
+Detected are e-mail addresses, IBANs, social security numbers, IPv4 addresses, phone and card numbers, and names: after a
+title, or a known given name with a family name. A name is two entities, its given name (with its gender) and its family name,
+so "Mr. John Smith" and "Mr. Smith" share the surrogate of Smith, and Mr. and Mrs. Alex Kim share that of Kim alone. An entity
+is known by its normalised form (case and separators don't count), and has one surrogate in all texts: coreference holds.
+
+Surrogates come from a keyed hash. Letters become letters of the same script and case, digits digits, and separators stay. A
+card keeps its first digit and its Luhn remainder, an IBAN its country and its remainder modulo 97, an IP address the number of
+digits of its parts. A given name becomes one of its gender and script, a family name one of its script; the title stays.
 
 Distinctness: over all entities of all texts, a surrogate that two entities share, or that is itself an entity of the
-texts, is drawn again for all but the least of them, until none is left. What a hash gives to an entity depends on the
-key and on the entity, and where there was a collision on the other entities.
+texts, is drawn again for all but the least of them, until none is left. Spaces grow with the attempts, so this ends: names get
+more syllables, after WIDER attempts numbers and addresses get more digits or letters, and IP addresses parts of any length; if
+IP addresses still collide after LAST attempts (the texts then hold a good part of all there are), ValueError is raised.
 
 Texts without entities don't move. Those with some are keyed by digest, so copies are handled once; entities are joined
-with their surrogates and a text's surrogates are gathered by text. Null texts stay null, empty ones empty; every row
-gives one row; columns besides the two named are not read; an empty table gives an empty one.
+with their surrogates and a text's surrogates are gathered by text. Very long texts are handled whole; an entity has a bounded
+length. Null texts stay null, empty ones empty; every row gives one row; columns besides the two named are not read; an empty
+table gives an empty one.
 """
 
 from __future__ import annotations
@@ -20,31 +25,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import settled, table
+from tideline.llm.common import dropped, settled, table
 
 KINDS = ("email", "iban", "ssn", "ip", "phone", "card", "name")
-MALE, FEMALE, EITHER = r"Mr\.?|Herrn?|Señor|Monsieur|Господин", r"Mrs\.?|Ms\.?|Frau|Señora|Madame|Mme|Госпожа", r"Dr\.?|Prof\.?"
+WIDER, LAST = 6, 40
+MALE, FEMALE, EITHER = r"Mr\.?|Herrn?|Señor|Monsieur|Господин|Κύριος", r"Mrs\.?|Ms\.?|Frau|Señora|Madame|Mme|Госпожа|Κυρία", r"Dr\.?|Prof\.?"
+TITLE = f"{MALE}|{FEMALE}|{EITHER}"
+#: Given names by gender and script (Latin, Cyrillic, Greek): known ones, and first choices for surrogates. Fixed values.
+GIVEN = {
+    "mL": "James Robert Michael David Thomas Daniel Paul Peter Martin Felix Lukas Jonas Hugo Louis Carlos Diego John William George Charles Hans Klaus Pierre Jean Luis Juan".split(),
+    "fL": "Mary Linda Susan Karen Laura Julia Anna Clara Emma Sofia Marta Lucia Camille Louise Elena Ines Elizabeth Sarah Jane Alice Ingrid Petra Marie Sophie Carmen Rosa".split(),
+    "mC": "Иван Пётр Сергей Андрей Максим Олег Павел Юрий Николай Дмитрий".split(),
+    "fC": "Анна Мария Ольга Елена Ирина Нина Вера Юлия Татьяна Светлана".split(),
+    "mG": "Γιώργος Νίκος Δημήτρης Κώστας Πέτρος Αντώνης".split(),
+    "fG": "Μαρία Ελένη Κατερίνα Σοφία Άννα Δήμητρα".split(),
+}
+SYLLABLES = {
+    "L": "ba be bo da de do fa fe ga go ha ka ke ko la le lo ma me mo na ne no pa pe ra re ro sa se ta te".split(),
+    "C": "ба бе бо ва ве во га го да де до за зе ка ко ла ле ло ма ме мо на не но па ра ре ро са се та те".split(),
+    "G": "βα βε βο γα γο δα δε δο ζα κα κε κο λα λε λο μα με μο να νε νο πα πε πο ρα ρε ρο σα σε σο τα τε".split(),
+}
+#: What made-up given names end in.
+ENDINGS = {"mL": "n r s ldo".split(), "fL": "na la ra lia".split(), "mC": "н р м слав".split(), "fC": "на ла ра лия".split(), "mG": "ς νος ρος κης".split(), "fG": "να λα ρα νη".split()}
+#: Letters by script, small ones and capitals (the same where a script has none).
+ALPHABETS = (
+    (r"\p{IsLatin}", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    (r"\p{IsCyrillic}", "абвгдежзиклмнопрстуфхцчшэюя", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"),
+    (r"\p{IsGreek}", "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"),
+    (r"\p{IsHebrew}", *["אבגדהוזחטילמנסעפצקרשת"] * 2),
+    (r"\p{IsArabic}", *["ابتثجحخدذرزسشصضطظعغفقكلمنهوي"] * 2),
+    (r"\p{IsHan}", *["山川田中大小上下東西南北春夏秋冬木林森石金水火土日月"] * 2),
+    (r"\p{IsHiragana}", *["あいうえおかきくけこさしすせそたちつてとなにぬねの"] * 2),
+    (r"\p{IsKatakana}", *["アイウエオカキクケコサシスセソタチツテトナニヌネノ"] * 2),
+    (r"\p{IsHangul}", *["가나다라마바사아자차카타파하고노도로모보소오조초코토포호"] * 2),
+)
 _SEP = r"[ .-]?"
+_KNOWN = "|".join(n for names in GIVEN.values() for n in names)
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,254}+@[\p{L}\p{N}-]{1,63}+(?:\.[\p{L}\p{N}-]{1,63}+){1,8}",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
     "ip": r"(?<![\p{L}\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\p{L}\p{N}]|\.[0-9])",
     "phone": rf"(?<![\p{{L}}\p{{N}}+])(?:\+[0-9]{{1,3}}{_SEP}\(?[0-9]{{2,4}}\)?(?:{_SEP}[0-9]{{2,4}}){{2,4}}|\(?[0-9]{{3}}\)?[ .-][0-9]{{3}}[ .-][0-9]{{4}})(?![\p{{L}}\p{{N}}])",
     "card": r"(?<![\p{L}\p{N}])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE}|{EITHER}) \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?(?![\p{{L}}\p{{N}}])",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{TITLE}) \p{{Lu}}\p{{Ll}}{{1,60}}+(?: \p{{Lu}}\p{{Ll}}{{1,60}}+)?|(?:{_KNOWN}) \p{{Lu}}\p{{Ll}}{{1,60}}+)(?![\p{{L}}\p{{N}}])",
 }
 #: One pattern for all; what an earlier kind takes, a later one doesn't.
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Some entity can only be in a text with one of these.
-MAY = rf"@|[0-9][0-9 ().-]{{5,}}[0-9]|[A-Z]{{2}}[0-9]{{2}} ?[A-Z0-9]|{MALE}|{FEMALE}|{EITHER}"
-GIVEN = {
-    "mL": "James Robert Michael David Thomas Daniel Paul Peter Martin Felix Lukas Jonas Hugo Louis Carlos Diego".split(),
-    "fL": "Mary Linda Susan Karen Laura Julia Anna Clara Emma Sofia Marta Lucia Camille Louise Elena Ines".split(),
-    "mC": "Иван Пётр Сергей Андрей Максим Олег Павел Юрий".split(),
-    "fC": "Анна Мария Ольга Елена Ирина Нина Вера Юлия".split(),
-}
-SYLLABLES = {"L": "ba be bo da de do fa fe ga go ha ka ke ko la le lo ma me mo na ne no pa pe ra re ro sa se ta te".split(), "C": "ба бе бо ва ве во га го да де до за зе ка ко ла ле ло ма ме мо на не но па ра ре ро са се та те".split()}
+MAY = rf"@|[0-9][0-9 ().-]{{5,}}[0-9]|[A-Z]{{2}}[0-9]{{2}} ?[A-Z0-9]|{TITLE}|(?:{_KNOWN}) \p{{Lu}}"
 
 
 def _hashed(key: str, kind: Column, entity: Column, attempt: Column, salt: Column) -> Column:
@@ -60,24 +89,37 @@ def kind_of(value: Column) -> Column:
     return out
 
 
-def _entity(kind: Column, value: Column) -> Column:
-    """The identity of an entity: without case, separators and, for names, title."""
-    plain = F.regexp_replace(F.upper(value), r"[\s().+-]", "")
-    return F.when(kind == "email", F.lower(value)).when(kind == "ip", value).when(kind == "name", F.lower(F.regexp_replace(value, r"^\S+ ", ""))).otherwise(plain)
+def _one(options: str, n: Column) -> Column:
+    """The n-th (modulo their number) of these letters."""
+    return F.substr(F.lit(options), (F.pmod(n, F.lit(len(options))) + 1).cast("int"), F.lit(1))
+
 
+def _pick(words: list[str], n: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, words)), (F.pmod(n, F.lit(len(words))) + 1).cast("int"))
 
-def _letters(key: str, kind: Column, entity: Column, attempt: Column, form: Column) -> Column:
-    """form with each letter and digit replaced, by its place among the letters and digits, so separators don't matter."""
-    signs = F.filter(F.split(form, ""), lambda c: c != "")
-    places = F.transform(signs, lambda c, i: F.length(F.regexp_replace(F.concat_ws("", F.slice(signs, 1, i + 1)), r"[^\p{L}\p{N}]", "")))
+
+def _script(word: Column) -> Column:
+    return F.when(F.regexp_like(word, F.lit(r"^\p{IsCyrillic}")), "C").when(F.regexp_like(word, F.lit(r"^\p{IsGreek}")), "G").otherwise("L")
+
+
+def _letters(key: str, kind: Column, entity: Column, attempt: Column) -> Column:
+    """entity with each letter replaced by one of its script and case and each digit by a digit, by its place."""
+    signs = F.filter(F.split(entity, ""), lambda c: c != "")
 
     def sign(c: Column, n: Column) -> Column:
         h = _hashed(key, kind, entity, attempt, n)
-        upper, lower = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.lit("abcdefghijklmnopqrstuvwxyz")
-        first = F.when(n == 1, 1 + F.pmod(h, F.lit(9))).otherwise(F.pmod(h, F.lit(10)))
-        return F.when(F.regexp_like(c, F.lit(r"\p{Nd}")), first.cast("string")).when(F.regexp_like(c, F.lit(r"\p{Lu}")), F.substr(upper, (F.pmod(h, F.lit(26)) + 1).cast("int"), F.lit(1))).when(F.regexp_like(c, F.lit(r"\p{L}")), F.substr(lower, (F.pmod(h, F.lit(26)) + 1).cast("int"), F.lit(1))).otherwise(c)
+        out = F.when(F.regexp_like(c, F.lit(r"\p{Nd}")), F.when(n == 0, 1 + F.pmod(h, F.lit(9))).otherwise(F.pmod(h, F.lit(10))).cast("string"))
+        for script, small, capital in ALPHABETS:
+            own = F.regexp_like(c, F.lit(script)) & F.regexp_like(c, F.lit(r"\p{L}"))
+            out = out.when(own & F.regexp_like(c, F.lit(r"\p{Lu}")), _one(capital, h)).when(own, _one(small, h))
+        return out.when(F.regexp_like(c, F.lit(r"\p{L}")), _one(ALPHABETS[0][1], h)).otherwise(c)
+
+    return F.array_join(F.transform(signs, sign), "")
 
-    return F.array_join(F.zip_with(signs, places, sign), "")
+
+def _more(attempt: Column, filler: str) -> Column:
+    """What an entity is made longer by, once its space seems full."""
+    return F.repeat(F.lit(filler), F.greatest(F.lit(0), attempt - WIDER + 1).cast("int"))
 
 
 def _luhn(digits: Column) -> Column:
@@ -89,61 +131,119 @@ def _luhn(digits: Column) -> Column:
 
 def _card(key: str, entity: Column, attempt: Column) -> Column:
     """Digits of a card number's surrogate: the first stays, the last makes the Luhn remainder the same."""
-    body = F.concat(F.substring(entity, 1, 1), F.substr(_letters(key, F.lit("card"), entity, attempt, entity), F.lit(2), F.length(entity) - 2))
+    long = F.concat(entity, _more(attempt, "0"))
+    body = F.concat(F.substring(entity, 1, 1), F.substr(_letters(key, F.lit("card"), long, attempt), F.lit(2), F.length(long) - 2))
     return F.concat(body, F.pmod(_luhn(entity) - _luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
 
 
-def _name(key: str, entity: Column, attempt: Column, gender: Column) -> Column:
-    """One or two words for an entity of as many, in its script."""
-    cyrillic = F.regexp_like(entity, F.lit(r"^\p{IsCyrillic}"))
-    h = [_hashed(key, F.lit("name"), entity, attempt, F.lit(i)) for i in range(6)]
-    pick = lambda words, n: F.element_at(F.array(*map(F.lit, words)), (F.pmod(n, F.lit(len(words))) + 1).cast("int"))
-    given = lambda s: F.when(gender == "f", pick(GIVEN["f" + s], h[0])).when(gender == "m", pick(GIVEN["m" + s], h[0])).otherwise(pick(GIVEN["m" + s] + GIVEN["f" + s], h[0]))
-    family = lambda s: F.initcap(F.concat(*(pick(SYLLABLES[s], x) for x in h[1:5])))
-    two = F.contains(entity, F.lit(" "))
-    made = lambda s: F.when(two, F.concat_ws(" ", given(s), family(s))).otherwise(family(s))
-    return F.when(cyrillic, made("C")).otherwise(made("L"))
+def _mod97(text: Column) -> Column:
+    """The remainder of an IBAN's number: its first four signs moved to the end, letters as 10 to 35."""
+    signs = F.filter(F.split(F.concat(F.substr(text, F.lit(5)), F.substring(text, 1, 4)), ""), lambda c: c != "")
+    digit = F.regexp_like
+    return F.aggregate(signs, F.lit(0), lambda n, c: F.when(digit(c, F.lit("[0-9]")), n * 10 + c.cast("int")).otherwise(n * 100 + F.ascii(c) - 55) % 97)
+
+
+def _iban(key: str, entity: Column, attempt: Column) -> Column:
+    """The country stays, and check digits make the remainder the same."""
+    long = F.concat(entity, _more(attempt, "0"))
+    country, body = F.substring(entity, 1, 2), F.substr(_letters(key, F.lit("iban"), long, attempt), F.lit(5))
+    check = F.pmod(_mod97(entity) - _mod97(F.concat(country, F.lit("00"), body)), F.lit(97))
+    return F.concat(country, F.lpad(F.when(check < 2, check + 97).otherwise(check).cast("string"), 2, "0"), body)
+
+
+def _ip(key: str, entity: Column, attempt: Column) -> Column:
+    """Parts of as many digits, below 256; after WIDER attempts of any number of digits."""
+    h = lambda i: _hashed(key, F.lit("ip"), entity, attempt, i)
+    narrow = lambda p, i: F.when(F.length(p) == 3, 100 + F.pmod(h(i), F.lit(156))).when(F.length(p) == 2, 10 + F.pmod(h(i), F.lit(90))).otherwise(1 + F.pmod(h(i), F.lit(9)))
+    return F.array_join(F.transform(F.split(entity, r"\."), lambda p, i: F.when(attempt >= WIDER, F.pmod(h(i), F.lit(256))).otherwise(narrow(p, i)).cast("string")), ".")
+
+
+def _syllables(script: str, h, n: Column) -> Column:
+    """n syllables."""
+    return F.array_join(F.transform(F.sequence(F.lit(1), n.cast("int")), lambda i: _pick(SYLLABLES[script], h(i))), "")
+
+
+def _family(key: str, entity: Column, attempt: Column) -> Column:
+    h = lambda i: _hashed(key, F.lit("family"), entity, attempt, i)
+    made = lambda s: F.initcap(_syllables(s, h, 3 + attempt))
+    return F.when(_script(entity) == "C", made("C")).when(_script(entity) == "G", made("G")).otherwise(made("L"))
+
+
+def _given(key: str, entity: Column, attempt: Column, gender: Column) -> Column:
+    """A known name of the gender and script; from the third attempt on one of syllables with an ending of the gender."""
+    h = lambda i: _hashed(key, F.concat(F.lit("given"), gender), entity, attempt, i)
+    sex = F.when(gender == "x", F.when(F.pmod(h(F.lit(-1)), F.lit(2)) == 0, "m").otherwise("f")).otherwise(gender)
+    out = None
+    for s in "CGL":
+        for g in "mf":
+            made = F.when(attempt < 2, _pick(GIVEN[g + s], h(F.lit(0)))).otherwise(F.initcap(F.concat(_syllables(s, h, attempt), _pick(ENDINGS[g + s], h(F.lit(0))))))
+            own = (_script(entity) == s) & (sex == g)
+            out = F.when(own, made) if out is None else out.when(own, made)
+    return out
 
 
 def surrogate(key: str, kind: Column, entity: Column, attempt: Column, gender: Column) -> Column:
-    """The surrogate of an entity, in the form of its identity."""
-    parts = F.split(entity, r"\.")
-    octets = F.transform(parts, lambda p, i: F.when(F.length(p) == 3, 100 + F.pmod(_hashed(key, F.lit("ip"), entity, attempt, i), F.lit(156))).when(F.length(p) == 2, 10 + F.pmod(_hashed(key, F.lit("ip"), entity, attempt, i), F.lit(90))).otherwise(1 + F.pmod(_hashed(key, F.lit("ip"), entity, attempt, i), F.lit(9))).cast("string"))
-    return F.when(kind == "ip", F.array_join(octets, ".")).when(kind == "card", _card(key, entity, attempt)).when(kind == "name", _name(key, entity, attempt, gender)).otherwise(_letters(key, kind, entity, attempt, entity))
+    """The surrogate of an entity, in the form of its identity; names begin with a capital."""
+    email = _letters(key, kind, F.concat(_more(attempt, "a"), entity), attempt)
+    return (
+        F.when(kind == "ip", _ip(key, entity, attempt)).when(kind == "card", _card(key, entity, attempt)).when(kind == "iban", _iban(key, entity, attempt)).when(kind == "family", _family(key, entity, attempt))
+        .when(kind == "given", _given(key, entity, attempt, gender)).when(kind == "email", email).otherwise(_letters(key, kind, F.concat(entity, _more(attempt, "0")), attempt))
+    )
 
 
-def _formed(kind: Column, value: Column, made: Column) -> Column:
-    """The surrogate in the form of a mention: its separators, case and title."""
+def _formed(kind: Column, value: Column, made: Column, given: Column) -> Column:
+    """The surrogate in the form of a mention: its separators, case and title. Mentions that have separators are of bounded length."""
+    plain = F.length(F.regexp_replace(value, r"[\s().+-]", ""))
     signs = F.filter(F.split(value, ""), lambda c: c != "")
-    upto = F.transform(signs, lambda c, i: F.length(F.regexp_replace(F.concat_ws("", F.slice(signs, 1, i + 1)), r"[\s().+-]", "")))
-    spread = F.array_join(F.zip_with(signs, upto, lambda c, n: F.when(F.regexp_like(c, F.lit(r"[\s().+-]")), c).otherwise(F.substr(made, n.cast("int"), F.lit(1)))), "")
-    email = F.when(value == F.upper(value), F.upper(made)).otherwise(made)
-    name = F.concat(F.regexp_extract(value, r"^\S+ ", 0), made)
+    start = F.struct(F.lit(0).alias("n"), F.lit("").alias("out"))
+    separator = lambda c: F.regexp_like(c, F.lit(r"[\s().+-]"))
+    spread = F.aggregate(signs, start, lambda a, c: F.struct((a["n"] + F.when(separator(c), 0).otherwise(1)).alias("n"), F.concat(a["out"], F.when(separator(c), c).otherwise(F.substr(made, a["n"] + 1, F.lit(1)))).alias("out")))["out"]
+    spread = F.concat(spread, F.substr(made, plain + 1))
+    email = F.when((value == F.upper(value)) & (value != F.lower(value)), F.upper(made)).otherwise(made)
+    name = F.concat(F.regexp_extract(value, f"^(?:(?:{TITLE}) )?", 0), F.concat_ws(" ", given, made))
     return F.when(kind == "email", email).when(kind == "ip", made).when(kind == "name", name).otherwise(spread)
 
 
+def _parted(mentions: DataFrame) -> DataFrame:
+    """Adds main (kind and entity), given (entity, null but for full names) and gender."""
+    kind, value = F.col("kind"), F.col("value")
+    title, body = F.regexp_extract(value, f"^(?:{TITLE})(?= )", 0), F.regexp_replace(value, f"^(?:{TITLE}) ", "")
+    words = F.split(body, " ")
+    first = F.when((kind == "name") & (F.size(words) == 2), words[0])
+    known = {g: F.array(*(F.lit(n) for k, names in GIVEN.items() if k[0] == g for n in names)) for g in "mf"}
+    gender = F.when(F.regexp_like(title, F.lit(f"^(?:{MALE})$")), "m").when(F.regexp_like(title, F.lit(f"^(?:{FEMALE})$")), "f")
+    gender = gender.when(F.array_contains(known["m"], first), "m").when(F.array_contains(known["f"], first), "f").otherwise("x")
+    plain = F.regexp_replace(F.upper(value), r"[\s().+-]", "")
+    entity = F.when(kind == "email", F.lower(value)).when(kind == "ip", value).when(kind == "name", F.lower(F.element_at(words, -1))).otherwise(plain)
+    return mentions.withColumns({"main_kind": F.when(kind == "name", "family").otherwise(kind), "entity": entity, "given": F.lower(first), "gender": gender})
+
+
 def surrogates(key: str, mentions: DataFrame) -> DataFrame:
-    """kind, entity and made, for the distinct entities of mentions (kind, entity, gender); all made are distinct, and none is an entity."""
-    own = settled(mentions.groupBy("kind", "entity").agg(F.min("gender").alias("gender")).withColumn("attempt", F.lit(0)), "op8-entities")
-    taken = own.select("kind", F.col("entity").alias("made")).withColumn("real", F.lit(True))
+    """kind, entity, gender and made, for the distinct entities of _parted() mentions; all made of a kind are distinct, and none is an entity of it."""
+    main = mentions.select(F.col("main_kind").alias("kind"), "entity", F.lit("x").alias("gender"))
+    given = mentions.where("given is not null").select(F.lit("given").alias("kind"), F.col("given").alias("entity"), "gender")
+    own = settled(main.unionAll(given).distinct().withColumn("attempt", F.lit(0)), "op8-entities")
+    taken = own.select("kind", F.col("entity").alias("id")).distinct().withColumn("real", F.lit(True))
 
     def drawn(rows: DataFrame) -> DataFrame:
         return rows.withColumn("made", surrogate(key, F.col("kind"), F.col("entity"), F.col("attempt"), F.col("gender")))
 
-    def identity(column: str) -> Column:
-        return F.when(F.col("kind") == "name", F.lower(column)).otherwise(F.col(column))
-
+    identity = F.when(F.col("kind").isin("family", "given"), F.lower("made")).otherwise(F.col("made"))
     done = settled(drawn(own), "op8-made")
     while True:
-        first = done.withColumn("id", identity("made")).groupBy("kind", "id").agg(F.min("entity").alias("least"), F.count("*").alias("n"))
-        clash = first.join(taken.select("kind", F.col("made").alias("id"), "real"), ["kind", "id"], "left").where("n > 1 or real")
-        again = done.withColumn("id", identity("made")).join(clash.select("kind", "id", "least", "real"), ["kind", "id"]).where("real or entity <> least").select("kind", "entity")
-        again = settled(again.distinct(), "op8-again")
+        first = done.withColumn("id", identity).groupBy("kind", "id").agg(F.min(F.struct("entity", "gender")).alias("least"), F.count("*").alias("n"))
+        clash = first.join(taken, ["kind", "id"], "left").where("n > 1 or real")
+        again = done.withColumn("id", identity).join(clash.select("kind", "id", "least", "real"), ["kind", "id"]).where(F.col("real") | (F.struct("entity", "gender") != F.col("least")))
+        again = settled(again.select("kind", "entity", "gender", F.lit(1).alias("more")), "op8-again")
         if again.isEmpty():
-            return done.select("kind", "entity", "made")
-        marked = done.join(again.withColumn("more", F.lit(1)), ["kind", "entity"], "left")
+            dropped(own, again)
+            return done.select("kind", "entity", "gender", "made")
+        if not done.where(F.col("attempt") >= LAST).join(again, ["kind", "entity", "gender"], "left_semi").isEmpty():
+            raise ValueError(f"entities are left without a surrogate of their own after {LAST} attempts")
+        old, marked = done, done.join(again, ["kind", "entity", "gender"], "left")
         moved = drawn(marked.where("more = 1").select("kind", "entity", "gender", (F.col("attempt") + 1).alias("attempt")))
-        done = settled(marked.where("more is null").select("kind", "entity", "gender", "attempt", "made").unionByName(moved), "op8-made")
+        done = settled(marked.where("more is null").select("kind", "entity", "gender", "attempt", "made").unionByName(moved.select("kind", "entity", "gender", "attempt", "made")), "op8-made")
+        dropped(old, again)
 
 
 def replaced(docs: DataFrame, *, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -158,11 +258,12 @@ def replaced(docs: DataFrame, *, key: str, doc_id: str = "doc_id", text: str = "
     some = rows.where("digest is not null")
     once = some.select("digest", "hits").dropDuplicates(["digest"])
     mentions = once.select("digest", F.posexplode("hits").alias("at", "value")).withColumn("kind", kind_of(F.col("value")))
-    title = F.regexp_extract("value", r"^\S+", 0)
-    gender = F.when(F.regexp_like(title, F.lit(f"^(?:{MALE})$")), "m").when(F.regexp_like(title, F.lit(f"^(?:{FEMALE})$")), "f").otherwise("x")
-    mentions = settled(mentions.withColumn("entity", _entity(F.col("kind"), F.col("value"))).withColumn("gender", gender), "op8-mentions")
+    mentions = settled(_parted(mentions), "op8-mentions")
     made = surrogates(key, mentions)
-    new = mentions.join(made, ["kind", "entity"]).select("digest", "at", "kind", _formed(F.col("kind"), F.col("value"), F.col("made")).alias("new"))
+    main = made.where("kind <> 'given'").select(F.col("kind").alias("main_kind"), "entity", "made")
+    given = made.where("kind = 'given'").select(F.col("entity").alias("given"), "gender", F.col("made").alias("given_made"))
+    new = mentions.join(main, ["main_kind", "entity"]).join(given, ["given", "gender"], "left")
+    new = new.select("digest", "at", "kind", _formed(F.col("kind"), F.col("value"), F.col("made"), F.col("given_made")).alias("new"))
     by_text = new.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("at", "kind", "new"))).alias("new"))
     gaps = F.split("text", ANY, -1)
     text_out = F.array_join(F.flatten(F.zip_with(gaps, F.transform("new", lambda x: x["new"]), lambda g, s: F.array(g, F.coalesce(s, F.lit(""))))), "")
@@ -172,6 +273,6 @@ def replaced(docs: DataFrame, *, key: str, doc_id: str = "doc_id", text: str = "
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with surrogates for its personal data."""
-    out = replaced(table(spark, sf_dir, "documents"), key="tideline")
+    """Every document with surrogates for its personal data, by the key in spark.tideline.pii.key (a public one where that is unset)."""
+    out = replaced(table(spark, sf_dir, "documents"), key=spark.conf.get("spark.tideline.pii.key", "tideline"))
     return out.select("doc_id", "text", F.col("n_entities").cast("bigint").alias("n_entities"), *(F.element_at("kinds", i + 1).cast("bigint").alias(f"n_{k}") for i, k in enumerate(KINDS)))
