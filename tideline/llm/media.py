@@ -5,24 +5,24 @@ that are read back go through a short-time Fourier transform; in each frame the
 out from the band's mean over the recording is a peak, and each peak is paired with the peaks of the next frames. A
 pair is stored with its time: frame << 32 | bin << 20 | later bin << 8 | frames between.
 
-Null payloads count as empty ones. Equal payloads give equal values. Rows are independent: repeated rows and ties need
+Null payloads count as empty ones. Very long ones are transformed in parts of BLOCK frames; a batch holds bounded bytes, or
+one payload. Equal payloads give equal values. Rows are independent: repeated rows and ties need
 no rule, an empty table gives an empty one, and columns besides those named are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 import io
 import wave
-import zlib
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import arrow_rows, table, text_or_empty
+from tideline.llm.common import arrow_bounds, lean, settled, table, text_or_empty
 
 FRAME = 576
 HOP = 288
@@ -86,46 +86,58 @@ def fingerprint(samples: bytes) -> np.ndarray:
     return np.sort(np.concatenate(out)) if out else np.empty(0, np.int64)
 
 
-def _described(payload: bytes) -> dict:
-    stored = to_wav(payload)
-    back = from_wav(stored)
-    return {"media": stored, "payload": back, "fingerprint": fingerprint(back)}
+def recorded(df: DataFrame, payload: str, *, keep: list[str]) -> DataFrame:
+    """The columns in keep, and media: each payload's WAV bytes."""
+    arrow_bounds(df.sparkSession)
+    source = df.select(*keep, F.coalesce(F.col(payload).cast("binary"), F.lit(b"")).alias("__payload"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(map(to_wav, b.column(b.num_columns - 1).to_pylist()), pa.binary())], names=[*keep, "media"])
+
+    return source.mapInArrow(lean(run), ", ".join([*(f"`{n}` {t}" for n, t in source.dtypes[:-1]), "media binary"]))
 
-def media_columns(df: DataFrame, payload: str, *, keep: list[str]) -> DataFrame:
-    """The columns in keep, media (the WAV bytes), payload (read back from them), fingerprint (array of time-coded pairs)."""
-    arrow_rows(df.sparkSession, 128)
-    source = df.select(*keep, F.coalesce(F.col(payload).cast("binary"), F.lit(b"")).alias("__payload"))
-    schema = ", ".join(f"`{n}` {t}" for n, t in source.dtypes[:-1])
 
-    def run(batches):
+def described(media: DataFrame) -> DataFrame:
+    """All columns, payload (the samples of the recordings in the column media) and fingerprint (array of time-coded pairs)."""
+    arrow_bounds(media.sparkSession)
+    others = [c for c in media.columns if c != "media"]
+    source = media.select(*others, "media")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [_described(x) for x in b.column(b.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array([r["media"] for r in rows], pa.binary()), pa.array([r["payload"] for r in rows], pa.binary()), pa.array([r["fingerprint"] for r in rows], pa.list_(pa.int64()))],
-                names=[*keep, "media", "payload", "fingerprint"],
-            )
+            back = [from_wav(x) for x in b.column(b.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(back, pa.binary()), pa.array(map(fingerprint, back), pa.list_(pa.int64()))], names=[*others, "media", "payload", "fingerprint"])
+
+    return source.mapInArrow(lean(run), ", ".join([*(f"`{n}` {t}" for n, t in source.dtypes), "payload binary", "fingerprint array<bigint>"]))
+
+
+def media_columns(df: DataFrame, payload: str, *, keep: list[str]) -> DataFrame:
+    """The columns in keep, media (WAV bytes, as they are stored), payload (read back from them) and fingerprint (array of time-coded pairs).
 
-    return source.mapInArrow(run, f"{schema}{', ' if keep else ''}media binary, payload binary, fingerprint array<bigint>")
+    The recordings are a table in the shared folder, and what is described is what is read from it.
+    """
+    return described(settled(recorded(df, payload, keep=keep), "media"))
 
 
-DIGEST = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
+def padding(n_bytes: Column, unit: int = FRAME) -> Column:
+    """How many bytes padded() appends."""
+    return F.when(n_bytes == 0, unit).otherwise(F.pmod(-n_bytes, F.lit(unit)))
 
 
-def _digests(batches):
-    """The digest of what media_columns() gives, made where the columns are made so that they needn't travel."""
-    for b in batches:
-        out: list[tuple] = []
-        for doc, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
-            r = _described(padded(text))
-            marks = r["fingerprint"]
-            out.append((doc, len(text), len(r["payload"]), hashlib.sha256(r["payload"]).hexdigest(), zlib.crc32(r["payload"][-32:]), len(r["media"]), hashlib.sha256(r["media"]).hexdigest(), f"{len(marks)}:{hashlib.sha256(marks.astype('<i8').tobytes()).hexdigest()[:32]}"))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 8, kinds, strict=True)], names=[f.split()[0] for f in DIGEST.split(", ")])
+def written(fingerprint: str = "fingerprint") -> Column:
+    """The time-coded pairs in decimal digits, joined by commas."""
+    return F.array_join(F.transform(fingerprint, lambda x: x.cast("string")), ",")
 
 
-def op10_media_columns(spark, sf_dir: str) -> DataFrame:
-    """Every document's text as a WAV recording, with digests of what is stored, what is read back and its fingerprint."""
-    arrow_rows(spark, 128)
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    return docs.mapInArrow(_digests, DIGEST)
+def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text as a WAV recording, with digests of what is stored and read back, and its fingerprint."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
+    docs = docs.withColumn("n_bytes", F.octet_length("text").cast("bigint"))
+    fill = F.unhex(F.repeat(F.lit("FF"), padding(F.col("n_bytes")).cast("int")))
+    rows = media_columns(docs.withColumn("bytes", F.concat("text", fill)), "bytes", keep=["doc_id", "n_bytes"])
+    size = F.octet_length("payload")
+    return rows.select(
+        "doc_id", "n_bytes", size.cast("bigint").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.substr("payload", size - 31, F.lit(32))).alias("tail_crc32"),
+        F.octet_length("media").cast("bigint").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), written().alias("feature"),
+    )
