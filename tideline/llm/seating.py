@@ -1,70 +1,97 @@
-"""Chinese restaurants of Pitman-Yor processes, seated for many dishes at once."""
+"""Chinese restaurants of Pitman-Yor processes: how many tables the customers of a dish sit at, drawn for many dishes at once.
+
+Given the rest of its restaurant, a dish of c customers has t tables with a probability in proportion to S(c, t) times the
+weights of opening each of them, where S are the generalised Stirling numbers of discount d (all seatings of c customers at
+t tables). This is drawn as a whole, so no customer needs to be moved alone, however many there are.
+
+* Up to EXACT customers t is drawn from the exact distribution.
+* Beyond, a table opened by customer m draws (c / m) ** d later ones, so openings after the first EXACT customers are Poisson
+  with mean a / d * (1 - (EXACT / c) ** d) for a weight a, and those among the first follow the exact distribution of the
+  weight a * (EXACT / c) ** d.
+* Where the weight is over MANY, table sizes given the weight are independent but for their sum, so t is close to normal,
+  with the mean and variance of the saddle point. Both agree with the exact distribution to within a fraction of a table
+  for hundreds and thousands of customers (tests/llm/test_units.py).
+"""
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 
+EXACT = 256
+MANY = 20.0
+_CELLS = 1 << 20
 
-def _seated(c: np.ndarray, a: np.ndarray, d: float, draw: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """A first seating of c customers of each dish: the dish of each table (rising) and the tables' sizes.
 
-    Customers come one after another; the next to open a table after n customers at t tables is the m-th with
-    P(none before) = ((n - d t) / (n + m - d t)) ** a, so only openings are drawn. A table that was opened early has grown
-    in proportion to the room; the first takes what is left.
-    """
-    c = c.astype(np.float64)
-    n, t = np.ones(len(c)), np.ones(len(c))
-    live = np.flatnonzero(c > 1)
-    dish, room = [], []
-    while len(live):
-        with np.errstate(over="ignore"):
-            wait = np.floor((n[live] - d * t[live]) * np.minimum(draw.random(len(live)) ** (-1 / np.maximum(a[live], 1e-12)) - 1, 1e15)) + 1
-        n[live] += wait
-        live = live[n[live] <= c[live]]
-        dish.append(live)
-        room.append(n[live] - d * t[live])
-        t[live] += 1
-    if not dish:
-        return np.arange(len(c)), c.astype(np.int64)
-    later, room = np.concatenate(dish), np.concatenate(room)
-    size = np.maximum(1, np.floor(d + (1 - d) * (c[later] - d * t[later]) / np.maximum(room, 1e-9)))
-    size = np.where(np.bincount(later, size, len(c))[later] > c[later] - 1, 1, size)
-    first = c - np.bincount(later, size, len(c))
-    all_dish = np.concatenate([np.arange(len(c)), later])
-    order = np.argsort(all_dish, kind="stable")
-    return all_dish[order], np.concatenate([first, size])[order].astype(np.int64)
+@cache
+def log_stirling(d: float) -> np.ndarray:
+    """log S(c, t) for c and t up to EXACT: S(c + 1, t) = S(c, t - 1) + (c - d t) S(c, t)."""
+    out = np.full((EXACT + 1, EXACT + 1), -np.inf)
+    out[0, 0] = out[1, 1] = 0.0
+    t = np.arange(EXACT + 1)
+    for c in range(1, EXACT):
+        with np.errstate(divide="ignore"):
+            old = np.log(np.maximum(c - d * t, 0)) + out[c]
+        out[c + 1] = np.logaddexp(old, np.concatenate([[-np.inf], out[c, :-1]]))
+    return out
 
 
-def tables(c: np.ndarray, a: np.ndarray, d: float, draw: np.random.Generator, steps: int = 6) -> np.ndarray:
-    """Tables of each dish after Gibbs steps: a customer of each dish leaves and sits down again.
+def _exact(c: int, a: np.ndarray, step: np.ndarray, d: float, draw: np.random.Generator) -> np.ndarray:
+    """For dishes that all have c <= EXACT customers."""
+    out, rows = np.empty(len(a), np.int64), max(1, _CELLS // c)
+    for at in range(0, len(a), rows):
+        some = slice(at, at + rows)
+        weight = np.log(np.maximum(a[some, None] + step[some, None] * np.arange(c), 1e-300)).cumsum(axis=1) + log_stirling(d)[c, 1 : c + 1]
+        weight = np.exp(weight - weight.max(axis=1, keepdims=True)).cumsum(axis=1)
+        out[some] = 1 + (weight < draw.random(len(weight))[:, None] * weight[:, -1:]).sum(axis=1)
+    return np.minimum(out, c)
 
-    a is what a new table weighs: (strength + d * tables of the restaurant) * the dish's probability in the parent
-    restaurant; an old table weighs its size less d.
-    """
-    if not len(c):
-        return np.empty(0, np.int64)
-    dish, size = _seated(c, a, d, draw)
-    many = np.flatnonzero(c > 1)
-    for _ in range(steps if len(many) else 0):
-        ends = np.searchsorted(dish, many, side="right")
-        starts = np.searchsorted(dish, many, side="left")
-        upto = np.concatenate([[0], np.cumsum(size)])
-        left = np.searchsorted(upto, upto[starts] + np.floor(draw.random(len(many)) * c[many]), side="right") - 1
-        size[left] -= 1
-        weight = np.concatenate([[0.0], np.cumsum(np.where(size > 0, size - d, 0.0))])
-        old = weight[ends] - weight[starts]
-        at = draw.random(len(many)) * (a[many] + old) - a[many]
-        new = (at < 0) | (old <= 0)
-        joins = ~new
-        to = np.clip(np.searchsorted(weight, weight[starts[joins]] + at[joins], side="right") - 1, starts[joins], ends[joins] - 1)
-        empty = size[to] == 0
-        to[empty] = left[joins][empty]  # by rounding only: back to where the customer came from
-        size[to] += 1
-        back = new & (size[left] == 0)
-        size[left[back]] = 1
-        fresh = ends[new & ~back]
-        dish, size = np.insert(dish, fresh, many[new & ~back]), np.insert(size, fresh, 1)
-        kept = size > 0
-        dish, size = dish[kept], size[kept]
-    return np.bincount(dish, minlength=len(c))
 
+def _saddle(c: np.ndarray, a: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation of the tables of c customers for a large weight a."""
+    low, high = np.full(len(c), -690.0), np.zeros(len(c))
+    for _ in range(80):  # a (1 - s) s ** (d - 1) = c
+        middle = (low + high) / 2
+        s = np.exp(middle)
+        over = np.log(a) + np.log1p(-s) + (d - 1) * middle > np.log(c)
+        low, high = np.where(over, middle, low), np.where(over, high, middle)
+    s = np.exp(middle)
+    z, rest = 1 - s, 1 - s**d
+    mean = z * d * s ** (d - 1) / rest
+    square = z * z * d * (1 - d) * s ** (d - 2) / rest + mean
+    tables = a / d * rest
+    return tables + 1, np.sqrt(tables * np.maximum(0, 1 - mean * mean / square))
+
+
+def tables(c: np.ndarray, a: np.ndarray, d: float, draw: np.random.Generator, step: np.ndarray | float = 0.0) -> np.ndarray:
+    """Tables of each dish; opening one where it has i already weighs a + i * step.
+
+    a is (strength + d * the other dishes' tables) * the dish's probability in the parent restaurant, step is d * that.
+    """
+    c, a = np.asarray(c, np.int64), np.asarray(a, np.float64)
+    step = np.broadcast_to(np.asarray(step, np.float64), a.shape)
+    out = np.minimum(c, 1)
+    order = np.argsort(c, kind="stable")
+    few = order[np.searchsorted(c[order], 2) : np.searchsorted(c[order], EXACT, side="right")]
+    begin = np.flatnonzero(np.diff(c[few], prepend=0))
+    for s, e in zip(begin, np.append(begin[1:], len(few)), strict=False):
+        own = few[s:e]
+        out[own] = _exact(int(c[own[0]]), a[own], step[own], d, draw)
+    many = order[np.searchsorted(c[order], EXACT, side="right") :]
+    if len(many):
+        n = c[many].astype(np.float64)
+        # half of the tables are there when the middle one opens
+        weight = np.maximum(a[many], 1e-300)
+        weight = weight + step[many] * np.minimum(n, 1 + weight / d) / 2
+        share = (EXACT / n) ** d
+        light = weight <= MANY
+        own = many[light]
+        first = _exact(EXACT, (weight * share)[light], np.zeros(len(own)), d, draw)
+        out[own] = first + draw.poisson((weight / d * (1 - share))[light])
+        if not light.all():
+            own = many[~light]
+            mean, spread = _saddle(n[~light], weight[~light], d)
+            out[own] = np.rint(mean + spread * draw.normal(size=len(own)))
+        out[many] = np.clip(out[many], 1, c[many])
+    return out
