@@ -4,19 +4,22 @@
    one byte of each value to compare. Texts with equal sets are one node from here on, with their number as its weight.
 2. Nodes with an equal band key are candidates. A text pair at the threshold shares none of the BANDS keys with
    probability (1 - 0.8 ** ROWS) ** BANDS, about 3e-6; closer pairs far less. In a bucket, rows pass by once, in order:
-   each is compared with the bucket's leaders, and is a new leader unless one is within the distance d = 0.2. It is linked
-   with every leader within 2 d, so two texts within d of each other are always linked through a leader (triangle
-   inequality of the Jaccard distance), and no bucket makes all its pairs. Buckets over SALT rows are split; their parts'
-   leaders meet in a second pass that links within 3 d.
+   each is compared with the bucket's leaders, and is a new leader unless one differs from it in at most CLOSE of the HASHES
+   bytes. It is linked with every leader that differs in at most CLOSE + D, where D is what a pair at the threshold may differ
+   in. Differing bytes are a metric, so of two rows that differ in at most D the second is linked with the first's leader:
+   no bucket makes all its pairs, and none of these is lost. Buckets over SALT rows are split, with leaders for SPLIT_CLOSE
+   bytes; their parts' leaders meet in a second pass that links what differs in at most D + 3 * SPLIT_CLOSE.
 3. Comparing means Bayesian pruning: after each CHECK more MinHash bytes, a pair is dropped if the posterior probability
    (uniform prior) that its similarity reaches what is asked is below TOLERANCE.
-4. Components of these links are small but for groups of near copies. Each is cut into blocks of about BLOCK nodes, and
+4. Components of these links are small but for groups of near copies. Each is cut into blocks of about BLOCK nodes (fewer
+   where sets are large), and
    each two blocks of a component meet in one task: all their pairs are pruned as above at the threshold, and the rest are
    verified on the whole sets. A node leaves one row per block: how many texts it is linked with, and the least node that
    it hangs together with. Pairs are never written.
 
 Words are runs of ASCII letters, digits and non-ASCII characters after A-Z are lower-cased; a text of fewer than five
-words is one shingle. Texts without words (nulls too) are linked with nothing. All rows stay, repeated rows too: equal
+words is one shingle. Texts without words (nulls too) are linked with nothing. Very long texts take
+part with all their shingles. All rows stay, repeated rows too: equal
 texts are linked copies. A null doc_id takes part but names no class unless all ids of a class are null. Columns besides
 id and text are not read; an empty table gives an empty result. Ties in order are broken by the digest.
 """
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import arrow_rows, settled, table, text_or_empty
+from tideline.llm.common import arrow_bounds, held, lean, settled, table, text_or_empty
 from tideline.llm.components import components
 from tideline.llm.decontaminate import words
 
@@ -44,7 +47,9 @@ HASHES = BANDS * ROWS
 CHECK = 32
 TOLERANCE = 1e-6
 SALT = 1024
-BLOCK = 256
+CLOSE, SPLIT_CLOSE = 32, 12
+#: Nodes of a block at most, and about how many shingles their sets have at most.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 #: Nodes to verify up to which their (short) rows are broadcast to the documents.
 BROADCAST_ROWS = 100_000
 _ODD = (np.random.default_rng(20240229).integers(1, 1 << 63, HASHES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -59,15 +64,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
 
 
-@cache
 def _hashes() -> _Hashes:
-    return _Hashes()
+    return held(("hashes",), _Hashes)
 
 
 def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -140,7 +144,7 @@ SIGNED = "doc_id bigint, node binary, n bigint, signature binary, bands array<bi
 
 
 def signed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    arrow_rows(docs.sparkSession, 256)
+    arrow_bounds(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -158,7 +162,7 @@ def signed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
                     bands.append(np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "node", "n", "signature", "bands"])
 
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).cast("binary").alias("text")).mapInArrow(run, SIGNED)
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).cast("binary").alias("text")).mapInArrow(lean(run), SIGNED)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -169,7 +173,10 @@ class _Bucket:
     """The leaders of one bucket, as rows pass by."""
 
     def __init__(self, key):
-        self.key, self.nodes, self.rows, self.up = key, [], np.empty((0, HASHES), np.uint8), []
+        self.key, self.nodes, self.rows, self.up = key, [], np.empty((4, HASHES), np.uint8), []
+
+    def table(self) -> np.ndarray:
+        return self.rows[: len(self.nodes)]
 
     def top(self, i: int) -> int:
         while self.up[i] != i:
@@ -188,13 +195,25 @@ class _Bucket:
                 yield self.nodes[first], self.nodes[k]
 
     def lead(self, node: bytes, row: np.ndarray) -> None:
+        if len(self.nodes) == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
+        self.rows[len(self.nodes)] = row
         self.up.append(len(self.nodes))
         self.nodes.append(node)
-        self.rows = np.concatenate([self.rows, row[None]])
 
 
-def _linked(near: float, far: float):
-    """Rows key, node, signature sorted by key: gives key, a, b of links (a leader's with itself too)."""
+@cache
+def _within(differing: int) -> float:
+    """A similarity whose pruning keeps pairs that differ in so many of all bytes."""
+    return max(k / 100 for k in range(1, 100) if least_matches(k / 100)[-1] <= HASHES - differing)
+
+
+def _linked(close: tuple[int, int], far: tuple[int, int]):
+    """Rows key, [salt,] node, signature sorted by key: gives key, a, b of links (a leader's with itself too).
+
+    close and far: in how many bytes a row may differ from its leader, and from leaders that it is linked with; the second
+    of each where salt is at least 0, or isn't there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = _Bucket(None)
@@ -204,24 +223,23 @@ def _linked(near: float, far: float):
             # most buckets have two rows: compare all neighbours in the batch at once
             same = np.zeros(len(keys), bool)
             if len(keys) > 1:
-                same[1:] = (rows[1:] == rows[:-1]).sum(axis=1) >= least_matches(near)[-1]
+                same[1:] = (rows[1:] != rows[:-1]).sum(axis=1) <= min(close)
             out_key, out_a, out_b = [], [], []
             for i, key in enumerate(keys):
+                split = len(key) == 1 or key[1] >= 0
                 if key != bucket.key:
                     bucket, first = _Bucket(key), i
                     bucket.lead(nodes[i], rows[i])
                     out_key.append(key), out_a.append(nodes[i]), out_b.append(nodes[i])
                     continue
                 if len(bucket.nodes) == 1 and i == first + 1 and same[i] and keys[i - 1] == key:
-                    hit = [0]
-                    close = True
+                    hit, near = [0], True
                 else:
-                    linked = may_reach(bucket.rows, rows[i], far)
-                    hit = np.flatnonzero(linked)
-                    close = bool(len(hit)) and bool(may_reach(bucket.rows[hit], rows[i], near).any())
+                    hit = np.flatnonzero(may_reach(bucket.table(), rows[i], _within(far[split])))
+                    near = bool(len(hit)) and bool(((bucket.table()[hit] != rows[i]).sum(axis=1) <= close[split]).any())
                 for a, b in bucket.links(list(hit), nodes[i]) if len(hit) else ():
                     out_key.append(key), out_a.append(a), out_b.append(b)
-                if not close:
+                if not near:
                     bucket.lead(nodes[i], rows[i])
                     if len(hit):
                         bucket.up[-1] = bucket.top(hit[0])
@@ -242,11 +260,11 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
     kept = kept.withColumn("salt", F.when(F.col("size") > SALT, F.col("salt")).otherwise(-1))
     full = kept.join(nodes.select("node", "signature"), "node").select("key", "salt", "node", "signature")
     dealt = full.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt", "node")
-    d = 1 - THRESHOLD
-    arrow_rows(spark, 4096)
-    first = settled(dealt.mapInArrow(_linked(1 - d, 1 - 2 * d), "key bigint, salt int, a binary, b binary").where("salt >= 0 or a <> b"), "op2-links")
+    d = HASHES - least_matches(THRESHOLD)[-1]
+    arrow_bounds(spark)
+    first = settled(dealt.mapInArrow(lean(_linked((CLOSE, SPLIT_CLOSE), (d + CLOSE, d + SPLIT_CLOSE))), "key bigint, salt int, a binary, b binary").where("salt >= 0 or a <> b"), "op2-links")
     leaders = first.where("salt >= 0 and a = b").select("key", F.col("a").alias("node")).join(nodes.select("node", "signature"), "node").select("key", "node", "signature")
-    again = leaders.repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(_linked(1 - d, 1 - 3 * d), "key bigint, a binary, b binary")
+    again = leaders.repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(lean(_linked((SPLIT_CLOSE,) * 2, (d + 3 * SPLIT_CLOSE,) * 2)), "key bigint, a binary, b binary")
     links = first.select("a", "b").where("a <> b").unionAll(again.select("a", "b").where("a <> b")).distinct()
     # a leader comes before its rows: a < b, and a node has at most 2 * BANDS leaders. Each node keeps its least leader, and
     # its other leaders are linked with that one; as links repeat from bucket to bucket, few are left, and all hangs together
@@ -283,7 +301,7 @@ def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
     row = np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(column, kind="stable")
     column, row = column[order], row[order]
-    common, width = np.zeros((len(sets), len(sets)), np.float32), 8192
+    common, width = np.zeros((len(sets), len(sets)), np.float32), 4096
     for at in range(0, int(column[-1]) + 1, width):
         a, b = np.searchsorted(column, [at, at + width])
         x = np.zeros((len(sets), width), np.float32)
@@ -346,15 +364,15 @@ def verified(docs: DataFrame, nodes: DataFrame, comps: DataFrame, *, doc_id: str
     """node, links (texts it is linked with) and root, a row for each block that it has links in."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sizes = comps.groupBy("label").agg(F.count("*").alias("size"))
-    wanted = comps.join(sizes, "label").select(F.col("node"), F.col("label").alias("comp"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    wanted = wanted.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    wanted = settled(wanted.join(nodes.select("node", "doc", "weight", "signature"), "node"), "op2-wanted")
+    all_nodes = comps.join(nodes.select("node", "doc", "weight", "signature", "n"), "node")
+    sizes = all_nodes.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    wanted = all_nodes.join(sizes, "label").select("node", F.col("label").alias("comp"), "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), "doc", "weight", "signature")
+    wanted = settled(wanted, "op2-wanted")
     short = wanted.select(F.col("doc").alias("__doc"), "node")
     few = wanted.count() <= BROADCAST_ROWS
     own = docs.select(F.col(doc_id).cast("bigint").alias("__doc"), text_or_empty(text).cast("binary").alias("__text"))
     joined = own.join(F.broadcast(short) if few else short, own["__doc"].eqNullSafe(short["__doc"])).select("node", "__text")
-    arrow_rows(spark, 256)
+    arrow_bounds(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -365,16 +383,16 @@ def verified(docs: DataFrame, nodes: DataFrame, comps: DataFrame, *, doc_id: str
                     out.append((node, x))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.binary()), pa.array([r[1] for r in out], pa.binary())], names=["node", "set"])
 
-    sets = joined.mapInArrow(run, "node binary, set binary").dropDuplicates(["node"])
+    sets = joined.mapInArrow(lean(run), "node binary, set binary").dropDuplicates(["node"])
     full = wanted.join(sets, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     full = full.select("comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "weight", "signature", "set")
     dealt = full.repartition(parts, "comp", "i", "j").sortWithinPartitions("comp", "i", "j")
-    return dealt.mapInArrow(_blocks, "node binary, links bigint, root binary")
+    return dealt.mapInArrow(lean(_blocks), "node binary, links bigint, root binary")
 
 
 def noded(df: DataFrame, *, text: str = "text") -> DataFrame:
     """df with __node, the digest of each text's set; null where that is empty."""
-    arrow_rows(df.sparkSession, 256)
+    arrow_bounds(df.sparkSession)
     source = df.withColumn("__text", text_or_empty(text).cast("binary"))
     schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
 
@@ -384,7 +402,7 @@ def noded(df: DataFrame, *, text: str = "text") -> DataFrame:
             nodes = [hashlib.blake2b(x, digest_size=16).digest() if x else None for x in sets]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(nodes, pa.binary())], names=[*b.schema.names[:-1], "__node"])
 
-    return source.mapInArrow(run, f"{schema}, `__node` binary")
+    return source.mapInArrow(lean(run), f"{schema}, `__node` binary")
 
 
 def joined(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -395,7 +413,7 @@ def joined(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
 def classed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The columns of joined(), with node (of the text's set) and label (of its class), both null for a text without words."""
     rows = settled(signed(docs, doc_id=doc_id, text=text), "op2-rows")
-    nodes = settled(rows.where("n > 0").groupBy("node").agg(F.count("*").alias("weight"), F.min("doc_id").alias("doc"), F.first("signature").alias("signature"), F.first("bands").alias("bands")), "op2-nodes")
+    nodes = settled(rows.where("n > 0").groupBy("node").agg(F.count("*").alias("weight"), F.min("doc_id").alias("doc"), F.first("signature").alias("signature"), F.first("bands").alias("bands"), F.first("n").alias("n")), "op2-nodes")
     comps = components(candidate_links(nodes))
     found = settled(verified(docs, nodes, comps, doc_id=doc_id, text=text), "op2-found")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
@@ -412,3 +430,18 @@ def classed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> D
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near copies and its number of links."""
     return joined(table(spark, sf_dir, "documents"))
+
+
+#: Exact sets, all pairs that share a shingle, and classes by walking along links: for small tables.
+OP2_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS k, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT k, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT k, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT k, count(*) AS n FROM s GROUP BY k),
+p AS (SELECT a.k AS x, b.k AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.k <> b.k GROUP BY ALL),
+l AS MATERIALIZED (SELECT x, y FROM p JOIN n u ON u.k = x JOIN n v ON v.k = y WHERE 10 * c >= 8 * (u.n + v.n - c)),
+r(k, t) AS (SELECT k, k FROM n UNION SELECT r.k, l.y FROM r JOIN l ON r.t = l.x),
+m AS (SELECT r.k, min(d.doc_id) AS class_id FROM r JOIN d ON d.k = r.t GROUP BY r.k),
+c AS (SELECT x AS k, count(*) AS n_links FROM l GROUP BY x)
+SELECT doc_id, CASE WHEN len(w) > 0 THEN class_id ELSE doc_id END AS class_id, coalesce(n_links, 0) AS n_links FROM d LEFT JOIN m USING (k) LEFT JOIN c USING (k)
+"""

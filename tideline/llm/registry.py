@@ -5,7 +5,7 @@ from __future__ import annotations
 from tideline.llm.byte_bpe import op5_byte_bpe
 from tideline.llm.decontaminate import OP9_SQL, op9_decontaminate
 from tideline.llm.media import op10_media_columns
-from tideline.llm.ngram_join import op2_ngram_join
+from tideline.llm.ngram_join import OP2_SQL, op2_ngram_join
 from tideline.llm.pii import op8_pii_surrogates
 from tideline.llm.pitman_yor import op1_pitman_yor
 from tideline.llm.secret_scan import OP7_SQL, op7_secret_scan
@@ -19,4 +19,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op3_url_filter": OP3_SQL, "op7_secret_scan": OP7_SQL, "op9_decontaminate": OP9_SQL}
+    return {"op2_ngram_join": OP2_SQL, "op3_url_filter": OP3_SQL, "op7_secret_scan": OP7_SQL, "op9_decontaminate": OP9_SQL}
