@@ -86,6 +86,116 @@ def test_scores(spark, tables):
     assert total[False][0] > total[False][1]
 
 
+def _counts(texts):
+    """Counts of (context, word), by plain steps."""
+    pairs = Counter()
+    for t in texts:
+        own = [*t.lower().encode().split(), b""]
+        pairs.update(zip([b"", *own], own, strict=False))
+    return pairs
+
+
+def _predictive(pairs, t, top, d):
+    """p(word | context) of the two restaurants and the uniform root, for tables t of pairs and top of words; and that of unknown words."""
+    c_u, t_u, c_w = Counter(), Counter(), Counter()
+    for (u, w), n in pairs.items():
+        c_u[u] += n
+        t_u[u] += t[u, w]
+        c_w[w] += t[u, w]
+    root, customers, tables = 1 / (len(c_w) + 1), sum(c_w.values()), sum(top.values())
+    rest = (1 + d[1] * tables) / (1 + customers)
+
+    def p(u, w):
+        above = (max(c_w[w] - d[1] * top[w], 0) / (1 + customers) if w in c_w else 0) + rest * root
+        own = max(pairs[u, w] - d[0] * t[u, w], 0) / (1 + c_u[u]) if (u, w) in pairs else 0
+        return own + (1 + d[0] * t_u[u]) / (1 + c_u[u]) * above
+
+    return p
+
+
+def _discounts(pairs):
+    c_w = Counter(w for _, w in pairs)
+    ones = lambda c: sum(n == 1 for n in c.values()) / max(1, sum(n == 1 for n in c.values()) + 2 * sum(n == 2 for n in c.values()))
+    return [min(0.95, max(0.05, ones(c))) for c in (pairs, c_w)]
+
+
+def _sampled(pairs, rounds, kept):
+    """Gibbs sampling by customers, one after another, in one process: predictives of the last rounds."""
+    draw, d = random.Random(3), _discounts(pairs)
+    seats, tops, words = {k: [n] for k, n in pairs.items()}, {}, {w for _, w in pairs}
+    for w in words:
+        tops[w] = [sum(len(s) for (_, x), s in seats.items() if x == w)]
+    c_u = Counter()
+    for (u, _), n in pairs.items():
+        c_u[u] += n
+    root, out = 1 / (len(words) + 1), []
+
+    def leave(tables):
+        i = draw.choices(range(len(tables)), tables)[0]
+        tables[i] -= 1
+        if not tables[i]:
+            tables.pop(i)
+            return True
+        return False
+
+    def sit(tables, discount, fresh):
+        weights = [n - discount for n in tables] + [fresh]
+        i = draw.choices(range(len(weights)), weights)[0]
+        if i < len(tables):
+            tables[i] += 1
+            return False
+        tables.append(1)
+        return True
+
+    for number in range(rounds):
+        for (u, w), n in pairs.items():
+            for _ in range(n):
+                if leave(seats[u, w]):
+                    leave(tops[w])
+                t_u = sum(len(s) for (x, _), s in seats.items() if x == u)
+                n_top, t_top = sum(map(sum, tops.values())), sum(map(len, tops.values()))
+                above = (sum(tops[w]) - d[1] * len(tops[w])) / (1 + n_top) + (1 + d[1] * t_top) / (1 + n_top) * root
+                if sit(seats[u, w], d[0], (1 + d[0] * t_u) * above):
+                    sit(tops[w], d[1], (1 + d[1] * t_top) * root)
+        if number >= rounds - kept:
+            out.append(_predictive(pairs, {k: len(s) for k, s in seats.items()}, {w: len(s) for w, s in tops.items()}, d))
+    return out
+
+
+def _total(ps, text):
+    own = [*text.lower().encode().split(), b""]
+    return sum(math.log10(sum(p(u, w) for p in ps) / len(ps)) for u, w in zip([b"", *own], own, strict=False))
+
+
+LM = ["the cat sat on the mat", "the dog sat on the cat", "a dog ate the mat", "the cat ate a dog", "a cat and a dog sat", ""] * 3 + ["on the mat the dog sat", "new words here", "the the the"]
+ASKED = ["the dog sat on a mat", "words", "", "unseen the cat", "THE cat\tsat", "here new mat"]
+
+
+@pytest.mark.parametrize("common", [0, 10**9])
+def test_scores_of_the_first_seating_against_brute_force(spark, common, monkeypatch):
+    """One table per dish: scores are exact, whether words are dealt by their contexts or not."""
+    monkeypatch.setattr(pitman_yor, "HOT", common)
+    pairs = _counts(LM)
+    one = _predictive(pairs, dict.fromkeys(pairs, 1), dict.fromkeys({w for _, w in pairs}, 1), _discounts(pairs))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(LM + ASKED)], "doc_id bigint, text string").repartition(3)
+    rows = {r.doc_id: r for r in pitman_yor.scored(docs, F.col("doc_id") >= len(LM), rounds=0).collect()}
+    for i, t in enumerate(LM + ASKED):
+        assert rows[i].score == pytest.approx(_total([one], t), abs=pitman_yor.UNIT * (2 + len(t.split())))
+        assert rows[i].held_out == (i >= len(LM)) and rows[i].n_known == sum(w in {x for _, x in pairs} for w in [*t.lower().encode().split(), b""])
+
+
+def test_scores_against_gibbs_sampling_one_by_one(spark):
+    """Tables drawn dish by dish in rounds give what moving every customer gives, but for chance."""
+    want = _sampled(_counts(LM), 120, 100)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(LM + ASKED)], "doc_id bigint, text string")
+    scores = pitman_yor.scored(docs, F.col("doc_id") >= len(LM), rounds=12, kept=8)
+    rows = {r.doc_id: r.score for r in scores.collect()}
+    for i, t in enumerate(LM + ASKED):
+        assert rows[i] == pytest.approx(_total(want, t), abs=0.05 * (1 + len(t.split())))
+    known = {r.held_out: r for r in pitman_yor.perplexity(scores).collect()}
+    assert known[True].perplexity < known[True].base_perplexity and known[False].perplexity < known[False].base_perplexity
+
+
 def test_probabilities_add_up(spark):
     """Over all types and the unknown one, in any context."""
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b a c", "b a b", "c c d a", "a a a b"])], "doc_id bigint, text string")
@@ -159,16 +269,48 @@ def test_bpe(spark, tables):
     assert sorted(map(repr, map(tuple, byte_bpe.op5_byte_bpe(spark, tables).collect()))) == sorted(map(repr, want))
 
 
+def _transform(samples):
+    """The peaks' pairs of a recording by the definition of the transform, one frame and one bin at a time."""
+    import numpy as np
+
+    x = [(b - 128) / 128 for b in samples]
+    starts = range(0, len(x) - media.FRAME + 1, media.HOP)
+    window = [0.5 - 0.5 * math.cos(2 * math.pi * i / (media.FRAME - 1)) for i in range(media.FRAME)]
+    wave = np.exp(-2j * np.pi * np.outer(np.arange(media.FRAME // 2 + 1), np.arange(media.FRAME)) / media.FRAME)
+    sizes = [np.abs(wave @ np.array([x[s + i] * window[i] for i in range(media.FRAME)])) for s in starts]
+    peaks = [[max(range(a, b), key=lambda k, z=z: z[k]) for a, b in zip(media.BANDS, media.BANDS[1:], strict=False)] for z in sizes]
+    means = [sum(z[p[i]] for z, p in zip(sizes, peaks, strict=True)) / len(sizes) for i in range(len(media.BANDS) - 1)]
+    loud = [[k for i, k in enumerate(p) if z[k] >= means[i]] for z, p in zip(sizes, peaks, strict=True)]
+    return sorted((t << 32) | (a << 20) | (b << 8) | step for t in range(len(loud)) for step in range(1, media.REACH + 1) if t + step < len(loud) for a in loud[t] for b in loud[t + step])
+
+
 def test_media(spark, tables):
-    rows = media.op10_media_columns(spark, tables).collect()
-    by_text = {}
-    for r in rows:
-        by_text.setdefault(r.payload_sha256, set()).add((r.n_bytes, r.payload_bytes, r.tail_crc32, r.media_sha256, r.feature))
-    assert len(rows) == len(_rows()) and all(len(v) == 1 for v in by_text.values())
-    wide = media.media_columns(spark.createDataFrame([(1, b"abc"), (2, None)], "media int, p binary"), "p", keep=[]).collect()
+    import io
+    import wave
+
+    rows = {(r.doc_id, r.payload_sha256): r for r in media.op10_media_columns(spark, tables).collect()}
+    for i, t, *_ in _rows():
+        data = (t or "").encode()
+        payload = data + b"\xff" * (-len(data) % 576 or (0 if data else 576))
+        out = io.BytesIO()
+        with wave.open(out, "wb") as w:
+            w.setparams((1, 1, media.RATE, 0, "NONE", "not compressed"))
+            w.writeframes(payload)
+        stored, r = out.getvalue(), rows[i, hashlib.sha256(payload).hexdigest()]
+        assert (r.n_bytes, r.payload_bytes, r.tail_crc32, r.media_bytes, r.media_sha256) == (len(data), len(payload), zlib.crc32(payload[-32:]), len(stored), hashlib.sha256(stored).hexdigest())
+    wide = media.media_columns(spark.createDataFrame([(1, b"abc"), (2, None)], "media int, p binary").withColumnRenamed("media", "fingerprints"), "p", keep=["fingerprints"]).collect()
     assert sorted(bytes(r.payload) for r in wide) == [b"", b"abc"]
 
 
+def test_fingerprints_by_the_definition():
+    draw = random.Random(4)
+    texts = [" ".join(draw.choices(WORDS, k=400)).encode(), b"", b"a" * 3000]
+    for t in texts:
+        got, want = media.fingerprint(media.padded(t)).tolist(), _transform(media.padded(t))
+        # a loudest bin or a mean may be a matter of rounding
+        assert len(set(got) ^ set(want)) <= 0.02 * len(want) + (t == texts[2]) * len(want)
+
+
 def test_toxicity(spark, tables):
     rows = toxicity.op6_toxicity(spark, tables).collect()
     assert len(rows) == len(_rows()) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
@@ -208,11 +350,115 @@ def test_surrogates(spark):
     assert all(0x400 <= ord(c) < 0x500 for c in rows[5].text.split()[1])
 
 
-def test_surrogates_stay_distinct(spark, monkeypatch):
+def _replaced(spark, texts, key="k"):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return [r.text for r in sorted(pii.replaced(df, key=key).collect(), key=lambda r: r.doc_id)]
+
+
+def test_surrogates_stay_distinct(spark):
     """With room for few surrogates, collisions are drawn again until none is left."""
     texts = [f"10.0.0.{i}" for i in range(1, 8)]
-    rows = pii.replaced(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), key="k").collect()
-    assert len({r.text for r in rows}) == 7 and not {r.text for r in rows} & set(texts)
+    got = _replaced(spark, texts)
+    assert len(set(got)) == 7 and not set(got) & set(texts)
+
+
+def test_surrogates_of_a_full_space(spark):
+    """All addresses with parts of one digit: there is no other such, so wider ones are given, and it ends."""
+    texts = [f"{a}.{b}.{c}.{d}" for a in range(1, 10, 2) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
+    got = _replaced(spark, [" ".join(texts)])[0].split(" ")
+    assert len(set(got)) == len(texts) and not set(got) & set(texts)
+    assert all(0 <= int(p) < 256 for t in got for p in t.split("."))
+
+
+def test_persons(spark):
+    first, second, third, fourth = _replaced(spark, ["Mr. John Smith met Mr. Smith.", "Mrs. Alex Kim and Mr. Alex Kim", "Mary Smith wrote to Prof. Smith", "Κυρία Ελένη Παππά, Госпожа Анна Петрова"])
+    words = first.rstrip(".").split(" ")
+    assert words[0] == words[4] == "Mr." and words[3] == "met" and words[2] == words[5] and "Smith" not in first and "John" not in first
+    mrs, alex_f, kim, _, mr, alex_m, kim2 = second.split(" ")
+    assert (mrs, mr) == ("Mrs.", "Mr.") and kim == kim2 and alex_f != alex_m
+    assert alex_f in pii.GIVEN["fL"] and alex_m in pii.GIVEN["mL"]
+    assert third.split(" ")[1] == third.split(" ")[-1] == words[2] and third.split(" ")[0] in pii.GIVEN["fL"]
+    greek, russian = fourth.split(", ")
+    assert all(0x370 <= ord(c) < 0x400 for w in greek.split(" ") for c in w) and all(0x400 <= ord(c) < 0x500 for w in russian.split(" ") for c in w)
+
+
+def test_scripts_and_check_digits(spark):
+    mail, iban, phone = _replaced(spark, ["иван@пример.рф", "IBAN DE89 3704 0044 0532 0130 00.", "+49 30 1234567"])
+    assert mail != "иван@пример.рф" and all(0x400 <= ord(c) < 0x500 or c in "@." for c in mail)
+    own = iban.removeprefix("IBAN ").rstrip(".").replace(" ", "")
+    number = int("".join(str(int(c, 36)) for c in own[4:] + own[:4]))
+    assert own.startswith("DE") and own != "DE89370400440532013000" and number % 97 == 1 and len(own) == 22
+    assert len(phone) == len("+49 30 1234567") and phone[0] == "+" and phone[3] == " "
+
+
+def test_surrogates_against_plain_steps(spark):
+    """Random texts: all that isn't an entity stays, equal entities get equal surrogates, different ones different, none is real."""
+    import re
+
+    draw = random.Random(11)
+    mails = [f"{draw.choice('abc')}{i}@{draw.choice(['x.org', 'почта.рф'])}" for i in range(12)]
+    ips, ssns = [f"10.{i}.0.{i + 1}" for i in range(9)], [f"{100 + i}-2{i % 10}-3{i:03d}" for i in range(12)]
+    people = [(t, g, f) for t in ("Mr.", "Mrs.", "Dr.") for g in ("Alex", "John", "Kim") for f in ("Stone", "Hill", "Marsh")]
+    entities = mails + ips + ssns + [f"{t} {g} {f}" for t, g, f in people] + [f"{t} {f}" for t, _, f in people]
+    texts = [" and ".join(draw.choice(["(%s)", "see %s;", "%s"]) % e for e in draw.choices(entities, k=draw.randint(0, 6))) + draw.choice([" end", ""]) for _ in range(80)]
+    texts.append(texts[0])
+    got = _replaced(spark, texts)
+    assert got[-1] == got[0]
+    known = {}
+    for old, new in zip(texts, got, strict=True):
+        found = sorted({(m.start(), m.end()) for e in entities for m in re.finditer(r"(?<![\w.])" + re.escape(e) + r"(?!\w)", old)}, key=lambda x: (x[0], -x[1]))
+        spans = [x for x in found if not any(y != x and y[0] <= x[0] and x[1] <= y[1] for y in found)]
+        pattern, at = "", 0
+        for s, e in spans:
+            pattern += re.escape(old[at:s]) + "(.+?)"
+            at = e
+        match = re.fullmatch(pattern + re.escape(old[at:]), new)
+        assert match, (old, new)
+        for (s, e), value in zip(spans, match.groups(), strict=True):
+            assert known.setdefault(old[s:e], value) == value
+    assert len(set(known.values())) == len(known) and not set(known.values()) & set(known)
+    families = {}
+    for old, new in known.items():
+        if old.split(" ")[0] in ("Mr.", "Mrs.", "Dr."):
+            assert new.split(" ")[0] == old.split(" ")[0] and len(new.split(" ")) == len(old.split(" "))
+            assert families.setdefault(old.split(" ")[-1], new.split(" ")[-1]) == new.split(" ")[-1]
+    assert len(set(families.values())) == len(families)
+
+
+def test_long_lists_of_urls(spark):
+    """A list with many path lengths, against plain steps; the plan doesn't grow with the list."""
+    draw = random.Random(7)
+    hosts = ["a.com", "b.a.com", "com", "c.org", "x.y.c.org"]
+    rules = {(draw.choice(hosts), "/" + "".join(draw.choices("ab/", k=draw.randint(0, 300)))): draw.choice(["allow", "block"]) for _ in range(400)}
+    listed = list(rules)
+    urls = ["http://" + draw.choice(["", "w."]) + h + p[: draw.randint(1, 400)] + draw.choice(["", "ab", "?q", "#f"]) for h, p in draw.choices(listed, k=300)] + ["http://" + "a." * 500 + "com/" + "a" * 5000]
+
+    def fits(url):
+        rest = url.split("://", 1)[1]
+        host = rest.split("/")[0]
+        path = rest[len(host) :].split("?")[0].split("#")[0]
+        found = [(len(h + p), len(h), v, h + p) for (h, p), v in rules.items() if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(found)[2:] if found else ("allow", None)
+
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    table = spark.createDataFrame([(h, p, v) for (h, p), v in rules.items()], "host string, path string, verdict string")
+    got = {r.page_id: (r.verdict, r.rule) for r in url_filter.judged(pages, table, keep=["page_id"]).collect()}
+    assert got == {i: fits(u) for i, u in enumerate(urls)}
+    assert url_filter.judged(pages, table.limit(0), keep=["page_id"]).where("verdict <> 'allow' or rule is not null").isEmpty()
+
+
+def test_secrets_in_long_runs(spark):
+    """Long runs of letters take time in proportion."""
+    import time
+
+    took = []
+    for n in (20_000, 80_000):
+        df = spark.createDataFrame([(1, "z" * n + " :// password=abcdef12 " + "ab12 " * n)], "doc_id bigint, text string")
+        began = time.perf_counter()
+        (row,) = secret_scan.scanned(df).collect()
+        took.append(time.perf_counter() - began)
+        assert [secret_scan.KINDS[s["rank"]] for s in row.spans] == ["assign"]
+    assert took[1] < 8 * took[0] + 2
 
 
 OPERATORS = {
@@ -222,6 +468,9 @@ OPERATORS = {
     "surrogates": lambda d, e: pii.replaced(d, key="k"),
     "contamination": lambda d, e: decontaminate.contamination(d, e.select(F.lit("x").alias("item_id"), "text"), keep=["doc_id"]),
     "bpe": lambda d, e: byte_bpe.digests(d, vocabulary=public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern=public_tokenizers.PATTERN),
+    "urls": lambda d, e: url_filter.judged(d.withColumnRenamed("text", "url"), e.select(F.lit("com").alias("host"), F.lit("/").alias("path"), F.lit("block").alias("verdict")), keep=["doc_id"]),
+    "media": lambda d, e: media.media_columns(d, "text", keep=["doc_id"]),
+    "encoded": lambda d, e: byte_bpe.encoded(d, vocabulary=public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern=public_tokenizers.PATTERN, keep=["doc_id"]),
     "toxicity": lambda d, e: toxicity.scored(d, toxicity.train(d, d.select("doc_id", F.lit(1).alias("toxic")))),
 }
 

@@ -158,6 +158,40 @@ def test_pruning_keeps_near_pairs():
         assert bool(ngram_join.may_reach(a[None], b, real if kept else 0.8)[0]) is kept
 
 
+def test_no_link_is_lost_in_a_bucket():
+    """Rows at all distances from each other: those that differ in at most D bytes hang together, in one pass or two."""
+    import pyarrow as pa
+
+    draw = np.random.default_rng(8)
+    d = ngram_join.HASHES - ngram_join.least_matches(ngram_join.THRESHOLD)[-1]
+    rows = [draw.integers(0, 256, ngram_join.HASHES).astype(np.uint8)]
+    for _ in range(250):
+        row = rows[draw.integers(0, len(rows))].copy()
+        at = draw.permutation(len(row))[: draw.integers(1, d + 8)]
+        row[at] = draw.integers(0, 256, len(at))
+        rows.append(row)
+    nodes = [i.to_bytes(4, "big") for i in range(len(rows))]
+    parts = draw.integers(0, 3, len(rows))
+
+    def links(salts, close, far, some):
+        order = sorted(some, key=lambda i: (salts[i] if salts is not None else 0, nodes[i]))
+        columns = [pa.array([1] * len(order)), *([pa.array([int(salts[i]) for i in order], pa.int32())] if salts is not None else []), pa.array([nodes[i] for i in order], pa.binary()), pa.array([rows[i].tobytes() for i in order], pa.binary())]
+        names = ["key", *(["salt"] if salts is not None else []), "node", "signature"]
+        batch = pa.RecordBatch.from_arrays(columns, names=names)
+        got = list(ngram_join._linked(close, far)(iter([batch.slice(0, 100), batch.slice(100)])))
+        return [(int.from_bytes(r["a"], "big"), int.from_bytes(r["b"], "big")) for b in got for r in b.to_pylist()]
+
+    c, s = ngram_join.CLOSE, ngram_join.SPLIT_CLOSE
+    whole = links(np.full(len(rows), -1), (c, s), (d + c, d + s), range(len(rows)))
+    first = links(parts, (c, s), (d + c, d + s), range(len(rows)))
+    second = links(None, (s, s), (d + 3 * s,) * 2, [a for a, b in first if a == b])
+    for found in (whole, first + second):
+        sets = ngram_join._Sets(len(rows))
+        for a, b in found:
+            sets.join(a, b)
+        assert all(sets.top(i) == sets.top(j) for i in range(len(rows)) for j in range(i) if (rows[i] != rows[j]).sum() <= d)
+
+
 def test_shingles():
     assert len(ngram_join.shingles(b"")) == 0 == len(ngram_join.shingles(b"!!! ..."))
     assert len(ngram_join.shingles(b"one two")) == 1

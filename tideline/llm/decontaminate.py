@@ -10,7 +10,7 @@ The index of items is held by each worker, so items go in blocks of at most BLOC
 the blocks one after another, whatever their number, and keep what they have found so far. The items never meet in one
 task as a whole, and no document's words leave its row.
 
-Null texts have no words. Rows of items without id or words are no items. Documents are handled alone: repeated rows
+Very long texts are handled whole. Null texts have no words. Rows of items without id or words are no items. Documents are handled alone: repeated rows
 are all kept; empty documents, items or tables give no hits or no rows. Further columns pass through only where asked.
 """
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import arrow_rows, settled, table, text_or_empty
+from tideline.llm.common import arrow_bounds, lean, settled, table, text_or_empty
 
 SIZE = 13
 #: Words of the items that a worker holds at once (about 100 bytes each).
@@ -97,14 +97,14 @@ def _frequency(docs: DataFrame, vocabulary: frozenset) -> dict[bytes, int]:
                 seen.update(own.intersection(words(text)))
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
-    found = docs.mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    found = docs.mapInArrow(lean(run), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
     return {bytes(r["word"]): r["n"] for r in found}
 
 
 def contamination(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", keep: list[str], size: int = SIZE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The columns in keep, n_words, hits (merged spans of words, array of start and end) and items (sorted ids)."""
     spark = docs.sparkSession
-    arrow_rows(spark, 256)
+    arrow_bounds(spark)
     names = [f"__k{i}" for i in range(len(keep))]
     own = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").cast("binary").alias("text"))
     at = docs.select(text_or_empty(text).cast("binary").alias("__text"), *(F.col(k).alias(n) for k, n in zip(keep, names, strict=True)))
@@ -132,7 +132,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, text: str = "text", item
                     found.append(sorted(i.union(had)))
                 yield pa.RecordBatch.from_arrays([*b.columns[:-3], pa.array(sizes, pa.int64()), pa.array(hits, spans), pa.array(found, pa.list_(pa.string()))], names=b.schema.names)
 
-        state = state.mapInArrow(run, schema)
+        state = state.mapInArrow(lean(run), schema)
         if block < count - 1:
             state = settled(state, "op9")
     return state.select(*(F.col(n).alias(k) for k, n in zip(keep, names, strict=True)), "n_words", "hits", "items")

@@ -9,7 +9,7 @@ Spans come from the matches of a pattern and the pieces between them. Only for t
 part, the parts are dealt to cells of REACH code points, and an interval semi-join on text and cell finds the linked
 ones; it makes no pairs. Texts are keyed by their digest, so copies are linked once.
 
-Null texts are empty ones. Each row has one result row, repeated rows too. Equal starts are ordered by kind. Empty
+Very long texts are handled whole, in time in proportion to their length. Null texts are empty ones. Each row has one result row, repeated rows too. Equal starts are ordered by kind. Empty
 tables give none; further columns are not read.
 """
 
@@ -25,9 +25,10 @@ KINDS = ("assign", "access", "hex", "key40", "user", "endpoint")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 USER = r"""((?i:user|username|login|client_?id|account))["']?\x20*[:=]\x20*["']?([A-Za-z0-9@_.-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
-HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
-KEY40 = r"(?<![A-Za-z0-9/+])[A-Za-z0-9/+]{40,}"
-ENDPOINT = r"""[A-Za-z][A-Za-z0-9+.-]*://[^\s"'<>]+"""
+HEX = r"[0-9a-f]{24,}"
+KEY40 = r"[A-Za-z0-9/+]{40,}"
+#: A scheme has 31 characters at most, so a long run of letters is looked at a bounded number of times.
+ENDPOINT = r"""[A-Za-z][A-Za-z0-9+.-]{0,30}://[^\s"'<>]+"""
 #: Lower-case words one of which stands in every match.
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 USER_WORDS = ("user", "login", "clientid", "client_id", "account")
@@ -42,21 +43,24 @@ def _has(text: Column, words: tuple[str, ...]) -> Column:
     return out
 
 
-def _spans(text: Column, pattern: str, kind: str, may: Column, *, value: int = 0, exactly: int = 0) -> Column:
-    """Spans of pattern's matches in text; value: the least length of group 2; exactly: a match's only length."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if value else matches
-    rows = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("hit"), values.alias("value"))
+def _matches(text: Column, pattern: str, may: Column) -> Column:
+    """The matches of a pattern, left to right; null where there can't be any."""
+    return F.when(may, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+
+
+def _spans(text: Column, hits: Column, pattern: str, kind: str, *, value: int = 0, exactly: int = 0) -> Column:
+    """Spans of pattern's matches hits in text; value: the least length of group 2; exactly: a match's only length."""
+    rows = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), hits.alias("hit"))
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("out"))
 
     def step(done: Column, row: Column) -> Column:
         at = done["at"] + F.length(row["gap"])
         end = at + F.length(row["hit"])
-        kept = F.length(row["value"]) >= value if value else F.length(row["hit"]) == exactly if exactly else F.lit(True)
+        kept = F.length(F.regexp_extract(row["hit"], pattern, 2)) >= value if value else F.length(row["hit"]) == exactly if exactly else F.lit(True)
         own = F.array(F.struct(at.cast("bigint").alias("at"), F.lit(KINDS.index(kind)).alias("rank"), end.cast("bigint").alias("end")))
         return F.struct(F.coalesce(end, at).cast("bigint").alias("at"), F.when(row["hit"].isNotNull() & kept, F.concat(done["out"], own)).otherwise(done["out"]).alias("out"))
 
-    found = F.when(may & F.regexp_like(text, F.lit(pattern)), F.aggregate(rows, start, step)["out"])
+    found = F.when(F.size(hits) > 0, F.aggregate(rows, start, step)["out"])
     return F.coalesce(found, F.array().cast(SPAN))
 
 
@@ -68,17 +72,15 @@ def _of(spans: Column, *kinds: str) -> Column:
 def scanned(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and spans: an array of (at, rank, end), by start and kind; rank counts KINDS."""
     whole = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text")).withColumn("low", F.lower("text"))
-    t = F.col("text")
-    base = F.concat(
-        _spans(t, ASSIGN, "assign", _has(F.col("low"), ASSIGN_WORDS), value=6),
-        _spans(t, ACCESS, "access", F.contains(t, F.lit("AKIA"))),
-        _spans(t, HEX, "hex", F.lit(True)),
-    )
-    weak = F.concat(
-        _spans(t, KEY40, "key40", F.lit(True), exactly=40),
-        _spans(t, USER, "user", _has(F.col("low"), USER_WORDS)),
-        _spans(t, ENDPOINT, "endpoint", F.contains(t, F.lit("://"))),
-    )
+    t, low = F.col("text"), F.col("low")
+    kinds = {
+        "assign": (ASSIGN, _has(low, ASSIGN_WORDS), {"value": 6}), "access": (ACCESS, F.contains(t, F.lit("AKIA")), {}), "hex": (HEX, F.lit(True), {}),
+        "key40": (KEY40, F.lit(True), {"exactly": 40}), "user": (USER, _has(low, USER_WORDS), {}), "endpoint": (ENDPOINT, F.contains(t, F.lit("://")), {}),
+    }
+    # each pattern passes over a text once, and over the few texts with matches once more
+    whole = whole.withColumns({f"m_{k}": _matches(t, p, may) for k, (p, may, _) in kinds.items()})
+    spans = {k: _spans(t, F.col(f"m_{k}"), p, k, **options) for k, (p, _, options) in kinds.items()}
+    base, weak = F.concat(*(spans[k] for k in KINDS[:3])), F.concat(*(spans[k] for k in KINDS[3:]))
     found = whole.select("doc_id", base.alias("base"), weak.alias("weak"), F.when(F.length("text") > 0, F.sha2("text", 256)).alias("key"))
     found = settled(found.withColumn("key", F.when((F.size("weak") > 0) & (F.size("base") + F.size("weak") > 1), F.col("key"))), "op7")
     alone = found.where("key is null").select("doc_id", F.col("base").alias("spans"))
@@ -151,10 +153,10 @@ def _sql_kind(rank: int, pattern: str, keep: str) -> str:
 
 
 def _either_case(pattern: str) -> str:
-    """The pattern without inline flags or look-behind, which the oracle reads otherwise or not at all."""
+    """The pattern without inline flags, which the oracle reads otherwise."""
     head, _, tail = pattern.partition(r"""["']?\x20*[:=]""")
     if not tail:
-        return pattern.partition(")")[2] if pattern.startswith("(?<!") else pattern
+        return pattern
     words = head.removeprefix("((?i:").removesuffix("))")
     return "(" + "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words) + ")" + r"""["']?\x20*[:=]""" + tail
 

@@ -7,7 +7,7 @@ a third go by a lexicon learned from the other two, so that they are as good as
 the trees, the last their calibration. Everything else runs over whole texts of all rows.
 
 The label is the only thing learned from, and no id, language or source enters a score. Null and empty texts are scored
-from their features like others. Copies get equal scores. Without labelled rows of both classes every score is the
+from their features like others, very long ones whole. Copies get equal scores. Without labelled rows of both classes every score is the
 share of the one label (0 if there is none). Empty tables give no rows; a doc_id labelled twice counts once (its highest
 label), and columns besides those named are not read.
 """
@@ -23,12 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import arrow_rows, crc_mod5, settled, table, text_or_empty
+from tideline.llm.common import arrow_bounds, crc_mod5, lean, settled, table, text_or_empty
 
 #: Labelled rows that are learned from, at most.
 SAMPLE = 15_000
-#: Learned words and beginnings, at most.
-LEXICON = 2_000
 INSULTS = frozenset("idiot idiots moron morons scum loser losers clown clowns trash garbage stupid dumb pathetic worthless disgusting filth vermin bastard bitch imbecile idiota imbécil estúpido estúpida basura asqueroso imbécile crétin connard ordure débile dummkopf arschloch abschaum trottel vollidiot blöd ekelhaft".split())
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine deiner ihr euch euer tu te toi ton ta tes vous votre vos tú ti tus usted ustedes vosotros".split())
 _LEET = str.maketrans("013457@$!|", "oieastasil")
@@ -70,9 +68,10 @@ class Codes(dict):
         else:
             plain = _INNER.sub("", word.translate(_LEET))
             code = HIDDEN if plain != word and plain in INSULTS else PLAIN
-        if len(self) > 300_000:
-            self.clear()
-        self[token] = code
+        if len(token) <= 64:  # longer ones are worked out anew
+            if len(self) > 200_000:
+                self.clear()
+            self[token] = code
         return code
 
 
@@ -201,14 +200,20 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> Data
 def _key_counts(rows: DataFrame) -> DataFrame:
     """For each key and third, texts of label 0 and 1 that have it; the key "" counts all texts."""
 
+    def batch(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k[i] for k in seen], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int32()))] + [pa.array(list(seen.values()), pa.int64())], names=["k", "third", "y", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for b in batches:
             for third, text, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 seen.update((k, third, y) for k in {k for t in set(text.lower().split()) for k in keys(bare(t))} | {""})
-        yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in seen], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int32()))] + [pa.array(list(seen.values()), pa.int64())], names=["k", "third", "y", "n"])
+                if len(seen) > 100_000:  # what one task holds; the rest is added up by Spark
+                    yield batch(seen)
+                    seen = Counter()
+        yield batch(seen)
 
-    counts = rows.select(F.col("third").cast("int").alias("third"), "text", "y").mapInArrow(count, "k string, third int, y int, n bigint")
+    counts = rows.select(F.col("third").cast("int").alias("third"), "text", "y").mapInArrow(lean(count), "k string, third int, y int, n bigint")
     return settled(counts.groupBy("k", "third").agg(F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("n1")), "op6-lexicon")
 
 
@@ -222,7 +227,7 @@ def _lexicon(counts: DataFrame, without: int) -> tuple[frozenset[str], frozenset
     precision = F.col("n1") / (F.col("n0") + F.col("n1"))
     other = F.when(F.col("n0") > 0, F.col("n0") * F.log((1 - precision) / max(1e-9, 1 - share))).otherwise(0)
     evidence = 2 * (F.col("n1") * F.log(precision / share) + other)
-    found = summed.where((F.length("k") > 2) & (precision >= 0.5) & (F.col("n1") >= 4)).select("k", precision.alias("p"), evidence.alias("e")).where("e > 28").orderBy(F.desc("e"), "k").limit(LEXICON).collect()
+    found = summed.where((F.length("k") > 2) & (precision >= 0.5) & (F.col("n1") >= 4)).select("k", precision.alias("p"), evidence.alias("e")).where("e > 28").collect()  # as many as the sample's words at most
     return frozenset(r.k for r in found if r.p >= 0.85), frozenset(r.k for r in found if r.p < 0.85)
 
 
@@ -235,7 +240,7 @@ def _featured(rows: DataFrame, lexicons: list[tuple]) -> DataFrame:
             x = [features(t, own[third]) for third, t in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(x, pa.list_(pa.float64()))], names=["third", "y", "x"])
 
-    return rows.select(F.col("third").cast("int").alias("third"), "y", "text").mapInArrow(run, "third int, y int, x array<double>")
+    return rows.select(F.col("third").cast("int").alias("third"), "y", "text").mapInArrow(lean(run), "third int, y int, x array<double>")
 
 
 class Model:
@@ -245,7 +250,7 @@ class Model:
         self.codes, self.trees, self.isotonic = codes, trees, isotonic
 
     def scores(self, texts: list[str], codes: Codes) -> np.ndarray:
-        x = np.array([features(t, codes) for t in texts]).reshape(-1, len(FEATURES))
+        x = np.array([features(t or "", codes) for t in texts]).reshape(-1, len(FEATURES))
         return self.isotonic(self.trees.margin(x))
 
 
@@ -263,21 +268,34 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: i
     return Model(codes, trees, Isotonic(trees.margin(x[~fit]), held) if both else Isotonic(np.empty(0), np.empty(0)))
 
 
-def scored(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
-    """All columns of docs, and score."""
-    spark = docs.sparkSession
-    arrow_rows(spark, 256)
-    shared = spark.sparkContext.broadcast(model)  # bounded: LEXICON keys and a fixed number of trees
-    name = "__score" if "score" in docs.columns else "score"
-    source = docs.withColumn("__text", text_or_empty(text))
-
+def _run(shared, names: list[str], text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         codes = Codes(*own.codes)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(own.scores(b.column(b.num_columns - 1).to_pylist(), codes), pa.float64())], names=[*b.schema.names[:-1], name])
+            score = pa.array(own.scores(b.column(b.num_columns - 1).to_pylist(), codes), pa.float64())
+            yield pa.RecordBatch.from_arrays([*b.columns[: b.num_columns if text else -1], score], names=names)
+
+    return run
 
-    return source.mapInArrow(run, ", ".join([*(f"`{n}` {t}" for n, t in docs.dtypes), f"`{name}` double"]))
+
+def scores(docs: DataFrame, model: Model, *, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns in keep (which need not hold the text), and score. A text goes to Python once, and back only if it is kept."""
+    spark = docs.sparkSession
+    arrow_bounds(spark)
+    shared = spark.sparkContext.broadcast(model)  # bounded: the marking keys of SAMPLE texts and a fixed number of trees
+    others = [c for c in keep if c != text]
+    source = docs.select(*others, F.col(text).cast("string").alias(text))
+    kinds = dict(source.dtypes)
+    name = "__score" if "score" in keep else "score"
+    back = [*others, text] if text in keep else others
+    out = source.mapInArrow(lean(_run(shared, [*back, name], text in keep)), ", ".join([*(f"`{c}` {kinds[c]}" for c in back), f"`{name}` double"]))
+    return out.select(*keep, name)
+
+
+def scored(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
+    """All columns of docs, and score (__score if there is one)."""
+    return scores(docs, model, keep=docs.columns, text=text)
 
 
 def learned(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
@@ -288,5 +306,5 @@ def learned(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity."""
     docs = table(spark, sf_dir, "documents")
-    out = scored(docs.select("doc_id", "text"), learned(spark, docs, sf_dir))
+    out = scores(docs, learned(spark, docs, sf_dir), keep=["doc_id"])
     return out.select("doc_id", (crc_mod5() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -3,7 +3,7 @@
 A listed key is host + path, as `example.com/en/`; it fits its host and all subdomains, if the url's path starts with
 the key's path; of those that fit the longest decides. From each url come the keys that could fit it: each host suffix
 that begins at a label, with as many labels as some listed host, before each path prefix as long as some listed path of
-that host length. Those that the filter passes, all true ones and few others, go to an exact hash join.
+hosts with so many labels. Those that the filter passes, all true ones and few others, go to an exact hash join.
 
 The filter is split into blocks of eight 32-bit words. A key's hash names the block and one bit in each word, so a probe
 reads one block. Blocks are made by aggregation (a bit_or of each word), never on the driver.
@@ -11,7 +11,7 @@ reads one block. Blocks are made by aggregation (a bit_or of each word), never o
 All urls are judged once each: repeated urls are one row from the first shuffle's map side on. The filter and the list
 are broadcast while they are under BROADCAST_ROWS rows, else they are joined by shuffles.
 
-Null urls and urls without "://" have an empty host and path, fit no key and get the default verdict. Ties (a key listed
+Very long urls give as many keys as the list has shapes that fit, no more. Null urls and urls without "://" have an empty host and path, fit no key and get the default verdict. Ties (a key listed
 twice) go to block. Repeated rows are all kept. Empty lists and tables give default verdicts and no rows. Columns of
 the input other than those named are not read; clashing names do no harm.
 """
@@ -78,17 +78,16 @@ def bloom_filtered(probes: DataFrame, key: str, keys: DataFrame, listed: str, ro
 def judged(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str = "allow", keep: list[str]) -> DataFrame:
     """The columns in keep, host, path, rule and verdict for each row of pages. rules: host, path and verdict."""
     listed = rules.where("host is not null and path is not null").groupBy((F.concat("host", "path")).alias("key"), "host", "path").agg(F.max("verdict").alias("verdict"))
-    # the shapes of keys: label count and path length; their number doesn't grow with the urls
-    shapes = listed.select((F.size(F.split("host", r"\."))).alias("labels"), F.length("path").alias("length")).distinct().orderBy("labels", "length").collect()
+    # a row for each number of labels, with the path lengths that listed hosts of so many have: no more rows than a host has
+    # labels, no more lengths than a path has places, however long the list is
+    shapes = listed.groupBy(F.size(F.split("host", r"\.")).alias("many")).agg(F.collect_set(F.length("path")).alias("lengths"))
     count = listed.count()
     urls = pages.select(F.col(url).alias("url")).distinct()
     host, path = host_and_path(F.col("url"))
-    urls = urls.select("url", host.alias("host"), path.alias("path")).where("host <> ''").withColumn("labels", F.split("host", r"\."))
-    if shapes:
-        keys = F.array(*(F.when((F.size("labels") >= s.labels) & (F.length("path") >= s.length), F.concat(F.array_join(F.slice("labels", -s.labels, s.labels), "."), F.substring("path", 1, s.length))) for s in shapes))
-    else:
-        keys = F.array().cast("array<string>")
-    probes = urls.select("url", F.explode(F.array_compact(keys)).alias("key"))
+    urls = urls.select("url", F.split(host, r"\.").alias("labels"), path.alias("path"), host.alias("host")).where("host <> ''")
+    suffixes = urls.select("url", "labels", "path", F.explode(F.sequence(F.lit(1), F.size("labels"))).alias("many"))
+    fitting = suffixes.join(F.broadcast(shapes), "many").select("url", F.array_join(F.slice("labels", -F.col("many"), F.col("many")), ".").alias("suffix"), "path", F.explode(F.filter("lengths", lambda n: n <= F.length("path"))).alias("length"))
+    probes = fitting.select("url", F.concat("suffix", F.substr("path", F.lit(1), F.col("length"))).alias("key"))
     possible = bloom_filtered(probes, "key", listed, "key", count)
     fits = possible.join(_small(listed, count).hint("shuffle_hash") if count > BROADCAST_ROWS else _small(listed, count), "key")
     best = fits.groupBy("url").agg(F.max(F.struct(F.length("key"), F.length("host"), "verdict", "key")).alias("best")).select("url", F.col("best.key").alias("rule"), F.col("best.verdict").alias("found"))
