@@ -1,14 +1,14 @@
 """Sinks, metrics, backoff and the registry."""
 
+import os
 import random
 from datetime import UTC, datetime
 
 import pytest
 
-from tideline.operators import metrics
+from tideline.operators import dashboard, metrics
 from tideline.plans import registry
-from tideline.sources import sinks
-from tideline.sources.live import Backoff, frames, stream_names
+from tideline.sources import shared, sinks
 
 TRADES = "seq long, time timestamp, symbol string, trade_id long, price double"
 T0 = datetime(2026, 10, 2, 12, tzinfo=UTC)
@@ -44,21 +44,60 @@ def test_counters_and_histograms(spark):
     assert metrics.histogram_quantile(h, 0.75, []).first()["quantile"] == pytest.approx(75.0)
 
 
-def test_backoff_and_reconnects():
-    b = Backoff(draw=random.Random(0))
-    for i in range(100):
-        assert 0 <= b.next_delay() <= min(60, 2.0**i)
-    b.reset()
-    assert b.ceiling() == 1
-
-    def connect(calls=[]):  # noqa: B006
-        calls.append(1)
-        if len(calls) == 2:
-            raise ConnectionError
-        return ["x"]
-
-    assert list(frames(connect, attempts=3, sleep=lambda s: None)) == ["#connected", "x", "#connected", "x"]
-    assert stream_names(" BTCUSDT, ,eth ", ["trade"]) == ["btcusdt@trade", "eth@trade"]
+def test_quantiles_of_rates(spark):
+    """Bucket counters of two instances with a restart, against plain steps."""
+    draw, rows, want = random.Random(1), [], {}
+    for instance in "ab":
+        totals = dict.fromkeys((1.0, 2.0, float("inf")), 0)
+        for ts in range(0, 300, 10):
+            if instance == "b" and ts == 150:
+                totals = dict.fromkeys(totals, 0)
+            low, middle, high = (draw.randint(0, 3) for _ in range(3))
+            for le, n in zip(totals, (low, low + middle, low + middle + high), strict=True):
+                totals[le] += n
+                rows.append((instance, le, ts, totals[le]))
+                if ts and 200 < ts <= 260:
+                    want[le] = want.get(le, 0) + n
+    df = spark.createDataFrame(rows, "instance string, le double, ts long, value long")
+    got = metrics.quantile_of_rates(df, 0.5, [], ["instance"], [260], 60).collect()
+    rank = 0.5 * want[float("inf")]
+    expected = rank / want[1.0] if want[1.0] >= rank else 1 + (rank - want[1.0]) / (want[2.0] - want[1.0]) if want[2.0] >= rank else 2.0
+    assert len(got) == 1 and got[0]["quantile"] == pytest.approx(expected)
+
+
+def test_metrics_of_a_replay(spark):
+    frames = spark.createDataFrame([("trade", T0), ("trade", T0), ("quote", T0), ("error", T0), ("other", T0), ("marker", T0)], "status string, received_at timestamp")
+    gaps = spark.createDataFrame([("A", "stream"), ("A", "stream"), ("B", "reconnect")], "symbol string, cause string")
+    flags = spark.createDataFrame([("A", "zscore")], "symbol string, detector string")
+    got = {(r.name, tuple(sorted(r.labels.items()))): r.value for r in metrics.of_replay(frames, gaps, flags).collect()}
+    assert got[("frames_total", (("stream", "trade"),))] == 2 and got[("frames_total", (("stream", "other"),))] == 2 and got[("frames_total", (("stream", "bookticker"),))] == 1
+    assert got[("parse_errors_total", ())] == 1 and got[("depth_gaps_total", (("cause", "stream"), ("symbol", "A")))] == 2 and got[("anomaly_flags_total", (("detector", "zscore"), ("symbol", "A")))] == 1
+    assert {n for n, _ in got} <= set(metrics.COUNTERS) | set(metrics.GAUGES)
+
+
+def test_time_clip_and_appends(spark, tmp_path):
+    rows = spark.createDataFrame([(T0.replace(minute=m), m) for m in range(5)], "time timestamp, n int")
+    assert sorted(r.n for r in dashboard.between(rows, "2026-10-02 12:01:00", "2026-10-02 12:03:00").collect()) == [1, 2, 3]
+    assert dashboard.between(rows, None, None).count() == 5
+    assert sinks.append(rows, str(tmp_path / "t")) == 5 == sinks.append(rows, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 10
+    stats = sinks.table_stats(spark, str(tmp_path / "t")).first()
+    assert (stats.n_rows, stats.n_days) == (10, 0) and stats.n_bytes > 0 and stats.n_files >= 2
+    plan, seconds = sinks.explained(rows.where("n > 1"))
+    assert "Filter" in plan and seconds > 0
+
+
+def test_shared_folder(spark, tmp_path):
+    df = shared.settled(spark.range(5).toDF("a"), "x")
+    path = df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert df.count() == 5 and os.path.isdir(path)
+    shared.dropped(df)
+    assert not os.path.isdir(path)
+    other = shared.settled(spark.range(3).toDF("a"), "x").inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    made, shared._made[:] = list(shared._made), [f"file://{other}"]
+    shared.cleaned(spark)
+    shared._made[:] = made
+    assert not os.path.isdir(other)
 
 
 def test_registry():

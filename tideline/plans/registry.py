@@ -10,12 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.functions import decode
+from tideline.functions.running import numbered, pieced
 from tideline.operators import compare, dashboard, detectors, metrics
 from tideline.plans import adapter
 from tideline.plans.replay import Replay
+from tideline.schemas import conformed
 from tideline.sources import sinks
-from tideline.sources.shared import settled
+from tideline.sources.shared import settled, shared_dir
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -104,9 +105,40 @@ def depth_levels(spark, sf_dir):
     return d.select("symbol", "first_update_id", "final_update_id", F.explode("bids").alias("level")).select("symbol", "first_update_id", "final_update_id", F.col("level")[0].alias("price"), F.col("level")[1].alias("qty"))
 
 
-@query(BASE + "SELECT count(*) AS frames, count(*) FILTER (event_type = 'signup') AS n_depth, count(*) FILTER (event_type = 'error' AND k < 50) AS n_marker FROM ev")
+_STATUS = """CASE WHEN event_type = 'purchase' AND value > 0 THEN 'trade' WHEN event_type IN ('view', 'click') AND value > 0 THEN 'quote'
+    WHEN event_type = 'signup' THEN 'depth' WHEN event_type = 'error' AND k < 50 THEN 'marker' WHEN event_type = 'error' AND k % 2 = 0 THEN 'other' ELSE 'error' END"""
+
+
+@query(
+    _with(adapter.SQL, adapter.GAPS_SQL, adapter.FEATURES_SQL, adapter.ZSCORE_SQL, f"s AS (SELECT {_STATUS} AS status FROM ev)")
+    + """SELECT count(*) AS frames, count(*) FILTER (status IN ('trade', 'depth')) AS n_rows, count(*) FILTER (status = 'error') AS parse_errors, (SELECT count(*) FROM gaps) AS gaps,
+    (SELECT count(*) FROM gaps WHERE cause = 'reconnect') AS reconnect_gaps, (SELECT count(*) FROM features) AS feature_rows, (SELECT count(*) FROM zscores WHERE score > 4) AS zscore_flags FROM s"""
+)
 def replay_summary(spark, sf_dir):
-    return _replay(spark, sf_dir).counts().select("frames", "n_depth", "n_marker")
+    """The summary of a replay, without the forest's flags."""
+    return _replay(spark, sf_dir).summary(forest=False).select("frames", "n_rows", "parse_errors", "gaps", "reconnect_gaps", "feature_rows", "zscore_flags")
+
+
+@query("SELECT row_number() OVER (ORDER BY ts) AS place, ts AS received_at FROM events WHERE event_id IS NOT NULL AND ts IS NOT NULL")
+def archive_scan(spark, sf_dir):
+    """The events' frames written to an archive and read back in their order."""
+    from tideline.sources.archive import read_archive, write_archive
+
+    path = shared_dir(spark, "archive")
+    write_archive(adapter.raw(spark, sf_dir).select("received_at", "payload", "seq"), path)
+    rows = settled(read_archive(spark, path).select("seq", "received_at"), "raw")
+    return _rounded(numbered(pieced(rows, "seq"), [], "seq", "place").select("place", "received_at"))
+
+
+@query(BASE + " UNION ALL ".join(f"SELECT '{t}' AS name, count(DISTINCT (symbol, {k}, time)) AS n_rows, count(DISTINCT CAST(time AS DATE)) AS n_days, max(time) AS last_time FROM {v}" for t, v, k in (("trades", "trades", "trade_id"), ("depth_updates", "depth", "final_update_id"))))
+def table_statistics(spark, sf_dir):
+    """Rows, days and last time of tables that the replay's records were merged into, twice."""
+    r, root, out = _replay(spark, sf_dir), shared_dir(spark, "store"), []
+    for name, df in (("trades", r.trades), ("depth_updates", r.depth)):
+        for _ in range(2):
+            sinks.merge(conformed(df, name), f"{root}/{name}", name, partition="time")
+        out.append(sinks.table_stats(spark, f"{root}/{name}").select(F.lit(name).alias("name"), "n_rows", "n_days", "last_time"))
+    return _rounded(out[0].unionAll(out[1]))
 
 
 # ------------------------------------------------------------------ gaps
@@ -171,6 +203,18 @@ def features(spark, sf_dir):
     return _rounded(_replay(spark, sf_dir).features)
 
 
+@query(_feature_query("time, symbol, trade_count, volume, notional, spread_bps, mid, abs_return_bps"))
+def stream_features(spark, sf_dir):
+    """The feature rows that a stream over the raw frames gives; its rows are written by the stream and read back."""
+    from tideline.streaming.live import feature_stream
+
+    raw, root = settled(adapter.raw(spark, sf_dir), "frames"), shared_dir(spark, "stream")
+    source = spark.readStream.schema(raw.schema).parquet(raw.inputFiles()[0].rsplit("/", 1)[0])
+    rows = feature_stream(source, width_us=adapter.SETTINGS.width_us, max_fill=adapter.SETTINGS.max_fill)
+    rows.writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return _rounded(spark.read.schema(rows.schema).parquet(f"{root}/rows"))
+
+
 # ------------------------------------------------------------------ detectors
 
 _X = ", ".join(f"round(x_{n}, 6) AS x_{n}" for n in detectors.NAMES)
@@ -419,6 +463,29 @@ def histogram_quantile(spark, sf_dir):
     return _rounded(metrics.histogram_quantile(h, 0.95, ["event_type"]))
 
 
+_AT = [1704067200 + 86400 * d for d in (3, 9, 15, 21, 27)]
+
+
+@query(
+    f"""WITH e AS (SELECT event_type, value, epoch_us(ts) // 1000000 AS s, min(epoch_us(ts) // 1000000) OVER (PARTITION BY event_type) AS begun FROM events WHERE ts IS NOT NULL),
+    b(le) AS (VALUES {_LE}, ('inf'::DOUBLE)), a(moment) AS (VALUES {", ".join(f"({t})" for t in _AT)}),
+    hist AS (SELECT event_type, moment, CAST(le AS DOUBLE) AS le, count(*) FILTER (value <= le AND s > begun) / 172800 AS n FROM e JOIN a ON s <= moment AND s > moment - 172800 CROSS JOIN b GROUP BY ALL),
+    l AS (SELECT *, coalesce(lag(n) OVER w, 0) AS below, coalesce(lag(le) OVER w, 0) AS low, 0.95 * max(n) OVER (PARTITION BY event_type, moment) AS r FROM hist WINDOW w AS (PARTITION BY event_type, moment ORDER BY le)),
+    f AS (SELECT *, row_number() OVER (PARTITION BY event_type, moment ORDER BY le) AS i FROM l WHERE n >= r)
+    SELECT event_type, moment, round(CASE WHEN le = 'inf'::DOUBLE THEN low ELSE low + (le - low) * coalesce((r - below) / nullif(n - below, 0), 0) END, 6) AS quantile FROM f WHERE i = 1"""
+)
+def quantile_of_rates(spark, sf_dir):
+    """histogram_quantile over summed rates of bucket counters: each event raises the counters of the bounds that it is under."""
+    from pyspark.sql import Window
+
+    rows = adapter.events(spark, sf_dir)
+    w = Window.partitionBy("event_type").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    bounds = [*BOUNDS, float("inf")]
+    rows = rows.withColumn("c", F.array(*(F.struct(F.lit(b).alias("le"), F.count_if(F.col("value") <= b).over(w).alias("value")) for b in bounds)))
+    samples = rows.select("event_type", F.unix_seconds("ts").alias("ts"), F.inline("c")).groupBy("event_type", "le", "ts").agg(F.max("value").alias("value"))
+    return _rounded(metrics.quantile_of_rates(samples, 0.95, ["event_type"], ["event_type"], _AT, 172800).select("event_type", F.col("at").cast("bigint").alias("moment"), "quantile"))
+
+
 @query("SELECT user_id, round(epoch_us(TIMESTAMP '2024-01-31') / 1e6 - epoch_us(max(ts)) / 1e6, 3) AS age_s, CASE WHEN epoch_us(TIMESTAMP '2024-01-31') / 1e6 - epoch_us(max(ts)) / 1e6 <= 172800 THEN 'healthy' ELSE 'unhealthy' END AS health FROM events GROUP BY user_id")
 def staleness_health(spark, sf_dir):
     out = metrics.staleness(adapter.events(spark, sf_dir), F.lit("2024-01-31").cast("timestamp"), ["user_id"], "ts", 172800)

@@ -255,12 +255,20 @@ class FrameSource(DataSource):
 
 
 class _FrameReader(SimpleDataSourceStreamReader):
+    """Holds the feed's name alone, as the reader travels; the feed belongs to the process.
+
+    Frames that weren't committed when that ended can't be read again: where they must be, record them and stream the archive.
+    """
+
     def __init__(self, options):
+        self.name, self.most = options.get("feed", "tideline.sources.live:socket_feed"), int(options.get("maxframes", "10000"))
+
+    @property
+    def feed(self) -> Feed:
         from importlib import import_module
 
-        module, _, name = options.get("feed", "tideline.sources.live:socket_feed").partition(":")
-        self.feed = getattr(import_module(module), name)()
-        self.most = int(options.get("maxframes", "10000"))
+        module, _, name = self.name.partition(":")
+        return getattr(import_module(module), name)()
 
     def initialOffset(self):  # noqa: N802
         return {"index": 0}

@@ -22,9 +22,14 @@ def only_new(staged: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at path; None if there are no files yet."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(hadoop):
+        return None
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException:  # an empty folder
         return None
 
 
@@ -77,7 +82,7 @@ def append(df: DataFrame, path: str, *, by: str | None = None) -> int:
     count = Observation()
     writer = df.observe(count, F.count(F.lit(1)).alias("n")).write.mode("append")
     (writer.partitionBy(by) if by else writer).parquet(path)
-    return count.get["n"]
+    return count.get.get("n", 0)  # nothing is observed where the optimizer finds no rows
 
 
 def content_hash(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
