@@ -143,7 +143,8 @@ def may_reach(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
 SIGNED = "doc_id bigint, node binary, n bigint, signature binary, bands array<bigint>"
 
 
-def signed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def signed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", key: str | None = None) -> DataFrame:
+    """SIGNED, and key, a further column, as text."""
     arrow_bounds(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,9 +161,10 @@ def signed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
                 else:
                     signatures.append(b"")
                     bands.append(np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "node", "n", "signature", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64())), *b.columns[2:]], names=["doc_id", "node", "n", "signature", "bands", *b.schema.names[2:]])
 
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).cast("binary").alias("text")).mapInArrow(lean(run), SIGNED)
+    further = [F.col(key).cast("string").alias("key")] if key else []
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).cast("binary").alias("text"), *further).mapInArrow(lean(run), SIGNED + (", key string" if key else ""))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -390,29 +392,14 @@ def verified(docs: DataFrame, nodes: DataFrame, comps: DataFrame, *, doc_id: str
     return dealt.mapInArrow(lean(_blocks), "node binary, links bigint, root binary")
 
 
-def noded(df: DataFrame, *, text: str = "text") -> DataFrame:
-    """df with __node, the digest of each text's set; null where that is empty."""
-    arrow_bounds(df.sparkSession)
-    source = df.withColumn("__text", text_or_empty(text).cast("binary"))
-    schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingles(t).tobytes() for t in b.column(b.num_columns - 1).to_pylist()]
-            nodes = [hashlib.blake2b(x, digest_size=16).digest() if x else None for x in sets]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(nodes, pa.binary())], names=[*b.schema.names[:-1], "__node"])
-
-    return source.mapInArrow(lean(run), f"{schema}, `__node` binary")
-
-
 def joined(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, class_id (the least id that the text hangs together with through links) and n_links, a row per text."""
     return classed(docs, doc_id=doc_id, text=text).select("doc_id", "class_id", "n_links")
 
 
-def classed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The columns of joined(), with node (of the text's set) and label (of its class), both null for a text without words."""
-    rows = settled(signed(docs, doc_id=doc_id, text=text), "op2-rows")
+def classed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", key: str | None = None) -> DataFrame:
+    """The columns of joined(), label (of the text's class, null for a text without words), and key where a column is named."""
+    rows = settled(signed(docs, doc_id=doc_id, text=text, key=key), "op2-rows")
     nodes = settled(rows.where("n > 0").groupBy("node").agg(F.count("*").alias("weight"), F.min("doc_id").alias("doc"), F.first("signature").alias("signature"), F.first("bands").alias("bands"), F.first("n").alias("n")), "op2-nodes")
     comps = components(candidate_links(nodes))
     found = settled(verified(docs, nodes, comps, doc_id=doc_id, text=text), "op2-found")
@@ -422,9 +409,10 @@ def classed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> D
     own = settled(own, "op2-own")
     least = own.groupBy("label").agg(F.min("doc").alias("class_id"))
     known = own.join(least, "label").select("node", "label", "class_id", "n_links")
-    some, none = rows.where("n > 0").select("doc_id", "node"), rows.where("n = 0")
-    wordless = none.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), *(F.lit(None).cast(dict(own.dtypes)[c]).alias(c) for c in ("node", "label")))
-    return some.join(known, "node").select("doc_id", "class_id", "n_links", "node", "label").unionAll(wordless)
+    further = ["key"] if key else []
+    some, none = rows.where("n > 0").select("doc_id", "node", *further), rows.where("n = 0")
+    wordless = none.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.lit(None).cast("binary").alias("label"), *further)
+    return some.join(known, "node").select("doc_id", "class_id", "n_links", "label", *further).unionAll(wordless)
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ probabilities of its pairs, and adds them up by text.
 Words that a sample of the rows shows to be common are dealt by their contexts too, so no partition holds all places of
 one. The sample decides only where words are counted, nothing else. The driver gets the totals of the restaurant of all
 tokens, and those of these words, of which there are HOT times the partitions at most. What is held at once is a chunk, or a
-partition's words, pairs and contexts; partitions are FINER times the session's shuffle partitions.
+partition's words, pairs and contexts; the number of partitions goes by the texts' bytes.
 
 Tokens are maximal runs without ASCII white space after A-Z are lower-cased, then one end per text. Null texts are empty
 ones: the end alone. A text longer than CHUNK is a chunk of its own. Every row gives a row, repeated rows too; equal texts
@@ -28,6 +28,7 @@ not read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import zlib
 from collections import Counter
@@ -53,8 +54,9 @@ HOT = 4
 LOOK = 4000
 #: Scores are whole numbers of these.
 UNIT = 1e-5
-SPARE = 12
-FINER = 2
+SPARE = 8
+#: Bytes of texts to a partition.
+PART_BYTES = 12 << 20
 
 
 class _Numbers(dict):
@@ -63,13 +65,25 @@ class _Numbers(dict):
         return n
 
 
+_ZIP, _UNZIP = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def _zip(data: bytes) -> bytes:
+    """Compressed where that is worth it; the first byte says which."""
+    return b"\1" + _ZIP.compress(data) if len(data) > 200 else b"\0" + data
+
+
+def _unzip(data: bytes) -> bytes:
+    return _UNZIP.decompress(data[1:]) if data[0] else data[1:]
+
+
 def _packed(x: np.ndarray) -> bytes:
     """The numbers' first bytes, then their second ones and so on, compressed."""
-    return zstandard.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes(), 1)
+    return _zip(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes())
 
 
 def _array(data: bytes, kind: str) -> np.ndarray:
-    raw = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    raw = np.frombuffer(_unzip(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(raw.T).view(kind).reshape(-1)
 
 
@@ -83,12 +97,12 @@ def _risen(data: bytes) -> np.ndarray:
 
 
 def _joined(words: list[bytes]) -> bytes:
-    return zstandard.compress(b" ".join(words), 1)
+    return _zip(b" ".join(words))
 
 
 def _words(data: bytes) -> list[bytes]:
     """What _joined() got, which was at least one word; the end is the empty one."""
-    return zstandard.decompress(data).split(b" ")
+    return _unzip(data).split(b" ")
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -98,6 +112,19 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(columns, types, strict=True)], names=list(names))
 
 
+def _batched(rows: Iterator[tuple], schema: str) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of at most 512, or about 2 MB."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += sum(len(x) for x in r if isinstance(x, bytes)) + sum(len(y) for x in r if isinstance(x, list) for y in x if isinstance(y, bytes))
+        if len(held) == 512 or size > 2 << 20:
+            yield _batch(held, schema)
+            held, size = [], 0
+    if held:
+        yield _batch(held, schema)
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for b in batches:
         yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
@@ -185,15 +212,13 @@ def chunked(docs: DataFrame, keys: np.ndarray, common: frozenset[bytes], bits: i
             own = text.lower().split()
             own.append(b"")  # the end
             if docs and held + len(own) > CHUNK:  # a chunk is one text or CHUNK tokens at most
-                for r in rows(number, docs, ids, words):
-                    yield _batch([r], CHUNKS)
+                yield from _batched(rows(number, docs, ids, words), CHUNKS)
                 number, docs, ids, words, held = number + 1, [], [], _Numbers(), 0
             ids.append(np.fromiter(map(words.__getitem__, own), np.uint32, len(own)))
             docs.append((doc, out))
             held += len(own)
         if docs:
-            for r in rows(number, docs, ids, words):
-                yield _batch([r], CHUNKS)
+            yield from _batched(rows(number, docs, ids, words), CHUNKS)
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text"), "held_out").mapInArrow(lean(run), CHUNKS)
 
@@ -292,7 +317,7 @@ def _owned(contexts: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, np.nda
 def _answered(asked: DataFrame, parts: int) -> DataFrame:
     """The sums of the values of each context, in the order in which they were asked for."""
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for q, held in _grouped(_rows(batches)):
             met = [_risen(h[2]) for h in held]
             found, at = np.unique(np.concatenate(met), return_inverse=True)
@@ -302,23 +327,23 @@ def _answered(asked: DataFrame, parts: int) -> DataFrame:
             ends = np.cumsum([0, *map(len, met)]).tolist()
             for h, s, e in zip(held, ends, ends[1:], strict=False):
                 if h[1]:
-                    yield _batch([(h[0], q, [_packed(x[s:e]) for x in sums])], ANSWERS)
+                    yield h[0], q, [_packed(x[s:e]) for x in sums]
 
-    return asked.repartition(parts, "q").sortWithinPartitions("q").mapInArrow(lean(add), ANSWERS)
+    return asked.repartition(parts, "q").sortWithinPartitions("q").mapInArrow(lean(lambda batches: _batched(add(batches), ANSWERS)), ANSWERS)
 
 
 def _asks(state: DataFrame, keys: np.ndarray, of) -> DataFrame:
     """of(row of STATE) gives reply and values by context (None: zeros), or None where it has nothing to ask."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for values in _rows(batches):
             row = dict(zip(_NAMES, values, strict=True))
             if (asked := of(row)) is not None:
                 contexts = _risen(row["contexts"])
                 for q, at in _owned(contexts, keys):
-                    yield _batch([(q, row["p"], asked[0], _rising(contexts[at]), [None if x is None else _packed(x[at]) for x in asked[1]])], ASKED)
+                    yield q, row["p"], asked[0], _rising(contexts[at]), [None if x is None else _packed(x[at]) for x in asked[1]]
 
-    return state.select(*_NAMES).mapInArrow(lean(run), ASKED)
+    return state.select(*_NAMES).mapInArrow(lean(lambda batches: _batched(run(batches), ASKED)), ASKED)
 
 
 def _tables(row: dict, k: int) -> np.ndarray:
@@ -490,7 +515,7 @@ GIVEN = "chunk bigint, p int, totals binary, scores binary"
 def _given(model, names: tuple[str, ...], keys: np.ndarray) -> object:
     """Rows of a partition by step: its state (0), its chunks' words (1), the totals of all its contexts (2)."""
 
-    def done(m: Model, row: dict | None, held: list[dict], answers: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def done(m: Model, row: dict | None, held: list[dict], answers: list[tuple]) -> Iterator[tuple]:
         own = Pairs([tuple(r[n] for n in ("words", "pairs", "pair_contexts", "pair_counts", "contexts")) for r in held])
         heads = [(r["chunk"], r["p"]) for r in held]
         held.clear()
@@ -519,10 +544,10 @@ def _given(model, names: tuple[str, ...], keys: np.ndarray) -> object:
         score = np.rint(np.log10(chances / len(m.rounds)) / -UNIT).astype("<u4")
         begin = 0
         for (chunk, p), (words, size) in zip(heads, own.sizes, strict=True):
-            yield _batch([(chunk, p, _packed(totals[words].astype("<i8")), _packed(score[own.at[begin : begin + size]]))], GIVEN)
+            yield chunk, p, _packed(totals[words].astype("<i8")), _packed(score[own.at[begin : begin + size]])
             begin += size
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         m: Model = model.value
         p, row, held, answers = None, None, [], []
         for values in _rows(batches):
@@ -540,7 +565,7 @@ def _given(model, names: tuple[str, ...], keys: np.ndarray) -> object:
         if held:
             yield from done(m, row, held, answers)
 
-    return run
+    return lambda batches: _batched(run(batches), GIVEN)
 
 
 RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -577,16 +602,22 @@ def _texts(model):
     return run
 
 
+def _freed(spark: SparkSession) -> None:
+    """Free the disk of shuffles that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def scored(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS, kept: int = KEPT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text; learns from those not held out."""
     spark, kept = docs.sparkSession, min(kept, rounds + 1)
-    keys = partition_keys(spark, FINER * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parts = len(keys)
     arrow_bounds(spark)
     own = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("text"), held_out.alias("held_out"))
-    size = own.agg(F.count("*").alias("n"), F.sum(F.octet_length("text").cast("bigint")).alias("bytes")).first()
+    size = own.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0)).alias("bytes")).first()
+    parts = max(4, -(-size.bytes // PART_BYTES))
+    keys = partition_keys(spark, parts)
     common = common_words(own, size.n, parts)
-    chunks = settled(chunked(own, keys, common, min(64, max(32, (size.bytes or 0).bit_length() + SPARE))), "op1-chunks")
+    chunks = settled(chunked(own, keys, common, min(64, max(32, size.bytes.bit_length() + SPARE))), "op1-chunks")
     words = chunks.where("p >= 0").select("p", "chunk", "words", "pairs", "pair_contexts", "pair_counts", "contexts")
     pairs = settled(counted(words, parts), "op1-pairs")
     first = round_totals(pairs, None, common, 0)
@@ -597,16 +628,18 @@ def scored(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id", text: s
         if number:
             history.append(round_totals(state, first, common, number))
             dropped(old)
-        spark.sparkContext._jvm.System.gc()  # frees the disk of the round's shuffles
+        _freed(spark)
     model = spark.sparkContext.broadcast(Model(first.n, first.types, history[-kept:]))
-    answers = _answered(_asks(pairs.where("kind = 1").unionAll(state), keys, _all(kept)), parts)
+    answers = settled(_answered(_asks(pairs.where("kind = 1").unionAll(state), keys, _all(kept)), parts), "op1-answers")
+    dropped(pairs)
+    _freed(spark)
     names = ("p", "step", "q", "chunk", "words", "totals", "singles", "keys", "counts", "contexts", "seated", "above", "sums", "pairs", "pair_contexts", "pair_counts")
     wide = _wide(chunks, dict(state.dtypes) | {"step": "int", "q": "int", "sums": "array<binary>"}, names)
     step = lambda df, n: wide(df.withColumn("step", F.lit(n)))
     dealt = step(state, 0).unionAll(step(words, 1)).unionAll(step(answers, 2))
     given = settled(dealt.repartition(parts, "p").sortWithinPartitions("p", "step", "chunk").mapInArrow(lean(_given(model, names, keys)), GIVEN), "op1-given")
-    dropped(pairs, state)
-    spark.sparkContext._jvm.System.gc()
+    dropped(state, answers)
+    _freed(spark)
     none, no_ids = F.lit(None).cast("binary"), F.lit(None).cast("array<bigint>").alias("doc_ids")
     heads = chunks.where("p < 0").select("chunk", "p", F.lit(0).alias("step"), F.col("pairs").alias("a"), F.col("spread").alias("b"), none.alias("c"), none.alias("d"), "doc_ids")
     places = chunks.where("p >= 0").select("chunk", "p", F.lit(0), "pairs", "spread", "texts", "times", no_ids)
