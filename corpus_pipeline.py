@@ -1,13 +1,14 @@
 """The corpus pipeline: stages that each call one corpus operator on all that the stage before kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of docs. A stage
-decides by doc_id and text only; other columns pass through, and repeated rows count as copies. Empty input gives empty
-output with the same columns.
+decides by doc_id and text only; other columns pass through. Ties and repeated rows: toxicity, decontamination, secrets and
+encoding treat equal texts alike and keep or drop all their rows; near copies keep one row. Null texts are empty ones, and
+stay. Very long texts are handled whole. Empty input gives empty output with the same columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import byte_bpe, decontaminate, ngram_join, secret_scan, toxicity
@@ -34,23 +35,21 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: of the rows with the least doc_id in it, the one with the least text.
+    """One row of each class of near copies: the one with the least doc_id (nulls last), of those the one with the least digest of its text.
 
-    Where rows share a doc_id, each goes by its own text. Documents without words have no copies, and those whose id is
-    null are of no class; all of them stay.
+    Each row goes by its own text, also where rows share a doc_id or have none; of equal rows one stays. Documents without
+    words have no copies, and all stay.
     """
-    classes = settled(ngram_join.classed(docs).where("doc_id is not null"), "stage-classes")
-    again = settled(classes.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "stage-again")
-    gone = settled(classes.where("class_id is not null and doc_id <> class_id").select("doc_id").distinct(), "stage-gone")
-    if again.isEmpty():
-        return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
-    once = docs.join(small(again.unionAll(gone).distinct()), "doc_id", "left_anti")
-    shared = ngram_join.noded(docs.join(small(again), "doc_id", "left_semi").select(*docs.columns))
-    own = classes.where("class_id = doc_id and node is not null").join(small(again), "doc_id", "left_semi").select("doc_id", F.col("node").alias("__node"), F.col("label").alias("__label")).distinct()
-    least = F.row_number().over(Window.partitionBy("doc_id", "__label").orderBy("text"))
-    first = shared.join(own, ["doc_id", "__node"]).withColumn("__n", least).where("__n = 1")
-    parts = (once, shared.where("__node is null"), first)
-    return parts[0].select(*docs.columns).unionByName(parts[1].select(*docs.columns)).unionByName(parts[2].select(*docs.columns))
+    digest = F.sha2(text_or_empty(), 256)
+    own = docs.withColumn("__key", F.concat_ws(" ", digest, F.col("doc_id").cast("string")))
+    rows = settled(ngram_join.classed(own, key="__key").where("label is not null").select("doc_id", "label", "key"), "stage-classes")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    least = rows.groupBy("label").agg(F.min(place).alias("least"))
+    gone = settled(rows.join(least, "label").where(F.col("key") != F.col("least.key")).select(F.col("key").alias("__key")).distinct(), "stage-gone")
+    kept = own.join(small(gone), "__key", "left_anti")
+    again = settled(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("__key")).join(gone, "__key", "left_anti"), "stage-again")
+    once, several = kept.join(small(again), "__key", "left_anti"), kept.join(small(again), "__key", "left_semi")
+    return once.select(*docs.columns).unionByName(several.dropDuplicates(["__key"]).select(*docs.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
