@@ -362,12 +362,16 @@ def test_surrogates_stay_distinct(spark):
     assert len(set(got)) == 7 and not set(got) & set(texts)
 
 
-def test_surrogates_of_a_full_space(spark):
-    """All addresses with parts of one digit: there is no other such, so wider ones are given, and it ends."""
-    texts = [f"{a}.{b}.{c}.{d}" for a in range(1, 10, 2) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
+def test_surrogates_of_a_narrow_space(spark, monkeypatch):
+    """Many addresses with parts of one digit: those that collide get wider ones, and it ends; or it says that it can't."""
+    monkeypatch.setattr(pii, "WIDER", 1)
+    texts = [f"{a}.{b}.{c}.{d}" for a in (1, 2) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
     got = _replaced(spark, [" ".join(texts)])[0].split(" ")
     assert len(set(got)) == len(texts) and not set(got) & set(texts)
     assert all(0 <= int(p) < 256 for t in got for p in t.split("."))
+    monkeypatch.setattr(pii, "LAST", 0)
+    with pytest.raises(ValueError):
+        _replaced(spark, [" ".join(texts)])
 
 
 def test_persons(spark):

@@ -129,10 +129,9 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, b: a + b) % 10
 
 
-def _card(key: str, entity: Column, attempt: Column) -> Column:
-    """Digits of a card number's surrogate: the first stays, the last makes the Luhn remainder the same."""
-    long = F.concat(entity, _more(attempt, "0"))
-    body = F.concat(F.substring(entity, 1, 1), F.substr(_letters(key, F.lit("card"), long, attempt), F.lit(2), F.length(long) - 2))
+def _card(entity: Column, drawn: Column) -> Column:
+    """The first digit stays, the last makes the Luhn remainder the same, those between are drawn."""
+    body = F.concat(F.substring(entity, 1, 1), F.substr(drawn, F.lit(2), F.length(drawn) - 2))
     return F.concat(body, F.pmod(_luhn(entity) - _luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))
 
 
@@ -143,10 +142,9 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(signs, F.lit(0), lambda n, c: F.when(digit(c, F.lit("[0-9]")), n * 10 + c.cast("int")).otherwise(n * 100 + F.ascii(c) - 55) % 97)
 
 
-def _iban(key: str, entity: Column, attempt: Column) -> Column:
+def _iban(entity: Column, drawn: Column) -> Column:
     """The country stays, and check digits make the remainder the same."""
-    long = F.concat(entity, _more(attempt, "0"))
-    country, body = F.substring(entity, 1, 2), F.substr(_letters(key, F.lit("iban"), long, attempt), F.lit(5))
+    country, body = F.substring(entity, 1, 2), F.substr(drawn, F.lit(5))
     check = F.pmod(_mod97(entity) - _mod97(F.concat(country, F.lit("00"), body)), F.lit(97))
     return F.concat(country, F.lpad(F.when(check < 2, check + 97).otherwise(check).cast("string"), 2, "0"), body)
 
@@ -182,13 +180,16 @@ def _given(key: str, entity: Column, attempt: Column, gender: Column) -> Column:
     return out
 
 
-def surrogate(key: str, kind: Column, entity: Column, attempt: Column, gender: Column) -> Column:
-    """The surrogate of an entity, in the form of its identity; names begin with a capital."""
-    email = _letters(key, kind, F.concat(_more(attempt, "a"), entity), attempt)
-    return (
-        F.when(kind == "ip", _ip(key, entity, attempt)).when(kind == "card", _card(key, entity, attempt)).when(kind == "iban", _iban(key, entity, attempt)).when(kind == "family", _family(key, entity, attempt))
-        .when(kind == "given", _given(key, entity, attempt, gender)).when(kind == "email", email).otherwise(_letters(key, kind, F.concat(entity, _more(attempt, "0")), attempt))
+def drawn(key: str, rows: DataFrame) -> DataFrame:
+    """rows (kind, entity, gender, attempt) with made, the surrogate in the form of the entity's identity; names begin with a capital."""
+    kind, entity, attempt, gender = (F.col(c) for c in ("kind", "entity", "attempt", "gender"))
+    long = F.when(kind == "email", F.concat(_more(attempt, "a"), entity)).otherwise(F.concat(entity, _more(attempt, "0")))
+    letters = F.when(~kind.isin("ip", "family", "given"), _letters(key, kind, long, attempt))
+    made = (
+        F.when(kind == "ip", _ip(key, entity, attempt)).when(kind == "card", _card(entity, F.col("__letters"))).when(kind == "iban", _iban(entity, F.col("__letters")))
+        .when(kind == "family", _family(key, entity, attempt)).when(kind == "given", _given(key, entity, attempt, gender)).otherwise(F.col("__letters"))
     )
+    return rows.withColumn("__letters", letters).withColumn("made", made).drop("__letters")
 
 
 def _formed(kind: Column, value: Column, made: Column, given: Column) -> Column:
@@ -225,11 +226,8 @@ def surrogates(key: str, mentions: DataFrame) -> DataFrame:
     own = settled(main.unionAll(given).distinct().withColumn("attempt", F.lit(0)), "op8-entities")
     taken = own.select("kind", F.col("entity").alias("id")).distinct().withColumn("real", F.lit(True))
 
-    def drawn(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("made", surrogate(key, F.col("kind"), F.col("entity"), F.col("attempt"), F.col("gender")))
-
     identity = F.when(F.col("kind").isin("family", "given"), F.lower("made")).otherwise(F.col("made"))
-    done = settled(drawn(own), "op8-made")
+    done = settled(drawn(key, own), "op8-made")
     while True:
         first = done.withColumn("id", identity).groupBy("kind", "id").agg(F.min(F.struct("entity", "gender")).alias("least"), F.count("*").alias("n"))
         clash = first.join(taken, ["kind", "id"], "left").where("n > 1 or real")
@@ -241,7 +239,7 @@ def surrogates(key: str, mentions: DataFrame) -> DataFrame:
         if not done.where(F.col("attempt") >= LAST).join(again, ["kind", "entity", "gender"], "left_semi").isEmpty():
             raise ValueError(f"entities are left without a surrogate of their own after {LAST} attempts")
         old, marked = done, done.join(again, ["kind", "entity", "gender"], "left")
-        moved = drawn(marked.where("more = 1").select("kind", "entity", "gender", (F.col("attempt") + 1).alias("attempt")))
+        moved = drawn(key, marked.where("more = 1").select("kind", "entity", "gender", (F.col("attempt") + 1).alias("attempt")))
         done = settled(marked.where("more is null").select("kind", "entity", "gender", "attempt", "made").unionByName(moved.select("kind", "entity", "gender", "attempt", "made")), "op8-made")
         dropped(old, again)
 
