@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import gc
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.sources.shared import dropped, shared_dir
+
+__all__ = ["ARROW_BYTES", "ARROW_ROWS", "arrow_bounds", "crc_mod5", "dropped", "held", "lean", "settled", "shared_dir", "table", "text_or_empty", "trimmed"]
+
 #: Rows and bytes of an Arrow batch at most. Texts can be long, so what a Python worker holds at once is bounded by bytes.
 ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
 
-_made: list[str] = []
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,18 +27,6 @@ def arrow_bounds(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that all machines share. Only in local mode, where none is set, one is made."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="tideline-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    _made.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
-    return _made[-1]
-
-
 def settled(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
@@ -47,25 +35,6 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def removed(spark: SparkSession, path: str) -> None:
-    """Delete a folder that shared_dir() gave."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
-def dropped(*tables: DataFrame) -> None:
-    """Delete tables that settled() made, once nothing reads them any more."""
-    for df in tables:
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            removed(df.sparkSession, path)
-
-
-def cleaned(spark: SparkSession) -> None:
-    """Delete all that operators have left in the shared folder: for when the results have been read or written elsewhere."""
-    while _made:
-        removed(spark, _made.pop())
-
-
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
