@@ -30,7 +30,7 @@ class ByteBpe(Parts):
         import ahocorasick
         import regex
 
-        super().__init__(**options)
+        super().__init__(**{"size": 150_000, **options})
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.split = regex.compile(pattern).findall
@@ -54,7 +54,7 @@ class ByteBpe(Parts):
     def fit(self, a: int, b: int) -> bool:
         """Whether the merges leave token a and token b as they are side by side."""
         if (known := self.beside.get((a, b))) is None:
-            if len(self.beside) > 1_000_000:
+            if len(self.beside) > 200_000:
                 self.beside.clear()
             known = self.beside[a, b] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
         return known
@@ -110,7 +110,7 @@ def encoded(df: DataFrame, *, vocabulary: str, pattern: str, text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = held(("bpe", vocabulary, pattern), lambda: load(vocabulary, pattern))
-        for columns in together(batches):
+        for columns in together(batches, 4 << 20):
             ids, sizes = bpe(columns[-1])
             ends = np.cumsum(sizes)
             whole = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int32)))

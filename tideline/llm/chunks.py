@@ -110,14 +110,14 @@ class Parts:
         return out, np.diff(ends, prepend=0)
 
 
-def together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
-    """The columns of as many batches at once as have GATHER bytes: the more, the more parts of a batch are the same."""
+def together(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[list[pa.Array]]:
+    """The columns of as many batches at once as have `most` (GATHER) bytes: the more, the more parts of a batch are the same."""
     held, size = [], 0
     for b in batches:
         if b.num_rows:
             held.append(b)
             size += b.nbytes
-        if size >= GATHER:
+        if size >= (most or GATHER):
             yield [pa.concat_arrays(c) for c in zip(*(h.columns for h in held), strict=True)]
             held, size = [], 0
     if held:
