@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import byte_bpe, decontaminate, ngram_join, secret_scan, toxicity
-from tideline.llm.common import settled, table, text_or_empty
+from tideline.llm.common import settled, slimmed, table, text_or_empty
 
 
 #: Up to so many short rows a table of decisions is broadcast to the documents, else both are shuffled.
@@ -40,6 +40,7 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Each row goes by its own text, also where rows share a doc_id or have none; of equal rows one stays. Documents without
     words have no copies, and all stay.
     """
+    slimmed(spark)
     digest = F.sha2(text_or_empty(), 256)
     own = docs.withColumn("__key", F.concat_ws(" ", digest, F.col("doc_id").cast("string")))
     rows = settled(ngram_join.classed(own, key="__key").where("label is not null").select("doc_id", "label", "key"), "stage-classes")
@@ -54,6 +55,7 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated by benchmark items."""
+    slimmed(spark)
     names = docs.columns
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=names)
     hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, x: n + x["e"] - x["s"])
@@ -73,6 +75,7 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """doc_id, number of tokens and digests of the ids and of the bytes decoded from them."""
     import public_tokenizers
 
+    slimmed(spark)
     return byte_bpe.digests(docs, vocabulary=public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern=public_tokenizers.PATTERN)
 
 

@@ -196,6 +196,18 @@ def test_scores_against_gibbs_sampling_one_by_one(spark):
     assert known[True].perplexity < known[True].base_perplexity and known[False].perplexity < known[False].base_perplexity
 
 
+def test_the_encoder_starts_beside_a_heap_without_garbage(spark, tables):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    collected = lambda: sum(x.getCollectionCount() for x in beans if "Young" not in x.getName())
+    before = collected()
+    out = corpus_pipeline.encoding_stage(spark, docs, tables)
+    assert collected() > before
+    assert out.count() == docs.count()
+
+
 def test_probabilities_add_up(spark):
     """Over all types and the unknown one, in any context."""
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b a c", "b a b", "c c d a", "a a a b"])], "doc_id bigint, text string")

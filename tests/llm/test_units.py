@@ -90,6 +90,18 @@ def test_batches_are_put_together(monkeypatch):
     assert [x for g in got for x in g] == list(range(7)) and 1 < len(got) < 7
 
 
+def test_batches_that_are_too_large_are_cut():
+    import pyarrow as pa
+
+    sizes = [50] * 90 + [5000] + [0] * 20 + [50] * 90
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sizes))), pa.array(["x" * n for n in sizes])], names=["i", "t"])
+    got = list(chunks.together(iter([batch.slice(0, 150), batch.slice(150)]), 1000))
+    assert [x for g in got for x in g[0].to_pylist()] == list(range(len(sizes)))
+    assert [len(x) for g in got for x in g[1].to_pylist()] == sizes
+    bytes_ = [sum(c.nbytes for c in g) for g in got]
+    assert sorted(bytes_)[-2] < 2000 and max(bytes_) < 5000 + 2000
+
+
 @pytest.mark.parametrize("size", [3, 100_000])
 def test_bpe_equals_the_library(size):
     import pyarrow as pa

@@ -110,7 +110,7 @@ def encoded(df: DataFrame, *, vocabulary: str, pattern: str, text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = held(("bpe", vocabulary, pattern), lambda: load(vocabulary, pattern))
-        for columns in together(batches, 4 << 20):
+        for columns in together(batches, 1 << 20):
             ids, sizes = bpe(columns[-1])
             ends = np.cumsum(sizes)
             whole = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int32)))

@@ -110,10 +110,23 @@ class Parts:
         return out, np.diff(ends, prepend=0)
 
 
+def _halves(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of at most so many bytes, or of one row."""
+    if batch.nbytes <= most or batch.num_rows < 2:
+        yield batch
+        return
+    middle = batch.num_rows // 2
+    yield from _halves(batch.slice(0, middle), most)
+    yield from _halves(batch.slice(middle), most)
+
+
 def together(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[list[pa.Array]]:
-    """The columns of as many batches at once as have `most` (GATHER) bytes: the more, the more parts of a batch are the same."""
+    """The columns of as many batches at once as have `most` (GATHER) bytes: the more, the more parts of a batch are the same.
+
+    Batches that have more are cut, so less than twice as much is held at once, but for a longer row.
+    """
     held, size = [], 0
-    for b in batches:
+    for b in (x for batch in batches for x in _halves(batch, most or GATHER)):
         if b.num_rows:
             held.append(b)
             size += b.nbytes

@@ -44,6 +44,16 @@ def crc_mod5(column: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % 5
 
 
+def slimmed(spark: SparkSession) -> None:
+    """Have the executors' JVMs collect their garbage, upon which they give free heap back to the system.
+
+    A JVM keeps the heap that one operator's garbage filled; Python workers of the next one need room beside it. There are
+    as many tasks as cores, so every idle executor gets some.
+    """
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    spark.range(0, cores, 1, cores).select(F.expr("java_method('java.lang.System', 'gc')").alias("done")).collect()
+
+
 _slot: list = [None, None]
 
 
