@@ -4,6 +4,7 @@ import hashlib
 import math
 import os
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -14,6 +15,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 from pyspark.sql import functions as F  # noqa: E402
 
 from tideline.llm import byte_bpe, decontaminate, media, ngram_join, pii, pitman_yor, registry, secret_scan, token_file, toxicity, url_filter  # noqa: E402
+from tideline.llm.common import settled  # noqa: E402
 
 WORDS = [f"w{i}" for i in range(40)] + ["Été", "größe", "日本"]
 ITEM = " ".join(f"bench{i}" for i in range(20))
@@ -196,6 +198,22 @@ def test_scores_against_gibbs_sampling_one_by_one(spark):
     assert known[True].perplexity < known[True].base_perplexity and known[False].perplexity < known[False].base_perplexity
 
 
+def test_settled_tables_leave_no_shuffle_files(spark):
+    files, key = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def kept() -> set[str]:
+        return {x for x in files.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+
+    before, was = kept(), spark.conf.get(key)
+    dealt = spark.range(5000).repartition(3, "id").sortWithinPartitions("id")
+    out = settled(dealt, "test")
+    end = time.time() + 10
+    while kept() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not kept() - before and spark.conf.get(key) == was
+    assert out.count() == dealt.count() == 5000
+
+
 def test_the_encoder_starts_beside_a_heap_without_garbage(spark, tables):
     import corpus_pipeline
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +28,24 @@ def arrow_bounds(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+@contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """What is executed within deletes its shuffle files when it ends, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors, leaves no shuffle files."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
-    # small row groups: a writer holds one in memory
-    df.write.option("parquet.block.size", 16 << 20).parquet(path)
+    with shuffles_end(spark):
+        # small row groups: a writer holds one in memory
+        df.write.option("parquet.block.size", 16 << 20).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
