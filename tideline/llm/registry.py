@@ -10,14 +10,16 @@ from tideline.llm.pii import op8_pii_surrogates
 from tideline.llm.pitman_yor import op1_pitman_yor
 from tideline.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from tideline.llm.secret_scan import OP7_SQL, op7_secret_scan
+from tideline.llm.sharding import op12_sharding
 from tideline.llm.token_file import op4_token_file
 from tideline.llm.toxicity import op6_toxicity
 from tideline.llm.url_filter import OP3_SQL, op3_url_filter
+from tideline.llm.whitening import op13_whitening
 
 
 OPERATORS = (
     op1_pitman_yor, op2_ngram_join, op3_url_filter, op4_token_file, op5_byte_bpe, op6_toxicity, op7_secret_scan, op8_pii_surrogates,
-    op9_decontaminate, op10_media_columns, op11_prefix_trie,
+    op9_decontaminate, op10_media_columns, op11_prefix_trie, op12_sharding, op13_whitening,
 )
 
 
