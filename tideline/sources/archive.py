@@ -2,12 +2,15 @@
 
 Raw frames have seq, their place in the total order: day and hour, the running maximum of nanoseconds within a file, path and
 place in the file. Several folders can hold the same hour; their frames are merged by receive time. Files are read line by
-line, in splits where they can be split, so no file has to fit into a row or a window.
+line, in splits where they can be split, so no file has to fit into a row or a window. A read of a time range opens the
+files of its hours only.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,14 +49,78 @@ def _files_and_folders(spark: SparkSession, paths: tuple[str, ...]) -> tuple[lis
     return sorted(f for f in files if not read(f)), sorted(above)
 
 
-def read_archive(spark: SparkSession, *paths: str, skipped: Observation | None = None) -> DataFrame:
-    """seq, received_at, received_ns and payload of all lines below paths (files of any name, or folders; each file counts once)."""
+def _utc(moment: datetime | None) -> datetime | None:
+    """A moment without a zone is in UTC, as the archive's hours are."""
+    return moment if moment is None or moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+
+
+_DAY, _HOUR = re.compile(r"\d{4}-\d{2}-\d{2}$"), re.compile(r"(\d{2})\.tsv(\.gz)?$")
+
+
+def hours_within(spark: SparkSession, folder: str, since: datetime | None, until: datetime | None) -> list[str]:
+    """The days' folders and hours' files below folder that can hold frames from since (inclusive) to until (exclusive).
+
+    Folders of days out of the range aren't listed, a day that lies within it whole is one entry, and of a day at an edge
+    only the hours are. So the listing grows with the range and not with the archive. Files that aren't named by day and
+    hour can hold any time and are all named.
+    """
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    start, end = _utc(since) or datetime.min.replace(tzinfo=timezone.utc), _utc(until) or datetime.max.replace(tzinfo=timezone.utc)
+    out, todo = [], [folder]
+    while todo:
+        path = hadoop(todo.pop())
+        for status in path.getFileSystem(conf).listStatus(path):
+            name, found = status.getPath().getName(), status.getPath().toString()
+            if name.startswith(("_", ".")):
+                continue
+            if not status.isDirectory():
+                if name.endswith((".tsv", ".tsv.gz")):
+                    out.append(found)
+                continue
+            day = _day(name)
+            if day is None:
+                todo.append(found)
+            elif start <= day and day + timedelta(days=1) <= end:
+                out.append(found)
+            elif day < end and start < day + timedelta(days=1):
+                for file in path.getFileSystem(conf).listStatus(status.getPath()):
+                    own = file.getPath().getName()
+                    hour = _HOUR.fullmatch(own)
+                    begun = day + timedelta(hours=int(hour[1])) if hour else None
+                    if own.endswith((".tsv", ".tsv.gz")) and (begun is None or (begun < end and start < begun + timedelta(hours=1))):
+                        out.append(file.getPath().toString())
+    return sorted(out)
+
+
+def _day(name: str) -> datetime | None:
+    if not _DAY.fullmatch(name):
+        return None
+    try:
+        return datetime.strptime(name, "%Y-%m-%d").replace(tzinfo=timezone.utc)
+    except ValueError:  # not a date after all
+        return None
+
+
+def _empty_lines(spark: SparkSession) -> DataFrame:
+    kinds = "value string, path string, block bigint, line bigint"
+    return spark.range(0).select(*(F.lit(None).cast(k.split()[1]).alias(k.split()[0]) for k in kinds.split(", ")))
+
+
+def read_archive(spark: SparkSession, *paths: str, since: datetime | None = None, until: datetime | None = None, skipped: Observation | None = None) -> DataFrame:
+    """seq, received_at, received_ns and payload of all lines below paths (files of any name, or folders; each file counts once).
+
+    With since (inclusive) or until (exclusive), of the folders only the hours in that range are listed and read, and only
+    frames in it are given; of each file they are those that a read of all would give.
+    """
     files, folders = _files_and_folders(spark, paths)
+    if since is not None or until is not None:
+        within = [p for f in folders for p in hours_within(spark, f, since, until)]
+        files, folders = sorted({*files, *(p for p in within if p.endswith((".tsv", ".tsv.gz")))}), [p for p in within if not p.endswith((".tsv", ".tsv.gz"))]
     parts = [spark.read.text(files)] if files else []
     if folders:
         parts.append(spark.read.text(folders, recursiveFileLookup=True, pathGlobFilter=FILES))
     parts = [p.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")) for p in parts]
-    lines = parts[0].unionAll(parts[1]) if len(parts) == 2 else parts[0]
+    lines = parts[0].unionAll(parts[1]) if len(parts) == 2 else parts[0] if parts else _empty_lines(spark)
     rows = decoded_lines(lines, skipped=skipped)
     # a line comes when those before it in its file have come: its time is the greatest so far, split by split
     inside = Window.partitionBy("path", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
@@ -62,6 +129,11 @@ def read_archive(spark: SparkSession, *paths: str, skipped: Observation | None =
     rows = rows.withColumn("run_ns", F.max("received_ns").over(inside)).join(edges, ["path", "block"])
     hour = F.regexp_extract("path", r"([^/]+/[^/.]+)[^/]*$", 1)
     seq = F.struct(hour.alias("hour"), F.greatest("run_ns", "before").alias("run_ns"), "path", "block", "line")
+    if since is not None or until is not None:
+        # the order within a file is made before frames go
+        at = F.timestamp_micros(F.expr("received_ns div 1000"))
+        for bound, keep in ((_utc(since), at.__ge__), (_utc(until), at.__lt__)):
+            rows = rows if bound is None else rows.where(keep(F.lit(bound)))
     return rows.select(seq.alias("seq"), F.timestamp_micros(F.expr("received_ns div 1000")).alias("received_at"), "received_ns", "payload")
 
 
