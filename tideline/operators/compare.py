@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.running import numbered, pieced, summed_before
 from tideline.operators.detectors import NAMES
+from tideline.operators.selection import top_bounds
 from tideline.sources.shared import settled, small
 
 RATES = (0.001, 0.01)
@@ -47,10 +48,15 @@ def near_flags(scored: DataFrame, reach_s: int = NEAR_S) -> DataFrame:
     return left.join(right, (F.col("symbol") == F.col("s")) & (F.col("cell") == F.col("c")) & close, "left_semi").drop("cell").dropDuplicates(["symbol", "time"])
 
 
-def ranked(scored: DataFrame) -> DataFrame:
-    """Adds n_rows, and a_place and b_place: the places in the symbol by score, earlier of equals first."""
-    size = scored.groupBy("symbol").agg(F.count("*").alias("n_rows"))
-    out = scored.join(small(size), "symbol")
+def ranked(scored: DataFrame, rate: float) -> DataFrame:
+    """The rows that may be in the top of a or of b at rate, with n_rows (of the symbol) and a_place and b_place.
+
+    The least score of each top is selected first; only rows that reach it are ordered. A place is the one in the symbol by
+    score, earlier of equals first, for rows that reach the top's least score, and a greater one for others.
+    """
+    bounds = {d: top_bounds(scored, ["symbol"], f"{d}_score", (rate,)).select("symbol", F.col("n").alias("n_rows"), F.col("value").alias(f"{d}_least")) for d in "ab"}
+    least = settled(bounds["a"].join(bounds["b"].drop("n_rows"), "symbol"), "least")
+    out = settled(scored.join(small(least), "symbol").where("a_score >= a_least or b_score >= b_least").drop("a_least", "b_least"), "tops")
     for d in "ab":
         out = out.withColumn("__o", F.struct(-F.col(f"{d}_score"), F.col("time")))
         out = numbered(pieced(out, "symbol", "__o"), ["symbol"], "__o", f"{d}_place").drop("__o", "piece")
@@ -64,12 +70,12 @@ def _tops(rate: float) -> tuple[Column, Column, Column]:
 
 
 def topk_overlap(scored: DataFrame, rates: tuple[float, ...] = RATES) -> DataFrame:
-    """For each rate, how many of the top k rows of a and b are the same; the rows are ranked once for all rates."""
+    """For each rate, how many of the top k rows of a and b are the same; the tops are ranked once for all rates."""
     each = []
     for rate in rates:
         k, a, b = _tops(rate)
         each.append(F.struct(F.lit(rate).alias("rate"), k.alias("k"), (a & b).alias("both")))
-    rows = ranked(scored).select("symbol", "n_rows", F.inline(F.array(*each)))
+    rows = ranked(scored, max(rates)).select("symbol", "n_rows", F.inline(F.array(*each)))
     out = rows.groupBy("symbol", "rate").agg(F.max("k").alias("k"), F.max("n_rows").alias("n_rows"), F.count_if("both").alias("n_common"))
     return out.withColumn("overlap", F.col("n_common") / F.col("k")).withColumn("by_chance", F.col("k") / F.col("n_rows"))
 
@@ -99,7 +105,7 @@ def spearman(scored: DataFrame) -> DataFrame:
 def _picked(scored: DataFrame, rate: float) -> DataFrame:
     """The rows in the top of a, of b or of both."""
     _, a, b = _tops(rate)
-    return ranked(scored).withColumn("picked", F.when(a & b, "both").when(a, "a_only").when(b, "b_only")).where("picked is not null")
+    return ranked(scored, rate).withColumn("picked", F.when(a & b, "both").when(a, "a_only").when(b, "b_only")).where("picked is not null")
 
 
 def percentile_ranks(scored: DataFrame, rate: float = 0.01) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.operators.selection import quantiles
+
 
 def increase(samples: DataFrame, series: list[str], seconds: int, ts: str = "ts", value: str = "value", name: str = "increase") -> DataFrame:
     """How much a counter rose in the seconds up to each sample; a fall is a restart from zero. Not extrapolated to the window's ends."""
@@ -124,6 +126,9 @@ def level(value: Column, steps: list[tuple[float, str]], base: str = "green") ->
 
 
 def latency_percentiles(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    p = F.percentile(value, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    out = df.groupBy(*by).agg(p.alias("p"), F.max(value).alias("max"), F.avg(value).alias("mean"))
-    return out.select(*by, F.col("p")[0].alias("p50"), F.col("p")[1].alias("p95"), F.col("p")[2].alias("p99"), "max", "mean")
+    """p50, p95, p99 (exact, between neighbours by linear interpolation), max and mean; labels without values have none."""
+    rest = df.groupBy(*by).agg(F.max(value).alias("max"), F.avg(value).alias("mean"))
+    found = quantiles(df, by, value, [0.5, 0.95, 0.99]).select(*by, F.col("q0").alias("p50"), F.col("q1").alias("p95"), F.col("q2").alias("p99"))
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}")) for c in by]
+    joined = rest.alias("r").join(found.alias("f"), same, "left") if by else rest.alias("r").crossJoin(found.alias("f"))
+    return joined.select(*(F.col(f"r.{c}").alias(c) for c in by), "p50", "p95", "p99", "max", "mean")
