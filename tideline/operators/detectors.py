@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,26 +31,72 @@ def feature_map(*, z: bool = False) -> Column:
     return F.create_map(*pairs)
 
 
+def rolling_medians(values: np.ndarray, window: int) -> np.ndarray:
+    """The median of the window values before each place (of fewer at the beginning; nan for the first). One value goes into a sorted list and one out at each step."""
+    out, held, flow = np.full(len(values), np.nan), [], values.tolist()
+    for i, x in enumerate(flow):
+        if held:
+            half = len(held) // 2
+            out[i] = held[half] if len(held) % 2 else (held[half - 1] + held[half]) / 2
+        if i >= window:
+            del held[bisect.bisect_left(held, flow[i - window])]
+        bisect.insort(held, x)
+    return out
+
+
+#: Rows whose frames are worked out at once: so many times a window's values are held.
+FRAMES = 4096
+
+
+def rolling_moments(values: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and population standard deviation of the window values before each place (of fewer at the beginning; nan for the first)."""
+    n = len(values)
+    mean, std = np.full(n, np.nan), np.full(n, np.nan)
+    for i in range(1, min(n, window)):
+        mean[i], std[i] = values[:i].mean(), values[:i].std()
+    if n > window:
+        frames = np.lib.stride_tricks.sliding_window_view(values[:-1], window)
+        for at in range(0, len(frames), FRAMES):
+            some = frames[at : at + FRAMES]
+            mean[window + at : window + at + len(some)], std[window + at : window + at + len(some)] = some.mean(axis=1), some.std(axis=1)
+    return mean, std
+
+
 def zscores(rows: DataFrame, *, window: int = 300, min_samples: int = 60, threshold: float = 4.0, chunk: int = 50_000) -> DataFrame:
     """vectors() with z_<name>, score (the largest |z|) and threshold; score is null until min_samples rows came before.
 
     The frame is the window rows before the row. A standard deviation within float noise of zero counts as zero, and that
     of the spread is at least half the frame's median spread. A symbol's rows are cut into chunks that carry the window
-    rows before them, so a symbol isn't one task.
+    rows before them, so a symbol isn't one task, and no chunk holds more than chunk + window rows.
     """
     at = F.floor((F.col("seen") - 1) / chunk)
-    ahead = F.when(F.col("seen") % chunk > chunk - window, F.array(at, at + 1)).when(F.col("seen") % chunk == 0, F.array(at, at + 1)).otherwise(F.array(at))
-    cut = rows.withColumn("__own", at).withColumn("__cut", F.explode(ahead))
-    w = Window.partitionBy("symbol", "__cut").orderBy("seen").rowsBetween(-window, -1)
-    # all at once: one pass over the frames
-    means = {f"__m_{n}": F.avg(f"x_{n}").over(w) for n in NAMES} | {f"__s_{n}": F.stddev_pop(f"x_{n}").over(w) for n in NAMES}
-    out = cut.withColumns({"__n": F.count("*").over(w), "__median": F.percentile("x_spread_bps", 0.5).over(w)} | means).where("__cut = __own")
-    for n in NAMES:
-        mean, std = F.col(f"__m_{n}"), F.col(f"__s_{n}")
-        std = F.when(std <= 1e-9 * F.greatest(F.lit(1.0), F.abs(mean)), 0.0).otherwise(std)
-        std = F.greatest(std, 0.5 * F.col("__median")) if n == "spread_bps" else std
-        out = out.withColumn(f"z_{n}", F.when(F.col("__n") >= min_samples, F.when(std > 0, (F.col(f"x_{n}") - mean) / std).otherwise(0.0)))
-    return out.withColumn("score", F.greatest(*(F.abs(f"z_{n}") for n in NAMES))).withColumn("threshold", F.lit(float(threshold))).drop("__own", "__cut", "__n", "__median", *(f"__{k}_{n}" for k in "ms" for n in NAMES))
+    reach = -(-window // chunk)
+    last = F.floor((F.col("seen") - 1 + window) / chunk)
+    cut = rows.withColumn("__own", at).withColumn("__cut", F.explode(F.sequence(at, F.least(last, at + reach))))
+    names = rows.columns
+    scores = [*(f"z_{n}" for n in NAMES), "score"]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), *(f"{c} double" for c in scores)])
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("seen")
+        own = (group["__own"].to_numpy() == group["__cut"].to_numpy()) if len(group) else np.zeros(0, bool)
+        before = np.minimum(np.arange(len(group)), window)
+        out, most = {}, np.zeros(len(group))
+        for n in NAMES:
+            x = group[f"x_{n}"].to_numpy()
+            mean, std = rolling_moments(x, window)
+            std = np.where(std <= 1e-9 * np.maximum(1.0, np.abs(mean)), 0.0, std)
+            if n == "spread_bps":
+                std = np.maximum(std, 0.5 * rolling_medians(x, window))
+            out[n] = np.divide(x - mean, std, out=np.zeros(len(x)), where=std > 0)
+            most = np.maximum(most, np.abs(out[n]))
+        early = (before < max(min_samples, 1))[own]
+        kept = group.filter(pa.array(own)).select(names)
+        for name, z in zip(scores, [*out.values(), most], strict=True):
+            kept = kept.append_column(name, pa.array(z[own], pa.float64(), mask=early))
+        return kept
+
+    return cut.groupBy("symbol", "__cut").applyInArrow(run, schema).withColumn("threshold", F.lit(float(threshold)))
 
 
 def zscore_of(before: np.ndarray, x: np.ndarray) -> np.ndarray:
