@@ -130,6 +130,19 @@ def archive_scan(spark, sf_dir):
     return _rounded(numbered(pieced(rows, "seq"), [], "seq", "place").select("place", "received_at"))
 
 
+@query("SELECT row_number() OVER (ORDER BY ts) AS place, ts AS received_at FROM events WHERE event_id IS NOT NULL AND ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-11 09:30:00'")
+def archive_range(spark, sf_dir):
+    """The frames of a day and a bit, from an archive of all events: only the files of these hours are opened."""
+    from datetime import datetime
+
+    from tideline.sources.archive import read_archive, write_archive
+
+    path = shared_dir(spark, "archive")
+    write_archive(adapter.raw(spark, sf_dir).select("received_at", "payload", "seq"), path)
+    rows = read_archive(spark, path, since=datetime(2024, 1, 10, 6), until=datetime(2024, 1, 11, 9, 30))
+    return _rounded(numbered(pieced(settled(rows.select("seq", "received_at"), "raw"), "seq"), [], "seq", "place").select("place", "received_at"))
+
+
 @query(BASE + " UNION ALL ".join(f"SELECT '{t}' AS name, count(DISTINCT (symbol, {k}, time)) AS n_rows, count(DISTINCT CAST(time AS DATE)) AS n_days, max(time) AS last_time FROM {v}" for t, v, k in (("trades", "trades", "trade_id"), ("depth_updates", "depth", "final_update_id"))))
 def table_statistics(spark, sf_dir):
     """Rows, days and last time of tables that the replay's records were merged into, twice."""
@@ -203,16 +216,40 @@ def features(spark, sf_dir):
     return _rounded(_replay(spark, sf_dir).features)
 
 
-@query(_feature_query("time, symbol, trade_count, volume, notional, spread_bps, mid, abs_return_bps"))
-def stream_features(spark, sf_dir):
-    """The feature rows that a stream over the raw frames gives; its rows are written by the stream and read back."""
-    from tideline.streaming.live import feature_stream
+def _streamed(spark, sf_dir):
+    """All rows of the stream over the raw frames; they are written by the stream and read back."""
+    from tideline.streaming.live import live_rows
 
     raw, root = settled(adapter.raw(spark, sf_dir), "frames"), shared_dir(spark, "stream")
     source = spark.readStream.schema(raw.schema).parquet(raw.inputFiles()[0].rsplit("/", 1)[0])
-    rows = feature_stream(source, width_us=adapter.SETTINGS.width_us, max_fill=adapter.SETTINGS.max_fill)
+    rows = live_rows(source, adapter.SETTINGS)
     rows.writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
-    return _rounded(spark.read.schema(rows.schema).parquet(f"{root}/rows"))
+    return spark.read.schema(rows.schema).parquet(f"{root}/rows")
+
+
+@query(_feature_query("time, symbol, trade_count, volume, notional, spread_bps, mid, abs_return_bps"))
+def stream_features(spark, sf_dir):
+    """The feature rows that a stream over the raw frames gives."""
+    from tideline.streaming.live import features_of
+
+    return _rounded(features_of(_streamed(spark, sf_dir)))
+
+
+@query(GAPS + "SELECT * FROM gaps")
+def stream_gaps(spark, sf_dir):
+    """The gaps that a stream over the raw frames gives."""
+    from tideline.streaming.live import gaps_of
+
+    return _rounded(gaps_of(_streamed(spark, sf_dir)))
+
+
+@query(ZSCORES + "SELECT time, symbol, round(score, 6) AS score, " + ", ".join(f"round({p}_{n}, 6) AS {p}_{n}" for n in detectors.NAMES for p in "xz") + " FROM zscores WHERE score > 4")
+def stream_zscores(spark, sf_dir):
+    """The z-score flags that a stream over the raw frames gives, with the map of features as columns."""
+    from tideline.streaming.live import flags_of
+
+    f = flags_of(_streamed(spark, sf_dir)).where("detector = 'zscore'")
+    return _rounded(f.select("time", "symbol", "score", *(F.col("features")[p + n].alias(f"{c}_{n}") for n in detectors.NAMES for c, p in (("x", ""), ("z", "z_")))))
 
 
 # ------------------------------------------------------------------ detectors

@@ -1,9 +1,13 @@
-"""The live side: gaps, features and flags as a stateful stream, idempotent sinks per batch, windowed counts, progress.
+"""The live side: gaps, features and flags as a keyed stateful stream, idempotent sinks per batch, windowed counts, progress.
 
-The clock of the feature buckets is shared by all symbols, so the stateful operator has one key: what it gets are decoded
-frames, a few hundred rows a second. Everything before and after it runs in parallel. Its state is checkpointed, so a stream
-that starts again goes on where it was. The rows of a batch are taken in the order of seq, and batches must come in order
-(a folder of archive files does); a batch is held at once, so bound it by maxFilesPerTrigger or maxframes.
+Symbols are dealt over KEYS keys by their hash. All that a symbol's rows are made of is in its key's state: the last depth
+update, the open bucket, the quote that was carried into it and the rows that detectors look back on, as typed values (a map
+from symbol to each), checkpointed, so a stream that starts again goes on where it was. What all symbols share is little and
+goes to every key: connection markers, and ticks, the first row of each bucket in each Arrow batch. The running maximum of
+the ticks up to a row is the clock of all symbols, so no key needs another one's rows.
+
+The rows of a batch are taken in the order of seq, and batches must come in order (a folder of archive files does); a key's
+rows of a batch are held at once, so bound it by maxFilesPerTrigger or maxframes. Symbols never expire, as in the replay.
 """
 
 from __future__ import annotations
@@ -11,7 +15,6 @@ from __future__ import annotations
 import json
 import logging
 import math
-import pickle
 import time
 from collections.abc import Iterator
 
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tideline.functions import decode
 from tideline.operators import detectors
@@ -37,6 +40,8 @@ OUTPUT = (
     "first_update_id bigint, missing_update_ids bigint, cause string, received_us bigint, detector string, score double, threshold double, features string"
 )
 _COLUMNS = tuple(c.split(" ")[0] for c in OUTPUT.split(", "))
+#: Keys over which symbols are dealt. A stream keeps the number it began with.
+KEYS = 32
 
 
 class LiveBuckets:
@@ -50,11 +55,7 @@ class LiveBuckets:
 
     def feed(self, us: int, symbol: str, trade: tuple[float, float] | None, quote: tuple[float, float] | None) -> Iterator[tuple]:
         """trade: quantity and amount; quote: mid and spread. Gives the rows of the buckets that this row closes."""
-        bucket = us - us % self.width
-        if self.open is None:
-            self.open = bucket
-        if bucket > self.open:
-            yield from self._close(bucket)
+        yield from self.tick(us)
         own = self.symbols.setdefault(symbol, {"n": 0, "qty": 0.0, "amount": 0.0, "quotes": [], "carried": None, "mid": None})
         if trade:
             own["n"] += 1
@@ -63,6 +64,14 @@ class LiveBuckets:
         if quote:
             own["quotes"].append([us, *quote])
 
+    def tick(self, us: int) -> Iterator[tuple]:
+        """The clock is at least here."""
+        bucket = us - us % self.width
+        if self.open is None:
+            self.open = bucket
+        if bucket > self.open:
+            yield from self._close(bucket)
+
     def _close(self, bucket: int) -> Iterator[tuple]:
         silent = bucket - self.open > (self.fill + 1) * self.width
         for at in [self.open] if silent else range(self.open, bucket, self.width):
@@ -135,50 +144,119 @@ class LiveScores:
         del rows[: max(0, len(rows) - s.train_window - swap - step - 1)]
 
 
-class Live:
-    """All state of the stream. feed() takes decoded frames one after another and gives rows of OUTPUT as dicts, in the order in which they are known."""
+#: What a key keeps: the open bucket and the number of markers; of each symbol its last update, its bucket with the quotes of
+#: it (time, mid and spread, one after the other), and the rows that were scored (four values each).
+CLOCK = "open bigint, markers bigint"
+UPDATE = "final bigint, epoch bigint"
+BUCKET = "n bigint, qty double, amount double, carried array<double>, mid double, quotes array<double>"
+SCORED = "seen bigint, rows array<double>"
+
+
+class Market(StatefulProcessor):
+    """Takes decoded frames, markers and ticks of a key in the order of seq and gives rows of OUTPUT."""
 
     def __init__(self, settings: Settings):
-        self.buckets, self.gaps, self.scores = LiveBuckets(settings.width_us, settings.max_fill), LiveGaps(), LiveScores(settings)
-
-    def feed(self, x) -> Iterator[dict]:
-        if x.status == "marker":
-            self.gaps.marker()
-        elif x.status == "depth":
-            if found := self.gaps.feed(x.symbol, int(x.first_update_id), int(x.final_update_id)):
-                yield {"kind": "gap", "time_us": x.time_us, "symbol": x.symbol, "prev_final_update_id": found[0], "first_update_id": int(x.first_update_id), "missing_update_ids": found[1], "cause": found[2], "received_us": x.us}
-        else:
-            trade = (x.qty, x.amount) if x.status == "trade" else None
-            for row in self.buckets.feed(x.us, x.symbol, trade, None if trade else (x.mid, x.spread)):
-                f = dict(zip(FEATURES, row, strict=True))
-                yield {"kind": "feature"} | f
-                if f["spread_bps"] is not None and f["abs_return_bps"] is not None:
-                    values = np.array([math.log1p(f["trade_count"]), math.log1p(f["notional"]), f["spread_bps"], math.log1p(f["abs_return_bps"])])
-                    for detector, score, threshold, named in self.scores.feed(f["symbol"], values):
-                        yield {"kind": "flag", "time_us": f["time_us"], "symbol": f["symbol"], "detector": detector, "score": score, "threshold": threshold, "features": json.dumps(named)}
-
-
-def live_rows(raw: DataFrame, settings: Settings = Settings(), *, order: str = "seq") -> DataFrame:  # noqa: B008
+        self.settings = settings
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.clock = handle.getValueState("clock", CLOCK)
+        self.updates, self.open, self.scored = (handle.getMapState(name, "symbol string", kind) for name, kind in (("updates", UPDATE), ("buckets", BUCKET), ("scored", SCORED)))
+
+    def close(self) -> None:
+        pass
+
+    def _loaded(self) -> tuple[LiveBuckets, LiveGaps, LiveScores]:
+        s, width = self.settings, len(detectors.NAMES)
+        buckets, gaps, scores = LiveBuckets(s.width_us, s.max_fill), LiveGaps(), LiveScores(s)
+        if (clock := self.clock.get()) is not None:
+            buckets.open, gaps.markers = clock[0], clock[1]
+        gaps.last = {k[0]: tuple(v) for k, v in self.updates.iterator()}
+        for (symbol,), (n, qty, amount, carried, mid, quotes) in self.open.iterator():
+            points = [[int(quotes[i]), *quotes[i + 1 : i + 3]] for i in range(0, len(quotes), 3)]
+            buckets.symbols[symbol] = {"n": n, "qty": qty, "amount": amount, "quotes": points, "carried": list(carried) or None, "mid": mid}
+        for (symbol,), (seen, rows) in self.scored.iterator():
+            scores.seen[symbol], scores.rows[symbol] = seen, [list(rows[i : i + width]) for i in range(0, len(rows), width)]
+        return buckets, gaps, scores
+
+    def _stored(self, buckets: LiveBuckets, gaps: LiveGaps, scores: LiveScores, before: dict[str, int]) -> None:
+        self.clock.update((buckets.open, gaps.markers))
+        for symbol, last in gaps.last.items():
+            self.updates.updateValue((symbol,), last)
+        for symbol, x in buckets.symbols.items():
+            flat = [float(v) for point in x["quotes"] for v in point]
+            self.open.updateValue((symbol,), (x["n"], float(x["qty"]), float(x["amount"]), [float(v) for v in x["carried"] or []], x["mid"], flat))
+        for symbol, seen in scores.seen.items():
+            if before.get(symbol) != seen:
+                self.scored.updateValue((symbol,), (seen, [v for row in scores.rows[symbol] for v in row]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        buckets, gaps, scores = self._loaded()
+        before, pdf = dict(scores.seen), pd.concat(list(rows))
+        pdf = pdf.assign(seq=pdf["seq"].map(_place)).sort_values("seq", kind="stable")
+        out: list[dict] = []
+        for x in pdf.itertuples(index=False):
+            found: Iterator[tuple] = iter(())
+            if x.status == "marker":
+                gaps.marker()
+            elif x.status == "tick":
+                found = buckets.tick(x.us)
+            elif x.status == "depth":
+                if gap := gaps.feed(x.symbol, int(x.first_update_id), int(x.final_update_id)):
+                    out.append({"kind": "gap", "time_us": x.time_us, "symbol": x.symbol, "prev_final_update_id": gap[0], "first_update_id": int(x.first_update_id), "missing_update_ids": gap[1], "cause": gap[2], "received_us": x.us})
+            else:
+                found = buckets.feed(x.us, x.symbol, (x.qty, x.amount) if x.status == "trade" else None, (x.mid, x.spread) if x.status == "quote" else None)
+            for row in found:
+                out += _scored(dict(zip(FEATURES, row, strict=True)), scores)
+        self._stored(buckets, gaps, scores, before)
+        yield pd.DataFrame({c: pd.Series([row.get(c) for row in out], dtype=object) for c in _COLUMNS})
+
+
+def _place(seq) -> tuple:
+    """A seq as something that sorts."""
+    return tuple(seq.values()) if isinstance(seq, dict) else tuple(seq) if isinstance(seq, (list, tuple)) else (seq,)
+
+
+def _scored(feature: dict, scores: LiveScores) -> Iterator[dict]:
+    """A feature row, and the flags that it raises."""
+    yield {"kind": "feature"} | feature
+    if feature["spread_bps"] is not None and feature["abs_return_bps"] is not None:
+        values = np.array([math.log1p(feature["trade_count"]), math.log1p(feature["notional"]), feature["spread_bps"], math.log1p(feature["abs_return_bps"])])
+        for detector, score, threshold, named in scores.feed(feature["symbol"], values):
+            yield {"kind": "flag", "time_us": feature["time_us"], "symbol": feature["symbol"], "detector": detector, "score": score, "threshold": threshold, "features": json.dumps(named)}
+
+
+def _ticking(width_us: int):
+    """Marks the first row of each bucket of a batch's trades and quotes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            own = pdf.loc[pdf["status"].isin(("trade", "quote")), ["seq", "us"]]
+            first = own.assign(seq=own["seq"].map(_place), b=own["us"] // width_us).sort_values("seq", kind="stable").drop_duplicates("b")
+            yield pdf.assign(ticks=pdf.index.isin(first.index))
+
+    return run
+
+
+def live_rows(raw: DataFrame, settings: Settings = Settings(), *, order: str = "seq", keys: int = KEYS) -> DataFrame:  # noqa: B008
     """Streaming raw frames (seq, received_at, payload) to streaming rows of OUTPUT: gaps, features and flags."""
+    raw.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     frames = decode.decoded(raw.withColumnRenamed(order, "seq") if order != "seq" else raw)
     records = decode.typed(frames)
     bid, ask = F.col("bid").cast("double"), F.col("ask").cast("double")
     mid = (bid + ask) / 2
     rows = records.where("status <> 'quote' or bid + ask > 0").select(
-        F.lit(0).alias("key"), "seq", "status", "symbol", F.unix_micros("received_at").alias("us"), F.unix_micros("time").alias("time_us"), F.col("qty").cast("double").alias("qty"),
+        "seq", "status", "symbol", F.unix_micros("received_at").alias("us"), F.unix_micros("time").alias("time_us"), F.col("qty").cast("double").alias("qty"),
         (F.col("price") * F.col("qty")).cast("double").alias("amount"), mid.alias("mid"), F.try_divide(ask - bid, mid).alias("spread"), "first_update_id", "final_update_id",
     ).withColumn("spread", F.col("spread") * 1e4)
-
-    def step(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        live = pickle.loads(state.get[0]) if state.exists else Live(settings)
-        pdf = pd.concat(list(batches))
-        place = pdf["seq"].map(lambda s: tuple(s.values()) if isinstance(s, dict) else tuple(s) if isinstance(s, (list, tuple)) else (s,))
-        pdf = pdf.assign(seq=place).sort_values("seq", kind="stable")
-        out = [row for x in pdf.itertuples(index=False) for row in live.feed(x)]
-        state.update((pickle.dumps(live),))
-        yield pd.DataFrame({c: pd.Series([row.get(c) for row in out], dtype=object) for c in _COLUMNS})
-
-    return rows.groupBy("key").applyInPandasWithState(step, OUTPUT, "state binary", "append", GroupStateTimeout.NoTimeout)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", ticks boolean"
+    ticking = rows.mapInPandas(_ticking(settings.width_us), schema)
+    own = F.pmod(F.xxhash64("symbol"), F.lit(keys)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(keys - 1))
+    dealt = ticking.withColumn("own", own).withColumn("key", F.explode(F.when((F.col("status") == "marker") | F.col("ticks"), every).otherwise(F.array("own"))))
+    # to all keys but its own, a row that ticks is a tick
+    shared = F.col("ticks") & (F.col("key") != F.col("own"))
+    dealt = dealt.withColumn("status", F.when(shared, "tick").otherwise(F.col("status"))).drop("own", "ticks")
+    return dealt.groupBy("key").transformWithStateInPandas(Market(settings), OUTPUT, "append", "none")
 
 
 def features_of(rows: DataFrame) -> DataFrame:
