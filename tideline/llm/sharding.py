@@ -7,8 +7,8 @@ as a tree: a node's rows per shard are dealt to its children, one after the othe
 its rows begin in each shard. So no task holds more than one group, and the driver holds the shards' sizes only.
 
 Then every part permutes its rows (a permutation drawn for it), its first rows go to the first shard, and so on; the rows
-are exchanged by shard and range of slots, and permuted again within the shard by a keyed bijection of its slots (a Feistel
-network, walked until it falls inside the shard). That needs no second exchange and no task that holds a shard. Every draw
+are exchanged by ranges of slots, shard after shard and all of one size, and permuted again within the shard by a keyed
+bijection of its slots (a Feistel network, walked until it falls inside the shard). That needs no second exchange and no task that holds a shard. Every draw
 is keyed by the seed and the part or node, so a task that runs again draws the same; the input's rows are written with
 their parts first.
 
@@ -33,8 +33,8 @@ from tideline.llm.common import arrow_bounds, lean, settled, table, text_or_empt
 PART, FAN = 20, 13
 #: Up to so many counts the matrix is broadcast (8 bytes each), else rows are dealt by part to meet it.
 BROADCAST_COUNTS = 1_000_000
-#: Slots that are exchanged together.
-SLOTS = 65_536
+#: Bytes of the stored (compressed) rows that are exchanged together, about.
+EXCHANGED = 32 << 20
 ROUNDS = 8
 
 
@@ -173,8 +173,12 @@ def shuffled(df: DataFrame, shards: int, *, seed: int = 0) -> DataFrame:
     met = rows.withColumn("__part", F.shiftright("__at", PART)).join(matrix.withColumnRenamed("part", "__part"), "__part")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema), "shard int", "slot bigint"])
     placed = met.select(*names, "__at", "counts", "begins").mapInArrow(lean(_placed(names, totals, seed, PART)), schema)
-    parts_out = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return placed.repartition(parts_out, "shard", F.expr(f"slot div {SLOTS}")).sortWithinPartitions("shard", "slot")
+    stored = rows.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0] or 0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stored // EXCHANGED))
+    # equal ranges of all slots, shard after shard
+    begins = F.array(*(F.lit(sum(totals[:i])).cast("bigint") for i in range(shards)))
+    place = (F.get(begins, F.col("shard")) + F.col("slot")).cast("decimal(20,0)")
+    return placed.repartitionById(ranges, F.floor(place * ranges / max(total or 0, 1)).cast("int")).sortWithinPartitions("shard", "slot")
 
 
 def write_shards(df: DataFrame, path: str, shards: int, *, seed: int = 0) -> None:
