@@ -5,6 +5,7 @@ import random
 from datetime import UTC, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tideline.operators import dashboard, metrics
 from tideline.plans import registry
@@ -27,6 +28,39 @@ def test_merge_keeps_the_first_and_is_idempotent(spark, tmp_path):
     assert sinks.ordered_hash(spark.read.parquet(path), ["symbol", "trade_id"]) == before
 
 
+def test_merge_takes_null_keys_once(spark, tmp_path):
+    path = str(tmp_path / "trades")
+    rows = spark.createDataFrame([(1, T0, None, 1, 5.0), (2, None, "B", 1, 6.0), (3, None, None, None, 7.0), (4, T0, "B", None, 8.0)], TRADES)
+    assert [sinks.merge(rows, path, "trades", partition="time") for _ in range(3)] == [4, 0, 0]
+    more = spark.createDataFrame([(5, None, "B", 1, 9.0), (6, None, "C", 1, 9.0)], TRADES)
+    assert sinks.merge(more, path, "trades", partition="time") == 1
+
+
+def test_a_batch_reads_what_can_hold_its_keys(spark, tmp_path):
+    """Of a day, a batch that goes on where it ends reads the files' footers only: a small part of what the rows take."""
+    path, took = str(tmp_path / "trades"), []
+    stats = spark._jvm.org.apache.hadoop.fs.FileSystem
+
+    def read():
+        return sum(s.getBytesRead() for s in stats.getAllStatistics() if s.getScheme() == "file")
+
+    def batch(k):
+        ids = spark.range(k * 20_000, (k + 1) * 20_000, 1, 2)
+        return ids.selectExpr("id as seq", f"timestamp_millis({int(T0.timestamp() * 1000)} + id) as time", "concat('S', id % 3) as symbol", "id as trade_id", "rand(1) as price")
+
+    for k in range(12):
+        before = read()
+        assert sinks.merge(batch(k), path, "trades", partition="time") == 20_000
+        took.append(read() - before)
+    assert sinks.merge(batch(5), path, "trades", partition="time") == 0
+    stored = sum(f.stat().st_size for f in (tmp_path / "trades").rglob("*.parquet"))
+    assert (took[11] - took[1]) / 10 < 0.05 * stored / 12
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    plan = sinks.overlapping(spark.read.parquet(path), batch(3).withColumn("date", F.to_date("time")), ["symbol", "trade_id", "time"])._jdf.queryExecution().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(trade_id,60000)" in plan and "PartitionFilters: [isnotnull(date" in plan
+
+
 def test_content_hash_ignores_order(spark):
     a = spark.createDataFrame([(1, None), (2, "x")], "a int, b string")
     b = spark.createDataFrame([(2, "x"), (1, None)], "a int, b string")

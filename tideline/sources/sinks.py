@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tideline.schemas import KEYS, TABLES, conformed
+from tideline.sources.shared import dropped, settled
 
 
 def first_wins(df: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
@@ -17,8 +18,38 @@ def first_wins(df: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
 
 
 def only_new(staged: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Staged rows whose key isn't stored (null keys equal none)."""
-    return staged.join(stored.select(*keys), keys, "left_anti")
+    """Staged rows whose key isn't stored; a null in a key equals a null."""
+    old = stored.select(*(F.col(k).alias(f"__{k}") for k in keys))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return staged.join(old, same, "left_anti")
+
+
+#: Days of a batch that are named one by one to prune a table; beyond, the days from its first to its last are read.
+DAYS = 1000
+#: Types of keys whose bounds Parquet keeps for its row groups.
+_ORDERED = ("bigint", "int", "string", "timestamp", "date")
+
+
+def overlapping(stored: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of a stored table that can have keys of fresh: of its days, and between the least and the greatest of each key.
+
+    The bounds are literals, so they reach the scan: files are sorted by key and row groups that lie outside aren't read.
+    A batch that goes on where the table ends reads footers only, however large the day is.
+    """
+    kinds = dict(fresh.dtypes)
+    own = [k for k in keys if kinds[k] in _ORDERED]
+    plain = {k: F.unix_micros(k) if kinds[k] == "timestamp" else F.col(k) for k in own}
+    row = fresh.agg(*(f(plain[k]).alias(f"{n}_{k}") for k in own for n, f in (("low", F.min), ("high", F.max))), *(F.count_if(F.col(k).isNull()).alias(f"none_{k}") for k in own)).first()
+    for k in own:
+        low, high = (F.timestamp_micros(F.lit(v)) if kinds[k] == "timestamp" else F.lit(v) for v in (row[f"low_{k}"], row[f"high_{k}"]))
+        within = F.lit(False) if row[f"low_{k}"] is None else F.col(k).between(low, high)
+        stored = stored.where(within | F.col(k).isNull() if row[f"none_{k}"] else within)
+    if "date" in fresh.columns:
+        days = [r[0] for r in fresh.select("date").distinct().limit(DAYS + 1).collect()]
+        if len(days) <= DAYS:
+            named = F.col("date").isin([d for d in days if d is not None]) if any(d is not None for d in days) else F.lit(False)
+            stored = stored.where(named | F.col("date").isNull() if None in days else named)
+    return stored
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -34,10 +65,10 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def merge(df: DataFrame, path: str, table: str, *, order: str = "seq", partition: str | None = None) -> int:
-    """Append what isn't stored yet, and say how many rows that was; running it again with the same rows changes nothing.
+    """Append what isn't stored yet, and say how many rows that was; running it again with the same rows changes nothing, null keys or not.
 
-    A table that is partitioned by the day of one of its keys is read only where the batch has days. An append shows as a
-    whole or not at all, and a batch that failed can be run again. A table has one writer at a time.
+    Of the table only what can hold the batch's keys is read (see overlapping); the batch's rows are written sorted by key.
+    An append shows as a whole or not at all, and a batch that failed can be run again. A table has one writer at a time.
     """
     keys = KEYS[table]
     fresh = first_wins(df, keys, order) if order in df.columns else df.dropDuplicates(keys)
@@ -45,11 +76,13 @@ def merge(df: DataFrame, path: str, table: str, *, order: str = "seq", partition
     if partition:
         fresh = fresh.withColumn("date", F.to_date(partition))
     old = read_or_none(df.sparkSession, path)
-    if old is not None:
-        if partition in keys:
-            old = old.join(F.broadcast(fresh.select("date").distinct()), "date", "left_semi")  # a row a day
-        fresh = only_new(fresh, old, keys)
-    return append(fresh, path, by="date" if partition else None)
+    if old is None:
+        return append(fresh.sortWithinPartitions(*(["date"] if partition else []), *keys), path, by="date" if partition else None)
+    fresh = settled(fresh, "staged")
+    new = only_new(fresh, overlapping(old, fresh, keys), keys)
+    n = append(new.sortWithinPartitions(*(["date"] if partition else []), *keys), path, by="date" if partition else None)
+    dropped(fresh)
+    return n
 
 
 def stored(spark: SparkSession, root: str, table: str) -> DataFrame:
