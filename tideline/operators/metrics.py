@@ -5,15 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.functions.running import neighbour, pieced
 from tideline.operators.selection import quantiles
 
 
+#: How many windows' length a cell of a series has.
+CELL_WINDOWS = 16
+
+
+def _steps(samples: DataFrame, series: list[str], ts: str, value: str) -> DataFrame:
+    """Adds __step, the rise of a counter since its sample before (0 for the first); a fall is a restart from zero.
+
+    Samples are cut along time into pieces of bounded size, so a long series isn't one task.
+    """
+    near = neighbour(pieced(samples, ts), series, ts, F.col(value), "__before").drop("piece")
+    before = F.col("__before")
+    return near.withColumn("__step", F.when(before.isNull(), 0).when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)).drop("__before")
+
+
+def _over_time(samples: DataFrame, series: list[str], seconds: int, ts: str, name: str, total) -> DataFrame:
+    """Adds name, total() over the seconds up to each sample: windows within cells of time, into which the samples before are copied that reach into them."""
+    cell = F.floor(F.col(ts) / (seconds * CELL_WINDOWS))
+    reach = F.floor((F.col(ts) + (seconds - 1)) / (seconds * CELL_WINDOWS))
+    cut = samples.withColumn("__own", cell).withColumn("__cell", F.explode(F.sequence(cell, reach)))
+    w = Window.partitionBy(*series, "__cell").orderBy(ts).rangeBetween(-seconds + 1, 0)
+    return cut.withColumn(name, total.over(w)).where("__cell = __own").drop("__own", "__cell")
+
+
 def increase(samples: DataFrame, series: list[str], seconds: int, ts: str = "ts", value: str = "value", name: str = "increase") -> DataFrame:
     """How much a counter rose in the seconds up to each sample; a fall is a restart from zero. Not extrapolated to the window's ends."""
-    w = Window.partitionBy(*series).orderBy(ts)
-    before = F.lag(value).over(w)
-    step = F.when(before.isNull(), 0).when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
-    return samples.withColumn("__step", step).withColumn(name, F.sum("__step").over(w.rangeBetween(-seconds + 1, 0))).drop("__step")
+    return _over_time(_steps(samples, series, ts, value), series, seconds, ts, name, F.sum("__step")).drop("__step")
 
 
 def rate(samples: DataFrame, series: list[str], seconds: int, ts: str = "ts", value: str = "value") -> DataFrame:
@@ -22,11 +43,29 @@ def rate(samples: DataFrame, series: list[str], seconds: int, ts: str = "ts", va
 
 def increase_at(samples: DataFrame, series: list[str], at: list[int], seconds: int, ts: str = "ts", value: str = "value") -> DataFrame:
     """series, at and increase: how much each counter rose in the seconds up to each of these times, for series with samples in them."""
-    w = Window.partitionBy(*series).orderBy(ts)
-    before = F.lag(value).over(w)
-    step = F.when(before.isNull(), 0).when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
     times = F.filter(F.array(*map(F.lit, at)), lambda t: (t >= F.col(ts)) & (t - seconds < F.col(ts)))
-    return samples.withColumn("__step", step).withColumn("at", F.explode(times)).groupBy(*series, "at").agg(F.sum("__step").alias("increase"))
+    return _steps(samples, series, ts, value).withColumn("at", F.explode(times)).groupBy(*series, "at").agg(F.sum("__step").alias("increase"))
+
+
+def extrapolated_at(samples: DataFrame, series: list[str], seconds: int, every: int, ts: str = "ts", value: str = "value") -> DataFrame:
+    """series, at, increase and rate: what each counter rose by in the seconds up to each multiple of every, extrapolated to the window's ends.
+
+    Of the samples in the window (the begin doesn't belong to it) at least two are needed. The rise between the first and the
+    last of them is stretched to the ends of the window; to an end that is further away than 1.1 mean distances of samples,
+    by half a mean distance only, and not back beyond the moment at which the counter would have been zero. Each window is
+    an aggregation over the samples in it, with partial sums, so the length of a series doesn't matter.
+    """
+    first, last = F.ceil(F.col(ts) / every), F.ceil((F.col(ts) + seconds) / every) - 1
+    rows = _steps(samples, series, ts, value).where(first <= last).withColumn("at", F.explode(F.transform(F.sequence(first, last), lambda i: i * every)))
+    got = rows.groupBy(*series, "at").agg(
+        F.count("*").alias("n"), F.min(ts).alias("t0"), F.max(ts).alias("t1"), F.min_by(value, ts).cast("double").alias("v0"), (F.sum("__step") - F.min_by("__step", ts)).cast("double").alias("rise")
+    ).where("n >= 2 and t1 > t0")
+    long, mean = F.col("t1") - F.col("t0"), (F.col("t1") - F.col("t0")) / (F.col("n") - 1)
+    to_begin, to_end = F.col("t0") - (F.col("at") - seconds), F.col("at") - F.col("t1")
+    to_begin, to_end = (F.when(d >= mean * 1.1, mean / 2).otherwise(d.cast("double")) for d in (to_begin, to_end))
+    to_zero = F.when((F.col("rise") > 0) & (F.col("v0") >= 0), long * F.col("v0") / F.col("rise"))
+    whole = F.col("rise") * (long + F.least(to_begin, to_zero) + to_end) / long
+    return got.select(*series, "at", whole.alias("increase"), (whole / seconds).alias("rate"))
 
 
 def quantile_of_rates(buckets: DataFrame, q: float, by: list[str], series: list[str], at: list[int], seconds: int) -> DataFrame:
@@ -40,7 +79,7 @@ def quantile_of_rates(buckets: DataFrame, q: float, by: list[str], series: list[
 
 
 def max_over_time(samples: DataFrame, series: list[str], seconds: int, ts: str = "ts", value: str = "value") -> DataFrame:
-    return samples.withColumn("max_over_time", F.max(value).over(Window.partitionBy(*series).orderBy(ts).rangeBetween(-seconds + 1, 0)))
+    return _over_time(samples, series, seconds, ts, "max_over_time", F.max(value))
 
 
 #: Counters, gauges and histograms that the engine keeps of itself, with their labels; fixed values.

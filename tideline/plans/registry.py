@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tideline.functions.running import numbered, pieced
 from tideline.operators import compare, dashboard, detectors, metrics
+from tideline.operators.asof import asof_join
+from tideline.operators.sessions import sessions
 from tideline.plans import adapter
 from tideline.plans.replay import Replay
 from tideline.schemas import conformed
@@ -216,6 +218,34 @@ def features(spark, sf_dir):
     return _rounded(_replay(spark, sf_dir).features)
 
 
+@query(BASE + """SELECT t.symbol, t.trade_id, t.received_at, q.update_id, round(q.bid, 6) AS bid, round(q.ask, 6) AS ask FROM trades t ASOF LEFT JOIN quotes q
+    ON t.symbol = q.symbol AND t.us::HUGEINT * 1000000000 + t.event_id >= q.us::HUGEINT * 1000000000 + q.event_id""")
+def trade_asof_quote(spark, sf_dir):
+    """Each trade with the quote that held when it came."""
+    r = _replay(spark, sf_dir)
+    quotes = r.quotes.select("symbol", "seq", "update_id", F.col("bid").cast("double").alias("bid"), F.col("ask").cast("double").alias("ask"), "received_at")
+    return _rounded(asof_join(r.trades.select("symbol", "trade_id", "received_at", "seq"), quotes, ["symbol"], "received_at", ["update_id", "bid", "ask"], tie="seq").drop("seq"))
+
+
+@query(BASE + """SELECT t.symbol, t.trade_id, CASE WHEN t.us - q.us <= 30000000 THEN q.update_id END AS update_id FROM trades t ASOF LEFT JOIN quotes q
+    ON t.symbol = q.symbol AND t.us::HUGEINT * 1000000000 + t.event_id >= q.us::HUGEINT * 1000000000 + q.event_id""")
+def trade_asof_recent_quote(spark, sf_dir):
+    """Each trade with the quote that held then, if it was at most 30 s old."""
+    r = _replay(spark, sf_dir)
+    joined = asof_join(r.trades.select("symbol", "trade_id", "received_at", "seq"), r.quotes.select("symbol", "seq", "update_id", "received_at"), ["symbol"], "received_at", ["update_id"], tie="seq", tolerance=30_000_000)
+    return joined.select("symbol", "trade_id", "update_id")
+
+
+@query("""WITH e AS (SELECT 'S' || (user_id % 4) AS symbol, ts, event_id, 120 * (1 + user_id % 4) AS gap FROM events WHERE event_id IS NOT NULL AND ts IS NOT NULL),
+    s AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER w) > gap * 1000000 THEN 1 ELSE 0 END AS fresh FROM e WINDOW w AS (PARTITION BY symbol ORDER BY ts, event_id)),
+    n AS (SELECT *, sum(fresh) OVER (PARTITION BY symbol ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM s)
+    SELECT symbol, min(ts) AS began, max(ts) AS ended, count(*) AS n_rows FROM n GROUP BY symbol, session""")
+def symbol_sessions(spark, sf_dir):
+    """Runs of a symbol's events without a long silence; how long that is goes by the symbol."""
+    rows = adapter.events(spark, sf_dir)
+    return _rounded(sessions(rows, ["symbol"], "ts", 120 * (1 + F.col("user_id") % 4)))
+
+
 def _streamed(spark, sf_dir):
     """All rows of the stream over the raw frames; they are written by the stream and read back."""
     from tideline.streaming.live import live_rows
@@ -413,6 +443,18 @@ def near_match(spark, sf_dir):
     return _rounded(compare.near_flags(_scored(spark, sf_dir), reach_s=1800).select("symbol", "time"))
 
 
+@query(SCORED + "SELECT symbol, time FROM scored s WHERE a_flag AND NOT b_flag AND EXISTS (SELECT 1 FROM scored u WHERE u.symbol = s.symbol AND u.b_flag AND abs(epoch_us(u.time) - epoch_us(s.time)) <= 1800000000)")
+def stream_near_match(spark, sf_dir):
+    """near_match as a join of two streams of flags."""
+    from tideline.streaming.live import near_stream
+
+    rows, root = _scored(spark, sf_dir), shared_dir(spark, "stream")
+    source = lambda: spark.readStream.schema(rows.schema).parquet(rows.inputFiles()[0].rsplit("/", 1)[0])
+    found = near_stream(source().where("a_flag and not b_flag").select("symbol", "time"), source().where("b_flag").select("symbol", "time"), 1800, "60 days")
+    found.writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return _rounded(spark.read.schema(found.schema).parquet(f"{root}/rows"))
+
+
 def _top(rate: float) -> str:
     return f"""SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY a_score DESC, time) <= k AS a_top, row_number() OVER (PARTITION BY symbol ORDER BY b_score DESC, time) <= k AS b_top
     FROM (SELECT *, greatest(1, CAST(ceil({rate} * count(*) OVER (PARTITION BY symbol)) AS BIGINT)) AS k FROM scored)"""
@@ -470,6 +512,19 @@ def counter_rate(spark, sf_dir):
     return _rounded(metrics.rate(_samples(spark, sf_dir), ["user_id"], 3600).select("user_id", "ts", "rate"))
 
 
+@query(
+    f"""WITH {_STEPS}, a AS (SELECT *, unnest(generate_series(CAST(ceil(ts / 21600) AS BIGINT), CAST(ceil((ts + 86400) / 21600) AS BIGINT) - 1)) * 21600 AS moment FROM sp),
+    g AS (SELECT user_id, moment, count(*) AS n, min(ts) AS t0, max(ts) AS t1, arg_min(value, ts) AS v0, sum(step) - arg_min(step, ts) AS rise FROM a GROUP BY ALL HAVING count(*) >= 2),
+    d AS (SELECT *, (t1 - t0) / (n - 1) AS mean, CASE WHEN rise > 0 THEN (t1 - t0) * v0 / rise END AS to_zero FROM g),
+    e AS (SELECT *, least(CASE WHEN t0 - moment + 86400 >= mean * 1.1 THEN mean / 2 ELSE t0 - moment + 86400 END, coalesce(to_zero, 1e300)) AS b, CASE WHEN moment - t1 >= mean * 1.1 THEN mean / 2 ELSE moment - t1 END AS f FROM d)
+    SELECT user_id, moment, round(rise * (t1 - t0 + b + f) / (t1 - t0), 6) AS increase, round(rise * (t1 - t0 + b + f) / (t1 - t0) / 86400, 6) AS rate FROM e"""
+)
+def extrapolated_rate(spark, sf_dir):
+    """Increase and rate of the counters over a day, every six hours, stretched to the ends of the day."""
+    found = metrics.extrapolated_at(_samples(spark, sf_dir), ["user_id"], 86400, 21600)
+    return _rounded(found.select("user_id", F.col("at").alias("moment"), "increase", "rate"))
+
+
 @query(f"WITH {_SAMPLES} SELECT user_id, ts, max(value) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN 3599 PRECEDING AND CURRENT ROW) AS max_over_time FROM sm")
 def gauge_max_over_time(spark, sf_dir):
     return metrics.max_over_time(_samples(spark, sf_dir), ["user_id"], 3600).select("user_id", "ts", F.col("max_over_time").cast("bigint").alias("max_over_time"))

@@ -314,6 +314,18 @@ def first_in_window(records: DataFrame, keys: list[str], late: str = "10 seconds
     return records.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
+def near_stream(a: DataFrame, b: DataFrame, reach_s: int = 2, late: str = "10 seconds") -> DataFrame:
+    """Rows of the stream a (symbol, time) with a row of the stream b within reach_s, each once: a band semi-join of two streams.
+
+    Both have watermarks, so rows of either are held until the other one's has passed them by reach_s, and then go.
+    """
+    left = a.withWatermark("time", late)
+    right = b.select(F.col("symbol").alias("__s"), F.col("time").alias("__t")).withWatermark("__t", late)
+    reach = F.expr(f"interval {reach_s} seconds")
+    close = (F.col("symbol") == F.col("__s")) & (F.col("__t") >= F.col("time") - reach) & (F.col("__t") <= F.col("time") + reach)
+    return left.join(right, close, "left_semi")
+
+
 def archive_stream(spark: SparkSession, root: str, most_files: int = 100) -> DataFrame:
     """seq, received_at and payload of an archive's files as they get their names; a batch has so many files at most, and is held in order."""
     lines = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", archive.FILES).option("maxFilesPerTrigger", most_files).text(root)
