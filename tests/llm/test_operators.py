@@ -393,15 +393,89 @@ def test_surrogates_stay_distinct(spark):
 
 
 def test_surrogates_of_a_narrow_space(spark, monkeypatch):
-    """Many addresses with parts of one digit: those that collide get wider ones, and it ends; or it says that it can't."""
+    """Many addresses with parts of one digit: those that collide get wider ones, and at last those of the larger space; it ends."""
     monkeypatch.setattr(pii, "WIDER", 1)
     texts = [f"{a}.{b}.{c}.{d}" for a in (1, 2) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
     got = _replaced(spark, [" ".join(texts)])[0].split(" ")
     assert len(set(got)) == len(texts) and not set(got) & set(texts)
     assert all(0 <= int(p) < 256 for t in got for p in t.split("."))
     monkeypatch.setattr(pii, "LAST", 0)
-    with pytest.raises(ValueError):
-        _replaced(spark, [" ".join(texts)])
+    got = _replaced(spark, [" ".join(texts)])[0].split(" ")
+    assert len(set(got)) == len(texts) and all(len(t.split(":")) == 8 for t in got)
+
+
+def _kept(old, new, entities):
+    """The surrogates of entities, which stand in old in this order; all else is the same in new."""
+    import re
+
+    pattern, at = "", 0
+    for e in entities:
+        start = old.index(e, at)
+        pattern += re.escape(old[at:start]) + "(.+?)"
+        at = start + len(e)
+    match = re.fullmatch(pattern + re.escape(old[at:]), new, re.S)
+    assert match, (old, new)
+    assert all(e not in v for e, v in zip(entities, match.groups(), strict=True))
+    return match.groups()
+
+
+def test_every_mention_of_a_person(spark):
+    """Family and given names that stand alone, in capitals, with hyphens, apostrophes, inner capitals, initials and particles."""
+    cases = [
+        ("Mr. John Smith arrived. Later Smith left; John said: SMITH'S hat, Smith's coat. Again Smith.", ["John", "Smith", "Smith", "John", "SMITH", "Smith", "Smith"]),
+        ("Mrs. Smith-Jones met Jones and Smith.", ["Smith", "Jones", "Jones", "Smith"]),
+        ("Mr. McDonald, Dr. O'Brien and Prof. O’Brien; then Brien, O'Brien.", ["Donald", "Brien", "Brien", "Brien"]),
+        ("MR. JOHN SMITH. JOHN SMITH", ["JOHN", "SMITH", "JOHN", "SMITH"]),
+        ("Priya Patel wrote to Wei Chen. Patel waits for Chen.", ["Priya", "Patel", "Wei", "Chen", "Patel", "Chen"]),
+        ("Mr. John Q. Smith, Mrs. Anna van der Berg; Berg", ["John", "Smith", "Anna", "Berg", "Berg"]),
+        ("My name is Zubeneth Okwonjo. Okwonjo, that is.", ["Zubeneth", "Okwonjo", "Okwonjo"]),
+        ("Smith is a word here, as are Berg and Jones.", []),
+    ]
+    got = _replaced(spark, [t for t, _ in cases])
+    first = _kept(*((cases[0][0], got[0], cases[0][1])))
+    assert first[1] == first[2] == first[5] == first[6] and first[4] == first[1].upper() and first[0] == first[3] != first[1]
+    second = _kept(cases[1][0], got[1], cases[1][1])
+    assert second[0] == second[3] == first[1] and second[1] == second[2] != second[0]
+    words = got[2].replace(",", "").replace(";", "").rstrip(".").split(" ")
+    assert words[0] == "Mr." and words[1].startswith("Mc") and "Donald" not in got[2] and words[3].startswith("O'") and words[6].startswith("O’")
+    assert words[3][2:] == words[6][2:] == words[-1][2:] and words[8] == "Brien"
+    fourth = _kept(cases[3][0], got[3], cases[3][1])
+    assert fourth[0] == fourth[2] == first[0].upper() and fourth[1] == fourth[3] == first[1].upper()
+    for i in (4, 5, 6):
+        made = dict(zip(cases[i][1], _kept(cases[i][0], got[i], cases[i][1]), strict=True))
+        assert [made[e] for e in cases[i][1]] == list(_kept(cases[i][0], got[i], cases[i][1])) and len(set(made.values())) == len(made)
+    assert got[7] == cases[7][0]
+
+
+def test_formats_of_surrogates(spark):
+    texts = [
+        "Call +49 30 123456 or +4930123456; +1 (555) 123-4567, +358 40 123 4567", "Miller@Example.com, miller@example.COM", "iban de89 3704 0044 0532 0130 00, DE89370400440532013000",
+        "2001:db8::1 is 2001:0DB8:0:0:0:0:0:1; std::vector a::b 12:30:45 fe80::1ff:fe23:4567:890a.", "x" * 300 + "@" + "y" * 90 + "." + "z." * 20 + "org", "O'Neill@x.org and 'john@x.org'",
+    ]
+    got = _replaced(spark, texts)
+    a, b = got[0].removeprefix("Call ").split(";")[0].split(" or ")
+    assert a.startswith("+49 ") and b == a.replace(" ", "") and a != "+49 30 123456" and "; +1 (" in got[0] and ", +358 " in got[0]
+    first, second = got[1].split(", ")
+    assert first.lower() == second.lower() and first.endswith(".com") and second.endswith(".COM") and "miller" not in first.lower() and "example" not in first.lower()
+    assert [c.isupper() for c in first] == [c.isupper() for c in "Miller@Example.com"]
+    low, high = got[2].removeprefix("iban ").split(", ")
+    assert low.replace(" ", "").upper() == high and low.startswith("de") and high != "DE89370400440532013000" and low == low.lower()
+    import ipaddress
+
+    found = got[3].split(" ")
+    assert ipaddress.ip_address(found[0]) == ipaddress.ip_address(found[2].rstrip(";")) != ipaddress.ip_address("2001:db8::1") and found[3:6] == texts[3].split(" ")[3:6]
+    assert found[2][5] == "0" and found[6] != texts[3].split(" ")[6] and len(found[6]) == len(texts[3].split(" ")[6])
+    assert len(got[4]) == len(texts[4]) and got[4].endswith(".org") and sum(x == y for x, y in zip(got[4], texts[4], strict=True)) < 100
+    assert got[5].split(" ")[0].split("@")[0][1] == "'" and "Neill" not in got[5] and got[5][-1] == got[5].split(" ")[2][0] == "'"
+
+
+def test_surrogates_of_a_very_long_text(spark):
+    """A name among a hundred thousand words, most of them capitals, and a domain of very many parts: whole texts come back."""
+    text = "Ab Cd ef " * 30_000 + "Mr. John Smith " + "Smith and Gh " * 1000 + "k@" + "a." * 5000 + "org"
+    (got,) = _replaced(spark, [text])
+    words, old = got.split(" "), text.split(" ")
+    assert len(words) == len(old) and "Smith" not in got and "John" not in got
+    assert [w for w, o in zip(words, old, strict=True) if o not in ("John", "Smith")][:-1] == [o for o in old if o not in ("John", "Smith")][:-1]
 
 
 def test_persons(spark):

@@ -1,23 +1,30 @@
 """Personal data: detected entities get keyed surrogates of the same type, gender, script and format.
 
-Detected are e-mail addresses, IBANs, social security numbers, IPv4 addresses, phone and card numbers, and names: after a
-title, or a known given name with a family name. A name is two entities, its given name (with its gender) and its family name,
-so "Mr. John Smith" and "Mr. Smith" share the surrogate of Smith, and Mr. and Mrs. Alex Kim share that of Kim alone. An entity
-is known by its normalised form (case and separators don't count), and has one surrogate in all texts: coreference holds.
-
-Surrogates come from a keyed hash. Letters become letters of the same script and case, digits digits, and separators stay. A
-card keeps its first digit and its Luhn remainder, an IBAN its country and its remainder modulo 97, an IP address the number of
-digits of its parts. A given name becomes one of its gender and script, a family name one of its script; the title stays.
+Detected are e-mail addresses, IBANs (in capitals, or in small letters with digits after the bank's code), social security
+numbers, IP addresses of both versions, phone and card numbers, and names: after a title, a known given name or a phrase that
+names are given after (`My name is`), maybe with initials and particles (van, de la). Words of a name begin with a capital and
+may have more of them (McDonald), an apostrophe (O'Brien), hyphens (Smith-Jones: two entities) or capitals only. A name has a
+given name (with its gender) and a family name, entities of their own, so "Mr. John Smith" and "Mr. Smith" share the surrogate
+of Smith, and Mr. and Mrs. Alex Kim share that of Kim alone. In a text with names every other word that begins with a
+capital and is a part of one of them is a mention too ("Later Smith left"); where it is both, it is a family name. An entity
+is known by its normalised form (case, separators and the two ways to write an IPv6 address don't count), and has one
+surrogate in all texts: coreference holds.
+
+Surrogates come from a keyed hash. Letters become letters of the same script and case, digits digits, and separators stay. An
+e-mail address keeps its top-level domain, a phone number its country code, a card its first digit and its Luhn remainder, an
+IBAN its country and its remainder modulo 97, an IP address the number of digits of its parts and an IPv6 address its zero
+groups. A given name becomes one of its gender and script, a family name one of its script; titles, initials, particles,
+O', Mc and Mac stay.
 
 Distinctness: over all entities of all texts, a surrogate that two entities share, or that is itself an entity of the
 texts, is drawn again for all but the least of them, until none is left. Spaces grow with the attempts, so this ends: names get
-more syllables, after WIDER attempts numbers and addresses get more digits or letters, and IP addresses parts of any length; if
-IP addresses still collide after LAST attempts (the texts then hold a good part of all there are), ValueError is raised.
+more syllables, after WIDER attempts numbers and addresses get more digits or letters, and IP addresses parts of any length;
+after LAST attempts (the texts then hold a good part of all IP addresses of that form) they become whole IPv6 addresses.
 
 Texts without entities don't move. Those with some are keyed by digest, so copies are handled once; entities are joined
-with their surrogates and a text's surrogates are gathered by text. Very long texts are handled whole; an entity has a bounded
-length. Null texts stay null, empty ones empty; every row gives one row; columns besides the two named are not read; an empty
-table gives an empty one.
+with their surrogates and a text's surrogates are gathered by text. Very long texts and entities are handled whole (a domain
+has 127 parts and a name 8 joined by hyphens at most). Null texts stay null, empty ones empty; every row gives one row; columns
+besides the two named are not read; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -30,11 +37,13 @@ from tideline.llm.common import dropped, settled, table
 KINDS = ("email", "iban", "ssn", "ip", "phone", "card", "name")
 WIDER, LAST = 6, 40
 MALE, FEMALE, EITHER = r"Mr\.?|Herrn?|Señor|Monsieur|Господин|Κύριος", r"Mrs\.?|Ms\.?|Frau|Señora|Madame|Mme|Госпожа|Κυρία", r"Dr\.?|Prof\.?"
+#: In capitals only titles with a full stop and whole words count (MS may be anything).
+MALE, FEMALE, EITHER = rf"{MALE}|MR\.|HERRN?|SEÑOR|MONSIEUR|ГОСПОДИН", rf"{FEMALE}|MRS\.|MS\.|FRAU|SEÑORA|MADAME|ГОСПОЖА", rf"{EITHER}|DR\.|PROF\."
 TITLE = f"{MALE}|{FEMALE}|{EITHER}"
 #: Given names by gender and script (Latin, Cyrillic, Greek): known ones, and first choices for surrogates. Fixed values.
 GIVEN = {
-    "mL": "James Robert Michael David Thomas Daniel Paul Peter Martin Felix Lukas Jonas Hugo Louis Carlos Diego John William George Charles Hans Klaus Pierre Jean Luis Juan".split(),
-    "fL": "Mary Linda Susan Karen Laura Julia Anna Clara Emma Sofia Marta Lucia Camille Louise Elena Ines Elizabeth Sarah Jane Alice Ingrid Petra Marie Sophie Carmen Rosa".split(),
+    "mL": "James Robert Michael David Thomas Daniel Paul Peter Martin Felix Lukas Jonas Hugo Louis Carlos Diego John William George Charles Hans Klaus Pierre Jean Luis Juan Ahmed Mohammed Omar Hassan Ali Wei Jun Hiroshi Kenji Takashi Raj Arjun Rahul Sanjay Vikram Chidi Kwame Mehmet Emre Marco Luca Giovanni Piotr Tomasz Lars Erik".split(),
+    "fL": "Mary Linda Susan Karen Laura Julia Anna Clara Emma Sofia Marta Lucia Camille Louise Elena Ines Elizabeth Sarah Jane Alice Ingrid Petra Marie Sophie Carmen Rosa Fatima Aisha Leila Mei Ling Xiu Yuki Sakura Akiko Priya Anjali Deepa Sunita Lakshmi Amara Ngozi Ayse Zeynep Giulia Chiara Agnieszka Katarzyna Astrid Freya".split(),
     "mC": "Иван Пётр Сергей Андрей Максим Олег Павел Юрий Николай Дмитрий".split(),
     "fC": "Анна Мария Ольга Елена Ирина Нина Вера Юлия Татьяна Светлана".split(),
     "mG": "Γιώργος Νίκος Δημήτρης Κώστας Πέτρος Αντώνης".split(),
@@ -60,20 +69,33 @@ ALPHABETS = (
     (r"\p{IsHangul}", *["가나다라마바사아자차카타파하고노도로모보소오조초코토포호"] * 2),
 )
 _SEP = r"[ .-]?"
-_KNOWN = "|".join(n for names in GIVEN.values() for n in names)
+_KNOWN = "|".join(n for names in GIVEN.values() for own in names for n in (own, own.upper()))
+#: A word of a name as it is replaced, and words that hyphens join; what may stand between names.
+WORD = r"(?:\p{L}['’])?\p{Lu}[\p{L}\p{M}]++"
+_JOINED = rf"{WORD}(?:-{WORD}){{0,7}}"
+_BETWEEN = r"(?: \p{Lu}\.)?(?: (?:van|von|der|den|de|del|della|da|di|du|la|le|al|el|bin|ibn|ter|ten|zu|dos|das)(?= )){0,3}"
+#: Names stand after these. Fixed values.
+CUES = ("My name is ", "my name is ", "Name: ", "name: ", "Signed by ", "signed by ", "Signed, ", "signed, ", "Sincerely, ", "sincerely, ", "Regards, ", "regards, ")
+_START = r"(?<![\p{L}\p{M}\p{N}])"
+_HEX = "[0-9A-Fa-f]{1,4}"
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,254}+@[\p{L}\p{N}-]{1,63}+(?:\.[\p{L}\p{N}-]{1,63}+){1,8}",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "email": r"(?<![\p{L}\p{N}._%+-])(?<![\p{L}\p{N}]['])[\p{L}\p{N}._%+-][\p{L}\p{N}._%+'-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++){1,127}",
+    "iban": r"(?<![\p{L}\p{N}])(?:[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?|[a-z]{2}[0-9]{2}(?: ?[a-z]{4})?(?: ?[0-9]{4}){2,7}(?: ?[0-9]{1,3})?)(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])",
     "ip": r"(?<![\p{L}\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\p{L}\p{N}]|\.[0-9])",
+    "ip6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9A-Fa-f]{{1,4}}:)(?=[A-Fa-f:]*[0-9])(?:(?:{_HEX}:){{7}}{_HEX}|{_HEX}(?::{_HEX}){{0,6}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\p{{L}}\p{{N}}:])",
     "phone": rf"(?<![\p{{L}}\p{{N}}+])(?:\+[0-9]{{1,3}}{_SEP}\(?[0-9]{{2,4}}\)?(?:{_SEP}[0-9]{{2,4}}){{2,4}}|\(?[0-9]{{3}}\)?[ .-][0-9]{{3}}[ .-][0-9]{{4}})(?![\p{{L}}\p{{N}}])",
     "card": r"(?<![\p{L}\p{N}])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{TITLE}) \p{{Lu}}\p{{Ll}}{{1,60}}+(?: \p{{Lu}}\p{{Ll}}{{1,60}}+)?|(?:{_KNOWN}) \p{{Lu}}\p{{Ll}}{{1,60}}+)(?![\p{{L}}\p{{N}}])",
+    "name": rf"{_START}(?:(?:{TITLE}) {_JOINED}(?:{_BETWEEN} {_JOINED})?|(?=\p{{Lu}})(?:{_KNOWN})(?:-{WORD}){{0,7}}{_BETWEEN} {_JOINED}|(?<={'|'.join(CUES)}){_JOINED}{_BETWEEN} {_JOINED})(?![\p{{L}}\p{{N}}])",
 }
 #: One pattern for all; what an earlier kind takes, a later one doesn't.
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: The same and all words that may be a part of a name.
+ANY_WORD = f"{ANY}|(?:{_START}{WORD})"
 #: Some entity can only be in a text with one of these.
-MAY = rf"@|[0-9][0-9 ().-]{{5,}}[0-9]|[A-Z]{{2}}[0-9]{{2}} ?[A-Z0-9]|{TITLE}|(?:{_KNOWN}) \p{{Lu}}"
+MAY = rf"@|[0-9][0-9 ().-]{{5,}}[0-9]|[A-Z]{{2}}[0-9]{{2}} ?[A-Z0-9]|[a-z]{{2}}[0-9]{{2}} ?[a-z0-9]{{4}} ?[0-9]{{4}}|{_HEX}:(?:{_HEX})?:|{_START}(?=\p{{Lu}})(?:{TITLE}|{_KNOWN})[ -]|{'|'.join(CUES)}"
+#: The calling codes of countries that have one or two digits; all others have three. Fixed values.
+CALLING = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 
 
 def _hashed(key: str, kind: Column, entity: Column, attempt: Column, salt: Column) -> Column:
@@ -82,11 +104,12 @@ def _hashed(key: str, kind: Column, entity: Column, attempt: Column, salt: Colum
 
 
 def kind_of(value: Column) -> Column:
-    out = None
+    """The kind of a match of ANY_WORD: one of KINDS, or word."""
+    out = F.when(F.regexp_like(value, F.lit(f"^{WORD}$")), "word")
     for k, p in PATTERNS.items():
-        hit = F.regexp_like(value, F.lit(f"^(?:{p})$"))
-        out = F.when(hit, k) if out is None else out.when(hit, k)
-    return out
+        if k != "name":
+            out = out.when(F.regexp_like(value, F.lit(f"^(?:{p})$")), k.removesuffix("6"))
+    return out.otherwise("name")
 
 
 def _one(options: str, n: Column) -> Column:
@@ -150,10 +173,16 @@ def _iban(entity: Column, drawn: Column) -> Column:
 
 
 def _ip(key: str, entity: Column, attempt: Column) -> Column:
-    """Parts of as many digits, below 256; after WIDER attempts of any number of digits."""
+    """Parts of as many digits, below 256; after WIDER attempts of any number of digits. The same for IPv6, whose zero groups stay. After LAST attempts a whole IPv6 address."""
     h = lambda i: _hashed(key, F.lit("ip"), entity, attempt, i)
     narrow = lambda p, i: F.when(F.length(p) == 3, 100 + F.pmod(h(i), F.lit(156))).when(F.length(p) == 2, 10 + F.pmod(h(i), F.lit(90))).otherwise(1 + F.pmod(h(i), F.lit(9)))
-    return F.array_join(F.transform(F.split(entity, r"\."), lambda p, i: F.when(attempt >= WIDER, F.pmod(h(i), F.lit(256))).otherwise(narrow(p, i)).cast("string")), ".")
+    four = F.array_join(F.transform(F.split(entity, r"\."), lambda p, i: F.when(attempt >= WIDER, F.pmod(h(i), F.lit(256))).otherwise(narrow(p, i)).cast("string")), ".")
+    # a number of n hex digits: 16^(n-1) and what is drawn below 15 * 16^(n-1)
+    least = lambda n: F.shiftleft(F.lit(1).cast("bigint"), 4 * (n - 1)) if isinstance(n, int) else F.pow(F.lit(16.0), n - 1).cast("bigint")
+    group = lambda n, i: F.lower(F.hex(least(n) + F.pmod(h(i), 15 * least(n))))
+    six = F.array_join(F.transform(F.split(entity, ":"), lambda g, i: F.when(g == "0", g).otherwise(group(F.when(attempt >= WIDER, 4).otherwise(F.length(g)), i))), ":")
+    whole = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: group(4, i)), ":")
+    return F.when(attempt >= LAST, whole).when(F.contains(entity, F.lit(":")), six).otherwise(four)
 
 
 def _syllables(script: str, h, n: Column) -> Column:
@@ -185,45 +214,97 @@ def drawn(key: str, rows: DataFrame) -> DataFrame:
     kind, entity, attempt, gender = (F.col(c) for c in ("kind", "entity", "attempt", "gender"))
     long = F.when(kind == "email", F.concat(_more(attempt, "a"), entity)).otherwise(F.concat(entity, _more(attempt, "0")))
     letters = F.when(~kind.isin("ip", "family", "given"), _letters(key, kind, long, attempt))
+    own = F.col("__letters")
+    top, code = F.regexp_extract(entity, r"\.[^.@]*$", 0), F.regexp_extract(entity, CALLING, 0)
     made = (
-        F.when(kind == "ip", _ip(key, entity, attempt)).when(kind == "card", _card(entity, F.col("__letters"))).when(kind == "iban", _iban(entity, F.col("__letters")))
-        .when(kind == "family", _family(key, entity, attempt)).when(kind == "given", _given(key, entity, attempt, gender)).otherwise(F.col("__letters"))
+        F.when(kind == "ip", _ip(key, entity, attempt)).when(kind == "card", _card(entity, own)).when(kind == "iban", _iban(entity, own))
+        .when(kind == "family", _family(key, entity, attempt)).when(kind == "given", _given(key, entity, attempt, gender))
+        .when(kind == "email", F.concat(F.left(own, F.length(own) - F.length(top)), top)).when(kind == "phone", F.concat(code, F.substr(own, F.length(code) + 1))).otherwise(own)
     )
     return rows.withColumn("__letters", letters).withColumn("made", made).drop("__letters")
 
 
-def _formed(kind: Column, value: Column, made: Column, given: Column) -> Column:
-    """The surrogate in the form of a mention: its separators, case and title. Mentions that have separators are of bounded length."""
-    plain = F.length(F.regexp_replace(value, r"[\s().+-]", ""))
-    signs = F.filter(F.split(value, ""), lambda c: c != "")
+def _spread(value: Column, made: Column) -> Column:
+    """made with the separators of value, and in small letters where value is. Mentions that have separators are of bounded length."""
+    plain = F.length(F.regexp_replace(value, r"[\s().-]", ""))
     start = F.struct(F.lit(0).alias("n"), F.lit("").alias("out"))
-    separator = lambda c: F.regexp_like(c, F.lit(r"[\s().+-]"))
-    spread = F.aggregate(signs, start, lambda a, c: F.struct((a["n"] + F.when(separator(c), 0).otherwise(1)).alias("n"), F.concat(a["out"], F.when(separator(c), c).otherwise(F.substr(made, a["n"] + 1, F.lit(1)))).alias("out")))["out"]
+    separator = lambda c: F.regexp_like(c, F.lit(r"[\s().-]"))
+    spread = F.aggregate(_signs(value), start, lambda a, c: F.struct((a["n"] + F.when(separator(c), 0).otherwise(1)).alias("n"), F.concat(a["out"], F.when(separator(c), c).otherwise(F.substr(made, a["n"] + 1, F.lit(1)))).alias("out")))["out"]
     spread = F.concat(spread, F.substr(made, plain + 1))
-    email = F.when((value == F.upper(value)) & (value != F.lower(value)), F.upper(made)).otherwise(made)
-    name = F.concat(F.regexp_extract(value, f"^(?:(?:{TITLE}) )?", 0), F.concat_ws(" ", given, made))
-    return F.when(kind == "email", email).when(kind == "ip", made).when(kind == "name", name).otherwise(spread)
+    return F.when(F.regexp_like(value, F.lit("[a-z]")), F.lower(spread)).otherwise(spread)
+
+
+def _signs(text: Column) -> Column:
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
+def _cased(value: Column, made: Column) -> Column:
+    """made with capitals where value has some, counted from the end, as surrogates grow at the front."""
+    pairs = F.zip_with(F.reverse(_signs(made)), F.reverse(_signs(value)), lambda m, v: F.when(v != F.lower(v), F.upper(m)).otherwise(m))
+    return F.array_join(F.reverse(F.slice(pairs, F.lit(1), F.length(made))), "")
+
+
+def _ip_formed(value: Column, made: Column) -> Column:
+    """An IPv6 surrogate as the mention is written: short where that is, with its leading zeros and case. Others as they are."""
+    parts, groups = F.split(value, ":"), F.split(made, ":")
+    empty = F.array_position(parts, "")
+    group = lambda i: F.when((empty == 0) | (i < empty - 1), F.get(groups, i)).otherwise(F.get(groups, F.size(groups) - (F.size(parts) - i)))
+    padded = lambda p, g: F.when(F.length(g) < F.length(p), F.concat(F.repeat(F.lit("0"), F.length(p) - F.length(g)), g)).otherwise(g)
+    short = F.array_join(F.transform(parts, lambda p, i: F.when(p == "", "").otherwise(padded(p, group(i)))), ":")
+    six = F.when((empty > 0) & (F.length(made) == 39), made).otherwise(short)
+    six = F.when(F.regexp_like(value, F.lit("[A-F]")), F.upper(six)).otherwise(six)
+    return F.when(F.contains(value, F.lit(":")), six).otherwise(made)
 
 
-def _parted(mentions: DataFrame) -> DataFrame:
-    """Adds main (kind and entity), given (entity, null but for full names) and gender."""
+def _formed(kind: Column, value: Column, made: Column) -> Column:
+    """The surrogate in the form of a mention (of a name: of a word of one)."""
+    kept = F.regexp_extract(value, r"^(?:\p{L}['’]|Mc(?=\p{Lu})|Mac(?=\p{Lu}))", 0)
+    name = F.when((value == F.upper(value)) & (F.length(value) > 1), F.concat(kept, F.upper(made))).otherwise(F.concat(kept, made))
+    return F.when(kind == "email", _cased(value, made)).when(kind == "ip", _ip_formed(value, made)).when(kind.isin("family", "given"), name).otherwise(_spread(value, made))
+
+
+def _word(value: Column) -> Column:
+    """The identity of a word of a name."""
+    return F.replace(F.lower(value), F.lit("’"), F.lit("'"))
+
+
+def _ip_entity(value: Column) -> Column:
+    """All groups of an IPv6 address, without leading zeros; IPv4 as it is."""
+    side = lambda i: F.filter(F.split(F.element_at(F.split(F.lower(value), "::"), i), ":"), lambda g: g != "")
+    left, right = side(1), side(-1)
+    short = F.concat(left, F.array_repeat(F.lit("0"), 8 - F.size(left) - F.size(right)), right)
+    groups = F.when(F.contains(value, F.lit("::")), short).otherwise(F.split(F.lower(value), ":"))
+    six = F.array_join(F.transform(groups, lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":")
+    return F.when(F.contains(value, F.lit(":")), six).otherwise(value)
+
+
+def _parted(hits: DataFrame) -> DataFrame:
+    """hits (digest, at, value, kind) to mentions: digest, at, part (0 for the first), before (what stands before it in the hit), value, main_kind, entity and gender.
+
+    Of a name, each word is a mention; those of the last word (and what hyphens join to it) are of the family name.
+    """
     kind, value = F.col("kind"), F.col("value")
-    title, body = F.regexp_extract(value, f"^(?:{TITLE})(?= )", 0), F.regexp_replace(value, f"^(?:{TITLE}) ", "")
-    words = F.split(body, " ")
-    first = F.when((kind == "name") & (F.size(words) == 2), words[0])
-    known = {g: F.array(*(F.lit(n) for k, names in GIVEN.items() if k[0] == g for n in names)) for g in "mf"}
-    gender = F.when(F.regexp_like(title, F.lit(f"^(?:{MALE})$")), "m").when(F.regexp_like(title, F.lit(f"^(?:{FEMALE})$")), "f")
+    title = F.regexp_extract(value, f"^(?:{TITLE}) ", 0)
+    body = F.substr(value, F.length(title) + 1)
+    words, gaps = F.regexp_extract_all(body, F.lit(WORD), F.lit(0)), F.split(body, WORD)
+    last = F.size(F.regexp_extract_all(F.element_at(F.split(body, " "), -1), F.lit(WORD), F.lit(0)))
+    first = _word(F.get(words, F.lit(0)))
+    known = {g: F.array(*(F.lit(n.lower()) for k, names in GIVEN.items() if k[0] == g for n in names)) for g in "mf"}
+    gender = F.when(F.regexp_like(title, F.lit(f"^(?:{MALE}) $")), "m").when(F.regexp_like(title, F.lit(f"^(?:{FEMALE}) $")), "f")
     gender = gender.when(F.array_contains(known["m"], first), "m").when(F.array_contains(known["f"], first), "f").otherwise("x")
-    plain = F.regexp_replace(F.upper(value), r"[\s().+-]", "")
-    entity = F.when(kind == "email", F.lower(value)).when(kind == "ip", value).when(kind == "name", F.lower(F.element_at(words, -1))).otherwise(plain)
-    return mentions.withColumns({"main_kind": F.when(kind == "name", "family").otherwise(kind), "entity": entity, "given": F.lower(first), "gender": gender})
+    part = lambda w, i: F.struct(
+        i.alias("part"), F.when(i == 0, F.concat(title, F.get(gaps, i))).otherwise(F.get(gaps, i)).alias("before"), w.alias("value"),
+        F.when(i >= F.size(words) - last, "family").otherwise("given").alias("main_kind"), _word(w).alias("entity"), F.when(i >= F.size(words) - last, "x").otherwise(gender).alias("gender"),
+    )
+    plain = F.regexp_replace(F.upper(value), r"[\s().-]", "")
+    entity = F.when(kind == "email", F.lower(value)).when(kind == "ip", _ip_entity(value)).otherwise(plain)
+    whole = F.struct(F.lit(0).alias("part"), F.lit("").alias("before"), value.alias("value"), kind.alias("main_kind"), entity.alias("entity"), F.lit("x").alias("gender"))
+    return hits.select("digest", "at", "kind", F.inline(F.when(kind == "name", F.transform(words, part)).otherwise(F.array(whole))))
 
 
 def surrogates(key: str, mentions: DataFrame) -> DataFrame:
-    """kind, entity, gender and made, for the distinct entities of _parted() mentions; all made of a kind are distinct, and none is an entity of it."""
-    main = mentions.select(F.col("main_kind").alias("kind"), "entity", F.lit("x").alias("gender"))
-    given = mentions.where("given is not null").select(F.lit("given").alias("kind"), F.col("given").alias("entity"), "gender")
-    own = settled(main.unionAll(given).distinct().withColumn("attempt", F.lit(0)), "op8-entities")
+    """main_kind, entity, gender and made, for the distinct entities of mentions; all made of a kind are distinct, and none is an entity of it."""
+    own = settled(mentions.select(F.col("main_kind").alias("kind"), "entity", "gender").distinct().withColumn("attempt", F.lit(0)), "op8-entities")
     taken = own.select("kind", F.col("entity").alias("id")).distinct().withColumn("real", F.lit(True))
 
     identity = F.when(F.col("kind").isin("family", "given"), F.lower("made")).otherwise(F.col("made"))
@@ -235,9 +316,7 @@ def surrogates(key: str, mentions: DataFrame) -> DataFrame:
         again = settled(again.select("kind", "entity", "gender", F.lit(1).alias("more")), "op8-again")
         if again.isEmpty():
             dropped(own, again)
-            return done.select("kind", "entity", "gender", "made")
-        if not done.where(F.col("attempt") >= LAST).join(again, ["kind", "entity", "gender"], "left_semi").isEmpty():
-            raise ValueError(f"entities are left without a surrogate of their own after {LAST} attempts")
+            return done.select(F.col("kind").alias("main_kind"), "entity", "gender", "made")
         old, marked = done, done.join(again, ["kind", "entity", "gender"], "left")
         moved = drawn(key, marked.where("more = 1").select("kind", "entity", "gender", (F.col("attempt") + 1).alias("attempt")))
         done = settled(marked.where("more is null").select("kind", "entity", "gender", "attempt", "made").unionByName(moved.select("kind", "entity", "gender", "attempt", "made")), "op8-made")
@@ -254,19 +333,27 @@ def replaced(docs: DataFrame, *, key: str, doc_id: str = "doc_id", text: str = "
     none = F.array(*(F.lit(0) for _ in KINDS))
     clean = rows.where("digest is null").select("doc_id", "text", F.lit(0).alias("n_entities"), none.alias("kinds"))
     some = rows.where("digest is not null")
-    once = some.select("digest", "hits").dropDuplicates(["digest"])
-    mentions = once.select("digest", F.posexplode("hits").alias("at", "value")).withColumn("kind", kind_of(F.col("value")))
-    mentions = settled(_parted(mentions), "op8-mentions")
-    made = surrogates(key, mentions)
-    main = made.where("kind <> 'given'").select(F.col("kind").alias("main_kind"), "entity", "made")
-    given = made.where("kind = 'given'").select(F.col("entity").alias("given"), "gender", F.col("made").alias("given_made"))
-    new = mentions.join(main, ["main_kind", "entity"]).join(given, ["given", "gender"], "left")
-    new = new.select("digest", "at", "kind", _formed(F.col("kind"), F.col("value"), F.col("made"), F.col("given_made")).alias("new"))
-    by_text = new.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("at", "kind", "new"))).alias("new"))
-    gaps = F.split("text", ANY, -1)
-    text_out = F.array_join(F.flatten(F.zip_with(gaps, F.transform("new", lambda x: x["new"]), lambda g, s: F.array(g, F.coalesce(s, F.lit(""))))), "")
-    kinds = F.array(*(F.size(F.array_remove(F.transform("new", lambda x: F.when(x["kind"] == F.lit(wanted), 1).otherwise(0)), 0)) for wanted in KINDS))
-    changed = some.join(by_text, "digest").select("doc_id", text_out.alias("text"), F.size("new").alias("n_entities"), kinds.alias("kinds"))
+    # one row for each text; where it has names, all words that may be parts of them are hits as well
+    some = some.withColumn("named", F.exists("hits", lambda h: kind_of(h) == "name"))
+    once = some.select("digest", "text", "hits", "named").dropDuplicates(["digest"])
+    once = once.withColumn("hits", F.when(F.col("named"), F.regexp_extract_all("text", F.lit(ANY_WORD), F.lit(0))).otherwise(F.col("hits")))
+    hits = once.select("digest", F.posexplode("hits").alias("at", "value")).withColumn("kind", kind_of(F.col("value")))
+    hits = settled(hits, "op8-hits")
+    own = settled(_parted(hits.where("kind <> 'word'")), "op8-mentions")
+    roles = own.where("kind = 'name'").groupBy("digest", "entity").agg(F.min(F.struct("main_kind", "gender")).alias("role"))
+    words = hits.where("kind = 'word'").withColumn("entity", _word(F.col("value"))).join(roles, ["digest", "entity"], "left")
+    words = settled(words.select("digest", "at", "value", "entity", F.col("role.main_kind").alias("main_kind"), F.col("role.gender").alias("gender")), "op8-words")
+    mentions = own.unionByName(words.where("main_kind is not null").select("digest", "at", F.lit("name").alias("kind"), F.lit(0).alias("part"), F.lit("").alias("before"), "value", "main_kind", "entity", "gender"))
+    new = mentions.join(surrogates(key, own), ["main_kind", "entity", "gender"])
+    new = new.select("digest", "at", "part", "kind", F.concat("before", _formed(F.col("main_kind"), F.col("value"), F.col("made"))).alias("new"))
+    same = words.where("main_kind is null").select("digest", "at", F.lit(0).alias("part"), F.lit(None).cast("string").alias("kind"), F.col("value").alias("new"))
+    by_text = new.unionAll(same).groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("at", "part", "kind", "new"))).alias("new"))
+    gaps = F.when(F.col("named"), F.split("text", ANY_WORD, -1)).otherwise(F.split("text", ANY, -1))
+    pieces = F.transform("new", lambda x: F.concat(F.when(x["part"] == 0, F.get(F.col("gaps"), x["at"])).otherwise(""), x["new"]))
+    text_out = F.concat(F.array_join(pieces, ""), F.element_at("gaps", -1))
+    count = lambda wanted: F.size(F.filter("new", lambda x: (x["part"] == 0) & (x["kind"] == wanted)))
+    kinds = F.array(*(count(F.lit(wanted)) for wanted in KINDS))
+    changed = some.join(by_text, "digest").withColumn("gaps", gaps).select("doc_id", text_out.alias("text"), F.size(F.filter("new", lambda x: (x["part"] == 0) & x["kind"].isNotNull())).alias("n_entities"), kinds.alias("kinds"))
     return clean.unionAll(changed)
 
 
