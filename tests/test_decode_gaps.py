@@ -14,18 +14,19 @@ from tideline.functions import decode, running
 from tideline.operators.gaps import detect_gaps
 from tideline.sources.archive import decoded_lines, read_archive, read_recording, write_archive, write_recording
 
-T0 = datetime(2026, 10, 2, 12, tzinfo=UTC)
+T0 = datetime(2031, 3, 14, 7, 5, 9, tzinfo=UTC)
+MS = int(T0.timestamp() * 1000)
 
 
-def trade(price="100.00000000", qty="1.00000000", s="BTCUSDT", t=1):
-    return json.dumps({"stream": f"{s.lower()}@trade", "data": {"e": "trade", "E": 1790942400123, "s": s, "t": t, "p": price, "q": qty, "T": 1790942400120, "m": True, "M": True}})
+def trade(price="7.5", qty="3", s="AAA", t=1):
+    return json.dumps({"stream": f"{s.lower()}@trade", "data": {"e": "trade", "E": MS + 41, "s": s, "t": t, "p": price, "q": qty, "T": MS + 38, "m": True, "M": True}})
 
 
-def depth(first, last, s="BTCUSDT"):
-    return json.dumps({"stream": f"{s.lower()}@depth@100ms", "data": {"e": "depthUpdate", "E": 1790942400123, "s": s, "U": first, "u": last, "b": [["1.5", "0"]], "a": []}})
+def depth(first, last, s="AAA"):
+    return json.dumps({"stream": f"{s.lower()}@depth@100ms", "data": {"e": "depthUpdate", "E": MS + 41, "s": s, "U": first, "u": last, "b": [["7.25", "4"]], "a": []}})
 
 
-def quote(bid="99", ask="101", s="BTCUSDT"):
+def quote(bid="7.4", ask="7.6", s="AAA"):
     return json.dumps({"stream": f"{s.lower()}@bookTicker", "data": {"u": 7, "s": s, "b": bid, "B": "1", "a": ask, "A": "2"}})
 
 
@@ -33,20 +34,43 @@ def raw(spark, payloads):
     return spark.createDataFrame([(i, T0 + timedelta(milliseconds=i), p) for i, p in enumerate(payloads)], "seq long, received_at timestamp, payload string")
 
 
+def spoiled(frame, needed):
+    """Frames that lack one of the needed fields of data, or have something of another kind there, or lack an outer part."""
+    whole = json.loads(frame)
+    for name in needed:
+        rest = {k: v for k, v in whole["data"].items() if k != name}
+        yield json.dumps(whole | {"data": rest})
+        yield json.dumps(whole | {"data": rest | {name: None}})
+        if name not in ("s", "e"):
+            yield json.dumps(whole | {"data": rest | {name: "?"}})
+    for part in whole:
+        yield json.dumps({k: v for k, v in whole.items() if k != part})
+    yield json.dumps(whole | {"data": list(whole["data"])})
+    yield frame[:-1]
+    yield frame[1:]
+
+
 def test_statuses(spark):
-    bad = ["not json", "", '{"stream":"x@trade"}', '{"data":{"e":"trade"}}', trade(price="abc"), '{"stream":"x@trade","data":{"e":"trade","s":"X"}}', '{"stream":"a@b","data":[]}']
-    good = [trade(), depth(1, 2), quote(), '{"stream":"x@kline_1m","data":{"e":"kline"}}', "#connected", "#other"]
+    needed = {trade(): "eEstpqTm", depth(1, 2): "eEsUuba", quote(): "usbBaA"}
+    bad = [b for frame, names in needed.items() for b in spoiled(frame, names)] + [" ", "[]", "7"]
+    good = [*needed, '{"stream":"aaa@kline_1m","data":{"e":"kline"}}', "#connected", "#" * 3]
     got = [r.status for r in decode.decoded(raw(spark, good + bad)).orderBy("seq").collect()]
-    assert got == ["trade", "depth", "quote", "other", "marker", "comment"] + ["error"] * len(bad)
+    assert got[: len(good)] == ["trade", "depth", "quote", "other", "marker", "comment"]
+    assert {b: g for b, g in zip(bad, got[len(good) :], strict=True) if g != "error"} == {}
 
 
 def test_fields(spark):
-    records = decode.typed(decode.decoded(raw(spark, [trade(price="0.10000001"), depth(5, 9), quote("99", "101"), quote("0", "0")])))
+    """Prices and quantities of eight places are kept exactly."""
+    draw = random.Random(2)
+    prices = [Decimal(draw.randint(1, 10**13)).scaleb(-8) for _ in range(20)]
+    records = decode.typed(decode.decoded(raw(spark, [*(trade(price=f"{p:f}", t=i) for i, p in enumerate(prices)), depth(5, 9), quote("7.4", "7.6"), quote("0", "0")])))
     assert decode.quotes(records).count() == 1
-    t, d, q = (f(records).first() for f in (decode.trades, decode.depth, decode.quotes))
-    assert t.price == Decimal("0.10000001") and t.trade_id == 1 and t.buyer_is_maker and t.time.microsecond == 120000
-    assert (d.first_update_id, d.final_update_id, d.bids, d.asks) == (5, 9, [["1.5", "0"]], [])
-    assert (q.update_id, q.bid, q.ask_qty) == (7, 99, 2)
+    ts = decode.trades(records).orderBy("seq").collect()
+    assert [t.price for t in ts] == prices and [t.trade_id for t in ts] == list(range(20))
+    assert all(t.buyer_is_maker and t.time.microsecond == 38000 and t.event_time.microsecond == 41000 for t in ts)
+    d, q = decode.depth(records).first(), decode.quotes(records).first()
+    assert (d.first_update_id, d.final_update_id, d.bids, d.asks) == (5, 9, [["7.25", "4"]], [])
+    assert (q.update_id, q.bid, q.ask_qty) == (7, Decimal("7.4"), 2)
 
 
 def account(payloads):
@@ -97,13 +121,13 @@ def test_no_updates_no_gaps(spark):
 
 
 def test_malformed_lines(spark):
-    lines = ["1790942400000000000\tok", "no tab", "\tx", "12x\ty", "5\t", "7\ta\tb"]
+    lines = ["1931238309000000000\tok", "no tab", "\tx", "12x\ty", "5\t", "7\ta\tb"]
     got = decoded_lines(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
-    assert [(r.received_ns, r.payload) for r in got] == [(1790942400000000000, "ok"), (7, "a\tb")]
+    assert [(r.received_ns, r.payload) for r in got] == [(1931238309000000000, "ok"), (7, "a\tb")]
 
 
 def test_skipped_lines_are_counted(spark, tmp_path):
-    path = tmp_path / "2026-10-02" / "12.tsv"
+    path = tmp_path / "2031-03-14" / "07.tsv"
     path.parent.mkdir()
     path.write_text("5000\ta\nno tab\n\tx\n7000\tb\n99999999999999999999\tc\n")
     skipped = Observation()
@@ -128,7 +152,7 @@ def test_archive_order(spark, tmp_path, seed):
     """Several folders with the same hours, clocks that go back, plain and packed files."""
     draw, files = random.Random(seed), []
     for root in "ab":
-        for hour in ("2026-10-02/23", "2026-10-03/00"):
+        for hour in ("2031-03-14/23", "2031-03-15/00"):
             now, rows = 1_790_000_000_000_000_000, []
             for k in range(draw.randint(0, 12)):
                 now += draw.choice([0, 1000, 5000, -3000])

@@ -3,7 +3,8 @@
 Rows are cut along the order into pieces of about PIECE rows (`piece`, an integer that never falls along the order), by
 range partitions whose bounds Spark samples. Running values are made within pieces; what the pieces before add comes from
 a table with a row per piece (and key), PIECE times smaller than the rows. It is joined on the columns that the rows are
-dealt by already, so the rows move once, and Spark broadcasts it only where it finds it small.
+dealt by already, so the rows move once, and Spark broadcasts it only where it finds it small. Where all rows are one
+piece, `piece` says so in its metadata, and there is nothing to join.
 """
 
 from __future__ import annotations
@@ -13,15 +14,26 @@ from pyspark.sql import functions as F
 
 from tideline.sources.shared import settled
 
+_ONE = {"one": True}
+
 #: Rows of a piece, about.
 PIECE = 500_000
 
 
+def one_piece() -> Column:
+    """The piece of rows that are all of one."""
+    return F.lit(0).alias("piece", metadata=_ONE)
+
+
+def _one(df: DataFrame) -> bool:
+    return bool(df.schema["piece"].metadata.get("one"))
+
+
 def pieced(df: DataFrame, *order: str | Column, rows: int | None = None, count: int | None = None) -> DataFrame:
     """df with piece. df is counted unless count says how many rows it has; more than one piece are written to the shared folder."""
     n = -(-(df.count() if count is None else count) // (rows or PIECE))
     if n <= 1:
-        return df.withColumn("piece", F.lit(0))
+        return df.select("*", one_piece())
     return settled(df.repartitionByRange(n, *order).withColumn("piece", F.spark_partition_id()), "pieces")
 
 
@@ -32,12 +44,17 @@ def _before(rows: DataFrame, keys: list[str], last: Column) -> DataFrame:
     return edges.select(*keys, "piece", F.last("__l", ignorenulls=True).over(along).alias("__b"))
 
 
+def _added(rows: DataFrame, keys: list[str], edges) -> DataFrame:
+    """rows with __b, by keys and piece, from edges(); null where all are one piece."""
+    return rows.withColumn("__b", F.lit(None)) if _one(rows) else rows.join(edges(), [*keys, "piece"])
+
+
 def _running(df: DataFrame, value: Column, order: str, name: str, total, combine) -> DataFrame:
     inside = Window.partitionBy("piece").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     rows = df.withColumn("__v", value)
-    edges = rows.groupBy("piece").agg(total("__v").alias("__t")).select("piece", total("__t").over(before).alias("__b"))
-    out = rows.withColumn("__r", total("__v").over(inside)).join(edges, "piece")
+    edges = lambda: rows.groupBy("piece").agg(total("__v").alias("__t")).select("piece", total("__t").over(before).alias("__b"))
+    out = _added(rows.withColumn("__r", total("__v").over(inside)), [], edges)
     return out.withColumn(name, combine(F.col("__r"), F.col("__b"))).drop("__v", "__r", "__b")
 
 
@@ -57,8 +74,8 @@ def neighbour(df: DataFrame, keys: list[str], order: str, value: Column, name: s
     inside = Window.partitionBy(*keys, "piece").orderBy(order)
     along = Window.partitionBy(*keys).orderBy("piece")
     pick, shift = (F.min_by, F.lead) if after else (F.max_by, F.lag)
-    edges = rows.groupBy(*keys, "piece").agg(pick("__v", order).alias("__e")).select(*keys, "piece", shift("__e").over(along).alias("__b"))
-    out = rows.withColumn("__r", shift("__v").over(inside)).join(edges, [*keys, "piece"])
+    edges = lambda: rows.groupBy(*keys, "piece").agg(pick("__v", order).alias("__e")).select(*keys, "piece", shift("__e").over(along).alias("__b"))
+    out = _added(rows.withColumn("__r", shift("__v").over(inside)), keys, edges)
     return out.withColumn(name, F.coalesce("__r", "__b")).drop("__v", "__r", "__b")
 
 
@@ -66,7 +83,7 @@ def carried(df: DataFrame, keys: list[str], order: str, value: str, name: str, *
     """df (with piece) and the last value up to each row of its keys that isn't null; previous names what this was a row before."""
     inside = Window.partitionBy(*keys, "piece").orderBy(order)
     last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
-    out = df.withColumn("__r", F.last(value, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))).join(_before(df, keys, last), [*keys, "piece"])
+    out = _added(df.withColumn("__r", F.last(value, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))), keys, lambda: _before(df, keys, last))
     out = out.withColumn(name, F.coalesce("__r", "__b"))
     if previous:
         out = out.withColumn(previous, F.coalesce(F.lag(name).over(inside), "__b"))
@@ -77,15 +94,15 @@ def numbered(df: DataFrame, keys: list[str], order: str, name: str) -> DataFrame
     """df (with piece) and the number from 1 of each row within its keys."""
     inside = Window.partitionBy(*keys, "piece").orderBy(order)
     before = Window.partitionBy(*keys).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    edges = df.groupBy(*keys, "piece").agg(F.count("*").alias("__n")).select(*keys, "piece", F.sum("__n").over(before).alias("__b"))
-    out = df.withColumn("__r", F.row_number().over(inside)).join(edges, [*keys, "piece"])
-    return out.withColumn(name, F.col("__r") + F.coalesce("__b", F.lit(0))).drop("__r", "__b")
+    edges = lambda: df.groupBy(*keys, "piece").agg(F.count("*").alias("__n")).select(*keys, "piece", F.sum("__n").over(before).alias("__b"))
+    out = _added(df.withColumn("__r", F.row_number().over(inside)), keys, edges)
+    return out.withColumn(name, F.col("__r").cast("bigint") + F.coalesce("__b", F.lit(0))).drop("__r", "__b")
 
 
 def summed_before(df: DataFrame, keys: list[str], order: str, value: str, name: str) -> DataFrame:
     """df (with piece) and the sum of value over the rows of its keys before each row, 0 for the first."""
     inside = Window.partitionBy(*keys, "piece").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy(*keys).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    edges = df.groupBy(*keys, "piece").agg(F.sum(value).alias("__n")).select(*keys, "piece", F.sum("__n").over(before).alias("__b"))
-    out = df.withColumn("__r", F.sum(value).over(inside)).join(edges, [*keys, "piece"])
+    edges = lambda: df.groupBy(*keys, "piece").agg(F.sum(value).alias("__n")).select(*keys, "piece", F.sum("__n").over(before).alias("__b"))
+    out = _added(df.withColumn("__r", F.sum(value).over(inside)), keys, edges)
     return out.withColumn(name, F.coalesce("__r", F.lit(0)) + F.coalesce("__b", F.lit(0))).drop("__r", "__b")

@@ -25,7 +25,9 @@ def between(df: DataFrame, start: str | None, end: str | None, time: str = "time
 
 
 def mid_per_interval(features: DataFrame, symbol: str, seconds: int) -> DataFrame:
-    return features.where(F.col("symbol") == symbol).groupBy(interval("time", seconds).alias("time")).agg(F.avg("mid").alias("mid"))
+    """Mean mids; mids have nine decimal places, so their sum is exact and doesn't depend on the order of rows."""
+    total = F.sum(F.col("mid").cast("decimal(38,9)")).cast("double")
+    return features.where(F.col("symbol") == symbol).groupBy(interval("time", seconds).alias("time")).agg((total / F.count("mid")).alias("mid"))
 
 
 def spread_per_interval(features: DataFrame, seconds: int) -> DataFrame:

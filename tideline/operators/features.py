@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.running import carried, neighbour, pieced, running_max
+from tideline.functions.running import carried, neighbour, one_piece, pieced, running_max
 from tideline.sources.shared import settled
 
 SECOND_US = 1_000_000
@@ -41,9 +41,17 @@ def _cell(b: str, width_us: int, buckets: int) -> Column:
     return F.floor(F.col(b) / F.lit(width_us * buckets))
 
 
+def _bucket_piece(b: str, width_us: int, least: int | None, most: int | None) -> Column:
+    """The piece of a bucket; all of one where those between least and most are."""
+    size = width_us * BUCKETS
+    return one_piece() if least is None or least // size == most // size else _cell(b, width_us, BUCKETS).alias("piece")
+
+
 def eras(events: DataFrame, width_us: int = SECOND_US, max_fill: int = MAX_FILL) -> DataFrame:
     """b, era (its first bucket) and upto (the last bucket emitted before the next clock value; null for the last), for each clock value."""
-    clock = settled(events.select("b").distinct(), "clock").withColumn("piece", _cell("b", width_us, BUCKETS))
+    clock = settled(events.select("b").distinct(), "clock")
+    least, most = clock.agg(F.min("b"), F.max("b")).first()
+    clock = clock.select("*", _bucket_piece("b", width_us, least, most))
     near = neighbour(neighbour(clock, [], "b", F.col("b"), "next", after=True), [], "b", F.col("b"), "prev")
     far = (max_fill + 1) * width_us
     begun = F.when(F.col("prev").isNull() | (F.col("b") - F.col("prev") > far), F.col("b"))
@@ -59,12 +67,14 @@ def grid(clock: DataFrame, symbols: DataFrame, last: int, width_us: int) -> Data
     return buckets.join(own, "cell").where("k >= first").select("symbol", "era", "k")
 
 
-def build_features(trades: DataFrame, quotes: DataFrame, *, width_us: int = SECOND_US, max_fill: int = MAX_FILL) -> DataFrame:
-    """The feature rows; time is the bucket's start. trades and quotes have seq, and piece where they have been cut already."""
+def build_features(trades: DataFrame, quotes: DataFrame, *, width_us: int = SECOND_US, max_fill: int = MAX_FILL, symbol: str | None = None) -> DataFrame:
+    """The feature rows (of one symbol, if it is named); time is the bucket's start. trades and quotes have seq, and piece where they have been cut already."""
     events = settled(clocked(trades, quotes, width_us), "clocked")
     clock = settled(eras(events, width_us, max_fill), "eras")
-    bounds = clock.agg(F.max("upto").alias("last"), F.max("b").alias("open")).first()
+    first, *bounds = clock.agg(F.min("b"), F.max("upto"), F.max("b")).first()
     last, open_ = (-1 << 62 if x is None else x for x in bounds)
+    if symbol is not None:
+        events = events.where(F.col("symbol") == symbol)
     step = F.lit(width_us).cast("bigint")
     ends = clock.groupBy("era").agg(F.max("upto").alias("end"))
     quoted = events.where("not is_trade").select("piece", "seq", "symbol", "us", "b", "spread").join(clock.join(ends, "era").select("b", "era", "end"), "b").where("b <= end")
@@ -83,7 +93,7 @@ def build_features(trades: DataFrame, quotes: DataFrame, *, width_us: int = SECO
         F.max("era").alias("era"), F.count_if("is_trade").cast("int").alias("trade_count"), F.sum("qty").cast("double").alias("volume"), F.sum("amount").cast("double").alias("notional"),
         F.max_by("mid", F.when(F.col("mid").isNotNull(), F.col("seq"))).alias("own"), F.try_divide(F.sum("weighed"), F.sum("held")).alias("spread_bps"),
     )
-    rows = settled(summed.where("era is not null"), "buckets").withColumn("piece", _cell("k", width_us, BUCKETS))
+    rows = settled(summed.where("era is not null"), "buckets").select("*", _bucket_piece("k", width_us, first, open_))
     rows = carried(rows, ["symbol", "era"], "k", "own", "mid", previous="before")
     return rows.select(
         F.timestamp_micros("k").alias("time"), "symbol", "trade_count", F.coalesce("volume", F.lit(0.0)).alias("volume"), F.coalesce("notional", F.lit(0.0)).alias("notional"),

@@ -91,9 +91,14 @@ HISTOGRAMS = {
 }
 
 
+def stream_of(status: Column) -> Column:
+    """The name of the stream that frames of a status are counted by."""
+    return F.when(status.isin("trade", "depth"), status).when(status == "quote", "bookticker").otherwise("other")
+
+
 def of_replay(frames: DataFrame, gaps: DataFrame, flags: DataFrame) -> DataFrame:
     """name, labels and value of the counters and gauges that a replay's frames, gaps and flags amount to."""
-    stream = F.when(F.col("status").isin("trade", "depth"), F.col("status")).when(F.col("status") == "quote", "bookticker").otherwise("other")
+    stream = stream_of(F.col("status"))
     own = frames.where("status not in ('marker', 'comment')")
     none = F.create_map().cast("map<string,string>")
     row = lambda name, labels, value: (F.lit(name).alias("name"), labels.alias("labels"), value.cast("double").alias("value"))

@@ -257,6 +257,33 @@ def _streamed(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(f"{root}/rows")
 
 
+@query(
+    _with(adapter.SQL, f"s AS (SELECT us, {_STATUS} AS status FROM ev)")
+    + """SELECT 'frames_total' AS name, '{stream="' || CASE WHEN status IN ('trade', 'depth') THEN status WHEN status = 'quote' THEN 'bookticker' ELSE 'other' END || '"}' AS labels, CAST(count(*) AS DOUBLE) AS value
+    FROM s WHERE status <> 'marker' GROUP BY ALL UNION ALL SELECT 'parse_errors_total', '', count(*) FILTER (status = 'error') FROM s UNION ALL SELECT 'rows_submitted_total', '', count(*) FILTER (status IN ('trade', 'depth')) FROM s
+    UNION ALL SELECT 'last_frame_timestamp_seconds', '', round(max(us) / 1e6, 6) FROM s WHERE status <> 'marker'"""
+)
+def observed_series(spark, sf_dir):
+    """The counters that a stream over the raw frames observes of itself in micro-batches, stored as samples, written as text and read back."""
+    from tideline.functions.decode import decoded
+    from tideline.sources import metrics_text
+    from tideline.streaming.observed import Observer, Series, latest, observed, stored_samples
+
+    raw, root, series = settled(adapter.raw(spark, sf_dir), "frames"), shared_dir(spark, "observed"), Series()
+    listener = Observer(series)
+    spark.streams.addListener(listener)
+    try:
+        source = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2).parquet(raw.inputFiles()[0].rsplit("/", 1)[0])
+        stream = observed(decoded(source)).select("status").writeStream.format("noop").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
+        stream.awaitTermination()
+        listener.ended.wait(60)  # progress comes after the batch
+    finally:
+        spark.streams.removeListener(listener)
+    series.store(spark, f"{root}/samples")
+    text = settled(metrics_text.written(latest(stored_samples(spark, f"{root}/samples"))), "metrics")
+    return _rounded(metrics_text.read(text).select("name", metrics_text.labels_text(F.col("labels")).alias("labels"), "value"))
+
+
 @query(_feature_query("time, symbol, trade_count, volume, notional, spread_bps, mid, abs_return_bps"))
 def stream_features(spark, sf_dir):
     """The feature rows that a stream over the raw frames gives."""
@@ -348,10 +375,10 @@ def latest_order_per_customer(spark, sf_dir):
     return dashboard.latest(orders, "o_custkey", ["o_orderdate", "o_orderkey"], ("o_orderdate", "o_orderkey"))
 
 
-@query(FEATURES + "SELECT make_timestamp(epoch_us(time) // 3600000000 * 3600000000) AS time, round(avg(mid) + 3e-10, 8) AS mid FROM features WHERE symbol = 'S1' GROUP BY ALL")
+@query(FEATURES + "SELECT make_timestamp(epoch_us(time) // 3600000000 * 3600000000) AS time, CAST(sum(CAST(mid AS DECIMAL(28,9))) AS DOUBLE) / count(mid) AS mid FROM features WHERE symbol = 'S1' GROUP BY ALL")
 def mid_per_interval(spark, sf_dir):
-    # means can lie halfway between two roundings; both sides move off by less than a rounding
-    return _rounded(dashboard.mid_per_interval(_replay(spark, sf_dir).features, "S1", 3600).withColumn("mid", F.col("mid") + 3e-10))
+    means = dashboard.mid_per_interval(_replay(spark, sf_dir).features_of("S1"), "S1", 3600)
+    return means.select(F.col("time").cast("timestamp_ntz").alias("time"), "mid")  # the same doubles on both sides
 
 
 @query(FEATURES + "SELECT make_timestamp(epoch_us(time) // 3600000000 * 3600000000) AS time, symbol, round(max(spread_bps), 6) AS spread_bps FROM features WHERE spread_bps IS NOT NULL GROUP BY ALL")
@@ -396,6 +423,35 @@ def merge_new_only(spark, sf_dir):
     return new.select("symbol", "trade_id", "day", "event_id")
 
 
+def _lines(spark, sf_dir):
+    """Order lines as trades, some of which come more than once; their days are the years of the lines."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    at = (F.date_trunc("year", "l_shipdate").cast("timestamp") + F.make_interval(hours=F.col("l_linenumber"))).alias("time")
+    money = lambda c: F.col(c).cast("decimal(18,8)")
+    symbol, number = F.concat(F.lit("S"), (F.col("l_suppkey") % 4).cast("string")).alias("symbol"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trade_id")
+    return rows.select(at, symbol, number, money("l_extendedprice").alias("price"), money("l_quantity").alias("qty"), (F.col("l_returnflag") == "R").alias("buyer_is_maker"), at.alias("event_time"), at.alias("received_at"), "l_linenumber")
+
+
+@query("SELECT count(*) AS n_rows, CAST(sum(l_quantity) AS DOUBLE) AS qty FROM lineitem")
+def append_trades(spark, sf_dir):
+    """All order lines appended to a stored table, partitioned by day, and read back."""
+    root = shared_dir(spark, "store")
+    sinks.append(_lines(spark, sf_dir).drop("l_linenumber").withColumn("date", F.to_date("time")).sortWithinPartitions("date", "symbol", "trade_id"), f"{root}/trades", by="date")
+    return sinks.stored(spark, root, "trades").agg(F.count("*").alias("n_rows"), F.sum("qty").cast("double").alias("qty"))
+
+
+_LINE = "(l_suppkey % 4, l_orderkey * 10 + l_linenumber, date_trunc('year', l_shipdate))"
+
+
+@query(f"SELECT 1 AS batch, count(DISTINCT {_LINE}) AS n_rows FROM lineitem WHERE l_linenumber <= 4 UNION ALL SELECT 2, count(DISTINCT {_LINE}) FROM lineitem WHERE l_linenumber > 4 UNION ALL SELECT 3, 0")
+def merge_trades(spark, sf_dir):
+    """How many rows merges into a stored table take: of one part of the order lines, of all, and of all again."""
+    path, rows = f"{shared_dir(spark, 'store')}/trades", _lines(spark, sf_dir)
+    parts = rows.where("l_linenumber <= 4"), rows, rows
+    took = [sinks.merge(p.drop("l_linenumber"), path, "trades", partition="time") for p in parts]
+    return spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(i + 1).alias("batch"), F.lit(n).cast("bigint").alias("n_rows")) for i, n in enumerate(took)))).alias("r")).select("r.*")
+
+
 @query(BASE + "SELECT (SELECT count(*) FROM trades) + (SELECT count(*) FROM depth) AS total")
 def stored_total(spark, sf_dir):
     r = _replay(spark, sf_dir)

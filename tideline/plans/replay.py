@@ -14,7 +14,7 @@ from tideline.functions.running import pieced
 from tideline.operators import detectors, features, gaps
 from tideline.schemas import DAILY, conformed
 from tideline.sources import sinks
-from tideline.sources.shared import settled
+from tideline.sources.shared import settled, settled_count
 
 STATUSES = ("trade", "depth", "quote", "other", "error", "marker", "comment")
 
@@ -51,7 +51,8 @@ class Replay:
 
     @cached_property
     def records(self) -> DataFrame:
-        return pieced(settled(decode.typed(self.frames), "records"), "seq")
+        rows, count = settled_count(decode.typed(self.frames), "records")
+        return pieced(rows, "seq", count=count)
 
     @property
     def trades(self) -> DataFrame:
@@ -73,6 +74,11 @@ class Replay:
     def features(self) -> DataFrame:
         return settled(features.build_features(self.trades, self.quotes, width_us=self.settings.width_us, max_fill=self.settings.max_fill), "features")
 
+    def features_of(self, symbol: str) -> DataFrame:
+        """The features of one symbol: the clock is that of all, but only its own rows are bucketed."""
+        s = self.settings
+        return features.build_features(self.trades, self.quotes, width_us=s.width_us, max_fill=s.max_fill, symbol=symbol)
+
     def vectors(self) -> DataFrame:
         return detectors.vectors(self.features)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _made: list[str] = []
@@ -31,6 +31,13 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled_count(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """settled(), and how many rows were written: they are counted on the way."""
+    count = Observation()
+    out = settled(df.observe(count, F.count(F.lit(1)).alias("n")), name)
+    return out, count.get.get("n", 0)
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a folder that shared_dir() gave."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -17,6 +17,7 @@ import logging
 import math
 import time
 from collections.abc import Iterator
+from contextlib import nullcontext
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,7 @@ from tideline.operators import detectors
 from tideline.operators.features import MAX_FILL, SECOND_US
 from tideline.plans.replay import Settings
 from tideline.sources import archive, sinks
+from tideline.streaming.observed import Series, count_batch, observed
 
 log = logging.getLogger("tideline.stream")
 
@@ -237,11 +239,14 @@ def _ticking(width_us: int):
     return run
 
 
-def live_rows(raw: DataFrame, settings: Settings = Settings(), *, order: str = "seq", keys: int = KEYS) -> DataFrame:  # noqa: B008
-    """Streaming raw frames (seq, received_at, payload) to streaming rows of OUTPUT: gaps, features and flags."""
+def live_rows(raw: DataFrame, settings: Settings = Settings(), *, order: str = "seq", keys: int = KEYS, observe: str | None = None) -> DataFrame:  # noqa: B008
+    """Streaming raw frames (seq, received_at, payload) to streaming rows of OUTPUT: gaps, features and flags.
+
+    With observe, each batch's progress tells the numbers of its frames under that name (see observed.py).
+    """
     raw.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     frames = decode.decoded(raw.withColumnRenamed(order, "seq") if order != "seq" else raw)
-    records = decode.typed(frames)
+    records = decode.typed(observed(frames, observe) if observe else frames)
     bid, ask = F.col("bid").cast("double"), F.col("ask").cast("double")
     mid = (bid + ask) / 2
     rows = records.where("status <> 'quote' or bid + ask > 0").select(
@@ -289,14 +294,16 @@ def store_stream(raw: DataFrame, root: str, checkpoint: str, trigger: dict | Non
     return raw.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def store_live(raw: DataFrame, root: str, checkpoint: str, settings: Settings = Settings(), trigger: dict | None = None) -> StreamingQuery:  # noqa: B008
-    """Gaps, features and flags of streaming raw frames, merged first-wins batch by batch."""
+def store_live(raw: DataFrame, root: str, checkpoint: str, settings: Settings = Settings(), trigger: dict | None = None, series: Series | None = None) -> StreamingQuery:  # noqa: B008
+    """Gaps, features and flags of streaming raw frames, merged first-wins batch by batch; series takes how many, and how long merges took."""
 
     def batch(df: DataFrame, _number: int) -> None:
         rows = df.persist()
-        sinks.merge(gaps_of(rows), f"{root}/depth_gaps", "depth_gaps")
-        sinks.merge(features_of(rows), f"{root}/features", "features", partition="time")
-        sinks.merge(flags_of(rows), f"{root}/anomaly_flags", "anomaly_flags", partition="time")
+        for part, table, partition in ((gaps_of, "depth_gaps", None), (features_of, "features", "time"), (flags_of, "anomaly_flags", "time")):
+            with series.timed("flush_seconds") if series else nullcontext():
+                sinks.merge(part(rows), f"{root}/{table}", table, partition=partition)
+        if series:
+            count_batch(series, gaps_of(rows), flags_of(rows))
         rows.unpersist()
 
     return live_rows(raw, settings).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
