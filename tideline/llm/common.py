@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tideline.sources.shared import dropped, shared_dir
 
-__all__ = ["ARROW_BYTES", "ARROW_ROWS", "arrow_bounds", "crc_mod5", "dropped", "held", "lean", "settled", "shared_dir", "table", "text_or_empty", "trimmed"]
+__all__ = ["ARROW_BYTES", "ARROW_ROWS", "arrow_bounds", "crc_mod5", "dropped", "held", "lean", "met", "settled", "shared_dir", "table", "text_or_empty", "trimmed"]
 
 #: Rows and bytes of an Arrow batch at most. Texts can be long, so what a Python worker holds at once is bounded by bytes.
 ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
@@ -58,6 +58,32 @@ def crc_mod5(column: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % 5
 
 
+#: Rows of a table of single keys up to which it is broadcast (a key and a few short values each).
+BROADCAST_ROWS = 100_000
+#: Rows of a key from which on it is dealt out; more where that would be over MOST keys, which are broadcast.
+HOT_ROWS, MOST_HOT = 100_000, 1_000_000
+
+
+def met(rows: DataFrame, heads: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """rows joined with heads (one row for each value of on), however many rows one value has. how: inner, left, left_semi or left_anti.
+
+    heads is broadcast where it has BROADCAST_ROWS rows at most. Else a value with more than HOT_ROWS rows (or a millionth of all
+    rows, if that is more, so that there are a million such values at most) is dealt to several tasks, by a hash of the
+    whole row, and its row of heads goes to each of them. Both tables are read more than once: settle them first.
+    """
+    if heads.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(heads), on, how)
+    many = max(HOT_ROWS, rows.count() // MOST_HOT)
+    hot = rows.groupBy(on).agg(F.count("*").alias("__n")).where((F.col("__n") > many) & F.col(on).isNotNull()).select(on, F.ceil(F.col("__n") / many).cast("int").alias("__deal"))
+    hot = settled(hot, "hot")
+    deal = F.coalesce("__deal", F.lit(1))
+    whole = F.xxhash64(*(F.col(f"`{c}`") for c, kind in rows.dtypes if "map<" not in kind and kind != "variant"))
+    # null keys meet nothing, and go anywhere
+    salted = rows.join(F.broadcast(hot), on, "left").withColumn("__salt", F.pmod(whole, F.when(F.col(on).isNull(), 1 << 20).otherwise(deal)).cast("int"))
+    each = heads.join(F.broadcast(hot), on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), deal - 1))).drop("__deal")
+    return salted.drop("__deal").join(each, [on, "__salt"], how).drop("__salt")
+
+
 def slimmed(spark: SparkSession) -> None:
     """Have the executors' JVMs collect their garbage, upon which they give free heap back to the system.
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import arrow_bounds, held, lean, settled, table, text_or_empty
+from tideline.llm.common import arrow_bounds, held, lean, met, settled, table, text_or_empty
 from tideline.llm.components import components
 from tideline.llm.decontaminate import words
 
@@ -368,7 +368,8 @@ def verified(docs: DataFrame, nodes: DataFrame, comps: DataFrame, *, doc_id: str
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     all_nodes = comps.join(nodes.select("node", "doc", "weight", "signature", "n"), "node")
     sizes = all_nodes.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    wanted = all_nodes.join(sizes, "label").select("node", F.col("label").alias("comp"), "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), "doc", "weight", "signature")
+    all_nodes = settled(all_nodes, "op2-all")
+    wanted = met(all_nodes, settled(sizes, "op2-sizes"), "label").select("node", F.col("label").alias("comp"), "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), "doc", "weight", "signature")
     wanted = settled(wanted, "op2-wanted")
     short = wanted.select(F.col("doc").alias("__doc"), "node")
     few = wanted.count() <= BROADCAST_ROWS
@@ -408,7 +409,7 @@ def classed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", key:
     own = nodes.select("node", "weight", "doc").join(links, "node", "left").join(classes, "node", "left").select("node", "doc", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("label", "node").alias("label"))
     own = settled(own, "op2-own")
     least = own.groupBy("label").agg(F.min("doc").alias("class_id"))
-    known = own.join(least, "label").select("node", "label", "class_id", "n_links")
+    known = met(own, settled(least, "op2-least"), "label").select("node", "label", "class_id", "n_links")
     further = ["key"] if key else []
     some, none = rows.where("n > 0").select("doc_id", "node", *further), rows.where("n = 0")
     wordless = none.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.lit(None).cast("binary").alias("label"), *further)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import table
+from tideline.llm.common import met, settled, table
 
 WORDS = 8
 #: Fixed odd numbers, one per word, that spread a hash over the bits of the words.
@@ -93,7 +93,8 @@ def judged(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str
     best = fits.groupBy("url").agg(F.max(F.struct(F.length("key"), F.length("host"), "verdict", "key")).alias("best")).select("url", F.col("best.key").alias("rule"), F.col("best.verdict").alias("found"))
     host, path = host_and_path(F.col("__url"))
     rows = pages.select(*keep, F.col(url).alias("__url"))
-    joined = rows.join(best.withColumnRenamed("url", "__url"), "__url", "left")
+    # urls of which there are many rows are dealt out; null ones, and those without a host, have no rule to look up
+    joined = met(rows, settled(best.withColumnRenamed("url", "__url"), "op3-best"), "__url", "left")
     return joined.select(*keep, host.alias("host"), path.alias("path"), "rule", F.coalesce("found", F.lit(default)).alias("verdict"))
 
 
