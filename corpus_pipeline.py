@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import byte_bpe, decontaminate, ngram_join, secret_scan, toxicity
-from tideline.llm.common import settled, slimmed, table, text_or_empty
+from tideline.llm.common import met, settled, slimmed, table, text_or_empty
 
 
 #: Up to so many short rows a table of decisions is broadcast to the documents, else both are shuffled.
@@ -45,8 +45,8 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     own = docs.withColumn("__key", F.concat_ws(" ", digest, F.col("doc_id").cast("string")))
     rows = settled(ngram_join.classed(own, key="__key").where("label is not null").select("doc_id", "label", "key"), "stage-classes")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    least = rows.groupBy("label").agg(F.min(place).alias("least"))
-    gone = settled(rows.join(least, "label").where(F.col("key") != F.col("least.key")).select(F.col("key").alias("__key")).distinct(), "stage-gone")
+    least = settled(rows.groupBy("label").agg(F.min(place).alias("least")), "stage-least")
+    gone = settled(met(rows, least, "label").where(F.col("key") != F.col("least.key")).select(F.col("key").alias("__key")).distinct(), "stage-gone")
     kept = own.join(small(gone), "__key", "left_anti")
     again = settled(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("__key")).join(gone, "__key", "left_anti"), "stage-again")
     once, several = kept.join(small(again), "__key", "left_anti"), kept.join(small(again), "__key", "left_semi")
