@@ -1,4 +1,4 @@
-"""Command line: tideline replay | consume | record | compare | stats | explain | health."""
+"""Command line: tideline replay | consume | record | compare | stats | explain | health | setup | writebench."""
 
 from __future__ import annotations
 
@@ -34,12 +34,14 @@ def consume(args) -> int:
     import signal
     import threading
 
-    from tideline.sources import live, settings
+    from tideline.sources import live, metrics_text, settings
     from tideline.streaming import live as stream
+    from tideline.streaming import observed
 
-    own = settings.load()
+    own, series = settings.load(), observed.Series()
     spark = _session("consume", args.shared)
     spark.streams.addListener(stream.Progress())
+    spark.streams.addListener(observed.Observer(series))
     ended = threading.Event()
     for s in (signal.SIGINT, signal.SIGTERM):
         signal.signal(s, lambda *_: ended.set())
@@ -56,8 +58,10 @@ def consume(args) -> int:
     thread.start()
     trigger = {"processingTime": f"{args.segment} seconds"}
     raw = stream.archive_stream(spark, own.archive)
-    queries = [stream.store_stream(raw, own.store, f"{own.store}/_checkpoints/records", trigger), stream.store_live(raw, own.store, f"{own.store}/_checkpoints/live", trigger=trigger)]
-    while not ended.wait(1.0):
+    queries = [stream.store_stream(raw, own.store, f"{own.store}/_checkpoints/records", trigger), stream.store_live(raw, own.store, f"{own.store}/_checkpoints/live", trigger=trigger, series=series)]
+    while not ended.wait(args.segment):
+        if series.store(spark, f"{own.store}/_metrics"):
+            metrics_text.written(series.samples(spark)).coalesce(1).write.mode("overwrite").text(f"{own.store}/_metrics_text")
         if failed := next((q for q in queries if q.exception()), None):
             print(failed.exception(), file=sys.stderr)
             return 1
@@ -95,6 +99,35 @@ def compare(args) -> int:
     return 0
 
 
+def setup(args) -> int:
+    """Make the stored tables that aren't there yet."""
+    from tideline.sources import sinks
+
+    print("made", ", ".join(sinks.set_up(_session("setup", args.shared), args.store)) or "nothing")
+    return 0
+
+
+def writebench(args) -> int:
+    """Rows a second of appends and merges of made-up trades into new tables below --store."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from tideline.sources import sinks
+
+    spark = _session("writebench", args.shared)
+    at, n = F.timestamp_seconds(1_700_000_000 + F.col("id") % 86_400).alias("time"), F.col("id")
+    money = lambda c: c.cast("decimal(18,8)")
+    rows = spark.range(args.rows).select(at, F.concat(F.lit("S"), n % 4).alias("symbol"), n.alias("trade_id"), money(1 + n % 997 / 7).alias("price"), money(1 + n % 13).alias("qty"), (n % 2 == 0).alias("buyer_is_maker"), at.alias("event_time"), at.alias("received_at"))
+    ways = {"append": lambda path: sinks.append(rows, path), "merge": lambda path: sinks.merge(rows, path, "trades", partition="time")}
+    for name, path in (("append", "appended"), ("merge", "merged"), ("merge again", "merged")):
+        began = time.perf_counter()
+        took = ways[name.split(" ")[0]](f"{args.store}/{path}")
+        seconds = time.perf_counter() - began
+        print(json.dumps({"way": name, "rows": took, "seconds": round(seconds, 3), "rows_per_s": round(args.rows / seconds)}))
+    return 0
+
+
 def stats(args) -> int:
     """Rows, files, bytes and days of each stored table."""
     from tideline.schemas import TABLES
@@ -121,13 +154,18 @@ def explain(args) -> int:
 
 
 def health(args) -> int:
-    """0 if the newest stored trade or depth update was received at most --age seconds ago."""
+    """0 if the newest stored trade or depth update, or the last frame that the text in --metrics tells of, was received at most --age seconds ago."""
     from pyspark.sql import functions as F
 
     from tideline.operators import metrics
-    from tideline.sources import sinks
+    from tideline.sources import metrics_text, sinks
 
     spark = _session("health", args.shared)
+    if args.metrics:
+        last = metrics_text.read(spark.read.text(args.metrics)).where("name = 'last_frame_timestamp_seconds'")
+        row = metrics.staleness(last.select(F.timestamp_seconds("value").alias("t")), F.current_timestamp(), [], "t", args.age).first()
+        print(row.health, "no frame yet" if row.age_s is None else f"last frame {row.age_s:.1f} s ago")
+        return int(row.health != "healthy")
     rows = sinks.stored(spark, args.store, "trades").select("received_at").unionAll(sinks.stored(spark, args.store, "depth_updates").select("received_at"))
     row = metrics.staleness(rows, F.current_timestamp(), [], "received_at", args.age).first()
     print(row.health, "no frame yet" if row.age_s is None else f"last frame {row.age_s:.1f} s ago")
@@ -152,12 +190,16 @@ def parser() -> argparse.ArgumentParser:
     command(compare, store, (["--out"], {}))
     command(stats, store)
     command(explain, store)
-    command(health, store, (["--age"], {"type": int, "default": 60}))
+    command(health, (["--store"], {}), (["--metrics"], {}), (["--age"], {"type": int, "default": 60}))
+    command(setup, store)
+    command(writebench, store, (["--rows"], {"type": int, "default": 1_000_000}))
     return out
 
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
+    if args.run is health and not (args.store or args.metrics):
+        parser().error("health needs --store or --metrics")
     return args.run(args)
 
 

@@ -452,6 +452,19 @@ def merge_trades(spark, sf_dir):
     return spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(i + 1).alias("batch"), F.lit(n).cast("bigint").alias("n_rows")) for i, n in enumerate(took)))).alias("r")).select("r.*")
 
 
+@query("""SELECT unnest(list_filter([CASE WHEN l_suppkey % 7 = 0 THEN 'symbol is null' END, CASE WHEN l_linenumber = 3 THEN 'price is null' END, CASE WHEN l_returnflag = 'A' THEN 'buyer_is_maker is null' END], x -> x IS NOT NULL)) AS broken, count(*) AS n
+    FROM lineitem GROUP BY ALL""")
+def rejected_trades(spark, sf_dir):
+    """How many order lines, some of whose columns are lost, break which constraint of the trades."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_suppkey", "l_linenumber", "l_returnflag")
+    at, one = F.lit("2024-01-01").cast("timestamp"), F.lit(1)
+    lost = rows.select(
+        at.alias("time"), F.when(F.col("l_suppkey") % 7 != 0, "S").alias("symbol"), one.cast("bigint").alias("trade_id"), F.when(F.col("l_linenumber") != 3, one).alias("price"), one.alias("qty"),
+        F.when(F.col("l_returnflag") != "A", True).alias("buyer_is_maker"), at.alias("event_time"), at.alias("received_at"),
+    )
+    return sinks.rejected(lost, "trades").select(F.explode("broken").alias("broken")).groupBy("broken").agg(F.count("*").alias("n"))
+
+
 @query(BASE + "SELECT (SELECT count(*) FROM trades) + (SELECT count(*) FROM depth) AS total")
 def stored_total(spark, sf_dir):
     r = _replay(spark, sf_dir)

@@ -21,6 +21,28 @@ KEYS = {
 }
 #: Tables that are partitioned by the day of their time.
 DAILY = ("trades", "depth_updates", "features", "anomaly_flags")
+#: Columns that may be null; all others may not. Fixed values.
+NULLABLE = {"features": ("spread_bps", "mid", "abs_return_bps")}
+#: Values that a column may have. Fixed values.
+ALLOWED = {"depth_gaps": {"cause": ("stream", "reconnect")}}
+
+
+def broken(table: str):
+    """The names of the constraints that a row of a table breaks, an array: `column is null` and `column has another value`."""
+    from pyspark.sql import functions as F
+
+    names = [f.strip().split(" ", 1)[0] for f in TABLES[table].split(", ")]
+    nulls = [F.when(F.col(n).isNull(), f"{n} is null") for n in names if n not in NULLABLE.get(table, ())]
+    others = [F.when(~F.col(n).isin(*values), f"{n} has another value") for n, values in ALLOWED.get(table, {}).items()]
+    return F.array_compact(F.array(*nulls, *others))
+
+
+def enforced(df, table: str):
+    """df, whose rows are checked as they are read: one that breaks a constraint ends the job, with what it breaks in the message."""
+    from pyspark.sql import functions as F
+
+    found = broken(table)
+    return df.where(F.when(F.size(found) == 0, True).otherwise(F.raise_error(F.concat(F.lit(f"{table}: "), F.array_join(found, ", "))).cast("boolean")))
 
 
 def conformed(df, table: str):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tideline.schemas import KEYS, TABLES, conformed
+from tideline.schemas import DAILY, KEYS, TABLES, broken, conformed, enforced
 from tideline.sources.shared import dropped, settled
 
 
@@ -64,13 +64,15 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def merge(df: DataFrame, path: str, table: str, *, order: str = "seq", partition: str | None = None) -> int:
+def merge(df: DataFrame, path: str, table: str, *, order: str = "seq", partition: str | None = None, strict: bool = False) -> int:
     """Append what isn't stored yet, and say how many rows that was; running it again with the same rows changes nothing, null keys or not.
 
     Of the table only what can hold the batch's keys is read (see overlapping); the batch's rows are written sorted by key.
     An append shows as a whole or not at all, and a batch that failed can be run again. A table has one writer at a time.
+    With strict, a batch with a row that breaks the table's constraints fails, and none of it is stored.
     """
     keys = KEYS[table]
+    df = enforced(df, table) if strict else df
     fresh = first_wins(df, keys, order) if order in df.columns else df.dropDuplicates(keys)
     fresh = fresh.drop("seq", "piece")
     if partition:
@@ -85,6 +87,22 @@ def merge(df: DataFrame, path: str, table: str, *, order: str = "seq", partition
     return n
 
 
+def rejected(df: DataFrame, table: str) -> DataFrame:
+    """The rows that break constraints of a table, with an array of what they break."""
+    return df.withColumn("broken", broken(table)).where(F.size("broken") > 0)
+
+
+def set_up(spark: SparkSession, root: str) -> list[str]:
+    """Make the stored tables that aren't there yet, empty; says which. Running it again changes nothing."""
+    made = []
+    for table, schema in TABLES.items():
+        if read_or_none(spark, f"{root}/{table}") is None:
+            empty = spark.createDataFrame([], schema)
+            (empty.withColumn("date", F.to_date("time")) if table in DAILY else empty).write.mode("append").parquet(f"{root}/{table}")
+            made.append(table)
+    return made
+
+
 def stored(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A table that merge() made below root; empty if there is none yet."""
     found = read_or_none(spark, f"{root}/{table}")

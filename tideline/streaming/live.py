@@ -295,7 +295,10 @@ def store_stream(raw: DataFrame, root: str, checkpoint: str, trigger: dict | Non
 
 
 def store_live(raw: DataFrame, root: str, checkpoint: str, settings: Settings = Settings(), trigger: dict | None = None, series: Series | None = None) -> StreamingQuery:  # noqa: B008
-    """Gaps, features and flags of streaming raw frames, merged first-wins batch by batch; series takes how many, and how long merges took."""
+    """Gaps, features and flags of streaming raw frames, merged first-wins batch by batch; series takes how many, and how long merges took.
+
+    Frames are counted where an Observer with the same series listens.
+    """
 
     def batch(df: DataFrame, _number: int) -> None:
         rows = df.persist()
@@ -306,7 +309,8 @@ def store_live(raw: DataFrame, root: str, checkpoint: str, settings: Settings =
             count_batch(series, gaps_of(rows), flags_of(rows))
         rows.unpersist()
 
-    return live_rows(raw, settings).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    rows = live_rows(raw, settings, observe="frames" if series else None)
+    return rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def windowed_counts(raw: DataFrame, seconds: int = 1, late: str = "10 seconds", slide: int | None = None) -> DataFrame:
