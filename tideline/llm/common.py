@@ -58,8 +58,8 @@ def crc_mod5(column: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % 5
 
 
-#: Rows of a table of single keys up to which it is broadcast (a key and a few short values each).
-BROADCAST_ROWS = 100_000
+#: Rows of a table of single keys, and bytes of their keys, up to which it is broadcast (with a few short values each).
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
 #: Rows of a key from which on it is dealt out; more where that would be over MOST keys, which are broadcast.
 HOT_ROWS, MOST_HOT = 100_000, 1_000_000
 
@@ -67,11 +67,13 @@ HOT_ROWS, MOST_HOT = 100_000, 1_000_000
 def met(rows: DataFrame, heads: DataFrame, on: str, how: str = "inner") -> DataFrame:
     """rows joined with heads (one row for each value of on), however many rows one value has. how: inner, left, left_semi or left_anti.
 
-    heads is broadcast where it has BROADCAST_ROWS rows at most. Else a value with more than HOT_ROWS rows (or a millionth of all
+    heads is broadcast where it has BROADCAST_ROWS rows and BROADCAST_BYTES bytes of keys at most. Else a value with more than HOT_ROWS rows (or a millionth of all
     rows, if that is more, so that there are a million such values at most) is dealt to several tasks, by a hash of the
     whole row, and its row of heads goes to each of them. Both tables are read more than once: settle them first.
     """
-    if heads.count() <= BROADCAST_ROWS:
+    length = F.octet_length(on) if dict(heads.dtypes)[on] in ("string", "binary") else F.lit(8)
+    n, size = heads.agg(F.count("*"), F.sum(length)).first()
+    if n <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(heads), on, how)
     many = max(HOT_ROWS, rows.count() // MOST_HOT)
     hot = rows.groupBy(on).agg(F.count("*").alias("__n")).where((F.col("__n") > many) & F.col(on).isNotNull()).select(on, F.ceil(F.col("__n") / many).cast("int").alias("__deal"))
