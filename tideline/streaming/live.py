@@ -6,8 +6,9 @@ from symbol to each), checkpointed, so a stream that starts again goes on where
 goes to every key: connection markers, and ticks, the first row of each bucket in each Arrow batch. The running maximum of
 the ticks up to a row is the clock of all symbols, so no key needs another one's rows.
 
-The rows of a batch are taken in the order of seq, and batches must come in order (a folder of archive files does); a key's
-rows of a batch are held at once, so bound it by maxFilesPerTrigger or maxframes. Symbols never expire, as in the replay.
+The rows of a batch are taken in the order of seq, and batches must come in order (a folder of archive files does, and so
+does ordered_stream()); a key's rows of a batch are held at once, so bound it by maxFilesPerTrigger or maxframes. Symbols
+never expire, as in the replay.
 """
 
 from __future__ import annotations
@@ -21,11 +22,12 @@ from contextlib import nullcontext
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import DataType, StructType, TimestampType
 
 from tideline.functions import decode
 from tideline.operators import detectors
@@ -44,6 +46,12 @@ OUTPUT = (
 _COLUMNS = tuple(c.split(" ")[0] for c in OUTPUT.split(", "))
 #: Keys over which symbols are dealt. A stream keeps the number it began with.
 KEYS = 32
+#: What a stream can give: gaps, feature rows, and the flags of each detector.
+KINDS = ("gap", "feature", "zscore", "iforest")
+#: Frames of a file of ordered_stream(), about, and files of a batch.
+FRAMES, FILES = 62_500, 16
+#: Rows that a key gives at once.
+ROWS = 10_000
 
 
 class LiveBuckets:
@@ -157,8 +165,8 @@ SCORED = "seen bigint, rows array<double>"
 class Market(StatefulProcessor):
     """Takes decoded frames, markers and ticks of a key in the order of seq and gives rows of OUTPUT."""
 
-    def __init__(self, settings: Settings):
-        self.settings = settings
+    def __init__(self, settings: Settings, kinds: tuple[str, ...] = KINDS):
+        self.settings, self.kinds = settings, kinds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.clock = handle.getValueState("clock", CLOCK)
@@ -194,7 +202,7 @@ class Market(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         buckets, gaps, scores = self._loaded()
         before, pdf = dict(scores.seen), pd.concat(list(rows))
-        pdf = pdf.assign(seq=pdf["seq"].map(_place)).sort_values("seq", kind="stable")
+        pdf = pdf.sort_values(_places(pdf.columns), kind="stable")
         out: list[dict] = []
         for x in pdf.itertuples(index=False):
             found: Iterator[tuple] = iter(())
@@ -203,19 +211,34 @@ class Market(StatefulProcessor):
             elif x.status == "tick":
                 found = buckets.tick(x.us)
             elif x.status == "depth":
-                if gap := gaps.feed(x.symbol, int(x.first_update_id), int(x.final_update_id)):
-                    out.append({"kind": "gap", "time_us": x.time_us, "symbol": x.symbol, "prev_final_update_id": gap[0], "first_update_id": int(x.first_update_id), "missing_update_ids": gap[1], "cause": gap[2], "received_us": x.us})
+                if gap := gaps.feed(x.symbol, x.first_update_id, x.final_update_id):
+                    out.append({"kind": "gap", "time_us": x.time_us, "symbol": x.symbol, "prev_final_update_id": gap[0], "first_update_id": x.first_update_id, "missing_update_ids": gap[1], "cause": gap[2], "received_us": x.us})
             else:
                 found = buckets.feed(x.us, x.symbol, (x.qty, x.amount) if x.status == "trade" else None, (x.mid, x.spread) if x.status == "quote" else None)
             for row in found:
                 out += _scored(dict(zip(FEATURES, row, strict=True)), scores)
+                if len(out) >= ROWS:
+                    yield _table(out)
+                    out = []
+            if len(out) >= ROWS:
+                yield _table(out)
+                out = []
         self._stored(buckets, gaps, scores, before)
-        yield pd.DataFrame({c: pd.Series([row.get(c) for row in out], dtype=object) for c in _COLUMNS})
+        yield _table(out)
+
+
+def _table(rows: list[dict]) -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series([row.get(c) for row in rows], dtype=object) for c in _COLUMNS})
+
+
+def _place(seq: Column, kind: DataType) -> list[Column]:
+    """A seq as columns place0, place1, ... of plain values by which rows sort."""
+    parts = [(seq[f.name], f.dataType) for f in kind.fields] if isinstance(kind, StructType) else [(seq, kind)]
+    return [(F.unix_micros(c) if isinstance(t, TimestampType) else c).alias(f"place{i}") for i, (c, t) in enumerate(parts)]
 
 
-def _place(seq) -> tuple:
-    """A seq as something that sorts."""
-    return tuple(seq.values()) if isinstance(seq, dict) else tuple(seq) if isinstance(seq, (list, tuple)) else (seq,)
+def _places(columns) -> list[str]:
+    return [c for c in columns if c.startswith("place")]
 
 
 def _scored(feature: dict, scores: LiveScores) -> Iterator[dict]:
@@ -232,36 +255,44 @@ def _ticking(width_us: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            own = pdf.loc[pdf["status"].isin(("trade", "quote")), ["seq", "us"]]
-            first = own.assign(seq=own["seq"].map(_place), b=own["us"] // width_us).sort_values("seq", kind="stable").drop_duplicates("b")
+            places = _places(pdf.columns)
+            own = pdf.loc[pdf["status"].isin(("trade", "quote")), [*places, "us"]]
+            first = own.assign(b=own["us"] // width_us).sort_values(places, kind="stable").drop_duplicates("b")
             yield pdf.assign(ticks=pdf.index.isin(first.index))
 
     return run
 
 
-def live_rows(raw: DataFrame, settings: Settings = Settings(), *, order: str = "seq", keys: int = KEYS, observe: str | None = None) -> DataFrame:  # noqa: B008
-    """Streaming raw frames (seq, received_at, payload) to streaming rows of OUTPUT: gaps, features and flags.
+def live_rows(raw: DataFrame, settings: Settings = Settings(), *, order: str = "seq", keys: int = KEYS, observe: str | None = None, kinds: tuple[str, ...] = KINDS) -> DataFrame:  # noqa: B008
+    """Streaming raw frames (seq, received_at, payload) to streaming rows of OUTPUT: gaps, features and flags, or those of kinds.
 
-    With observe, each batch's progress tells the numbers of its frames under that name (see observed.py).
+    Frames that no row of these kinds is made of go before the keys. With observe, each batch's progress tells the numbers of
+    its frames under that name (see observed.py).
     """
     raw.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     frames = decode.decoded(raw.withColumnRenamed(order, "seq") if order != "seq" else raw)
     records = decode.typed(observed(frames, observe) if observe else frames)
     bid, ask = F.col("bid").cast("double"), F.col("ask").cast("double")
     mid = (bid + ask) / 2
-    rows = records.where("status <> 'quote' or bid + ask > 0").select(
-        "seq", "status", "symbol", F.unix_micros("received_at").alias("us"), F.unix_micros("time").alias("time_us"), F.col("qty").cast("double").alias("qty"),
-        (F.col("price") * F.col("qty")).cast("double").alias("amount"), mid.alias("mid"), F.try_divide(ask - bid, mid).alias("spread"), "first_update_id", "final_update_id",
+    used = (("depth", "marker") if "gap" in kinds else ()) + (("trade", "quote") if {*kinds} - {"gap"} else ())
+    exact = lambda c: F.coalesce(c, F.lit(0))  # noqa: E731  # a null would make pandas take the numbers as doubles
+    rows = records.where(F.col("status").isin(*used) & F.expr("status <> 'quote' or bid + ask > 0")).select(
+        *_place(F.col("seq"), records.schema["seq"].dataType), "status", "symbol", F.unix_micros("received_at").alias("us"), exact(F.unix_micros("time")).alias("time_us"), F.col("qty").cast("double").alias("qty"),
+        (F.col("price") * F.col("qty")).cast("double").alias("amount"), mid.alias("mid"), F.try_divide(ask - bid, mid).alias("spread"),
+        *(exact(F.col(c)).alias(c) for c in ("first_update_id", "final_update_id")),
     ).withColumn("spread", F.col("spread") * 1e4)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", ticks boolean"
-    ticking = rows.mapInPandas(_ticking(settings.width_us), schema)
     own = F.pmod(F.xxhash64("symbol"), F.lit(keys)).cast("int")
     every = F.sequence(F.lit(0), F.lit(keys - 1))
-    dealt = ticking.withColumn("own", own).withColumn("key", F.explode(F.when((F.col("status") == "marker") | F.col("ticks"), every).otherwise(F.array("own"))))
+    if {*kinds} - {"gap"}:
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", ticks boolean"
+        rows = rows.mapInPandas(_ticking(settings.width_us), schema)
+    else:
+        rows = rows.withColumn("ticks", F.lit(False))
+    dealt = rows.withColumn("own", own).withColumn("key", F.explode(F.when((F.col("status") == "marker") | F.col("ticks"), every).otherwise(F.array("own"))))
     # to all keys but its own, a row that ticks is a tick
     shared = F.col("ticks") & (F.col("key") != F.col("own"))
     dealt = dealt.withColumn("status", F.when(shared, "tick").otherwise(F.col("status"))).drop("own", "ticks")
-    return dealt.groupBy("key").transformWithStateInPandas(Market(settings), OUTPUT, "append", "none")
+    return dealt.groupBy("key").transformWithStateInPandas(Market(settings, kinds), OUTPUT, "append", "none")
 
 
 def features_of(rows: DataFrame) -> DataFrame:
@@ -282,6 +313,24 @@ def feature_stream(raw: DataFrame, *, width_us: int = SECOND_US, max_fill: int =
     return features_of(live_rows(raw, Settings(width_us=width_us, max_fill=max_fill), order=order))
 
 
+def ordered_stream(raw: DataFrame, root: str, frames: int | None = None, files: int | None = None) -> DataFrame:
+    """Raw frames (seq, received_at, payload), written to the folder root, as a stream whose batches come in order and have a bounded number of frames.
+
+    A file has about FRAMES frames along seq and a batch FILES files. A stream takes files by the times of their last change,
+    which are set in the files' order.
+    """
+    spark = raw.sparkSession
+    n = max(1, -(-raw.count() // (frames or FRAMES)))
+    raw.repartitionByRange(n, "seq").sortWithinPartitions("seq").write.parquet(root)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = hadoop(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    written = sorted((s.getPath() for s in store.listStatus(hadoop(root)) if s.getPath().getName().startswith("part-")), key=lambda p: (len(p.getName()), p.getName()))
+    begun = int(time.time()) - len(written)
+    for i, path in enumerate(written):
+        store.setTimes(path, (begun + i) * 1000, -1)
+    return spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files or FILES).parquet(root)
+
+
 def store_stream(raw: DataFrame, root: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Trades and depth updates of streaming raw frames (seq, received_at, payload), merged first-wins batch by batch."""
 
