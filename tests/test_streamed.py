@@ -59,3 +59,11 @@ def test_ids_stay_exact(spark, tmp_path):
     rows.writeStream.format("parquet").option("path", str(tmp_path / "rows")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     got = live.gaps_of(spark.read.schema(rows.schema).parquet(str(tmp_path / "rows"))).collect()
     assert [(r.prev_final_update_id, r.first_update_id, r.missing_update_ids) for r in got] == [(big, big + 2, 1)]
+
+
+def test_features_come_of_bounded_batches_without_scores(spark, batches):
+    _same(spark, "stream_features", "features")
+    sizes = _came(batches)
+    assert sum(sizes) == 1000 and len(sizes) > 2 and max(sizes) < 600
+    feature = dict.fromkeys(live.FEATURES, 1.0)
+    assert [row["kind"] for row in live._scored(feature, live.LiveScores(live.Settings(), ("feature",)), ("feature",))] == ["feature"]

@@ -123,10 +123,11 @@ class LiveGaps:
 
 
 class LiveScores:
-    """Each symbol's last rows that can be scored, and their number: what both detectors need."""
+    """Each symbol's last rows that can be scored, and their number: what the detectors (those of kinds) need."""
 
-    def __init__(self, settings: Settings):
+    def __init__(self, settings: Settings, kinds: tuple[str, ...] = KINDS):
         self.settings, self.rows, self.seen = settings, {}, {}
+        self.detectors = {*kinds} & {"zscore", "iforest"}
         self.forests: dict[str, tuple] = {}
 
     def feed(self, symbol: str, x: np.ndarray) -> Iterator[tuple[str, float, float, dict]]:
@@ -177,7 +178,7 @@ class Market(StatefulProcessor):
 
     def _loaded(self) -> tuple[LiveBuckets, LiveGaps, LiveScores]:
         s, width = self.settings, len(detectors.NAMES)
-        buckets, gaps, scores = LiveBuckets(s.width_us, s.max_fill), LiveGaps(), LiveScores(s)
+        buckets, gaps, scores = LiveBuckets(s.width_us, s.max_fill), LiveGaps(), LiveScores(s, self.kinds)
         if (clock := self.clock.get()) is not None:
             buckets.open, gaps.markers = clock[0], clock[1]
         gaps.last = {k[0]: tuple(v) for k, v in self.updates.iterator()}
@@ -216,7 +217,7 @@ class Market(StatefulProcessor):
             else:
                 found = buckets.feed(x.us, x.symbol, (x.qty, x.amount) if x.status == "trade" else None, (x.mid, x.spread) if x.status == "quote" else None)
             for row in found:
-                out += _scored(dict(zip(FEATURES, row, strict=True)), scores)
+                out += _scored(dict(zip(FEATURES, row, strict=True)), scores, self.kinds)
                 if len(out) >= ROWS:
                     yield _table(out)
                     out = []
@@ -241,10 +242,11 @@ def _places(columns) -> list[str]:
     return [c for c in columns if c.startswith("place")]
 
 
-def _scored(feature: dict, scores: LiveScores) -> Iterator[dict]:
-    """A feature row, and the flags that it raises."""
-    yield {"kind": "feature"} | feature
-    if feature["spread_bps"] is not None and feature["abs_return_bps"] is not None:
+def _scored(feature: dict, scores: LiveScores, kinds: tuple[str, ...]) -> Iterator[dict]:
+    """A feature row, and the flags that it raises, as far as they are of these kinds."""
+    if "feature" in kinds:
+        yield {"kind": "feature"} | feature
+    if scores.detectors and feature["spread_bps"] is not None and feature["abs_return_bps"] is not None:
         values = np.array([math.log1p(feature["trade_count"]), math.log1p(feature["notional"]), feature["spread_bps"], math.log1p(feature["abs_return_bps"])])
         for detector, score, threshold, named in scores.feed(feature["symbol"], values):
             yield {"kind": "flag", "time_us": feature["time_us"], "symbol": feature["symbol"], "detector": detector, "score": score, "threshold": threshold, "features": json.dumps(named)}
@@ -310,7 +312,7 @@ def flags_of(rows: DataFrame) -> DataFrame:
 
 def feature_stream(raw: DataFrame, *, width_us: int = SECOND_US, max_fill: int = MAX_FILL, order: str = "seq") -> DataFrame:
     """Streaming raw frames to streaming feature rows."""
-    return features_of(live_rows(raw, Settings(width_us=width_us, max_fill=max_fill), order=order))
+    return features_of(live_rows(raw, Settings(width_us=width_us, max_fill=max_fill), order=order, kinds=("feature",)))
 
 
 def ordered_stream(raw: DataFrame, root: str, frames: int | None = None, files: int | None = None) -> DataFrame:
