@@ -67,3 +67,19 @@ def test_features_come_of_bounded_batches_without_scores(spark, batches):
     assert sum(sizes) == 1000 and len(sizes) > 2 and max(sizes) < 600
     feature = dict.fromkeys(live.FEATURES, 1.0)
     assert [row["kind"] for row in live._scored(feature, live.LiveScores(live.Settings(), ("feature",)), ("feature",))] == ["feature"]
+
+
+def test_zscores_keep_their_window_and_fit_no_forest(spark, batches):
+    _same(spark, "stream_zscores", "zscore_flags")
+    sizes = _came(batches)
+    assert sum(sizes) == 1000 and len(sizes) > 2 and max(sizes) < 600
+
+
+def test_a_stream_of_zscores_keeps_the_rows_of_its_window():
+    import numpy as np
+
+    settings = live.Settings(window=20, min_samples=5, train_window=60, refit_every=30, swap_after=5, trees=5)
+    own, both, draw = live.LiveScores(settings, ("zscore",)), live.LiveScores(settings), np.random.default_rng(1)
+    for x in draw.exponential(size=(200, 4)):
+        assert [f for f in both.feed("A", x) if f[0] == "zscore"] == list(own.feed("A", x))
+    assert len(own.rows["A"]) == 20 and not own.forests and both.forests

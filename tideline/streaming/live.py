@@ -134,7 +134,7 @@ class LiveScores:
         """The detectors' flags of a row: detector, score, threshold and features."""
         s, rows = self.settings, self.rows.setdefault(symbol, [])
         named = dict(zip(detectors.NAMES, x.tolist(), strict=True))
-        if len(rows) >= s.min_samples:
+        if "zscore" in self.detectors and len(rows) >= s.min_samples:
             z = detectors.zscore_of(np.array(rows[-s.window :]), x)
             if (score := float(np.abs(z).max())) > s.threshold:
                 yield "zscore", score, float(s.threshold), named | {f"z_{n}": v for n, v in zip(detectors.NAMES, z.tolist(), strict=True)}
@@ -142,7 +142,8 @@ class LiveScores:
         seen = self.seen[symbol] = self.seen.get(symbol, 0) + 1
         swap = max(s.swap_after, 1)
         step = max(s.refit_every, swap)
-        if seen >= s.train_window + swap:
+        fits = "iforest" in self.detectors
+        if fits and seen >= s.train_window + swap:
             fit = (seen - s.train_window - swap) // step
             if self.forests.get(symbol, (None,))[0] != fit:
                 back = seen - (s.train_window + fit * step)  # rows after the fit's last one
@@ -152,7 +153,8 @@ class LiveScores:
             _, forest, threshold = self.forests[symbol]
             if (score := float(forest.score(x[None])[0])) > threshold:
                 yield "iforest", score, threshold, named
-        del rows[: max(0, len(rows) - s.train_window - swap - step - 1)]
+        kept = max(s.window, s.train_window + swap + step + 1) if fits else s.window
+        del rows[: max(0, len(rows) - kept)]
 
 
 #: What a key keeps: the open bucket and the number of markers; of each symbol its last update, its bucket with the quotes of
