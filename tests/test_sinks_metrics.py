@@ -99,6 +99,20 @@ def test_quantiles_of_rates(spark):
     assert len(got) == 1 and got[0]["quantile"] == pytest.approx(expected)
 
 
+@pytest.mark.parametrize("piece", (500_000, 40))
+def test_bucket_counters_run_over_pieces(spark, monkeypatch, piece):
+    """Counters of two kinds (one of them null) in one piece and in many, against plain sums."""
+    from tideline.functions import running
+
+    monkeypatch.setattr(running, "PIECE", piece)
+    draw, bounds = random.Random(2), [1.0, 2.0]
+    rows = [(draw.choice(("a", None)), draw.randint(0, 150), draw.choice((0.5, 1.0, 1.5, 3.0, None))) for _ in range(600)]
+    df = spark.createDataFrame(rows, "k string, ts long, value double").selectExpr("struct(k) as kind", "ts", "value")
+    got = {(r.kind.k, r.ts, r.le): r.value for r in metrics.bucket_counters(df, bounds, ["kind"]).collect()}
+    want = {(k, ts, le): sum(1 for a, t, v in rows if a == k and t <= ts and v is not None and v <= le) for k, ts, _ in rows for le in (*bounds, float("inf"))}
+    assert got == want
+
+
 def test_metrics_of_a_replay(spark):
     frames = spark.createDataFrame([("trade", T0), ("trade", T0), ("quote", T0), ("error", T0), ("other", T0), ("marker", T0)], "status string, received_at timestamp")
     gaps = spark.createDataFrame([("A", "stream"), ("A", "stream"), ("B", "reconnect")], "symbol string, cause string")

@@ -99,10 +99,13 @@ def numbered(df: DataFrame, keys: list[str], order: str, name: str) -> DataFrame
     return out.withColumn(name, F.col("__r").cast("bigint") + F.coalesce("__b", F.lit(0))).drop("__r", "__b")
 
 
-def summed_before(df: DataFrame, keys: list[str], order: str, value: str, name: str) -> DataFrame:
-    """df (with piece) and the sum of value over the rows of its keys before each row, 0 for the first."""
+def summed_before(df: DataFrame, keys: list[str], order: str, value: str | list[str], name: str | list[str]) -> DataFrame:
+    """df (with piece) and the sum of value over the rows of its keys before each row, 0 for the first; of several values, if so many are named."""
+    pairs = list(zip([value], [name], strict=True) if isinstance(value, str) else zip(value, name, strict=True))
     inside = Window.partitionBy(*keys, "piece").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy(*keys).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    edges = lambda: df.groupBy(*keys, "piece").agg(F.sum(value).alias("__n")).select(*keys, "piece", F.sum("__n").over(before).alias("__b"))
-    out = _added(df.withColumn("__r", F.sum(value).over(inside)), keys, edges)
-    return out.withColumn(name, F.coalesce("__r", F.lit(0)) + F.coalesce("__b", F.lit(0))).drop("__r", "__b")
+    sums = [F.sum(v).alias(f"__n{i}") for i, (v, _) in enumerate(pairs)]
+    edges = lambda: df.groupBy(*keys, "piece").agg(*sums).select(*keys, "piece", F.struct(*(F.sum(f"__n{i}").over(before).alias(f"b{i}") for i in range(len(pairs)))).alias("__b"))
+    out = _added(df.withColumn("__r", F.struct(*(F.sum(v).over(inside).alias(f"r{i}") for i, (v, _) in enumerate(pairs)))), keys, edges)
+    earlier = lambda i: F.lit(0) if _one(df) else F.coalesce(F.col("__b")[f"b{i}"], F.lit(0))
+    return out.withColumns({n: F.coalesce(F.col("__r")[f"r{i}"], F.lit(0)) + earlier(i) for i, (_, n) in enumerate(pairs)}).drop("__r", "__b")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.functions.running import neighbour, pieced
+from tideline.functions.running import neighbour, pieced, summed_before
 from tideline.operators.selection import quantiles
 
 
@@ -140,6 +140,19 @@ def histogram(values: DataFrame, bounds: list[float], by: list[str], value: str
     return present if grid is None else grid.join(present, [*by, "le"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
+def bucket_counters(values: DataFrame, bounds: list[float], by: list[str], ts: str = "ts", value: str = "value") -> DataFrame:
+    """Samples (by, le, ts, value) of counters of the values up to each bound, the last being infinite, as they stand after each second with values.
+
+    Values are counted by second first; the counters run within pieces of bounded size, so none is one task.
+    """
+    edges = [*map(float, bounds), float("inf")]
+    names = [f"__n{i}" for i in range(len(edges))]
+    counts = values.groupBy(*by, ts).agg(*(F.count_if(F.col(value) <= b).alias(n) for b, n in zip(edges, names, strict=True)))
+    rows = summed_before(pieced(counts, ts), by, ts, names, [f"{n}_before" for n in names])
+    counters = F.array(*(F.struct(F.lit(b).alias("le"), (F.col(f"{n}_before") + F.col(n)).alias("value")) for b, n in zip(edges, names, strict=True)))
+    return rows.select(*by, ts, F.inline(counters))
+
+
 def histogram_quantile(buckets: DataFrame, q: float, by: list[str]) -> DataFrame:
     """The q-quantile by linear interpolation in the first bucket that reaches it; in the infinite one, the last finite bound."""
     w = Window.partitionBy(*by).orderBy("le")
