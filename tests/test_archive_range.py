@@ -56,3 +56,19 @@ def test_days_out_of_range_are_not_in_the_plan(spark, archive):
 
 def test_nothing_named(spark, tmp_path):
     assert read_archive(spark, str(tmp_path), since=datetime(2025, 1, 1)).collect() == []
+
+
+def test_hours_of_paths(spark):
+    """As the plain pattern says, and in time that doesn't grow with the square of a part's length."""
+    import re
+    import time
+
+    from tideline.sources.archive import _hour_of
+
+    paths = ["file:/a/b/2025-05-30/21.tsv.gz", "file:/a/loose.tsv", "s3://x/y.z/07.tsv", "/a//b.tsv", "/a/.tsv", "/a/b", "x.tsv"]
+    found = [re.search(r"([^/]+/[^/.]+)[^/]*$", p) for p in paths]
+    got = spark.createDataFrame([(p,) for p in paths], "path string").select(_hour_of("path").alias("hour")).collect()
+    assert [r.hour for r in got] == [m[1] if m else "" for m in found]
+    began = time.perf_counter()
+    long = spark.range(100_000).selectExpr("concat(repeat('/' || repeat('a', 200), 5), '/b', id, '/07.tsv.gz') as path")
+    assert long.where(_hour_of("path") == long.path.substr(1007, 99)).count() == 0 and time.perf_counter() - began < 20

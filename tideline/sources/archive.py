@@ -10,13 +10,18 @@ from __future__ import annotations
 
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: What is read below folders.
 FILES = "*.{tsv,tsv.gz}"
+#: Files that are moved into their place at once.
+MOVERS = 8
+_STAGED = re.compile(r"date=(\d{4,}-\d{2}-\d{2})/hour=(\d{2})/[^/]+$")
 
 
 def _stamp(line: Column) -> Column:
@@ -101,6 +106,11 @@ def _day(name: str) -> datetime | None:
         return None
 
 
+def _hour_of(path: str) -> Column:
+    """A file's folder and its name up to the first dot. The pattern begins at the last two parts: where it may begin anywhere, its steps grow with the path's length cubed."""
+    return F.regexp_extract(F.substring_index(path, "/", -2), r"^([^/]+/[^/.]+)", 1)
+
+
 def _empty_lines(spark: SparkSession) -> DataFrame:
     kinds = "value string, path string, block bigint, line bigint"
     return spark.range(0).select(*(F.lit(None).cast(k.split()[1]).alias(k.split()[0]) for k in kinds.split(", ")))
@@ -127,8 +137,7 @@ def read_archive(spark: SparkSession, *paths: str, since: datetime | None = None
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     edges = rows.groupBy("path", "block").agg(F.max("received_ns").alias("most")).select("path", "block", F.max("most").over(before).alias("before"))
     rows = rows.withColumn("run_ns", F.max("received_ns").over(inside)).join(edges, ["path", "block"])
-    hour = F.regexp_extract("path", r"([^/]+/[^/.]+)[^/]*$", 1)
-    seq = F.struct(hour.alias("hour"), F.greatest("run_ns", "before").alias("run_ns"), "path", "block", "line")
+    seq = F.struct(_hour_of("path").alias("hour"), F.greatest("run_ns", "before").alias("run_ns"), "path", "block", "line")
     if since is not None or until is not None:
         # the order within a file is made before frames go
         at = F.timestamp_micros(F.expr("received_ns div 1000"))
@@ -157,18 +166,20 @@ def write_archive(raw: DataFrame, root: str, *, compressed: bool = True) -> int:
     staged = f"{root.rstrip('/')}/_staged-{batch}"
     rows.repartition("date", "hour").sortWithinPartitions(*order).select("date", "hour", "value").write.partitionBy("date", "hour").option("compression", "gzip" if compressed else "none").text(staged)
     hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
-    files, n = hadoop(staged).getFileSystem(conf), 0
-    found = files.listFiles(hadoop(staged), True)
-    while found.hasNext():  # one a batch and hour
-        path = found.next().getPath()
-        if path.getName().startswith("part-"):
-            hour = path.getParent()
-            folder = hadoop(f"{root.rstrip('/')}/{batch}/{hour.getParent().getName().removeprefix('date=')}")
-            files.mkdirs(folder)
-            files.rename(path, hadoop(folder, hour.getName().removeprefix("hour=") + (".tsv.gz" if compressed else ".tsv")))
-            n += 1
+    files = hadoop(staged).getFileSystem(conf)
+    # one a batch and hour; Spark lists them, in parallel where they are many
+    found = [(path, *_STAGED.search(path).groups()) for path in spark.read.format("text").load(staged).inputFiles()]
+    for day in sorted({day for _, day, _ in found}):
+        files.mkdirs(hadoop(f"{root.rstrip('/')}/{batch}/{day}"))
+
+    def moved(path: str, day: str, hour: str) -> None:
+        if not files.rename(hadoop(unquote(path)), hadoop(f"{root.rstrip('/')}/{batch}/{day}/{hour}.tsv{'.gz' if compressed else ''}")):
+            raise OSError(f"{path} can't be moved into its place")
+
+    with ThreadPoolExecutor(MOVERS) as pool:
+        list(pool.map(lambda file: moved(*file), found))
     files.delete(hadoop(staged), True)
-    return n
+    return len(found)
 
 
 def write_recording(raw: DataFrame, path: str) -> None:
